@@ -1,0 +1,5 @@
+"""Empty on purpose: the work is a batch over a closed folder, so there is no streaming operator to offer.
+
+Every operator in ``windrow.operators`` is keyed by file, so a new folder is handled by running
+``windrow.plans.convert.run_batch`` on it.
+"""
