@@ -114,7 +114,8 @@ def run_batch(spark: SparkSession, indir: str, outdir: str, csv: bool = False, *
     sinks.write_series(converted, f"{outdir}/series")
     series = spark.read.parquet(f"{outdir}/series").drop("date")
     if csv:
-        sinks.write_series(series, f"{outdir}/series_csv", "csv", units=units, drop_ts=True)
+        text = series.select("start_ts", "row_idx", "ts", *units)
+        sinks.write_series(text, f"{outdir}/series_csv", "csv", units=units, drop_ts=True)
     sinks.write_units(converted, units, f"{outdir}/units")
     pairs = files.discover_pairs(spark, indir).where("start_ts is not null")
     wide = stats.summarize(series, ["start_ts"], list(units), groups=pairs)

@@ -190,8 +190,11 @@ def locate_columns(files: DataFrame, mapping: Mapping[tuple[str, str], tuple[str
             hit = hit | ((h["name"] == name) & (h["unit"] == unit))
         return hit
 
+    def entries(sources) -> Column:
+        return F.filter("_named", lambda h: means(h, sources))
+
     named = files.withColumn("_named", named_columns(F.col("header")))
-    found = {c: F.filter("_named", lambda h, s=s: means(h, s)) for c, s in targets.items()}
+    found = {c: entries(sources) for c, sources in targets.items()}
     places = F.struct(*[F.get(f, F.lit(0))["pos"].alias(c) for c, f in found.items()])
     ambiguous = F.lit(False)
     for hits in found.values():
@@ -235,10 +238,10 @@ def split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     lines of the splits before it. Those totals are one row per split.
     """
     lines = (
-        spark.read.option("encoding", "ISO-8859-1")
-        .text(paths)
+        spark.read.text(paths)
         .select(
-            F.col("value").alias("line"),
+            # The text source passes the bytes of a line through as they are.
+            F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"),
             same_path(F.col("_metadata.file_path")).alias("path"),
             F.col("_metadata.file_block_start").alias("_split"),
         )
