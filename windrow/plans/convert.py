@@ -38,6 +38,9 @@ def convert_series(
     slow_cols: Sequence[str] = SLOW,
     late_decode: bool = False,
     on_missing: str = "keep",
+    period_ps: int = presets.PERIOD_PS,
+    tolerance_us: int | None = presets.TOLERANCE_US,
+    grid_us: int | None = presets.GRID_US,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Fast rows on their exact time axis with slow columns, gaps filled, gases calibrated.
@@ -47,7 +50,7 @@ def convert_series(
     treats -9999 as a number until calibration, as older outputs did.
     """
     slow_cols = list(slow_cols)
-    timed = fill.assign_time_axis(raw)
+    timed = fill.assign_time_axis(raw, period_ps=period_ps)
     if "co2_mult" not in timed.columns:
         table = eras if eras is not None else lookup.era_table(raw.sparkSession)
         timed = lookup.lookup_by_interval(
@@ -58,7 +61,7 @@ def convert_series(
         slow = columns.decode_missing(slow, slow_cols)
     converted = columns.convert_units(timed).drop("co2_mult", "h2o_mult")
     merged = interpolate_linear(
-        converted, slow, "ts", ["file_id"], slow_cols, presets.TOLERANCE_US, presets.GRID_US, min_hot_rows
+        converted, slow, "ts", ["file_id"], slow_cols, tolerance_us, grid_us, min_hot_rows
     )
     measured = [*FAST, *slow_cols]
     filled = fill.bffill(merged, ["file_id"], ["row_idx"], measured, min_hot_rows)
