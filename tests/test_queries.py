@@ -1,5 +1,6 @@
 """Every registered query against its SQL on the shared test tables."""
 
+import datetime as dt
 import os
 from pathlib import Path
 
@@ -25,12 +26,14 @@ def normal(frame):
     """Rows sorted by all columns, columns sorted by name, one representation per kind of value."""
     frame = frame[sorted(frame.columns)].copy()
     for c in frame.columns:
+        if frame[c].map(lambda v: isinstance(v, dt.date)).any():
+            frame[c] = pd.to_datetime(frame[c])
         if frame[c].dtype.kind == "M":
             frame[c] = frame[c].astype("datetime64[us]")
         elif frame[c].dtype.kind in "iuf":
             frame[c] = frame[c].astype(float)
         else:
-            frame[c] = frame[c].map(lambda v: "" if v is None or v is pd.NaT or v != v else str(v).replace(" 00:00:00", ""))
+            frame[c] = frame[c].map(lambda v: "" if v is None or v is pd.NaT or v != v else str(v))
     return frame.sort_values(list(frame.columns), ignore_index=True)
 
 

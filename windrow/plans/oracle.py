@@ -11,7 +11,15 @@ def number(text: str) -> str:
     return f"CASE WHEN regexp_full_match(trim({text}), {NUMBER}) THEN TRY_CAST(trim({text}) AS DOUBLE) END"
 
 
-def summary(col: str, digits: int, prefix: str = "") -> str:
+def single(expression: str) -> str:
+    return f"CAST(CAST(round({expression}, 9) AS FLOAT) AS DOUBLE)"
+
+
+def singles(cols, quote: str = "") -> str:
+    return ", ".join(f"{single(c)} AS {quote}{c}{quote}" for c in cols)
+
+
+def summary(col: str, prefix: str = "", cut=single) -> str:
     """Ten statistics of a column, named with a prefix."""
     parts = [f'count({col}) AS "{prefix}count"']
     calls = {
@@ -25,7 +33,7 @@ def summary(col: str, digits: int, prefix: str = "") -> str:
         "q95": f"quantile_cont({col}, 0.95)",
         "q99": f"quantile_cont({col}, 0.99)",
     }
-    parts += [f'round({call}, {digits}) AS "{prefix}{name}"' for name, call in calls.items()]
+    parts += [f'{cut(call)} AS "{prefix}{name}"' for name, call in calls.items()]
     return ", ".join(parts)
 
 
@@ -34,15 +42,15 @@ GAPPY = "SELECT event_type, ts, event_id, CASE WHEN event_id % 5 >= 3 THEN value
 LINE_UNITS = {"l_quantity": "[pcs]", "l_extendedprice": "[usd]", "l_discount": "[1]", "l_tax": "[1]"}
 
 
-def line_long(digits: int) -> str:
+def line_long() -> str:
     return " UNION ALL ".join(
-        f"SELECT l_returnflag, '{c}' AS variable, '{u}' AS unit, {summary(c, digits)}, "
-        f"round(max({c}) - min({c}), {digits}) AS spread FROM lineitem GROUP BY l_returnflag"
+        f"SELECT l_returnflag, '{c}' AS variable, '{u}' AS unit, {summary(c)}, "
+        f"{single(f'max({c}) - min({c})')} AS spread FROM lineitem GROUP BY l_returnflag"
         for c, u in LINE_UNITS.items()
     )
 
 
-HOUR_LONG = f"SELECT hour, 'value' AS variable, '[V]' AS unit, {summary('value', 14)} FROM ({HOURLY}) GROUP BY hour"
+HOUR_LONG = f"SELECT hour, 'value' AS variable, '[V]' AS unit, {summary('value', cut=str)} FROM ({HOURLY}) GROUP BY hour"
 
 NUMBER_TEXT = """CASE event_id % 10
     WHEN 0 THEN event_type || CAST(value AS VARCHAR)
@@ -78,14 +86,14 @@ def asof(direction: str) -> str:
         "WHEN l.ts - b.ts < f.ts - l.ts THEN b.ts ELSE f.ts END",
     )
     return f"""WITH {CHANNELS}, hit AS (
-        SELECT l.*, {pick} AS at FROM fast l
+        SELECT l.*, {pick} AS hit_ts FROM fast l
         ASOF LEFT JOIN slow b ON l.day = b.day AND l.ts >= b.ts
         ASOF LEFT JOIN slow f ON l.day = f.day AND l.ts <= f.ts
     ), near AS (
-        SELECT * REPLACE (CASE WHEN abs(epoch_us(ts) - epoch_us(at)) <= 1800000000 THEN at END AS at) FROM hit
+        SELECT * REPLACE (CASE WHEN abs(epoch_us(ts) - epoch_us(hit_ts)) <= 1800000000 THEN hit_ts END AS hit_ts) FROM hit
     )
     SELECT n.event_id, n.day, n.ts, n.value, s.slow_id, s.slow_value, s.ts AS slow_ts
-    FROM near n LEFT JOIN slow s ON n.day = s.day AND n.at = s.ts"""
+    FROM near n LEFT JOIN slow s ON n.day = s.day AND n.hit_ts = s.ts"""
 
 
 def interpolated(left: str, right: str, by: str, cols: list[str], tolerance: int | None, grid: int | None) -> str:
@@ -218,10 +226,6 @@ def played() -> str:
     )""".replace("ORDER BY events.ts DESC, event_id DESC", "ORDER BY named.ts DESC, event_id DESC")
 
 
-def rounded(cols, digits: int = 6) -> str:
-    return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
-
-
 ERAS = " ".join(
     f"WHEN {' AND '.join(t for t in ((f'start_ts > TIMESTAMP {a!r}' if a else ''), (f'start_ts <= TIMESTAMP {b!r}' if b else '')) if t)} "
     f"THEN {{{i}}}"
@@ -244,10 +248,10 @@ def column_state(c: str, text: str, unit: str) -> str:
 
 
 def sql() -> dict[str, str]:
-    value_stats = summary("value", 9, "value__")
+    value_stats = summary("value", "value__")
     out = {
         "summary_by_hour": f"SELECT hour, {value_stats} FROM ({HOURLY}) GROUP BY hour",
-        "summary_by_type": f"SELECT event_type, {summary('value', 6, 'value__')} FROM events GROUP BY event_type",
+        "summary_by_type": f"SELECT event_type, {summary('value', 'value__')} FROM events GROUP BY event_type",
         "summary_empty_groups": f"""WITH grid AS (
             SELECT unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS hour FROM
                 (SELECT min(date_trunc('hour', ts)) AS a, max(date_trunc('hour', ts)) AS b FROM events)
@@ -257,27 +261,27 @@ def sql() -> dict[str, str]:
             )
             SELECT c.hour, c.event_type, {value_stats} FROM cells c
             LEFT JOIN ({HOURLY}) e ON c.hour = e.hour AND c.event_type = e.event_type GROUP BY ALL""",
-        "summary_lineitem": line_long(4),
+        "summary_lineitem": line_long(),
         "halfhour_summary": f"""SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS bin, {value_stats}
             FROM events GROUP BY 1""",
-        "robust_bounds": f"""SELECT variable, unit, round(min(q01), 9) AS lower, round(max(q99), 9) AS upper
+        "robust_bounds": f"""SELECT variable, unit, {single('min(q01)')} AS lower, {single('max(q99)')} AS upper
             FROM ({HOUR_LONG}) GROUP BY ALL""",
-        "trend_bands": f"""SELECT variable, unit, hour, count, {rounded(['median', 'q05', 'q95', 'mean'], 9)},
-            round(mean - std, 9) AS mean_minus_std, round(mean + std, 9) AS mean_plus_std FROM ({HOUR_LONG})""",
-        "annotations": f"SELECT l_returnflag, variable, unit, count, median, mean, min, max FROM ({line_long(4)})",
-        "distinct_variables": f"SELECT DISTINCT variable, unit FROM ({line_long(4)})",
-        "sonic_temperature": """SELECT event_id,
-            round(((value * 30.0 + 9000.0) * 0.02) ** 2 / 1.402 / 287.64 - 273.15, 6) AS t_sonic FROM events""",
-        "convert_units": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-            round(l_quantity * 0.01, 6) AS "U", round(l_discount * 0.01, 6) AS "V", round(l_tax * 0.01, 6) AS "W",
-            round(((l_quantity * 100.0 + 14000.0) * 0.02) ** 2 / 1.402 / 287.64 - 273.15, 6) AS "T_SONIC",
-            round(l_extendedprice * 0.33425::DOUBLE, 6) AS "CO2", round(l_extendedprice * 0.335::DOUBLE, 6) AS "H2O"
+        "trend_bands": f"""SELECT variable, unit, hour, count, {singles(['median', 'q05', 'q95', 'mean'])},
+            {single('mean - std')} AS mean_minus_std, {single('mean + std')} AS mean_plus_std FROM ({HOUR_LONG})""",
+        "annotations": f"SELECT l_returnflag, variable, unit, count, median, mean, min, max FROM ({line_long()})",
+        "distinct_variables": f"SELECT DISTINCT variable, unit FROM ({line_long()})",
+        "sonic_temperature": f"""SELECT event_id,
+            {single('((value * 30.0 + 9000.0) * 0.02) ** 2 / 1.402 / 287.64 - 273.15')} AS t_sonic FROM events""",
+        "convert_units": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+            {single('l_quantity * 0.01')} AS "U", {single('l_discount * 0.01')} AS "V", {single('l_tax * 0.01')} AS "W",
+            {single('((l_quantity * 100.0 + 14000.0) * 0.02) ** 2 / 1.402 / 287.64 - 273.15')} AS "T_SONIC",
+            {single('l_extendedprice * 0.33425::DOUBLE')} AS "CO2", {single('l_extendedprice * 0.335::DOUBLE')} AS "H2O"
             FROM lineitem""",
         "calibrate_gas": f"""WITH readings AS (
                 SELECT event_id, value * 4.0 AS H2O, value * 10.0 + 500.0 AS CO2,
                     CASE WHEN user_id % 40 = 7 THEN 0.0::DOUBLE WHEN user_id % 40 <> 9 THEN user_id % 40 + 60.0::DOUBLE END AS Plic,
                     event_id % 25 + 10.0::DOUBLE AS Tlic FROM events
-            ) SELECT event_id, {rounded(['H2O', 'CO2'])}, calibrated FROM ({calibrated('readings', 'event_id')})""",
+            ) SELECT event_id, {singles(['H2O', 'CO2'])}, calibrated FROM ({calibrated('readings', 'event_id')})""",
         "update_non_null": """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value * 2 ELSE value END AS value
             FROM events""",
         "era_multiplier": f"""SELECT o_orderkey, o_orderdate, start_ts,
@@ -285,11 +289,11 @@ def sql() -> dict[str, str]:
                 CAST(CASE {ERAS.format(*[e[3] for e in presets.ERAS])} END AS DOUBLE) AS h2o_mult
             FROM (SELECT o_orderkey, o_orderdate, o_orderdate + to_hours(o_orderkey % 24) AS start_ts FROM orders)""",
         "period_linear": f"""SELECT o_orderkey, o_orderdate,
-            round(CASE {PERIOD_LINEAR} ELSE o_totalprice END, 4) AS o_totalprice FROM orders""",
+            {single(f"CASE {PERIOD_LINEAR} ELSE o_totalprice END")} AS o_totalprice FROM orders""",
         "sentinel_roundtrip": """SELECT event_id, CASE WHEN event_id % 17 <> 0 THEN value END AS reading,
             CASE WHEN event_id % 13 <> 0 THEN event_type END AS mark,
             CASE WHEN event_id % 17 = 0 THEN -9999.0::DOUBLE ELSE value END AS written FROM events""",
-        "coerce_numeric": f"SELECT event_id, round({number(NUMBER_TEXT)}, 6) AS reading FROM events",
+        "coerce_numeric": f"SELECT event_id, {single(number(NUMBER_TEXT))} AS reading FROM events",
         "strict_numeric": "SELECT event_id, value AS reading FROM events",
         "sorted_columns": "SELECT * FROM lineitem",
         "row_index": f"""SELECT event_id, hour,
@@ -300,18 +304,18 @@ def sql() -> dict[str, str]:
         "dedupe_last": f"""SELECT * EXCLUDE (props) FROM ({HOURLY})
             QUALIFY row_number() OVER (PARTITION BY user_id, hour ORDER BY ts DESC, event_id DESC) = 1""",
         "interp_linear": f"""WITH {CHANNELS}, {interpolated('fast', 'slow', 'day', ['slow_value', 'slow_user'], None, None)}
-            SELECT * REPLACE ({rounded(['value', 'slow_value', 'slow_user'])}) FROM aligned""",
+            SELECT * REPLACE ({singles(['value', 'slow_value', 'slow_user'])}) FROM aligned""",
         "align_slow": f"""WITH {CHANNELS},
             {interpolated('fast', 'slow', 'day', ['slow_value', 'slow_user'], 1_800_000_000, 10_000)}
-            SELECT event_id, day, ts, round(value, 6) AS value,
-                round({fills('ts, event_id', 'day', 'slow_value')['bffill']}, 6) AS slow_value,
-                round({fills('ts, event_id', 'day', 'slow_user')['bffill']}, 6) AS slow_user FROM aligned""",
-        "ramp_daily": f"WITH {SEGMENTS} SELECT o_orderpriority, date, round(factor, 9) AS factor FROM ramp",
-        "factor_outer": f"""WITH {SEGMENTS} SELECT date, round(u.factor, 9) AS co2_factor, round(l.factor, 9) AS h2o_factor
+            SELECT event_id, day, ts, {single('value')} AS value,
+                {single(fills('ts, event_id', 'day', 'slow_value')['bffill'])} AS slow_value,
+                {single(fills('ts, event_id', 'day', 'slow_user')['bffill'])} AS slow_user FROM aligned""",
+        "ramp_daily": f"WITH {SEGMENTS} SELECT o_orderpriority, date, {single('factor')} AS factor FROM ramp",
+        "factor_outer": f"""WITH {SEGMENTS} SELECT date, {single('u.factor')} AS co2_factor, {single('l.factor')} AS h2o_factor
             FROM (SELECT * FROM ramp WHERE o_orderpriority = '1-URGENT' AND date >= DATE '1996-03-01') u
             FULL JOIN (SELECT * FROM ramp WHERE o_orderpriority = '5-LOW' AND date < DATE '2000-03-01') l USING (date)""",
         "factor_join": f"""WITH {SEGMENTS} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                CAST(l_shipdate AS DATE) AS day, round(l_quantity * coalesce(factor, 1), 6) AS l_quantity,
+                CAST(l_shipdate AS DATE) AS day, {single('l_quantity * coalesce(factor, 1)')} AS l_quantity,
                 factor IS NULL AS factor_missing
             FROM lineitem LEFT JOIN
                 (SELECT * FROM ramp WHERE o_orderpriority = '1-URGENT' AND date >= DATE '1996-03-01') r
@@ -327,9 +331,9 @@ def sql() -> dict[str, str]:
                     'Site' || strftime(hour, '%y%m%d_%H') || '.aux' AS aux_name
                 FROM ({HOURLY}) WHERE event_type = 'purchase'
             ) USING (stem)""",
-        "filename_time": """SELECT o_orderkey, 'Site' || strftime(at, '%y%m%d_%H') || '.raw' AS name, at AS start_ts,
-                CAST(at AS DATE) AS file_date, strftime(at, '%Y%m%d%H%M') AS start_label
-            FROM (SELECT o_orderkey, o_orderdate + to_hours(o_orderkey % 24) AS at FROM orders)""",
+        "filename_time": """SELECT o_orderkey, 'Site' || strftime(s, '%y%m%d_%H') || '.raw' AS name, s AS start_ts,
+                CAST(s AS DATE) AS file_date, strftime(s, '%Y%m%d%H%M') AS start_label
+            FROM (SELECT o_orderkey, o_orderdate + to_hours(o_orderkey % 24) AS s FROM orders)""",
         "parse_dates": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS parsed_date,
             CASE WHEN o_orderkey % 26 < 24 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(o_orderkey % 26)
                 + to_minutes(o_orderkey % 60) + to_seconds(o_orderkey % 7) END AS parsed_ts FROM orders""",
@@ -357,16 +361,16 @@ def sql() -> dict[str, str]:
             CASE WHEN event_id % 9 NOT IN (0, 2) THEN CAST(user_id AS DOUBLE) END AS "user",
             event_id % 9 = 1 AS malformed FROM events""",
         "row_validity": "SELECT event_id, ts FROM events WHERE event_id % 13 NOT IN (1, 2, 3)",
-        "daily_sizes": f"SELECT date, round(mb, 6) AS mb FROM ({SIZED_DAYS})",
+        "daily_sizes": f"SELECT date, {single('mb')} AS mb FROM ({SIZED_DAYS})",
         "densify_days": f"""WITH sized AS ({SIZED_DAYS}), days AS (
                 SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM sized)
-            SELECT date, round(mb, 6) AS mb FROM days LEFT JOIN sized USING (date)""",
-        "densify_users": """WITH daily AS (
+            SELECT date, {single('mb')} AS mb FROM days LEFT JOIN sized USING (date)""",
+        "densify_users": f"""WITH daily AS (
                 SELECT user_id, CAST(ts AS DATE) AS day, sum(value) AS total FROM events GROUP BY ALL
             ), days AS (
                 SELECT user_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
                 FROM daily GROUP BY user_id
-            ) SELECT user_id, day, round(total, 6) AS total FROM days LEFT JOIN daily USING (user_id, day)""",
+            ) SELECT user_id, day, {single('total')} AS total FROM days LEFT JOIN daily USING (user_id, day)""",
         "availability_matrix": "SELECT strftime(o_orderdate, '%Y-%m') AS year_month, "
         + ", ".join(f'max(CASE WHEN day(o_orderdate) = {d} THEN o_totalprice END) AS "{d}"' for d in range(1, 32))
         + " FROM orders GROUP BY 1",
@@ -382,10 +386,10 @@ def sql() -> dict[str, str]:
             )
         ),
         "convert_series": f"""{played()} SELECT event_id, file_id, row_idx, ts, calibrated,
-            {', '.join(f'round({c}, 6) AS "{c}"' for c in (*FAST, *SLOW))} FROM final""",
+            {singles((*FAST, *SLOW), '"')} FROM final""",
         "series_summary": f"{played()} "
         + " UNION ALL ".join(
-            f"SELECT file_id, start_ts, '{c}' AS variable, '{UNITS[c]}' AS unit, {summary(c, 6)} FROM final "
+            f"SELECT file_id, start_ts, '{c}' AS variable, '{UNITS[c]}' AS unit, {summary(c)} FROM final "
             "GROUP BY file_id, start_ts"
             for c in (*FAST, *SLOW)
         ),

@@ -29,8 +29,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return pin(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c, kind in df.dtypes if kind == "double"})
+def single(df: DataFrame) -> DataFrame:
+    """Doubles cut to single precision, where two engines agree that sum in different orders.
+
+    Decimal rounding does not do: means of prices often lie exactly between two rounded values.
+    """
+    cut = {c: F.round(c, 9).cast("float").cast("double") for c, kind in df.dtypes if kind == "double"}
+    return df.withColumns(cut)
 
 
 def hour(ts: str = "ts"):
@@ -59,11 +64,11 @@ def hour_long(spark, sf):
 
 
 def summary_by_hour(spark, sf):
-    return rounded(hour_summary(spark, sf), 9)
+    return single(hour_summary(spark, sf))
 
 
 def summary_by_type(spark, sf):
-    return rounded(stats.summarize(table(spark, sf, "events"), ["event_type"], ["value"]))
+    return single(stats.summarize(table(spark, sf, "events"), ["event_type"], ["value"]))
 
 
 def summary_empty_groups(spark, sf):
@@ -72,7 +77,7 @@ def summary_empty_groups(spark, sf):
     hours = ends.select(F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("hour"))
     types = F.array(*[F.lit(t) for t in ("view", "click", "signup", "error", "purchase", "refund")])
     grid = hours.select("hour", F.explode(types).alias("event_type"))
-    return rounded(stats.summarize(events, ["hour", "event_type"], ["value"], groups=grid), 9)
+    return single(stats.summarize(events, ["hour", "event_type"], ["value"], groups=grid))
 
 
 def line_wide(spark, sf):
@@ -85,23 +90,23 @@ def line_long(spark, sf):
 
 
 def summary_lineitem(spark, sf):
-    return rounded(line_long(spark, sf), 4)
+    return single(line_long(spark, sf))
 
 
 def halfhour_summary(spark, sf):
-    return rounded(stats.bin_summarize(table(spark, sf, "events"), "ts", "30 minutes", ["value"]), 9)
+    return single(stats.bin_summarize(table(spark, sf, "events"), "ts", "30 minutes", ["value"]))
 
 
 def robust_bounds(spark, sf):
-    return rounded(stats.robust_bounds(hour_long(spark, sf)), 9)
+    return single(stats.robust_bounds(hour_long(spark, sf)))
 
 
 def trend_bands(spark, sf):
-    return rounded(stats.trend_bands(hour_long(spark, sf), "hour"), 9)
+    return single(stats.trend_bands(hour_long(spark, sf), "hour"))
 
 
 def annotations(spark, sf):
-    return rounded(stats.annotations(line_long(spark, sf), ["l_returnflag"]), 4)
+    return single(stats.annotations(line_long(spark, sf), ["l_returnflag"]))
 
 
 def distinct_variables(spark, sf):
@@ -113,7 +118,7 @@ def distinct_variables(spark, sf):
 
 def sonic_temperature(spark, sf):
     raw = F.col("value") * 30.0 + 9000.0
-    return rounded(table(spark, sf, "events").select("event_id", physics.sonic_temperature(raw).alias("t_sonic")))
+    return single(table(spark, sf, "events").select("event_id", physics.sonic_temperature(raw).alias("t_sonic")))
 
 
 def convert_units(spark, sf):
@@ -123,7 +128,7 @@ def convert_units(spark, sf):
         (F.col("l_quantity") * 100.0 + 14000.0).alias("T_SONIC"), F.col("l_extendedprice").alias("CO2"),
         F.col("l_extendedprice").alias("H2O"), F.lit(0.33425).alias("co2_mult"), F.lit(0.335).alias("h2o_mult"),
     )
-    return rounded(columns.convert_units(sensors).drop("co2_mult", "h2o_mult"))
+    return single(columns.convert_units(sensors).drop("co2_mult", "h2o_mult"))
 
 
 def calibrate_gas(spark, sf):
@@ -136,7 +141,7 @@ def calibrate_gas(spark, sf):
         F.when(user == 7, 0.0).when(user != 9, user + 60.0).alias("Plic"),
         (F.col("event_id") % 25 + 10.0).alias("Tlic"),
     )
-    return rounded(columns.calibrate_gas(readings).select("event_id", "H2O", "CO2", "calibrated"))
+    return single(columns.calibrate_gas(readings).select("event_id", "H2O", "CO2", "calibrated"))
 
 
 def update_non_null(spark, sf):
@@ -157,7 +162,7 @@ def era_multiplier(spark, sf):
 def period_linear(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     corrected = lookup.period_linear(orders, lookup.period_table(spark), "o_orderdate", "o_totalprice")
-    return rounded(corrected, 4)
+    return single(corrected)
 
 
 def sentinel_roundtrip(spark, sf):
@@ -187,7 +192,7 @@ def number_text():
 
 def coerce_numeric(spark, sf):
     texts = table(spark, sf, "events").select("event_id", number_text().alias("reading"))
-    return rounded(columns.coerce_numeric(texts, ["reading"]))
+    return single(columns.coerce_numeric(texts, ["reading"]))
 
 
 def strict_numeric(spark, sf):
@@ -250,7 +255,7 @@ def _asof(direction):
 
 def interp_linear(spark, sf):
     fast, slow = channels(spark, sf)
-    return rounded(asof.interpolate_linear(fast, slow, "ts", ["day"], ["slow_value", "slow_user"]))
+    return single(asof.interpolate_linear(fast, slow, "ts", ["day"], ["slow_value", "slow_user"]))
 
 
 def align_slow(spark, sf):
@@ -258,7 +263,7 @@ def align_slow(spark, sf):
     fast, slow = channels(spark, sf)
     cols = ["slow_value", "slow_user"]
     aligned = asof.interpolate_linear(fast, slow, "ts", ["day"], cols, 1_800_000_000, presets.GRID_US)
-    return rounded(fill.bffill(aligned, ["day"], ["ts", "event_id"], cols))
+    return single(fill.bffill(aligned, ["day"], ["ts", "event_id"], cols))
 
 
 # Factors
@@ -278,7 +283,7 @@ def monthly_segments(spark, sf):
 
 
 def ramp_daily(spark, sf):
-    return rounded(lookup.expand_ramp(monthly_segments(spark, sf), by=["o_orderpriority"]), 9)
+    return single(lookup.expand_ramp(monthly_segments(spark, sf), by=["o_orderpriority"]))
 
 
 def one_ramp(spark, sf, priority, out):
@@ -289,7 +294,7 @@ def one_ramp(spark, sf, priority, out):
 def factor_outer(spark, sf):
     urgent = one_ramp(spark, sf, "1-URGENT", "co2_factor").where("date >= date'1996-03-01'")
     low = one_ramp(spark, sf, "5-LOW", "h2o_factor").where("date < date'2000-03-01'")
-    return rounded(lookup.combine_factors(urgent, low), 9)
+    return single(lookup.combine_factors(urgent, low))
 
 
 def factor_join(spark, sf):
@@ -297,7 +302,7 @@ def factor_join(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("day"), "l_quantity"
     )
-    return rounded(lookup.apply_dated_factor(lines, urgent, "day", {"l_quantity": "f"}))
+    return single(lookup.apply_dated_factor(lines, urgent, "day", {"l_quantity": "f"}))
 
 
 def segment_dates(spark, sf):
@@ -449,17 +454,17 @@ def sized_days(spark, sf):
 
 
 def daily_sizes(spark, sf):
-    return rounded(sized_days(spark, sf))
+    return single(sized_days(spark, sf))
 
 
 def densify_days(spark, sf):
-    return rounded(quality.densify_days(sized_days(spark, sf)))
+    return single(quality.densify_days(sized_days(spark, sf)))
 
 
 def densify_users(spark, sf):
     events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     daily = events.groupBy("user_id", "day").agg(F.sum("value").alias("total"))
-    return rounded(fill.densify(daily, ["user_id"], "day"))
+    return single(fill.densify(daily, ["user_id"], "day"))
 
 
 def availability_matrix(spark, sf):
@@ -540,13 +545,13 @@ def played_series(spark, sf):
 
 def convert_series(spark, sf):
     series = played_series(spark, sf)
-    return rounded(series.select("event_id", "file_id", "row_idx", "ts", *convert.FAST, *convert.SLOW, "calibrated"))
+    return single(series.select("event_id", "file_id", "row_idx", "ts", *convert.FAST, *convert.SLOW, "calibrated"))
 
 
 def series_summary(spark, sf):
     cols = [*convert.FAST, *convert.SLOW]
     wide = stats.summarize(played_series(spark, sf), ["file_id", "start_ts"], cols)
-    return rounded(stats.to_long(wide, ["file_id", "start_ts"], cols, convert.UNITS))
+    return single(stats.to_long(wide, ["file_id", "start_ts"], cols, convert.UNITS))
 
 
 def file_manifest(spark, sf):
