@@ -9,7 +9,7 @@ from windrow.presets import PERIOD_PS, YEAR_PIVOT
 
 FILE_STAMP = r"(\d{2})(\d{2})(\d{2})_(\d{2})\.[A-Za-z]+$"
 DATE_TEXT = r"^(\d{1,2})\.(\d{1,2})\.(\d{4}|\d{2})$"
-TIME_TEXT = r"^(\d{1,2}):(\d{1,2}):(\d{1,2})$"
+TIME_TEXT = r"^([01]?\d|2[0-3]):([0-5]?\d):([0-5]?\d)$"
 LABEL = "yyyyMMddHHmm"
 
 
@@ -19,7 +19,7 @@ def _part(text: Column, pattern: str, group: int) -> Column:
 
 def full_year(year: Column, pivot: int = YEAR_PIVOT) -> Column:
     """Four-digit year; two-digit years from ``pivot`` on are in the 1900s, the others in the 2000s."""
-    return F.when(year >= 100, year).when(year >= pivot, year + 1900).otherwise(year + 2000)
+    return year + F.when(year >= 100, 0).when(year >= pivot, 1900).otherwise(2000)
 
 
 def file_time(name: Column, pivot: int = YEAR_PIVOT) -> Column:
@@ -48,10 +48,9 @@ def date_from_text(text: Column, pivot: int = YEAR_PIVOT) -> Column:
 
 def timestamp_from_text(date: Column, time: Column, pivot: int = YEAR_PIVOT) -> Column:
     """Timestamp of a date text and an ``HH:MM:SS`` text, NULL where either is unreadable."""
-    day = date_from_text(date, pivot)
     bare = strip_blanks(time)
     hour, minute, second = (_part(bare, TIME_TEXT, g) for g in (1, 2, 3))
-    return F.try_make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), hour, minute, second)
+    return date_from_text(date, pivot).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour, minute, second)
 
 
 def micros(ts: Column) -> Column:

@@ -15,16 +15,12 @@ from pyspark.sql import functions as F
 from windrow.functions.clock import micros, snap
 from windrow.functions.numeric import lerp
 from windrow.operators.fill import Carry, carry
-from windrow.operators.hot import MIN_HOT_ROWS, Blocked, cut_series
+from windrow.operators.hot import MIN_HOT_ROWS, cut_series, settle
 
 LEFT, RIGHT, SENTINEL = 2, 1, 0
 BEGINNING = -(2**62)
 
 
-def _series(df: DataFrame, by: Sequence[str], order: Sequence[str], min_hot_rows: int) -> Blocked:
-    return cut_series(df, by, order, min_hot_rows) if min_hot_rows else Blocked(df, list(by), False)
-
-
 def _known_keys(by: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in by:
@@ -32,6 +28,19 @@ def _known_keys(by: Sequence[str]) -> Column:
     return condition
 
 
+def _with_lead_in(df: DataFrame, by: Sequence[str], row: dict[str, Column], first: dict[str, Column]) -> DataFrame:
+    """Right rows with the columns ``row``, and one more with ``first`` ahead of the earliest row of each key.
+
+    The extra row lets left rows before the first right row see it.
+    """
+    own = F.struct(F.col("_k"), F.lit(RIGHT).alias("_side"), *[c.alias(n) for n, c in row.items()])
+    ahead = F.struct(
+        F.lit(BEGINNING).cast("bigint").alias("_k"), F.lit(SENTINEL).alias("_side"), *[c.alias(n) for n, c in first.items()]
+    )
+    rows = F.when(F.col("_earlier").isNull(), F.array(ahead, own)).otherwise(F.array(own))
+    return df.select(*by, F.inline(rows))
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -53,6 +62,7 @@ def asof_join(
     if direction not in ("nearest", "backward", "forward"):
         raise ValueError(f"unknown direction {direction!r}")
     by = list(by)
+    min_hot_rows = settle(min_hot_rows, by, left, right)
     points = right.where(_known_keys(by) & F.col(on).isNotNull()).select(
         *by, micros(F.col(on)).alias("_k"), F.struct(micros(F.col(on)).alias("t"), *cols).alias("_cur")
     )
@@ -60,25 +70,24 @@ def asof_join(
         marks = points.withColumns({"_side": F.lit(RIGHT), "_mark": F.struct("_cur")})
     else:
         following = carry(
-            _series(points, by, ["_k"], min_hot_rows),
+            cut_series(points, by, ["_k"], min_hot_rows),
             ["_k"],
-            [Carry("_next", F.col("_cur"), backward=True, strict=True)],
+            [
+                Carry("_next", F.col("_cur"), backward=True, strict=True),
+                Carry("_earlier", F.col("_k"), strict=True),
+            ],
         )
-        first = points.groupBy(*by).agg(F.min_by("_cur", "_k").alias("_next")).where("_next is not null")
         nothing = F.lit(None).cast(points.schema["_cur"].dataType)
-        marks = following.select(*by, "_k", F.lit(RIGHT).alias("_side"), F.struct("_cur", "_next").alias("_mark"))
-        marks = marks.unionByName(
-            first.select(
-                *by,
-                F.lit(BEGINNING).alias("_k"),
-                F.lit(SENTINEL).alias("_side"),
-                F.struct(nothing.alias("_cur"), F.col("_next")).alias("_mark"),
-            )
+        marks = _with_lead_in(
+            following,
+            by,
+            {"_mark": F.struct("_cur", "_next")},
+            {"_mark": F.struct(nothing.alias("_cur"), F.col("_cur").alias("_next"))},
         )
     rows = left.withColumns({"_k": micros(F.col(on)), "_side": F.lit(LEFT)})
     union = rows.unionByName(marks.select(*by, "_k", "_side", "_mark"), allowMissingColumns=True)
     picked = carry(
-        _series(union, by, ["_k", "_side"], min_hot_rows), ["_k", "_side"], [Carry("_seen", F.col("_mark"))]
+        cut_series(union, by, ["_k", "_side"], min_hot_rows), ["_k", "_side"], [Carry("_seen", F.col("_mark"))]
     ).where(F.col("_side") == LEFT)
 
     before = F.col("_seen._cur")
@@ -123,48 +132,36 @@ def interpolate_linear(
     multiples of it.
     """
     by = list(by)
+    min_hot_rows = settle(min_hot_rows, by, left, right)
     points = right.where(_known_keys(by) & F.col(on).isNotNull()).select(*by, micros(F.col(on)).alias("_k"), *cols)
     names = {c: f"_p_{c}" for c in cols}
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("_k").alias("t"), F.col(c).alias("v"))) for c in cols}
     ahead = [Carry(f"_ahead_{c}", known[c], backward=True, strict=True) for c in cols]
-    ahead.append(Carry("_ahead", F.col("_k"), backward=True, strict=True))
-    following = carry(_series(points, by, ["_k"], min_hot_rows), ["_k"], ahead)
-
-    def segment(c: str) -> Column:
-        to = F.col(f"_ahead_{c}")
-        line = F.struct(
-            F.col("_k").alias("t0"), F.col(c).alias("v0"), to["t"].alias("t1"), to["v"].alias("v1")
-        )
+    ahead += [
+        Carry("_ahead", F.col("_k"), backward=True, strict=True),
+        Carry("_earlier", F.col("_k"), strict=True),
+    ]
+    following = carry(cut_series(points, by, ["_k"], min_hot_rows), ["_k"], ahead)
+
+    def segment(c: str, to_time: Column, to_value: Column) -> Column:
+        line = F.struct(F.col("_k").alias("t0"), F.col(c).alias("v0"), to_time.alias("t1"), to_value.alias("v1"))
         return F.when(F.col(c).isNotNull(), line)
 
-    edge = F.struct(F.col("_k").alias("t"), F.col("_ahead").isNull().alias("last"), F.lit(False).alias("lead_in"))
-    marks = following.select(
-        *by, "_k", F.lit(RIGHT).alias("_side"), edge.alias("_edge"), *[segment(c).alias(n) for c, n in names.items()]
-    )
-    first = points.groupBy(*by).agg(F.min("_k").alias("_first"), F.min_by(F.struct(*cols), "_k").alias("_row"))
-    lead_in = first.where("_first is not null").select(
-        *by,
-        F.lit(BEGINNING).alias("_k"),
-        F.lit(SENTINEL).alias("_side"),
-        F.struct(F.col("_first").alias("t"), F.lit(False).alias("last"), F.lit(True).alias("lead_in")).alias("_edge"),
-        *[
-            F.when(
-                F.col("_row")[c].isNotNull(),
-                F.struct(
-                    F.col("_first").alias("t0"),
-                    F.col("_row")[c].alias("v0"),
-                    F.lit(None).cast("bigint").alias("t1"),
-                    F.lit(None).cast(right.schema[c].dataType).alias("v1"),
-                ),
-            ).alias(n)
-            for c, n in names.items()
-        ],
-    )
+    def edge(last: Column, lead_in: bool) -> Column:
+        return F.struct(F.col("_k").alias("t"), last.alias("last"), F.lit(lead_in).alias("lead_in"))
+
+    row = {"_edge": edge(F.col("_ahead").isNull(), False)}
+    first = {"_edge": edge(F.lit(False), True)}
+    for c, n in names.items():
+        to = F.col(f"_ahead_{c}")
+        row[n] = segment(c, to["t"], to["v"])
+        first[n] = segment(c, F.lit(None).cast("bigint"), F.lit(None).cast(right.schema[c].dataType))
+    marks = _with_lead_in(following, by, row, first)
     us = micros(F.col(on))
     rows = left.withColumns({"_us": us, "_k": snap(us, grid_us) if grid_us else us, "_side": F.lit(LEFT)})
-    union = rows.unionByName(marks.unionByName(lead_in), allowMissingColumns=True)
+    union = rows.unionByName(marks, allowMissingColumns=True)
     seen = [Carry(f"_s{n}", F.col(n)) for n in names.values()] + [Carry("_seen_edge", F.col("_edge"))]
-    picked = carry(_series(union, by, ["_k", "_side"], min_hot_rows), ["_k", "_side"], seen).where(
+    picked = carry(cut_series(union, by, ["_k", "_side"], min_hot_rows), ["_k", "_side"], seen).where(
         F.col("_side") == LEFT
     )
     inside = F.col("_us").isNotNull()

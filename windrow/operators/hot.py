@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -79,6 +80,15 @@ def hot_keys(df: DataFrame, by: Sequence[str], min_rows: int, max_keys: int | No
     return counts.where(F.col("_rows") > limit).select(*by), limit, largest
 
 
+def settle(min_rows: int, by: Sequence[str], *tables: DataFrame) -> int:
+    """Row limit to hand to later steps on these tables: 0, which skips their probes, if no key is oversized."""
+    if not min_rows:
+        return 0
+    keys = [t.select(*by, F.lit(1).alias("_one")) for t in tables]
+    together = reduce(DataFrame.unionByName, keys)
+    return min_rows if hot_keys(together, by, min_rows, MAX_HOT_KEYS) else 0
+
+
 def cut_points(values: DataFrame, name: str, slices: int) -> list[float]:
     """Increasing borders that cut a double column into about ``slices`` parts of equal size."""
     shares = [i / slices for i in range(1, slices)]
@@ -104,10 +114,10 @@ def cut_series(
     """Give every row a block number if some key of ``by`` is oversized.
 
     Blocks follow the first column of ``order``. The probe is one row count, and one count per key on tables
-    above ``min_rows``; both read the key columns only.
+    above ``min_rows``; both read the key columns only. ``min_rows=0`` skips the probe for keys known to be small.
     """
     by = list(by)
-    found = hot_keys(df, by, min_rows, max_keys)
+    found = hot_keys(df, by, min_rows, max_keys) if min_rows else None
     if found is None:
         return Blocked(df, by, False)
     keys, limit, largest = found

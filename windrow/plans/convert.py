@@ -11,7 +11,7 @@ from windrow import presets
 from windrow.functions.clock import timestamp_from_text
 from windrow.operators import columns, fill, lookup, quality, stats
 from windrow.operators.asof import interpolate_linear
-from windrow.operators.hot import MIN_HOT_ROWS
+from windrow.operators.hot import MIN_HOT_ROWS, settle
 from windrow.session import pin
 from windrow.sources import files, sinks
 
@@ -50,6 +50,7 @@ def convert_series(
     treats -9999 as a number until calibration, as older outputs did.
     """
     slow_cols = list(slow_cols)
+    min_hot_rows = settle(min_hot_rows, ["file_id"], raw, slow)
     timed = fill.assign_time_axis(raw, period_ps=period_ps)
     if "co2_mult" not in timed.columns:
         table = eras if eras is not None else lookup.era_table(raw.sparkSession)

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from windrow import presets
 from windrow.functions import clock, numeric, physics
 from windrow.operators import asof, columns, fill, lookup, quality, stats
+from windrow.operators.hot import MIN_HOT_ROWS, settle
 from windrow.plans import convert
-from windrow.session import pin
+from windrow.session import bounded_broadcast, pin
 from windrow.sources import files
 
 LINE_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -483,14 +484,14 @@ def column_quality(spark, sf):
 # Whole conversion
 
 
-def played_lines(spark, sf):
+def played_lines(spark, sf, limit):
     """Events written as the lines of hourly fast and slow files, with the damage real files have."""
     events = hourly(spark, sf)
     stamp = F.concat(F.lit("Site"), F.date_format("hour", "yyMMdd_HH"), F.lit(".raw"))
     named = events.withColumn("file_id", stamp)
     key = F.col("event_id")
 
-    fast = fill.row_index(named.where("event_type <> 'signup'"), ["file_id"], ["ts", "event_id"])
+    fast = fill.row_index(named.where("event_type <> 'signup'"), ["file_id"], ["ts", "event_id"], min_hot_rows=limit)
 
     def number(column):
         return column.cast("string")
@@ -506,15 +507,9 @@ def played_lines(spark, sf):
         F.when(key % 23 == 0, F.concat(F.lit("x"), number(F.col("value")))).otherwise(number(F.col("value") + 1000)),
         F.when(key % 17 == 0, F.lit("-9999")).otherwise(number(F.col("value") * 2)),
     )
-    fast_header = files.header_cells(
-        F.lit("Date\tTime\tIndex\tU\tV\tW\tSound\tC\tXw"),
-        F.lit("\t\t\t[m/s]\t[m/s]\t[m/s]\t[m/50s]\t[µmol/mol]\t[mmol/mol]"),
-    )
-    fast_lines = fast.select(
-        "event_id", "file_id", "row_idx", fast_header.alias("header"), F.concat_ws("\t", *fast_cells).alias("line")
-    )
+    fast_lines = fast.select("event_id", "file_id", "row_idx", F.concat_ws("\t", *fast_cells).alias("line"))
 
-    slow = fill.row_index(named.where("event_type = 'signup'"), ["file_id"], ["ts", "event_id"])
+    slow = fill.row_index(named.where("event_type = 'signup'"), ["file_id"], ["ts", "event_id"], min_hot_rows=limit)
     slow_cells = (
         F.when(F.col("row_idx") % 3 == 0, F.date_format("ts", " dd.MM.yyyy")).otherwise(F.lit("")),
         F.date_format("ts", "HH:mm:ss"),
@@ -523,34 +518,48 @@ def played_lines(spark, sf):
         number(F.col("value") / 20),
         F.when(key % 7 == 0, F.lit("-9999")).otherwise(number(F.col("value") / 10 + 20)),
     )
-    slow_header = files.header_cells(
-        F.lit("Date\tTime\tPa\tPlic\tTa\tTlic"), F.lit("\t\t[kPa]\t[kPa]\t[degC]\t[degC]")
-    )
-    slow_lines = slow.select(
-        "file_id", "row_idx", slow_header.alias("header"), F.concat_ws("\t", *slow_cells).alias("line")
-    )
+    slow_lines = slow.select("file_id", "row_idx", F.concat_ws("\t", *slow_cells).alias("line"))
     return fast_lines, slow_lines
 
 
-def played_series(spark, sf):
-    fast_lines, slow_lines = played_lines(spark, sf)
-    fast = files.as_cells(files.locate_columns(fast_lines, presets.RAW_COLUMNS, presets.RAW_HELPERS))
-    slow = files.as_cells(files.locate_columns(slow_lines, convert.AUX_MAPPING))
-    raw = files.canonical_columns(fast, (), convert.FAST).withColumn("start_ts", clock.file_time(F.col("file_id")))
+def played_limit(spark, sf):
+    """Row limit for the operators on the played files: 0 if no hour is oversized."""
+    return settle(MIN_HOT_ROWS, ["hour"], hourly(spark, sf))
+
+
+def played_series(spark, sf, limit):
+    fast_lines, slow_lines = played_lines(spark, sf, limit)
+    names = "Date\tTime\tIndex\tU\tV\tW\tSound\tC\tXw", "Date\tTime\tPa\tPlic\tTa\tTlic"
+    units = "\t\t\t[m/s]\t[m/s]\t[m/s]\t[m/50s]\t[µmol/mol]\t[mmol/mol]", "\t\t[kPa]\t[kPa]\t[degC]\t[degC]"
+    fast_files, slow_files = (
+        lines.select("file_id").distinct().withColumn("header", files.header_cells(F.lit(n), F.lit(u)))
+        for lines, n, u in zip((fast_lines, slow_lines), names, units)
+    )
+    started = fast_files.withColumn("start_ts", clock.file_time(F.col("file_id")))
+    defaults = {"co2_mult": 1.0, "h2o_mult": 1.0}
+    eras = lookup.lookup_by_interval(started, lookup.era_table(spark), "start_ts", "after", "until", "(]", defaults)
+    fast_places = files.locate_columns(eras, presets.RAW_COLUMNS, presets.RAW_HELPERS)
+    slow_places = files.locate_columns(slow_files, convert.AUX_MAPPING)
+    fast = files.as_cells(fast_lines.join(bounded_broadcast(fast_places), "file_id"))
+    slow = files.as_cells(slow_lines.join(bounded_broadcast(slow_places), "file_id"))
+    raw = files.canonical_columns(fast, (), convert.FAST)
     aux = files.canonical_columns(slow, ("Date", "Time"), convert.SLOW)
     return convert.convert_series(
-        raw, convert.prepare_slow(aux), period_ps=PLAYED_PERIOD_PS, tolerance_us=PLAYED_TOLERANCE_US
+        raw, convert.prepare_slow(aux, limit), period_ps=PLAYED_PERIOD_PS, tolerance_us=PLAYED_TOLERANCE_US,
+        min_hot_rows=limit,
     )
 
 
 def convert_series(spark, sf):
-    series = played_series(spark, sf)
+    series = played_series(spark, sf, played_limit(spark, sf))
     return single(series.select("event_id", "file_id", "row_idx", "ts", *convert.FAST, *convert.SLOW, "calibrated"))
 
 
 def series_summary(spark, sf):
     cols = [*convert.FAST, *convert.SLOW]
-    wide = stats.summarize(played_series(spark, sf), ["file_id", "start_ts"], cols)
+    limit = played_limit(spark, sf)
+    rows = stats.MAX_PERCENTILE_ROWS if limit else None
+    wide = stats.summarize(played_series(spark, sf, limit), ["file_id", "start_ts"], cols, max_percentile_rows=rows)
     return single(stats.to_long(wide, ["file_id", "start_ts"], cols, convert.UNITS))
 
 

@@ -180,43 +180,42 @@ def locate_columns(files: DataFrame, mapping: Mapping[tuple[str, str], tuple[str
     Done before the rows are exploded, so the header is searched once per file. If several header entries mean the
     same column the first one counts and ``ambiguous`` is set.
     """
-    targets: dict[str, list[tuple[str, str]]] = {}
-    for source, (column, _) in mapping.items():
-        targets.setdefault(column, []).append(source)
-
-    def means(h: Column, sources) -> Column:
-        hit = F.lit(False)
-        for name, unit in sources:
-            hit = hit | ((h["name"] == name) & (h["unit"] == unit))
-        return hit
-
-    def entries(sources) -> Column:
-        return F.filter("_named", lambda h: means(h, sources))
-
+    by_entry = F.create_map(
+        *[F.lit(x) for (name, unit), (column, _) in mapping.items() for x in (f"{name}\t{unit}", column)]
+    )
+    wanted = list(dict.fromkeys(column for column, _ in mapping.values()))
     named = files.withColumn("_named", named_columns(F.col("header")))
-    found = {c: entries(sources) for c, sources in targets.items()}
-    places = F.struct(*[F.get(f, F.lit(0))["pos"].alias(c) for c, f in found.items()])
-    ambiguous = F.lit(False)
-    for hits in found.values():
-        ambiguous = ambiguous | (F.size(hits) > 1)
-    unknown = F.filter("_named", lambda h: ~means(h, list(mapping)) & ~h["name"].isin(*helpers, ""))
-    return named.withColumns({"places": places, "unknown": unknown, "ambiguous": ambiguous}).drop("_named")
+    # The column that each header entry stands for, an empty text for unknown entries.
+    meant = F.transform(
+        "_named", lambda h: F.coalesce(F.element_at(by_entry, F.concat_ws("\t", h["name"], h["unit"])), F.lit(""))
+    )
+    located = named.withColumn("_meant", meant)
+    place = {c: F.get("_named", (F.array_position("_meant", c) - 1).cast("int"))["pos"] for c in wanted}
+    known = F.array_remove("_meant", "")
+    others = F.filter("_named", lambda h, i: (F.get("_meant", i) == "") & ~h["name"].isin(*helpers, ""))
+    keyed = F.transform(
+        others, lambda h: F.struct(F.concat_ws(" ", h["name"], h["unit"]).alias("key"), h["pos"].alias("pos"))
+    )
+    # A repeated header entry keeps its first column.
+    unknown = F.filter(keyed, lambda u, i: F.array_position(keyed["key"], u["key"]) == i + 1)
+    return located.withColumns(
+        {
+            "places": F.struct(*[p.alias(c) for c, p in place.items()]),
+            "unknown": unknown,
+            "ambiguous": F.size(F.array_distinct(known)) < F.size(known),
+        }
+    ).drop("_named", "_meant")
 
 
 def canonical_columns(rows: DataFrame, text: tuple[str, ...] = (), numbers: tuple[str, ...] = ()) -> DataFrame:
     """Known columns by name from ``cells``; unknown ones, as numbers, in the map ``extras``."""
     out = [F.nullif(F.get("cells", F.col(f"places.{c}")), F.lit("")).alias(c) for c in text]
     out += [to_number(F.get("cells", F.col(f"places.{c}"))).alias(c) for c in numbers]
-    pairs = F.transform(
-        "unknown",
-        lambda h: F.struct(
-            F.concat_ws(" ", h["name"], h["unit"]).alias("key"), to_number(F.get("cells", h["pos"])).alias("value")
-        ),
+    extras = F.map_from_arrays(
+        F.col("unknown.key"), F.transform("unknown.pos", lambda pos: to_number(F.get("cells", pos)))
     )
-    # A repeated header entry keeps its first column.
-    first = F.filter(pairs, lambda p, i: F.array_position(F.transform(pairs, lambda q: q["key"]), p["key"]) == i + 1)
     rest = [c for c in rows.columns if c not in ("cells", "places", "unknown", "header")]
-    return rows.select(*rest, *out, F.map_from_entries(first).alias("extras"))
+    return rows.select(*rest, *out, extras.alias("extras"))
 
 
 def read_texts(spark: SparkSession, root: str, extension: str, max_bytes: int = MAX_WHOLE_FILE) -> DataFrame:
