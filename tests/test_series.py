@@ -195,3 +195,11 @@ def test_upsample_nearest_fill_against_pandas(spark, probe):
     got = asof.interpolate_linear(left, right, "ts", ["k"], ["p", "q", "r"], 48_000, 10_000, probe)
     got = fill.bffill(got, ["k"], ["i"], ["x", "p", "q", "r"], probe)
     same(got.toPandas(), pd.concat(expected), ["k", "i"])
+
+
+def test_densify_long_range_of_milliseconds(spark, monkeypatch):
+    monkeypatch.setattr(fill, "CHUNK_STEPS", 7)
+    df = spark.range(0, 1000, 30).selectExpr("timestamp_micros(id * 48000) AS t", "double(id) AS v")
+    got = fill.densify(df, [], "t", 48_000)
+    assert got.count() == 991 and got.where("v is not null").count() == 34
+    assert got.select("t").distinct().count() == 991

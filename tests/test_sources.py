@@ -221,3 +221,15 @@ def test_factor_tables(spark, tmp_path):
     b.write_text('"year.from" "doy.from" "year.to" "doy.to" "factor.from" "factor.to"\n1997 10 1997.2 60 2.0 x\n')
     with pytest.raises(Exception, match="not a number"):
         lookup.daily_factors(factors.read_segments(spark, str(b), " "), "co2").collect()
+
+
+def test_long_text_series_continue_in_numbered_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "MAX_TEXT_ROWS", 4)
+    df = spark.range(10).selectExpr("'f' AS file_id", "id AS row_idx", "timestamp_ntz'2000-01-01 00:00:00' AS start_ts", "double(id) AS x")
+    sinks.write_series(df, str(tmp_path / "o"), "csv", units={"x": "[m]"})
+    found = {p.parent.name: gzip.decompress(p.read_bytes()).decode().split() for p in (tmp_path / "o").glob("*/*.csv.gz")}
+    assert found == {
+        "start_id=200001010000": ["x", "[m]", "0.0", "1.0", "2.0", "3.0"],
+        "start_id=200001010000_1": ["x", "[m]", "4.0", "5.0", "6.0", "7.0"],
+        "start_id=200001010000_2": ["x", "[m]", "8.0", "9.0"],
+    }

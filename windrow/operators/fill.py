@@ -7,12 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windrow.functions.clock import axis_micros, from_micros, micros
 from windrow.operators.hot import MIN_HOT_ROWS, Blocked, attach, cut_series
 from windrow.presets import PERIOD_PS
 
 BEFORE = Window.unboundedPreceding
+DAY_US = 86_400_000_000
+CHUNK_STEPS = 100_000
 
 
 @dataclass(frozen=True)
@@ -130,11 +133,26 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return df.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
 
 
-def densify(df: DataFrame, by: Sequence[str], on: str, step: str = "interval 1 day") -> DataFrame:
+def densify(df: DataFrame, by: Sequence[str], on: str, step_us: int = DAY_US) -> DataFrame:
     """One row per step between the first and the last ``on`` of each key, NULLs in the new rows.
 
-    ``df`` holds one row per key and step already, such as a daily sum.
+    ``on`` is a date or a timestamp on the grid; ``df`` holds one row per key and step already, such as a daily sum.
+    Long ranges are cut into chunks that spread over tasks before their steps are written out.
     """
-    ends = df.groupBy(*by).agg(F.min(on).alias("_first"), F.max(on).alias("_last")).where("_first is not null")
-    steps = ends.select(*by, F.explode(F.sequence("_first", "_last", F.expr(step))).alias(on))
-    return steps.join(df, [*by, on], "left").select(*df.columns)
+    by = list(by)
+    kind = df.schema[on].dataType
+    if isinstance(kind, T.DateType):
+        step, position = max(1, step_us // DAY_US), F.unix_date(F.col(on)).cast("bigint")
+        back = F.date_from_unix_date(F.col("_step").cast("int"))
+    else:
+        step, position = step_us, micros(F.col(on))
+        back = F.timestamp_micros("_step").cast(kind)
+    ends = df.groupBy(*by).agg(F.min(position).alias("_first"), F.max(position).alias("_last"))
+    width = F.lit(step * CHUNK_STEPS).cast("bigint")
+    chunks = ends.where("_first is not null").select(
+        *by, "_last", F.explode(F.sequence("_first", "_last", width)).alias("_chunk")
+    )
+    spread = chunks.repartition(*by, "_chunk")
+    until = F.least(F.col("_last"), F.col("_chunk") + width - F.lit(step))
+    steps = spread.select(*by, F.explode(F.sequence("_chunk", until, F.lit(step).cast("bigint"))).alias("_step"))
+    return steps.withColumn(on, back).join(df, [*by, on], "left").select(*df.columns)

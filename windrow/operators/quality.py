@@ -22,7 +22,7 @@ def daily_sizes(df: DataFrame, date: str, bytes_cols: Sequence[str], out: str =
 
 
 def densify_days(daily: DataFrame, date: str = "date") -> DataFrame:
-    return densify(daily, (), date, "interval 1 day")
+    return densify(daily, (), date)
 
 
 def availability_matrix(daily: DataFrame, date: str = "date", measure: str = "mb") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow import presets
-from windrow.functions.clock import timestamp_from_text
+from windrow.functions.clock import file_time, timestamp_from_text
 from windrow.operators import columns, fill, lookup, quality, stats
 from windrow.operators.asof import interpolate_linear
 from windrow.operators.hot import MIN_HOT_ROWS, settle
@@ -34,7 +34,6 @@ def prepare_slow(aux: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
 def convert_series(
     raw: DataFrame,
     slow: DataFrame,
-    eras: DataFrame | None = None,
     slow_cols: Sequence[str] = SLOW,
     late_decode: bool = False,
     on_missing: str = "keep",
@@ -45,18 +44,15 @@ def convert_series(
 ) -> DataFrame:
     """Fast rows on their exact time axis with slow columns, gaps filled, gases calibrated.
 
-    ``raw`` has file_id, start_ts, row_idx and the six measured columns as read; ``slow`` has file_id, ts and its
-    values. All work on the fast side after the first shuffle by file stays in that partitioning. ``late_decode``
+    ``raw`` has file_id, start_ts, row_idx, the six measured columns as read and, if its files are not those of the
+    preset eras, co2_mult and h2o_mult; ``slow`` has file_id, ts and its values. All work on the fast side after the first shuffle by file stays in that partitioning. ``late_decode``
     treats -9999 as a number until calibration, as older outputs did.
     """
     slow_cols = list(slow_cols)
     min_hot_rows = settle(min_hot_rows, ["file_id"], raw, slow)
     timed = fill.assign_time_axis(raw, period_ps=period_ps)
     if "co2_mult" not in timed.columns:
-        table = eras if eras is not None else lookup.era_table(raw.sparkSession)
-        timed = lookup.lookup_by_interval(
-            timed, table, "start_ts", "after", "until", "(]", {"co2_mult": 1.0, "h2o_mult": 1.0}
-        )
+        timed = with_era(timed)
     if not late_decode:
         timed = columns.decode_missing(timed, FAST)
         slow = columns.decode_missing(slow, slow_cols)
@@ -72,27 +68,44 @@ def convert_series(
     return columns.with_units(calibrated, {c: UNITS[c] for c in measured})
 
 
+def with_era(files_df: DataFrame) -> DataFrame:
+    """Files with the amplifier multipliers of their start time."""
+    defaults = {"co2_mult": 1.0, "h2o_mult": 1.0}
+    eras = lookup.era_table(files_df.sparkSession)
+    return lookup.lookup_by_interval(files_df, eras, "start_ts", "after", "until", "(]", defaults)
+
+
+def _named(df: DataFrame) -> DataFrame:
+    stem = files.stem(files.basename(F.col("path")))
+    return df.withColumn("file_id", files.file_id_of(stem))
+
+
+def _started(df: DataFrame) -> DataFrame:
+    return with_era(_named(df).withColumn("start_ts", file_time(F.col("file_id"))))
+
+
 def read_pairs(
     spark: SparkSession, root: str, max_bytes: int = files.MAX_WHOLE_FILE
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs below ``root``, their fast rows and their slow rows, values as read."""
-    pairs = files.discover_pairs(spark, root).where("start_ts is not null")
-    with_eras = lookup.lookup_by_interval(
-        pairs, lookup.era_table(spark), "start_ts", "after", "until", "(]", {"co2_mult": 1.0, "h2o_mult": 1.0}
-    )
-    raw_files = with_eras.select(
-        "file_id", "start_ts", "co2_mult", "h2o_mult", F.col("raw_path").alias("path"), F.col("raw_len").alias("length")
-    )
-    aux_files = pairs.select("file_id", F.col("aux_path").alias("path"), F.col("aux_len").alias("length"))
-    raw = files.read_rows(
-        spark, root, "raw", raw_files, presets.RAW_COLUMNS, helpers=presets.RAW_HELPERS, max_bytes=max_bytes,
-        **presets.RAW_LAYOUT,
-    )
-    aux = files.read_rows(spark, root, "aux", aux_files, AUX_MAPPING, max_bytes=max_bytes, **presets.AUX_LAYOUT)
+) -> tuple[DataFrame, DataFrame, bool]:
+    """Fast rows and slow rows of all pairs below ``root``, values as read, and whether a file was read in splits."""
+    pairs = files.discover_pairs(spark, root)
+    sides = {}
+    for side, describe, mapping, helpers, layout in (
+        ("raw", _started, presets.RAW_COLUMNS, presets.RAW_HELPERS, presets.RAW_LAYOUT),
+        ("aux", _named, AUX_MAPPING, (), presets.AUX_LAYOUT),
+    ):
+        # One path per file above the limit: at most the size of the folder over that limit.
+        large = pairs.where(F.col(f"{side}_len") > max_bytes).select(f"{side}_path").collect()
+        listed = files.list_files(spark, root, side)
+        sides[side] = large, files.read_rows(
+            spark, root, side, describe, mapping, helpers=helpers, max_bytes=max_bytes, large=[r[0] for r in large],
+            unwanted=files.unpaired(listed, pairs, f"{side}_path"), **layout,
+        )
+    (large_raw, raw), (large_aux, aux) = sides["raw"], sides["aux"]
     return (
-        pairs,
         files.canonical_columns(raw, (), FAST),
         files.canonical_columns(aux, ("Date", "Time"), (*SLOW, "Xa", "Rhoa")),
+        bool(large_raw or large_aux),
     )
 
 
@@ -102,10 +115,9 @@ def convert_pairs(spark: SparkSession, root: str, max_bytes: int = files.MAX_WHO
     As long as every file is read whole, a file bounds its own group and no probe for oversized groups is run.
     """
     pin(spark)
-    pairs, raw, aux = read_pairs(spark, root, max_bytes)
-    large = pairs.where(F.greatest("raw_len", "aux_len") > max_bytes).limit(1).count()
-    options.setdefault("min_hot_rows", MIN_HOT_ROWS if large else 0)
-    return convert_series(raw, prepare_slow(aux, options["min_hot_rows"]), **options)
+    raw, aux, split = read_pairs(spark, root, max_bytes)
+    limit = options.pop("min_hot_rows", MIN_HOT_ROWS if split else 0)
+    return convert_series(raw, prepare_slow(aux, limit), min_hot_rows=limit, **options)
 
 
 def run_batch(spark: SparkSession, indir: str, outdir: str, csv: bool = False, **options) -> DataFrame:
@@ -121,7 +133,7 @@ def run_batch(spark: SparkSession, indir: str, outdir: str, csv: bool = False, *
         text = series.select("start_ts", "row_idx", "ts", *units)
         sinks.write_series(text, f"{outdir}/series_csv", "csv", units=units, drop_ts=True)
     sinks.write_units(converted, units, f"{outdir}/units")
-    pairs = files.discover_pairs(spark, indir).where("start_ts is not null")
+    pairs = files.discover_pairs(spark, indir)
     wide = stats.summarize(series, ["start_ts"], list(units), groups=pairs)
     sinks.write_stats(wide, f"{outdir}/stats")
     manifest = quality.file_manifest(series, malformed="malformed")

@@ -535,10 +535,8 @@ def played_series(spark, sf, limit):
         lines.select("file_id").distinct().withColumn("header", files.header_cells(F.lit(n), F.lit(u)))
         for lines, n, u in zip((fast_lines, slow_lines), names, units)
     )
-    started = fast_files.withColumn("start_ts", clock.file_time(F.col("file_id")))
-    defaults = {"co2_mult": 1.0, "h2o_mult": 1.0}
-    eras = lookup.lookup_by_interval(started, lookup.era_table(spark), "start_ts", "after", "until", "(]", defaults)
-    fast_places = files.locate_columns(eras, presets.RAW_COLUMNS, presets.RAW_HELPERS)
+    started = convert.with_era(fast_files.withColumn("start_ts", clock.file_time(F.col("file_id"))))
+    fast_places = files.locate_columns(started, presets.RAW_COLUMNS, presets.RAW_HELPERS)
     slow_places = files.locate_columns(slow_files, convert.AUX_MAPPING)
     fast = files.as_cells(fast_lines.join(bounded_broadcast(fast_places), "file_id"))
     slow = files.as_cells(slow_lines.join(bounded_broadcast(slow_places), "file_id"))

@@ -7,7 +7,7 @@ Files above ``MAX_WHOLE_FILE`` are read line by line in splits instead, see ``sp
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,11 +40,8 @@ def stem(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
 
-def discover_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
-    """Files below ``root`` as (name, stem, path, length). Only the listing is read, not the content.
-
-    Of several files with one name the one with the last path counts.
-    """
+def list_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
+    """All files below ``root`` as (name, stem, path, length). Only the listing is read, not the content."""
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -53,7 +50,12 @@ def discover_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
         .select(same_path(F.col("path")).alias("path"), "length")
     )
     named = listed.withColumn("name", basename(F.col("path"))).withColumn("stem", stem(F.col("name")))
-    return dedupe_last(named, ["name"], ["path"]).select("name", "stem", "path", "length")
+    return named.select("name", "stem", "path", "length")
+
+
+def discover_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
+    """The listing without doubles: of several files with one name the one with the last path counts."""
+    return dedupe_last(list_files(spark, root, extension), ["stem"], ["path"])
 
 
 def pair_files(left: DataFrame, right: DataFrame, key: str = "stem") -> DataFrame:
@@ -62,24 +64,34 @@ def pair_files(left: DataFrame, right: DataFrame, key: str = "stem") -> DataFram
 
 
 def discover_pairs(spark: SparkSession, root: str, raw: str = "raw", aux: str = "aux") -> DataFrame:
-    """File pairs with their start time, as (file_id, start_ts, raw_path, aux_path, raw_len, aux_len)."""
+    """File pairs with their start time, as (file_id, start_ts, raw_path, aux_path, raw_len, aux_len).
+
+    Files whose names hold no start time drop out.
+    """
     sides = [
         discover_files(spark, root, ext).select(
-            "stem", F.col("name").alias(f"{side}_name"), F.col("path").alias(f"{side}_path"),
-            F.col("length").alias(f"{side}_len"),
+            "stem", F.col("path").alias(f"{side}_path"), F.col("length").alias(f"{side}_len")
         )
         for side, ext in (("raw", raw), ("aux", aux))
     ]
-    return pair_files(*sides).select(
-        F.col("raw_name").alias("file_id"),
-        file_time(F.col("raw_name"), presets.YEAR_PIVOT).alias("start_ts"),
-        "raw_path",
-        "aux_path",
-        "raw_len",
-        "aux_len",
+    paired = pair_files(*sides)
+    named = paired.withColumn("file_id", file_id_of(F.col("stem"), raw))
+    timed = named.withColumn("start_ts", file_time(F.col("file_id"), presets.YEAR_PIVOT))
+    return timed.where("start_ts is not null").select(
+        "file_id", "start_ts", "raw_path", "aux_path", "raw_len", "aux_len"
     )
 
 
+def file_id_of(stem_text: Column, extension: str = "raw") -> Column:
+    """Name of the pair: that of its fast file."""
+    return F.concat(stem_text, F.lit(f".{extension}"))
+
+
+def unpaired(listed: DataFrame, pairs: DataFrame, path: str) -> DataFrame:
+    """Listed files that no pair uses: without partner, without start time, or superseded by a file of that name."""
+    return listed.select("path").join(pairs.select(F.col(path).alias("path")), "path", "left_anti")
+
+
 def clean_text(text: Column) -> Column:
     """Text without NUL bytes."""
     return F.replace(text, F.lit(NUL), F.lit(""))
@@ -257,8 +269,8 @@ def split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def large_file_rows(
     spark: SparkSession,
-    files: DataFrame,
-    paths: list[str],
+    paths: Sequence[str],
+    describe: Callable[[DataFrame], DataFrame],
     mapping: Mapping[tuple[str, str], tuple[str, str]],
     helpers: tuple[str, ...],
     skip: int,
@@ -266,7 +278,7 @@ def large_file_rows(
     sep: str,
 ) -> DataFrame:
     """What ``explode_rows`` gives, for files too large to be one row."""
-    lines = split_lines(spark, paths).withColumn("line", clean_text(F.col("line")))
+    lines = split_lines(spark, list(paths)).withColumn("line", clean_text(F.col("line")))
     body = lines.where((F.col("line_no") >= skip + header_rows) & is_data(F.col("line"), sep))
     heads = lines.where((F.col("line_no") >= skip) & (F.col("line_no") < skip + header_rows))
     header = heads.groupBy("path").agg(
@@ -274,10 +286,9 @@ def large_file_rows(
         F.max(F.when(F.col("line_no") == skip + 1, F.col("line"))).alias("_u"),
     )
     widths = body.groupBy("path").agg(F.size(F.split(F.min_by("line", "line_no"), sep)).alias("_width"))
-    described = files.join(header, "path").join(widths, "path")
     named = header_cells(repair_mu(F.col("_n")), repair_mu(F.coalesce("_u", F.lit(""))), sep)
-    described = described.withColumn("header", widen_header(named, F.col("_width"))).drop("_n", "_u", "_width")
-    located = locate_columns(described, mapping, helpers)
+    files = header.join(widths, "path").withColumn("header", widen_header(named, F.col("_width")))
+    located = locate_columns(describe(files.select("path", "header")), mapping, helpers)
     numbered = row_index(body, ["path"], ["line_no"])
     return as_cells(numbered.join(bounded_broadcast(located), "path").drop("line_no"), sep)
 
@@ -286,21 +297,27 @@ def read_rows(
     spark: SparkSession,
     root: str,
     extension: str,
-    files: DataFrame,
+    describe: Callable[[DataFrame], DataFrame],
     mapping: Mapping[tuple[str, str], tuple[str, str]],
     skip: int,
     header_rows: int = 2,
     helpers: tuple[str, ...] = (),
     sep: str = "\t",
+    unwanted: DataFrame | None = None,
+    large: Sequence[str] = (),
     max_bytes: int = MAX_WHOLE_FILE,
 ) -> DataFrame:
-    """Rows of the listed ``files``, a DataFrame of (path, length, any columns to keep)."""
-    known = files.withColumn("path", same_path(F.col("path")))
-    texts = read_texts(spark, root, extension, max_bytes).join(bounded_broadcast(known.drop("length")), "path")
-    located = locate_columns(read_header(texts, "text", skip, header_rows, sep), mapping, helpers)
+    """Rows of the files below ``root`` except the paths in ``unwanted``.
+
+    ``describe`` adds what a file's name tells to a DataFrame with ``path``. Unwanted files are the few, so theirs is
+    the list that gets joined: the texts themselves are never shuffled. ``large`` lists the wanted files above
+    ``max_bytes``.
+    """
+    texts = read_texts(spark, root, extension, max_bytes)
+    if unwanted is not None:
+        texts = texts.join(bounded_broadcast(unwanted), "path", "left_anti")
+    located = locate_columns(describe(read_header(texts, "text", skip, header_rows, sep)), mapping, helpers)
     rows = explode_rows(located, sep)
-    large = [r.path for r in known.where(F.col("length") > max_bytes).select("path").collect()]
     if large:
-        rest = large_file_rows(spark, known.drop("length"), large, mapping, helpers, skip, header_rows, sep)
-        rows = rows.unionByName(rest)
+        rows = rows.unionByName(large_file_rows(spark, large, describe, mapping, helpers, skip, header_rows, sep))
     return rows.drop("path")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from windrow.functions.clock import label
 from windrow.operators.columns import encode_missing
-from windrow.operators.stats import STATS
+
+MAX_TEXT_ROWS = 5_000_000
 
 
 def _doubles(df: DataFrame) -> list[str]:
@@ -30,6 +31,7 @@ def write_series(
 
     ``parquet`` keeps NULLs and one folder per day of ``ts``; days are balanced over tasks by size. ``csv`` writes
     gzip text with one folder per file start, missing values as -9999 and, given ``units``, a second header line.
+    A file start with more than ``MAX_TEXT_ROWS`` rows continues in folders numbered ``_1``, ``_2``, ...
     """
     if fmt == "parquet":
         dated = df.withColumn("date", F.to_date(ts))
@@ -40,8 +42,10 @@ def write_series(
     data = [c for c in df.columns if c not in ("file_id", "row_idx", start) and not (drop_ts and c == ts)]
     simple = [c for c in data if not dict(df.dtypes)[c].startswith(("map", "array", "struct"))]
     encoded = encode_missing(df, [c for c in _doubles(df) if c in simple])
+    part = F.floor(F.col("row_idx") / MAX_TEXT_ROWS)
+    name = F.when(part > 0, F.concat_ws("_", label(F.col(start)), part.cast("string"))).otherwise(label(F.col(start)))
     rows = encoded.select(
-        label(F.col(start)).alias("start_id"), F.col("row_idx").alias("_row"), *[F.col(c).cast("string") for c in simple]
+        name.alias("start_id"), F.col("row_idx").alias("_row"), *[F.col(c).cast("string") for c in simple]
     )
     if units is not None:
         second = rows.select("start_id").distinct().select(
@@ -67,8 +71,3 @@ def write_stats(
     if first.limit(single_file_rows + 1).count() <= single_file_rows:
         ordered = ordered.coalesce(1)
     ordered.write.mode(mode).csv(path, header=True)
-
-
-def stats_columns(cols, units: Mapping[str, str]) -> dict[str, str]:
-    """Names of the wide statistics with the unit in them."""
-    return {f"{c}__{s}": f"{c} {units.get(c, '[-]')} {s}" for c in cols for s in STATS}
