@@ -154,11 +154,11 @@ def test_discovery_and_pairing(spark, folder, tmp_path):
     assert [(f.name, f.length) for f in found] == [("X970101_00.RAW", 2)]
 
 
-@pytest.mark.parametrize("max_bytes", [files.MAX_WHOLE_FILE, 30_000, 10])
-def test_conversion(spark, folder, max_bytes):
-    """Whole-file and split reading give what pandas gives."""
+@pytest.mark.parametrize("max_bytes, limit", [(files.MAX_WHOLE_FILE, {}), (30_000, {}), (10, {"min_hot_rows": 100})])
+def test_conversion(spark, folder, max_bytes, limit):
+    """Whole-file reading, split reading and series cut into blocks give what pandas gives."""
     root, made = folder
-    got = convert.convert_pairs(spark, str(root), max_bytes).toPandas()
+    got = convert.convert_pairs(spark, str(root), max_bytes, **limit).toPandas()
     assert len(got) == sum(map(len, made.values()))
     for name, expected in made.items():
         part = got[got.file_id == name].sort_values("row_idx").set_index("ts")

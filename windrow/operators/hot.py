@@ -67,7 +67,8 @@ def sortable_double(df: DataFrame, name: str) -> Column:
 def hot_keys(df: DataFrame, by: Sequence[str], min_rows: int, max_keys: int | None) -> tuple[DataFrame, int, int] | None:
     """Keys with too many rows, the row limit used and the largest row count; None if there are none.
 
-    With ``max_keys`` the limit also grows with the table, so at most that many keys can exceed it.
+    With ``max_keys`` the limit also grows with the table, so at most that many keys can exceed it; being that few,
+    they are kept as a local table.
     """
     total = df.count()
     if total <= min_rows:
@@ -77,7 +78,10 @@ def hot_keys(df: DataFrame, by: Sequence[str], min_rows: int, max_keys: int | No
     largest = counts.agg(F.max("_rows")).first()[0]
     if largest <= limit:
         return None
-    return counts.where(F.col("_rows") > limit).select(*by), limit, largest
+    keys = counts.where(F.col("_rows") > limit).select(*by)
+    if max_keys and by:
+        keys = df.sparkSession.createDataFrame(keys.collect(), keys.schema)
+    return keys, limit, largest
 
 
 def settle(min_rows: int, by: Sequence[str], *tables: DataFrame) -> int:

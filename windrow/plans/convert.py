@@ -12,7 +12,7 @@ from windrow.functions.clock import file_time, timestamp_from_text
 from windrow.operators import columns, fill, lookup, quality, stats
 from windrow.operators.asof import interpolate_linear
 from windrow.operators.hot import MIN_HOT_ROWS, settle
-from windrow.session import pin
+from windrow.session import checkpointed, pin
 from windrow.sources import files, sinks
 
 FAST = ("U", "V", "W", "T_SONIC", "CO2", "H2O")
@@ -57,10 +57,15 @@ def convert_series(
         timed = columns.decode_missing(timed, FAST)
         slow = columns.decode_missing(slow, slow_cols)
     converted = columns.convert_units(timed).drop("co2_mult", "h2o_mult")
+    if min_hot_rows:
+        # Cut series are read again for what crosses their blocks; keep that from repeating all steps before.
+        converted, slow = checkpointed(converted), checkpointed(slow)
     merged = interpolate_linear(
         converted, slow, "ts", ["file_id"], slow_cols, tolerance_us, grid_us, min_hot_rows
     )
     measured = [*FAST, *slow_cols]
+    if min_hot_rows:
+        merged = checkpointed(merged)
     filled = fill.bffill(merged, ["file_id"], ["row_idx"], measured, min_hot_rows)
     if late_decode:
         filled = columns.decode_missing(filled, measured)

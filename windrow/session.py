@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,22 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is named, a folder of its own is used in local mode only (tests).
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="windrow-checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Mark ``df`` for broadcast when a count shows at most ``max_rows`` rows, else leave the choice to Spark."""
     rows = df.select(F.lit(1)).limit(max_rows + 1).count()
