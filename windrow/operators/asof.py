@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from windrow.functions.clock import micros, snap
 from windrow.functions.numeric import lerp
 from windrow.operators.fill import Carry, carry
-from windrow.operators.hot import MIN_HOT_ROWS, cut_series, settle
+from windrow.operators.hot import MIN_HOT_ROWS, Cut, apply_cut, plan_cut
 
 LEFT, RIGHT, SENTINEL = 2, 1, 0
 BEGINNING = -(2**62)
@@ -28,6 +28,14 @@ def _known_keys(by: Sequence[str]) -> Column:
     return condition
 
 
+def _plan(left: DataFrame, points: DataFrame, on: str, by: Sequence[str], min_hot_rows: int) -> Cut | None:
+    """One cut for both sides, so that a block holds the left and right rows of the same time."""
+    if not min_hot_rows:
+        return None
+    times = left.select(*by, micros(F.col(on)).alias("_k")).unionByName(points.select(*by, "_k"))
+    return plan_cut(times, by, min_hot_rows)
+
+
 def _with_lead_in(df: DataFrame, by: Sequence[str], row: dict[str, Column], first: dict[str, Column]) -> DataFrame:
     """Right rows with the columns ``row``, and one more with ``first`` ahead of the earliest row of each key.
 
@@ -62,15 +70,15 @@ def asof_join(
     if direction not in ("nearest", "backward", "forward"):
         raise ValueError(f"unknown direction {direction!r}")
     by = list(by)
-    min_hot_rows = settle(min_hot_rows, by, left, right)
     points = right.where(_known_keys(by) & F.col(on).isNotNull()).select(
         *by, micros(F.col(on)).alias("_k"), F.struct(micros(F.col(on)).alias("t"), *cols).alias("_cur")
     )
+    cut = _plan(left, points, on, by, min_hot_rows)
     if direction == "backward":
         marks = points.withColumns({"_side": F.lit(RIGHT), "_mark": F.struct("_cur")})
     else:
         following = carry(
-            cut_series(points, by, ["_k"], min_hot_rows),
+            apply_cut(points, by, F.col("_k").cast("double"), cut),
             ["_k"],
             [
                 Carry("_next", F.col("_cur"), backward=True, strict=True),
@@ -87,7 +95,7 @@ def asof_join(
     rows = left.withColumns({"_k": micros(F.col(on)), "_side": F.lit(LEFT)})
     union = rows.unionByName(marks.select(*by, "_k", "_side", "_mark"), allowMissingColumns=True)
     picked = carry(
-        cut_series(union, by, ["_k", "_side"], min_hot_rows), ["_k", "_side"], [Carry("_seen", F.col("_mark"))]
+        apply_cut(union, by, F.col("_k").cast("double"), cut), ["_k", "_side"], [Carry("_seen", F.col("_mark"))]
     ).where(F.col("_side") == LEFT)
 
     before = F.col("_seen._cur")
@@ -132,16 +140,16 @@ def interpolate_linear(
     multiples of it.
     """
     by = list(by)
-    min_hot_rows = settle(min_hot_rows, by, left, right)
     points = right.where(_known_keys(by) & F.col(on).isNotNull()).select(*by, micros(F.col(on)).alias("_k"), *cols)
     names = {c: f"_p_{c}" for c in cols}
+    cut = _plan(left, points, on, by, min_hot_rows)
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("_k").alias("t"), F.col(c).alias("v"))) for c in cols}
     ahead = [Carry(f"_ahead_{c}", known[c], backward=True, strict=True) for c in cols]
     ahead += [
         Carry("_ahead", F.col("_k"), backward=True, strict=True),
         Carry("_earlier", F.col("_k"), strict=True),
     ]
-    following = carry(cut_series(points, by, ["_k"], min_hot_rows), ["_k"], ahead)
+    following = carry(apply_cut(points, by, F.col("_k").cast("double"), cut), ["_k"], ahead)
 
     def segment(c: str, to_time: Column, to_value: Column) -> Column:
         line = F.struct(F.col("_k").alias("t0"), F.col(c).alias("v0"), to_time.alias("t1"), to_value.alias("v1"))
@@ -161,7 +169,7 @@ def interpolate_linear(
     rows = left.withColumns({"_us": us, "_k": snap(us, grid_us) if grid_us else us, "_side": F.lit(LEFT)})
     union = rows.unionByName(marks, allowMissingColumns=True)
     seen = [Carry(f"_s{n}", F.col(n)) for n in names.values()] + [Carry("_seen_edge", F.col("_edge"))]
-    picked = carry(cut_series(union, by, ["_k", "_side"], min_hot_rows), ["_k", "_side"], seen).where(
+    picked = carry(apply_cut(union, by, F.col("_k").cast("double"), cut), ["_k", "_side"], seen).where(
         F.col("_side") == LEFT
     )
     inside = F.col("_us").isNotNull()

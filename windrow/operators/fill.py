@@ -65,7 +65,8 @@ def carry(series: Blocked, order: Sequence[str], specs: Sequence[Carry]) -> Data
         frame = Window.partitionBy(*series.by).orderBy(*_ordering([block], spec.backward)).rowsBetween(BEFORE, -1)
         handed[f"_from_{spec.out}"] = F.last(spec.out, ignorenulls=True).over(frame)
     handed_over = per_block.withColumns(handed).select(*series.keys, *handed)
-    joined = attach(df.withColumns(windowed), handed_over, series.keys)
+    # At most ``MAX_BLOCKS`` rows, see ``plan_cut``.
+    joined = attach(df.withColumns(windowed), F.broadcast(handed_over), series.keys)
     filled = {spec.out: F.coalesce(F.col(spec.out), F.col(f"_from_{spec.out}")) for spec in specs}
     return joined.withColumns(filled).drop(*handed, block)
 
@@ -112,7 +113,7 @@ def row_index(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str =
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(*series.keys, F.sum("_rows").over(earlier).alias("_offset"))
     )
-    numbered = attach(series.df.withColumn(out, position), offsets, series.keys)
+    numbered = attach(series.df.withColumn(out, position), F.broadcast(offsets), series.keys)
     return numbered.withColumn(out, F.col(out) + F.coalesce("_offset", F.lit(0))).drop("_offset", block)
 
 

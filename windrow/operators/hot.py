@@ -23,6 +23,7 @@ BLOCK = "_block"
 MIN_HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 2_000
 MAX_SLICES = 4_096
+MAX_BLOCKS = 200_000
 
 
 @dataclass(frozen=True)
@@ -108,32 +109,51 @@ def with_slice(df: DataFrame, value: Column, borders: list[float], out: str) ->
     return bucketizer.transform(staged).withColumn(out, number).drop("_sliced", "_bucket")
 
 
-def cut_series(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    min_rows: int = MIN_HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> Blocked:
-    """Give every row a block number if some key of ``by`` is oversized.
+@dataclass(frozen=True)
+class Cut:
+    """Where to cut: the oversized keys (None for the whole table) and the borders between blocks."""
+
+    keys: DataFrame | None
+    borders: list[float]
+
+
+def plan_cut(
+    positions: DataFrame, by: Sequence[str], min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
+) -> Cut | None:
+    """Find oversized keys in a table of ``by`` and one more column, the position in the series.
 
-    Blocks follow the first column of ``order``. The probe is one row count, and one count per key on tables
-    above ``min_rows``; both read the key columns only. ``min_rows=0`` skips the probe for keys known to be small.
+    The probe is one row count, and one count per key on tables above ``min_rows``. ``min_rows=0`` skips it for keys
+    known to be small. None means that nothing needs to be cut.
     """
-    by = list(by)
-    found = hot_keys(df, by, min_rows, max_keys) if min_rows else None
+    found = hot_keys(positions, by, min_rows, max_keys) if min_rows else None
     if found is None:
-        return Blocked(df, by, False)
+        return None
     keys, limit, largest = found
-    slices = max(2, min(MAX_SLICES, math.ceil(2 * largest / limit)))
-    position = sortable_double(df, order[0])
+    (name,) = [c for c in positions.columns if c not in by]
+    hot_rows, n_hot = positions, 1
     if by:
         # At most ``max_keys`` rows: each hot key holds more than 1/max_keys of the table.
-        flagged = attach(df, F.broadcast(keys.withColumn("_hot", F.lit(True))), by)
-    else:
-        flagged = df.withColumn("_hot", F.lit(True))
-    hot_rows = flagged.where("_hot").select(position.alias("_position"))
-    borders = cut_points(hot_rows, "_position", slices)
-    sliced = with_slice(flagged, position, borders, "_slice")
+        keys = F.broadcast(keys.withColumn("_hot", F.lit(True)))
+        hot_rows, n_hot = attach(positions, keys, by).where("_hot"), keys.count()
+    slices = max(2, min(MAX_SLICES, MAX_BLOCKS // n_hot, math.ceil(2 * largest / limit)))
+    return Cut(keys if by else None, cut_points(hot_rows.select(F.col(name).cast("double")), name, slices))
+
+
+def apply_cut(df: DataFrame, by: Sequence[str], position: Column, cut: Cut | None) -> Blocked:
+    """Number the blocks of the oversized keys from 1; rows of other keys are in block 0."""
+    by = list(by)
+    if cut is None:
+        return Blocked(df, by, False)
+    flagged = df.withColumn("_hot", F.lit(True)) if cut.keys is None else attach(df, cut.keys, by)
+    sliced = with_slice(flagged, position, cut.borders, "_slice")
     block = F.when(F.col("_hot"), F.col("_slice") + 1).otherwise(0)
     return Blocked(sliced.withColumn(BLOCK, block).drop("_hot", "_slice"), by, True)
+
+
+def cut_series(df: DataFrame, by: Sequence[str], order: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> Blocked:
+    """Give every row a block number if some key of ``by`` is oversized; blocks follow the first column of ``order``."""
+    if not min_rows:
+        return Blocked(df, list(by), False)
+    position = sortable_double(df, order[0])
+    cut = plan_cut(df.select(*by, position.alias("_position")), by, min_rows)
+    return apply_cut(df, by, position, cut)
