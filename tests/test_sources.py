@@ -187,7 +187,10 @@ def test_batch(spark, folder, tmp_path):
     np.testing.assert_allclose(body["W"], first["W"], rtol=1e-9)
     stats_files = list((out / "stats").glob("*.csv"))
     assert len(stats_files) == 1
-    assert pd.read_csv(stats_files[0])["TIMESTAMP"].is_monotonic_increasing
+    written = pd.read_csv(stats_files[0])
+    assert written["TIMESTAMP"].is_monotonic_increasing
+    assert list(written.columns[1:4]) == ["CO2 [µmol/mol] count", "CO2 [µmol/mol] min", "CO2 [µmol/mol] max"]
+    assert written["W [m/s] mean"][0] == pytest.approx(first["W"].mean())
     manifest = spark.read.parquet(str(out / "manifest")).orderBy("file_id").collect()
     assert [(m.n_rows, m.start_label) for m in manifest] == [(700, "200501010000"), (700, "199701070700"), (700, "199810011000"), (700, "199906152300")]
     assert len(list((out / "series").glob("date=*"))) == 4
@@ -233,3 +236,30 @@ def test_long_text_series_continue_in_numbered_folders(spark, tmp_path, monkeypa
         "start_id=200001010000_1": ["x", "[m]", "4.0", "5.0", "6.0", "7.0"],
         "start_id=200001010000_2": ["x", "[m]", "8.0", "9.0"],
     }
+
+
+def one_file(spark, h2o):
+    raw = spark.createDataFrame(
+        [("f", i, 1.0, 1.0, 1.0, 16000.0, 1500.0, v) for i, v in enumerate(h2o)],
+        "file_id string, row_idx long, U double, V double, W double, T_SONIC double, CO2 double, H2O double",
+    ).withColumn("start_ts", F.lit("1997-01-01").cast("timestamp_ntz"))
+    slow = spark.createDataFrame([("f", 80.0, 80.0, 10.0, 35.0)], "file_id string, Pa double, Plic double, Ta double, Tlic double")
+    return raw, slow.withColumn("ts", F.lit("1997-01-01").cast("timestamp_ntz"))
+
+
+def test_markers_decoded_early_or_late(spark):
+    raw, slow = one_file(spark, [500.0, -9999.0, 250.0])
+
+    def h2o(**options):
+        return [r.H2O for r in convert.convert_series(raw, slow, **options).orderBy("row_idx").collect()]
+
+    early, late = h2o(), h2o(late_decode=True)
+    assert early[1] == early[2] and early[0] == late[0] == pytest.approx(6.0765112, rel=1e-6)
+    assert late[1] is None
+
+
+def test_dated_factors_come_last(spark):
+    raw, slow = one_file(spark, [500.0])
+    factors_df = spark.createDataFrame([(dt.date(1997, 1, 1), 2.0, 3.0)], "date date, co2_factor double, h2o_factor double")
+    row = convert.convert_series(raw, slow, factors=factors_df).first()
+    assert (row.CO2, row.H2O) == (pytest.approx(2 * 395.1143264114937), pytest.approx(3 * 6.076511221065185))

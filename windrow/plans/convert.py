@@ -37,6 +37,7 @@ def convert_series(
     slow_cols: Sequence[str] = SLOW,
     late_decode: bool = False,
     on_missing: str = "keep",
+    factors: DataFrame | None = None,
     period_ps: int = presets.PERIOD_PS,
     tolerance_us: int | None = presets.TOLERANCE_US,
     grid_us: int | None = presets.GRID_US,
@@ -46,7 +47,8 @@ def convert_series(
 
     ``raw`` has file_id, start_ts, row_idx, the six measured columns as read and, if its files are not those of the
     preset eras, co2_mult and h2o_mult; ``slow`` has file_id, ts and its values. All work on the fast side after the first shuffle by file stays in that partitioning. ``late_decode``
-    treats -9999 as a number until calibration, as older outputs did.
+    treats -9999 as a number until calibration, as older outputs did. ``factors`` (date, co2_factor, h2o_factor) are
+    applied last, by the start day of the file.
     """
     slow_cols = list(slow_cols)
     min_hot_rows = settle(min_hot_rows, ["file_id"], raw, slow)
@@ -70,6 +72,10 @@ def convert_series(
     if late_decode:
         filled = columns.decode_missing(filled, measured)
     calibrated = columns.calibrate_gas(filled, on_missing=on_missing)
+    if factors is not None:
+        dated = calibrated.withColumn("_day", F.to_date("start_ts"))
+        gases = {"CO2": "co2_factor", "H2O": "h2o_factor"}
+        calibrated = lookup.apply_dated_factor(dated, factors, "_day", gases).drop("_day")
     return columns.with_units(calibrated, {c: UNITS[c] for c in measured})
 
 
@@ -139,8 +145,8 @@ def run_batch(spark: SparkSession, indir: str, outdir: str, csv: bool = False, *
         sinks.write_series(text, f"{outdir}/series_csv", "csv", units=units, drop_ts=True)
     sinks.write_units(converted, units, f"{outdir}/units")
     pairs = files.discover_pairs(spark, indir)
-    wide = stats.summarize(series, ["start_ts"], list(units), groups=pairs)
-    sinks.write_stats(wide, f"{outdir}/stats")
+    wide = stats.summarize(series, ["start_ts"], sorted(units), groups=pairs)
+    sinks.write_stats(wide, f"{outdir}/stats", units=units)
     manifest = quality.file_manifest(series, malformed="malformed")
     pairs.join(manifest, "file_id", "left").write.parquet(f"{outdir}/manifest")
     return wide

@@ -18,7 +18,7 @@ from windrow.functions.numeric import to_number
 from windrow.operators.fill import dedupe_last, row_index
 from windrow.session import bounded_broadcast
 
-MAX_WHOLE_FILE = 256 * 1024 * 1024
+MAX_WHOLE_FILE = 64 * 1024 * 1024
 NUL = "\x00"
 
 

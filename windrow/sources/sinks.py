@@ -63,10 +63,25 @@ def write_units(df: DataFrame, units: Mapping[str, str], path: str, mode: str =
 
 
 def write_stats(
-    wide: DataFrame, path: str, time: str = "start_ts", mode: str = "errorifexists", single_file_rows: int = 500_000
+    wide: DataFrame,
+    path: str,
+    time: str = "start_ts",
+    units: Mapping[str, str] | None = None,
+    mode: str = "errorifexists",
+    single_file_rows: int = 500_000,
 ) -> None:
-    """One row per file, oldest first; a single text file up to ``single_file_rows`` rows, ordered parts beyond."""
-    first = wide.select(F.col(time).alias("TIMESTAMP"), *[c for c in wide.columns if c != time])
+    """One row per file, oldest first; a single text file up to ``single_file_rows`` rows, ordered parts beyond.
+
+    Given ``units``, columns are titled with name, unit and statistic.
+    """
+
+    def title(column: str) -> str:
+        variable, _, stat = column.partition("__")
+        return f"{variable} {units[variable]} {stat}" if units and variable in units else column
+
+    first = wide.select(
+        F.col(time).alias("TIMESTAMP"), *[F.col(c).alias(title(c)) for c in wide.columns if c != time]
+    )
     ordered = first.orderBy("TIMESTAMP")
     if first.limit(single_file_rows + 1).count() <= single_file_rows:
         ordered = ordered.coalesce(1)
