@@ -193,6 +193,9 @@ def test_batch(spark, folder, tmp_path):
     assert written["W [m/s] mean"][0] == pytest.approx(first["W"].mean())
     manifest = spark.read.parquet(str(out / "manifest")).orderBy("file_id").collect()
     assert [(m.n_rows, m.start_label) for m in manifest] == [(700, "200501010000"), (700, "199701070700"), (700, "199810011000"), (700, "199906152300")]
+    assert [(m.co2_mult, m.h2o_mult, m.n_calibrated, m.n_ambiguous) for m in manifest] == [
+        (1.0, 0.335, 700, 0), (1.0, 1.0, 700, 0), (0.33425, 0.335, 700, 0), (1.0, 0.335, 700, 0),
+    ]
     assert len(list((out / "series").glob("date=*"))) == 4
 
 

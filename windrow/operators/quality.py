@@ -59,8 +59,10 @@ def profile_columns(df: DataFrame, cols: Sequence[str], units: Mapping[str, str]
     return counted.select(F.inline(rows)).withColumn("state", state)
 
 
-def file_manifest(rows: DataFrame, by: str = "file_id", ts: str = "ts", malformed: str | None = None) -> DataFrame:
-    """Rows, time span and start label of every file."""
+def file_manifest(
+    rows: DataFrame, by: str = "file_id", ts: str = "ts", malformed: str | None = None, flags: Sequence[str] = ()
+) -> DataFrame:
+    """Rows, time span and start label of every file, and in how many rows each flag is set."""
     bad = F.count_if(F.col(malformed)) if malformed else F.lit(0).cast("bigint")
     return (
         rows.groupBy(by)
@@ -68,7 +70,8 @@ def file_manifest(rows: DataFrame, by: str = "file_id", ts: str = "ts", malforme
             F.count(F.lit(1)).alias("n_rows"),
             F.min(ts).alias("first_ts"),
             F.max(ts).alias("last_ts"),
-            (F.max(bad) if not malformed else bad).alias("n_malformed"),
+            bad.alias("n_malformed"),
+            *[F.count_if(F.col(flag)).alias(f"n_{flag}") for flag in flags],
         )
         .withColumn("start_label", label(F.col("first_ts")))
     )

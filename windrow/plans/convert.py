@@ -147,6 +147,7 @@ def run_batch(spark: SparkSession, indir: str, outdir: str, csv: bool = False, *
     pairs = files.discover_pairs(spark, indir)
     wide = stats.summarize(series, ["start_ts"], sorted(units), groups=pairs)
     sinks.write_stats(wide, f"{outdir}/stats", units=units)
-    manifest = quality.file_manifest(series, malformed="malformed")
-    pairs.join(manifest, "file_id", "left").write.parquet(f"{outdir}/manifest")
+    # Pairs with their multipliers; n_ambiguous is set where several header entries mean the same column.
+    manifest = quality.file_manifest(series, malformed="malformed", flags=("ambiguous", "calibrated"))
+    with_era(pairs).join(manifest, "file_id", "left").write.parquet(f"{outdir}/manifest")
     return wide

@@ -108,9 +108,8 @@ def physical_lines(text: Column) -> Column:
 
 def is_data(line: Column, sep: str = "\t") -> Column:
     """Blank lines do not count as rows, but a line of bare separators does."""
-    if sep.strip():
-        return F.trim(line) != ""
-    return (F.trim(line) != "") | (F.contains(line, F.lit(sep)) if sep != " " else F.lit(False))
+    filled = F.trim(line) != ""
+    return filled if sep == " " else filled | F.contains(line, F.lit(sep))
 
 
 def header_cells(names: Column, units: Column, sep: str = "\t") -> Column:
