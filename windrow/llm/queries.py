@@ -6,7 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from windrow.llm import byte_bpe
+from windrow.llm.common import module_file
 from windrow.llm.exact_dedup import exact_dedup
+from windrow.llm.secret_scan import scan_secrets
+from windrow.llm.simhash import simhash_components
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,8 +23,33 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
+def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    ranks = module_file("byte_bpe_50k.tiktoken")
+    tokens = byte_bpe.decode(byte_bpe.encode(table(spark, folder, "documents"), ranks, PATTERN), ranks, PATTERN)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_lexed")
+
+
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_components(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op8_secret_scan": op8_secret_scan,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {
