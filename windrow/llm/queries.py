@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from windrow.llm import byte_bpe
+from windrow.llm import byte_bpe, packing, quality, toxicity
 from windrow.llm.common import module_file
 from windrow.llm.exact_dedup import exact_dedup
 from windrow.llm.secret_scan import scan_secrets
@@ -23,6 +23,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
@@ -36,6 +40,14 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), module_file("word_bpe_49k.json"))
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_secrets(table(spark, folder, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_lexed")
@@ -47,7 +59,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_toxicity": op6_toxicity,
+    "op7_packing": op7_packing,
     "op8_secret_scan": op8_secret_scan,
     "op10_simhash": op10_simhash,
 }
