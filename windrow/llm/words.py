@@ -40,12 +40,15 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of every word in ``data``, and the number of words of each text (texts begin at ``at``)."""
+def spans(data: np.ndarray, at: np.ndarray, breaks: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every word in ``data``, and the number of words of each text (texts begin at ``at``).
+
+    ``breaks`` marks the bytes that part words.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at) - 1, np.int64)
-    solid = ~IS_SPACE[data]
+    solid = ~breaks[data]
     edge = np.zeros(n + 1, bool)
     edge[at] = True
     begins = solid.copy()
@@ -67,7 +70,7 @@ def keys(lowered: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix(found + (end - begin).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
-def word_keys(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_keys(data: np.ndarray, at: np.ndarray, breaks: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Key of every word in order, and the number of words of each text."""
-    begin, end, count = spans(data, at)
+    begin, end, count = spans(data, at, breaks)
     return keys(LOWER[data], begin, end), count
