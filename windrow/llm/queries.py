@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.llm import byte_bpe, packing, quality, toxicity
+from windrow.llm.collisions import collision_links
 from windrow.llm.common import module_file
 from windrow.llm.exact_dedup import exact_dedup
 from windrow.llm.secret_scan import scan_secrets
@@ -53,6 +54,10 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_lexed")
 
 
+def op9_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    return collision_links(table(spark, folder, "embeddings"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_components(table(spark, folder, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
     "op8_secret_scan": op8_secret_scan,
+    "op9_collisions": op9_collisions,
     "op10_simhash": op10_simhash,
 }
 
@@ -73,4 +79,15 @@ ORACLE: dict[str, str] = {
         grouped AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM digests GROUP BY ALL)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM digests JOIN grouped USING (text_sha256)""",
+    "op9_collisions": """
+        WITH RECURSIVE links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.93),
+        reached AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+        least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a),
+        degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings e JOIN least ON least.a = vec_id LEFT JOIN degrees ON degrees.a = vec_id""",
 }
