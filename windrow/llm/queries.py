@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from windrow.llm import byte_bpe, packing, quality, toxicity
+from windrow.llm import byte_bpe, packing, quality, toxicity, warc
 from windrow.llm.collisions import collision_links
-from windrow.llm.common import module_file
+from windrow.llm.common import module_file, new_path
 from windrow.llm.exact_dedup import exact_dedup
 from windrow.llm.secret_scan import scan_secrets
 from windrow.llm.simhash import simhash_components
@@ -28,6 +28,17 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    read = warc.read_archives(spark, path, payload=False).filter("gap IS NULL")
+    page_id, refers_to = (F.expr(f"try_cast({c} AS BIGINT)") for c in ("page", "refers"))
+    named = read.withColumns({"page": warc.page_of("record_id"), "refers": warc.page_of("refers_to")})
+    return named.select(
+        page_id.alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), refers_to.alias("refers_to")
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
@@ -65,6 +76,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
+    "op4_warc": op4_warc,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
@@ -79,6 +91,16 @@ ORACLE: dict[str, str] = {
         grouped AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM digests GROUP BY ALL)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM digests JOIN grouped USING (text_sha256)""",
+    "op4_warc": """
+        WITH sums AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+        named AS (
+            SELECT page_id, payload_bytes, h, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INTEGER, 1)), 'string_agg', '') AS payload_digest
+            FROM sums),
+        firsts AS (SELECT h, min(page_id) AS first_id FROM sums GROUP BY h)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM named JOIN firsts USING (h)""",
     "op9_collisions": """
         WITH RECURSIVE links AS (
             SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
