@@ -12,6 +12,7 @@ from windrow.llm import byte_bpe, packing, quality, toxicity, warc
 from windrow.llm.collisions import collision_links
 from windrow.llm.common import module_file, new_path
 from windrow.llm.exact_dedup import exact_dedup
+from windrow.llm.interpolation import interpolated_scores
 from windrow.llm.secret_scan import scan_secrets
 from windrow.llm.simhash import simhash_components
 
@@ -20,6 +21,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolated_scores(table(spark, folder, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
@@ -74,6 +79,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_interpolation": op1_interpolation,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
     "op4_warc": op4_warc,
