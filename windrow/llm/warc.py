@@ -162,7 +162,7 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
     """All records of an archive, plain or of gzip members, and the gaps between them; together they cover it.
 
     Where a record or member fails a check, the search goes on at the next byte that may begin a member or a version
-    line at a line's beginning; what lies between the failure and the next sound record is one gap. A member may hold
+    line; what lies between the failure and the next sound record is one gap. A member may hold
     several records; damage inside it is one gap of the whole member, and its sound records are kept.
     """
     at, gap, reason = 0, None, ""
@@ -194,10 +194,11 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
 
 
 def next_start(data: bytes, at: int) -> int:
-    """The next place where a member or a version line may begin; the end if there is none."""
-    member = data.find(GZIP_MEMBER, at)
-    line = data.find(b"\n" + VERSION_LINE, at - 1)
-    return min((x for x in (member, line + 1 if line >= 0 else -1) if x >= 0), default=len(data))
+    """The next place where a member or a version line may begin; the end if there is none.
+
+    A cut-off record may end within a line, so a version line is looked for anywhere; what it begins must pass all checks.
+    """
+    return min((x for x in (data.find(GZIP_MEMBER, at), data.find(VERSION_LINE, at)) if x >= 0), default=len(data))
 
 
 READ = (
