@@ -196,7 +196,9 @@ def learn(
     evidence = 2 * (parts[0] + parts[1] + parts[2] + parts[3])
     best = counted.filter("good + bad >= 3").withColumn("evidence", evidence).filter(F.col("evidence") >= LEAST_EVIDENCE).orderBy(F.desc("evidence"), "key").limit(max_words)
     keys = {int(np.int64(row["key"]).view(np.uint64)) for row in best.select("key").collect()}
-    keys = np.array(sorted(keys.union(*groups_keys)), np.uint64)
+    # Beginnings of identity terms would carry what the swaps of whole terms are to even out.
+    own = {int(k) for group in terms for k in all_keys(pa.array(list(group), pa.string()))[1]}
+    keys = np.array(sorted((keys - own).union(*groups_keys)), np.uint64)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches, "text", 16 << 20):
