@@ -17,7 +17,7 @@ ORDER = 2
 #: Folds of the ids: one is never learned from; the counts of one more are held out while weights are learned.
 FOLDS, HELD_FOLD, DELETED_FOLD = 7, 2, 3
 #: Tokens of one block of documents, and distinct n-grams of one bucket of keys, about.
-BLOCK_TOKENS, BUCKET_KEYS = 2_000_000, 1_000_000
+BLOCK_TOKENS, BUCKET_KEYS = 1_000_000, 500_000
 #: Buckets of context frequency: 0, 1, 2-3, 4-7, ...
 BUCKETS = 48
 EM_STEPS, EM_TOLERANCE = 25, 1e-5
