@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from windrow.llm.common import pick, ship, sliced, whole_text
+from windrow.llm.common import Remembered, pick, ship, sliced, whole_text
 
 #: Above every packed (rank, position).
-NO_PAIR = np.int64(1) << 62
+NO_PAIR = np.int32(2**31 - 1)
 #: Longest piece, in bytes, that is merged together with others; longer ones have a tree of their own.
 JOINT_BYTES = 64
-#: Pieces whose ids a Python worker remembers; then it starts anew.
-REMEMBERED = 400_000
+#: Pieces whose ids a Python worker remembers in each of two generations.
+REMEMBERED = 200_000
 #: Pieces that are merged together.
-STEP = 50_000
+STEP = 20_000
+#: Bytes of text that are split at once.
+SLICE = 2 << 20
+#: Texts that are decoded at once.
+DECODED = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -33,7 +36,12 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.token = {rank: token for token, rank in ranks.items()}
+        if max(ranks.values()) * JOINT_BYTES >= NO_PAIR:
+            raise ValueError("the vocabulary is too large for 32-bit trees")
+        self.token_length = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.token_length[list(ranks.values())] = list(map(len, ranks))
+        self.token_begin = np.cumsum(self.token_length) - self.token_length
+        self.token_bytes = np.frombuffer(b"".join(sorted(ranks, key=ranks.__getitem__)), np.uint8)
         self.find = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.byte = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         if (self.byte < 0).any():
@@ -43,13 +51,13 @@ class Merges:
         self.pair_rank = dict(split)
         self.pair_keys = np.array(sorted(self.pair_rank), np.int64)
         self.pair_values = np.array([self.pair_rank[k] for k in self.pair_keys.tolist()], np.int64)
-        self.known: dict[str, list[int]] = {}
+        self.known = Remembered(REMEMBERED)
 
-    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair, NO_PAIR where it forms no token."""
-        keys = left * self.wide + right
+    def packed(self, left: np.ndarray, right: np.ndarray, position: np.ndarray, size: int) -> np.ndarray:
+        """Rank of each pair times ``size`` plus its position: least rank first, then leftmost. NO_PAIR without rank."""
+        keys = left.astype(np.int64) * self.wide + right
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_values[at], NO_PAIR)
+        return np.where(self.pair_keys[at] == keys, self.pair_values[at] * size + position, NO_PAIR).astype(np.int32)
 
     def merge_one(self, piece: bytes) -> list[int]:
         """Ids of a piece of any length."""
@@ -93,89 +101,88 @@ class Merges:
                 put(left, none if r is None else (r, left))
         return [x for x in ids if x >= 0]
 
-    def merge_many(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of pieces of 2 to JOINT_BYTES bytes, one tree per piece, all trees stepped together."""
-        out: list[list[int]] = [[]] * len(pieces)
+    def merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids, as little-endian 32-bit numbers, of pieces of 2 to JOINT_BYTES bytes: one tree each, stepped together."""
+        out = [b""] * len(pieces)
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         leaves = 1 << np.ceil(np.log2(np.maximum(lengths, 2))).astype(np.int64)
         for size in np.unique(leaves).tolist():
             chosen = np.flatnonzero(leaves == size)
             for at in range(0, len(chosen), STEP):
-                some = chosen[at : at + STEP]
-                for k, ids in zip(some.tolist(), self._together([pieces[k] for k in some.tolist()], lengths[some], size), strict=True):
-                    out[k] = ids
+                some = chosen[at : at + STEP].tolist()
+                ids, count = self._together([pieces[k] for k in some], lengths[some], size)
+                blob, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(count)).tolist()
+                for k, begin, end in zip(some, [0, *ends], ends, strict=False):
+                    out[k] = blob[begin:end]
         return out
 
-    def _together(self, pieces: list[bytes], length: np.ndarray, size: int) -> Iterator[list[int]]:
-        m = len(pieces)
-        rows = np.arange(m)
-        ids = np.full((m, size + 1), -1, np.int64)
-        inside = np.arange(size + 1) < length[:, None]
+    def _together(self, pieces: list[bytes], length: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in turn, and how many each piece has. Row r of each table begins at r times its width."""
+        m, wide = len(pieces), size + 1
+        inside = np.arange(wide) < length[:, None]
+        ids = np.full((m, wide), -1, np.int32)
         ids[inside] = self.byte[np.frombuffer(b"".join(pieces), np.uint8)]
-        after = np.tile(np.arange(1, size + 2), (m, 1))
-        before = np.tile(np.arange(-1, size), (m, 1))
-        tree = np.full((m, 2 * size), NO_PAIR, np.int64)
+        tree = np.full((m, 2 * size), NO_PAIR, np.int32)
         paired = inside[:, 1:]
-        rank = self.rank_of(ids[:, :-1][paired], ids[:, 1:][paired])
-        where = np.nonzero(paired)[1]
-        tree[:, size:][paired] = np.where(rank < NO_PAIR, rank * size + where, NO_PAIR)
+        tree[:, size:][paired] = self.packed(ids[:, :-1][paired], ids[:, 1:][paired], np.nonzero(paired)[1], size)
         node = size
         while node > 1:
             node >>= 1
             tree[:, node : 2 * node] = np.minimum(tree[:, 2 * node : 4 * node : 2], tree[:, 2 * node + 1 : 4 * node : 2])
-        live = rows[tree[:, 1] < NO_PAIR]
+        after = np.tile(np.arange(1, wide + 1, dtype=np.int32), (m, 1)).reshape(-1)
+        before = np.tile(np.arange(-1, size, dtype=np.int32), (m, 1)).reshape(-1)
+        live = np.flatnonzero(tree[:, 1] < NO_PAIR)
+        ids, tree = ids.reshape(-1), tree.reshape(-1)
         while len(live):
-            least = tree[live, 1]
-            merged, i = least // size, least % size
-            gone = after[live, i]
-            follow = after[live, gone]
-            ids[live, i], ids[live, gone] = merged, -1
-            after[live, i] = follow
-            before[live, np.minimum(follow, size)] = i
-            left = before[live, i]
-            leaf = np.stack((gone, i, np.maximum(left, 0)), 1)
-            value = np.full(leaf.shape, NO_PAIR, np.int64)
-            right_rank = self.rank_of(merged, ids[live, np.minimum(follow, size)])
-            value[:, 1] = np.where((follow < length[live]) & (right_rank < NO_PAIR), right_rank * size + i, NO_PAIR)
-            left_rank = self.rank_of(ids[live, leaf[:, 2]], merged)
-            value[:, 2] = np.where(left_rank < NO_PAIR, left_rank * size + left, NO_PAIR)
+            row, root = live * wide, live * (2 * size)
+            merged, i = np.divmod(tree[root + 1], np.int32(size))
+            gone = after[row + i]
+            follow = after[row + gone]
+            next_ = np.minimum(follow, size)
+            ids[row + i], ids[row + gone] = merged, -1
+            after[row + i], before[row + next_] = follow, i
+            left = before[row + i]
             first = left < 0
-            leaf[first, 2], value[first, 2] = i[first], value[first, 1]
-            wide, leaf = live[:, None], leaf + size
-            tree[wide, leaf] = value
-            while leaf[0, 0] > 1:
+            left = np.where(first, 0, left)
+            right_value = np.where(follow < length[live], self.packed(merged, ids[row + next_], i, size), NO_PAIR)
+            left_value = self.packed(ids[row + left], merged, left, size)
+            leaf = np.stack((gone, i, np.where(first, i, left))) + size
+            tree[root + leaf] = np.stack((np.full_like(i, NO_PAIR), right_value, np.where(first, right_value, left_value)))
+            for _ in range(size.bit_length() - 1):
                 leaf >>= 1
-                tree[wide, leaf] = np.minimum(tree[wide, 2 * leaf], tree[wide, 2 * leaf + 1])
-            live = live[tree[live, 1] < NO_PAIR]
+                child = root + 2 * leaf
+                tree[root + leaf] = np.minimum(tree[child], tree[child + 1])
+            live = live[tree[root + 1] < NO_PAIR]
         kept = ids >= 0
-        flat, ends = ids[kept].tolist(), np.cumsum(kept.sum(1)).tolist()
-        begin = 0
-        for end in ends:
-            yield flat[begin:end]
-            begin = end
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text; equal pieces are merged once and remembered."""
+        return ids[kept], kept.reshape(m, wide).sum(1)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in turn, and where each text begins in them; equal pieces are merged once and remembered."""
         split = [self.find(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         known = self.known
-        new = list(set().union(*split).difference(known)) if split else []
+        known.turn()
+        new = known.missing(set().union(*split))
         short, raw = [], []
         for piece in new:
             data = piece.encode()
             if (whole := self.ranks.get(data)) is not None:
-                known[piece] = [whole]
+                known[piece] = whole.to_bytes(4, "little")
             elif len(data) > JOINT_BYTES:
-                known[piece] = self.merge_one(data)
+                known[piece] = np.array(self.merge_one(data), "<i4").tobytes()
             else:
                 short.append(piece)
                 raw.append(data)
         known.update(zip(short, self.merge_many(raw), strict=True))
-        return [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
+        blobs = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        ends = np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4)
+        return np.frombuffer(b"".join(blobs), "<i4"), np.concatenate(([0], ends))
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+    def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all texts in turn, and where each text begins in them, from ids and where each text begins there."""
+        length = self.token_length[ids]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        from_ = np.repeat(self.token_begin[ids] - ends[:-1], length) + np.arange(ends[-1])
+        return self.token_bytes[from_], ends[at]
 
 
 _merges: dict[tuple[str, str], Merges] = {}
@@ -199,9 +206,10 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = merges(path, pattern)
-        for part in sliced(batches, "text"):
-            ids = pa.array(table.encode(part.column("text").to_pylist()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
+        for part in sliced(batches, "text", SLICE):
+            ids, at = table.encode(part.column("text").to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
 
     source = pick(docs, doc_id=doc_id, text=whole_text(text))
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>")
@@ -214,8 +222,13 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = merges(path, pattern)
         for batch in batches:
-            data = pa.array([table.decode(ids) for ids in batch.column("ids").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), data], ["doc_id", "ids", "data"])
+            for at in range(0, batch.num_rows, DECODED):
+                part = batch.slice(at, DECODED)
+                lists = part.column("ids")
+                begin = lists.offsets.to_numpy().astype(np.int64)
+                data, ends = table.decode(lists.values.to_numpy()[begin[0] : begin[-1]], begin - begin[0])
+                texts = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, texts], ["doc_id", "ids", "data"])
 
     source = tokens.select("doc_id", "ids")
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>, data binary")

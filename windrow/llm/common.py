@@ -131,3 +131,26 @@ def module_file(name: str) -> str:
     if not os.path.exists(path):
         raise FileNotFoundError(path)
     return path
+
+
+class Remembered(dict):
+    """A dictionary that keeps what was used lately: entries of the last full generation can be taken back."""
+
+    def __init__(self, most: int):
+        self.most, self.old = most, {}
+
+    def turn(self) -> None:
+        """Begin a new generation if this one is full."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+    def missing(self, keys: set) -> list:
+        """The keys that must be worked out; those of the last generation are taken back."""
+        out = []
+        for key in keys.difference(self):
+            if (value := self.old.get(key)) is None:
+                out.append(key)
+            else:
+                self[key] = value
+        return out
