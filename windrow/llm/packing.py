@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -11,22 +12,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.common import discard, land, pick, ship, sliced, whole_text
+from windrow.llm.common import Remembered, discard, land, pick, ship, sliced, whole_text
 
 CAPACITY = 4096
 END_ID = 1
 #: Pieces that one task packs at once.
 PART_ROWS = 100_000
 MAX_ROUNDS = 6
-#: Words whose ids a Python worker remembers, and words that are encoded in one call.
-REMEMBERED = 400_000
+#: Words whose ids a Python worker remembers in each of two generations, and words that are encoded in one call.
+REMEMBERED = 300_000
 STEP = 512
+#: ASCII signs (but the apostrophe, which begins tokens of its own) after an ASCII letter at the end of a word.
+LAST_SIGNS = re.compile(rb"(?<=[a-z])([!-&(-/:-@\[-`{-~]+)(?=[ \t-\r]|$)")
+#: A word that is one token, between words that are encoded together.
+BORDER = b"\x01"
 
 
 class WordIds:
     """Ids of words by a tokenizer file; equal words are encoded once.
 
-    The tokenizer drops white space, so the ids of a text are those of its words (cut at ASCII white space) in turn.
+    The tokenizer drops white space, so the ids of a text are those of its words (cut at ASCII white space) in turn. It
+    lowers letters and parts letters from signs, so ASCII letters are lowered before, and ASCII signs at the end of a
+    word become a word of their own. Texts with combining marks, which may join a letter, are only cut.
     """
 
     def __init__(self, path: str):
@@ -35,24 +42,33 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        self.known: Remembered = Remembered(REMEMBERED)
+        (self.border,) = self.tokenizer.encode(BORDER.decode(), add_special_tokens=False).ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [text.split() for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set().union(*split).difference(self.known)) if split else []
-        runs = [new[at : at + STEP] for at in range(0, len(new), STEP)]
+        split = [(text if b"\xcc" in text or b"\xcd" in text else LAST_SIGNS.sub(rb" \1", text.lower())).split() for text in texts]
+        self.known.turn()
+        self.learn(self.known.missing(set().union(*split)))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encode runs of words with a border between them; its id comes from no word without its byte."""
+        odd = [w for w in words if BORDER in w]
+        plain = words if not odd else [w for w in words if BORDER not in w]
+        runs = [plain[at : at + STEP] for at in range(0, len(plain), STEP)]
         for at in range(0, len(runs), 32):
             some = runs[at : at + 32]
-            decoded = [[w.decode() for w in run] for run in some]
-            for run, found in zip(some, self.tokenizer.encode_batch(decoded, is_pretokenized=True, add_special_tokens=False), strict=True):
+            joined = [(b" " + BORDER + b" ").join(run).decode() for run in some]
+            for run, found in zip(some, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
                 ids = np.array(found.ids, "<u4")
-                ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(run) + 1)) * 4
+                borders = np.flatnonzero(ids == self.border)
                 raw = ids.tobytes()
-                self.known.update(zip(run, (raw[b:e] for b, e in zip(ends[:-1], ends[1:], strict=True)), strict=True))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+                begins = [0, *(4 * borders + 4).tolist()]
+                ends = [*(4 * borders).tolist(), len(raw)]
+                self.known.update(zip(run, (raw[b:e] for b, e in zip(begins, ends, strict=True)), strict=True))
+        for word in odd:
+            self.known[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _words: dict[str, WordIds] = {}
