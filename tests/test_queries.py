@@ -10,6 +10,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from windrow.plans import oracle
+from windrow.plans.queries import QUERIES
 
 DATA = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 
@@ -38,11 +40,13 @@ def normal(frame):
 
 
 def test_contract():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
-    assert len(contract.queries()) >= 50
+    assert QUERIES.keys() == oracle.sql().keys()
+    assert QUERIES.items() <= contract.queries().items()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
+    assert len(QUERIES) >= 50
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     got = contract.queries()[name](spark, str(DATA))
     expected = duck.execute(contract.oracle_sql()[name]).df()

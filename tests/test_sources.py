@@ -166,8 +166,11 @@ def test_conversion(spark, folder, max_bytes, limit):
         assert part["calibrated"].all()
         for c in expected:
             np.testing.assert_allclose(part[c].astype(float), expected[c], rtol=1e-9, err_msg=f"{name} {c}")
-        assert part["malformed"].sum() == 0
-    assert set(got[got.file_id == "Site990615_23.raw"]["extras"].iloc[0]) == {"Z [z]"}
+
+def test_unknown_columns_are_filled(spark, folder):
+    root, made = folder
+    got = convert.convert_pairs(spark, str(root), raw_extra=["Z [z]"]).toPandas()
+    assert got.groupby("file_id")["Z [z]"].count().to_dict() == {n: 700 if n == "Site990615_23.raw" else 0 for n in made}
 
 
 def test_batch(spark, folder, tmp_path):
@@ -178,18 +181,20 @@ def test_batch(spark, folder, tmp_path):
     first = made["Site970107_07.raw"]
     assert wide[0]["CO2__median"] == pytest.approx(first["CO2"].median())
     assert wide[0]["U__std"] == pytest.approx(first["U"].std())
-    parts = list((out / "series_csv" / "start_id=199701070700").glob("*.csv.gz"))
+    parts = list((out / "series_csv" / "file_id=Site970107_07.raw").glob("*.csv.gz"))
     assert len(parts) == 1
     lines = gzip.decompress(parts[0].read_bytes()).decode().splitlines()
     assert lines[0].startswith("U,V,W,T_SONIC,CO2,H2O,")
     assert lines[1].startswith("[m/s],[m/s],[m/s],[degC],[µmol/mol],")
     body = pd.read_csv(parts[0], skiprows=[1])
     np.testing.assert_allclose(body["W"], first["W"], rtol=1e-9)
-    stats_files = list((out / "stats").glob("*.csv"))
+    stats_files = list((out / "stats_csv").glob("*.csv"))
     assert len(stats_files) == 1
     written = pd.read_csv(stats_files[0])
     assert written["TIMESTAMP"].is_monotonic_increasing
-    assert list(written.columns[1:4]) == ["CO2 [µmol/mol] count", "CO2 [µmol/mol] min", "CO2 [µmol/mol] max"]
+    assert list(written.columns[:5]) == ["TIMESTAMP", "file_id", "CO2 [µmol/mol] count", "CO2 [µmol/mol] min", "CO2 [µmol/mol] max"]
+    assert written["Z [z] [z] count"].tolist() == [0, 0, 700, 0]
+    assert {"Xa [mmol / mol] mean", "Rhoa [kg / m3] mean"} <= set(written.columns)
     assert written["W [m/s] mean"][0] == pytest.approx(first["W"].mean())
     manifest = spark.read.parquet(str(out / "manifest")).orderBy("file_id").collect()
     assert [(m.n_rows, m.start_label) for m in manifest] == [(700, "200501010000"), (700, "199701070700"), (700, "199810011000"), (700, "199906152300")]
@@ -197,19 +202,54 @@ def test_batch(spark, folder, tmp_path):
         (1.0, 0.335, 700, 0), (1.0, 1.0, 700, 0), (0.33425, 0.335, 700, 0), (1.0, 0.335, 700, 0),
     ]
     assert len(list((out / "series").glob("date=*"))) == 4
+    assert [(m.raw_lines - m.raw_malformed, m.raw_unknown) for m in manifest] == [(700, []), (700, []), (700, []), (700, ["Z [z]"])]
+    rejected = spark.read.parquet(str(out / "rejects")).collect()
+    assert [(r.reason, r.path.split("/")[-1]) for r in rejected if r.path] == [("no partner", "Site970107_08.raw")]
+    for m in manifest:
+        assert sum(r.file_id == m.file_id and r.side == "raw" for r in rejected) == m.raw_malformed
+        assert sum(r.file_id == m.file_id and r.side == "aux" for r in rejected) == m.aux_malformed + m.aux_without_time
+    assert spark.read.parquet(str(out / "trends")).count() == 4 * len(set(written.columns[2:])) // 10
+    assert spark.read.parquet(str(out / "bounds")).where("variable = 'CO2'").first().lower == min(r["CO2__q01"] for r in wide)
+
+
+def test_two_towers_in_one_hour_stay_apart(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    start = pd.Timestamp("1997-01-07 07:00")
+    for name in ("SiteA970107_07", "SiteB970107_07"):
+        write_pair(tmp_path / "in", name, start, 60, rng)
+    wide = convert.run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), csv=True).collect()
+    assert sorted((r.file_id, r["CO2__count"]) for r in wide) == [("SiteA970107_07.raw", 60), ("SiteB970107_07.raw", 60)]
+    folders = sorted(p.name for p in (tmp_path / "out" / "series_csv").glob("file_id=*"))
+    assert folders == ["file_id=SiteA970107_07.raw", "file_id=SiteB970107_07.raw"]
+
+
+@pytest.mark.parametrize("max_bytes", [files.MAX_WHOLE_FILE, 10])
+def test_lone_line_ends_quotes_and_surplus_cells(spark, tmp_path, max_bytes):
+    """Whole and split reading agree on every kind of line end, quoted cells and lines with too many cells."""
+    head = "a\nb\nc\nU\tV\tW\tSound\tC\tXw\n[m/s]\t[m/s]\t[m/s]\t[m/50s]\t[mV]\t[mV]\n"
+    row = "1\t2\t3\t16000\t1500\t{}"
+    body = row.format(1) + "\r" + row.format('"2"') + "\r\n" + row.format(3) + "\tsurplus\n\n" + row.format('"4.5"') + "\n"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "X970101_00.raw").write_bytes((head + body).encode())
+    (tmp_path / "in" / "X970101_00.aux").write_text("x\nDate\tTime\tPa\tPlic\tTa\tTlic\n\t\t[kPa]\t[kPa]\t[degC]\t[degC]\n01.01.97\t00:00:00\t80\t80\t10\t35\n")
+    raw, _ = convert.Folder(spark, str(tmp_path / "in"), max_bytes).rows()
+    rows = raw.select("row_idx", "H2O", "line").collect()
+    assert sorted((r.row_idx, r.H2O) for r in rows if r.row_idx is not None) == [(0, 1.0), (1, 2.0), (2, 4.5)]
+    assert [r.line for r in rows if r.row_idx is None] == [row.format(3) + "\tsurplus"]
 
 
 def test_missing_marker_only_at_the_sink(spark, tmp_path):
     df = spark.sql("SELECT 'f' AS file_id, 0L AS row_idx, timestamp_ntz'2000-01-01 00:00:00' AS start_ts, cast(NULL AS double) AS x")
     sinks.write_series(df, str(tmp_path / "o"), "csv")
-    part = next((tmp_path / "o").glob("start_id=*/*.csv.gz"))
+    part = next((tmp_path / "o").glob("file_id=*/*.csv.gz"))
     assert gzip.decompress(part.read_bytes()).decode() == "x\n-9999.0\n"
 
 
-def test_large_stats_stay_in_ordered_parts(spark, tmp_path):
+def test_stats_are_ordered(spark, tmp_path):
     wide = spark.range(200).selectExpr("timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(cast(199 - id as int)) AS start_ts", "id AS n")
-    sinks.write_stats(wide, str(tmp_path / "s"), single_file_rows=10)
-    assert spark.read.csv(str(tmp_path / "s"), header=True).count() == 200
+    sinks.write_stats(wide, str(tmp_path / "s"))
+    parts = [pd.read_csv(p) for p in sorted((tmp_path / "s").glob("*.csv"))]
+    assert pd.concat(parts)["n"].tolist() == list(range(199, -1, -1))
 
 
 def test_factor_tables(spark, tmp_path):
@@ -229,16 +269,11 @@ def test_factor_tables(spark, tmp_path):
         lookup.daily_factors(factors.read_segments(spark, str(b), " "), "co2").collect()
 
 
-def test_long_text_series_continue_in_numbered_folders(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "MAX_TEXT_ROWS", 4)
+def test_text_series(spark, tmp_path):
     df = spark.range(10).selectExpr("'f' AS file_id", "id AS row_idx", "timestamp_ntz'2000-01-01 00:00:00' AS start_ts", "double(id) AS x")
     sinks.write_series(df, str(tmp_path / "o"), "csv", units={"x": "[m]"})
     found = {p.parent.name: gzip.decompress(p.read_bytes()).decode().split() for p in (tmp_path / "o").glob("*/*.csv.gz")}
-    assert found == {
-        "start_id=200001010000": ["x", "[m]", "0.0", "1.0", "2.0", "3.0"],
-        "start_id=200001010000_1": ["x", "[m]", "4.0", "5.0", "6.0", "7.0"],
-        "start_id=200001010000_2": ["x", "[m]", "8.0", "9.0"],
-    }
+    assert found == {"file_id=f": ["x", "[m]", *[f"{i}.0" for i in range(10)]]}
 
 
 def one_file(spark, h2o):

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampType
 
 from windrow.presets import PERIOD_PS, YEAR_PIVOT
 
 FILE_STAMP = r"(\d{2})(\d{2})(\d{2})_(\d{2})\.[A-Za-z]+$"
 DATE_TEXT = r"^(\d{1,2})\.(\d{1,2})\.(\d{4}|\d{2})$"
 TIME_TEXT = r"^([01]?\d|2[0-3]):([0-5]?\d):([0-5]?\d)$"
-LABEL = "yyyyMMddHHmm"
+DAY_US = 86_400_000_000
 
 
 def _part(text: Column, pattern: str, group: int) -> Column:
@@ -54,12 +55,35 @@ def timestamp_from_text(date: Column, time: Column, pivot: int = YEAR_PIVOT) ->
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since 1970 (session zone UTC, see ``windrow.session.pin``)."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Microseconds since 1970, whatever the session zone.
+
+    Times without zone and dates are counted as written; instants (``timestamp``) from the epoch. Which of the two
+    holds is known from the type when the plan is made.
+    """
+    # TIMESTAMPs must not meet a zone on their way, so the fields of the clock are added up.
+    local = ts.cast("timestamp_ntz")
+    day = F.unix_date(local.cast("date")).cast("bigint") * F.lit(DAY_US)
+    minutes = F.hour(local).cast("bigint") * 60 + F.minute(local)
+    seconds = (F.date_part(F.lit("SECOND"), local) * F.lit(1_000_000)).cast("bigint")
+    return F.when(F.typeof(ts) == "timestamp", F.unix_micros(ts.cast("timestamp"))).otherwise(day + minutes * 60_000_000 + seconds)
 
 
 def from_micros(us: Column) -> Column:
-    return F.timestamp_micros(us).cast("timestamp_ntz")
+    """The time without zone that lies so many microseconds after 1970."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.expr("INTERVAL '0.000001' SECOND") * us
+
+
+def back_to(us: Column, kind: DataType) -> Column:
+    """The value of a time or date type that ``micros`` counts as ``us``."""
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(us)
+    return from_micros(us).cast(kind)
+
+
+def truncated(ts: Column, width_us: int) -> Column:
+    """Beginning of the span of ``width_us`` (counted from 1970) that holds a time without zone."""
+    us = micros(ts)
+    return from_micros(us - F.pmod(us, F.lit(width_us)))
 
 
 def axis_micros(start_us: Column, row: Column, period_ps: int = PERIOD_PS) -> Column:
@@ -78,7 +102,9 @@ def snap(us: Column, grid_us: int) -> Column:
 
 
 def label(ts: Column) -> Column:
-    return F.date_format(ts, LABEL)
+    """``yyyyMMddHHmm`` of a time without zone."""
+    parts = [(F.year, 4), (F.month, 2), (F.dayofmonth, 2), (F.hour, 2), (F.minute, 2)]
+    return F.concat(*[F.lpad(part(ts).cast("string"), width, "0") for part, width in parts])
 
 
 def day_of_year_date(year: Column, offset: Column) -> Column:

@@ -31,6 +31,11 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def finite_or_null(value: Column) -> Column:
+    """NULL for NaN and for both infinities."""
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def decode_text(cell: Column, markers: Iterable[str] = (MISSING_TEXT,)) -> Column:
     """NULL for a text cell that spells a missing value."""
     return F.when(~cell.isin(*markers), cell)

@@ -28,9 +28,8 @@ def sonic_temperature(
 
 
 def power_sum(x: Column, coefficients: Sequence[float]) -> Column:
-    """a1*x + a2*x^2 + ..., summed term by term."""
-    terms = [F.lit(a) * (x if n == 1 else F.pow(x, F.lit(float(n)))) for n, a in enumerate(coefficients, 1)]
-    return reduce(lambda left, right: left + right, terms)
+    """a1*x + a2*x^2 + ..., from the inside out: (... + a2) * x + a1) * x."""
+    return reduce(lambda inner, a: (inner + F.lit(a)) * x, reversed(coefficients[:-1]), F.lit(coefficients[-1]) * x)
 
 
 def kelvin_ratio(temperature: Column, cell: dict) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.functions.clock import micros, snap
+from windrow.functions.clock import back_to, micros, snap
 from windrow.functions.numeric import lerp
 from windrow.operators.fill import Carry, carry
 from windrow.operators.hot import MIN_HOT_ROWS, Cut, apply_cut, plan_cut
@@ -117,7 +117,7 @@ def asof_join(
         found = found.withColumn("_hit", F.when(near, F.col("_hit")))
     out = [F.col(f"_hit.{c}").alias(c) for c in cols]
     if matched:
-        out.append(F.timestamp_micros(F.col("_hit.t")).cast(right.schema[on].dataType).alias(matched))
+        out.append(back_to(F.col("_hit.t"), right.schema[on].dataType).alias(matched))
     return found.select(*left.columns, *out)
 
 

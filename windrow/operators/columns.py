@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from windrow import presets
 from windrow.functions import physics
-from windrow.functions.numeric import decode_number, decode_text, encode_number, nan_to_null, to_number
+from windrow.functions.numeric import decode_number, decode_text, encode_number, finite_or_null, nan_to_null, to_number
 
 
 def decode_missing(df: DataFrame, cols: Sequence[str], text=(presets.MISSING_TEXT,), number=(presets.MISSING_NUMBER,)):
@@ -92,18 +92,18 @@ def calibrate_gas(
 ) -> DataFrame:
     """Voltages of the gas analyser to mole fractions: H2O first, then CO2 corrected for that water vapour.
 
-    Where pressure or temperature is missing, or the pressure is zero, ``keep`` leaves the voltage in place and
+    Where pressure or temperature is missing, the pressure is zero, or the result is not finite, ``keep`` leaves the voltage in place and
     ``null`` clears it. ``calibrated`` tells whether both gases got a value.
     """
     p, t = F.col(pressure), F.col(temperature)
     # Each stage is a column of its own, so that the powers below do not repeat it.
     staged = df.withColumn("_w", physics.to_standard_pressure(F.col(h2o), p, h2o_cell))
     vapour = physics.power_sum(F.col("_w"), h2o_cell["poly"]) * physics.kelvin_ratio(t, h2o_cell)
-    staged = staged.withColumn("_h2o", nan_to_null(vapour * F.lit(h2o_cell["scale"])))
+    staged = staged.withColumn("_h2o", finite_or_null(vapour * F.lit(h2o_cell["scale"])))
     staged = staged.withColumn("_x", physics.vapour_factor(F.col("_h2o")))
     staged = staged.withColumn("_c", physics.to_standard_pressure(F.col(co2), p * F.col("_x"), co2_cell))
     dry = F.col("_x") * physics.power_sum(F.col("_c"), co2_cell["poly"]) * physics.kelvin_ratio(t, co2_cell)
-    staged = staged.withColumn("_co2", nan_to_null(dry * F.lit(co2_cell["scale"])))
+    staged = staged.withColumn("_co2", finite_or_null(dry * F.lit(co2_cell["scale"])))
     staged = staged.withColumn("calibrated", F.col("_h2o").isNotNull() & F.col("_co2").isNotNull())
     if on_missing == "keep":
         staged = update_non_null(staged, {h2o: F.col("_h2o"), co2: F.col("_co2")})

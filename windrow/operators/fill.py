@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrow.functions.clock import axis_micros, from_micros, micros
+from windrow.functions.clock import DAY_US, axis_micros, back_to, from_micros, micros
 from windrow.operators.hot import MIN_HOT_ROWS, Blocked, attach, cut_series
 from windrow.presets import PERIOD_PS
 
 BEFORE = Window.unboundedPreceding
-DAY_US = 86_400_000_000
 CHUNK_STEPS = 100_000
 
 
@@ -65,8 +64,7 @@ def carry(series: Blocked, order: Sequence[str], specs: Sequence[Carry]) -> Data
         frame = Window.partitionBy(*series.by).orderBy(*_ordering([block], spec.backward)).rowsBetween(BEFORE, -1)
         handed[f"_from_{spec.out}"] = F.last(spec.out, ignorenulls=True).over(frame)
     handed_over = per_block.withColumns(handed).select(*series.keys, *handed)
-    # At most ``MAX_BLOCKS`` rows, see ``plan_cut``.
-    joined = attach(df.withColumns(windowed), F.broadcast(handed_over), series.keys)
+    joined = series.hand_over(df.withColumns(windowed), handed_over)
     filled = {spec.out: F.coalesce(F.col(spec.out), F.col(f"_from_{spec.out}")) for spec in specs}
     return joined.withColumns(filled).drop(*handed, block)
 
@@ -113,7 +111,7 @@ def row_index(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str =
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(*series.keys, F.sum("_rows").over(earlier).alias("_offset"))
     )
-    numbered = attach(series.df.withColumn(out, position), F.broadcast(offsets), series.keys)
+    numbered = series.hand_over(series.df.withColumn(out, position), offsets)
     return numbered.withColumn(out, F.col(out) + F.coalesce("_offset", F.lit(0))).drop("_offset", block)
 
 
@@ -135,10 +133,11 @@ def dedupe_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
 
 
 def densify(df: DataFrame, by: Sequence[str], on: str, step_us: int = DAY_US) -> DataFrame:
-    """One row per step between the first and the last ``on`` of each key, NULLs in the new rows.
+    """One row per step between the first and the last ``on`` of each key, NULLs in the new rows; no row is lost.
 
-    ``on`` is a date or a timestamp on the grid; ``df`` holds one row per key and step already, such as a daily sum.
-    Long ranges are cut into chunks that spread over tasks before their steps are written out.
+    ``on`` is a date or a time. Rows between two steps (counted from the first of their key) and rows without ``on``
+    come through as they are, and so do several rows of one step. A NULL key is a key like others. Long ranges are cut
+    into chunks that spread over tasks before their steps are written out.
     """
     by = list(by)
     kind = df.schema[on].dataType
@@ -147,8 +146,9 @@ def densify(df: DataFrame, by: Sequence[str], on: str, step_us: int = DAY_US) ->
         back = F.date_from_unix_date(F.col("_step").cast("int"))
     else:
         step, position = step_us, micros(F.col(on))
-        back = F.timestamp_micros("_step").cast(kind)
-    ends = df.groupBy(*by).agg(F.min(position).alias("_first"), F.max(position).alias("_last"))
+        back = back_to(F.col("_step"), kind)
+    placed = df.withColumn("_position", position)
+    ends = placed.groupBy(*by).agg(F.min("_position").alias("_first"), F.max("_position").alias("_last"))
     width = F.lit(step * CHUNK_STEPS).cast("bigint")
     chunks = ends.where("_first is not null").select(
         *by, "_last", F.explode(F.sequence("_first", "_last", width)).alias("_chunk")
@@ -156,4 +156,10 @@ def densify(df: DataFrame, by: Sequence[str], on: str, step_us: int = DAY_US) ->
     spread = chunks.repartition(*by, "_chunk")
     until = F.least(F.col("_last"), F.col("_chunk") + width - F.lit(step))
     steps = spread.select(*by, F.explode(F.sequence("_chunk", until, F.lit(step).cast("bigint"))).alias("_step"))
-    return steps.withColumn(on, back).join(df, [*by, on], "left").select(*df.columns)
+    given = attach(placed, ends.drop("_last"), by) if by else placed.crossJoin(F.broadcast(ends.drop("_last")))
+    on_step = F.pmod(F.col("_position") - F.col("_first"), F.lit(step)) == 0
+    flagged = given.withColumn("_on", F.coalesce(on_step, F.lit(False)))
+    regular = flagged.where("_on").withColumn("_step", F.col("_position"))
+    dense = attach(steps.withColumn("_new", back), regular.drop("_first", "_on", "_position"), [*by, "_step"])
+    dense = dense.withColumn(on, F.coalesce(F.col(on), F.col("_new"))).select(*df.columns)
+    return dense.unionByName(flagged.where("NOT _on").select(*df.columns))

@@ -1,8 +1,8 @@
 """Cut the series of oversized keys into blocks, so that no key has to fit one task.
 
-A window over a series normally puts all rows of a key into one task. Keys far above the average are cut at
-quantiles of the ordering column into consecutive blocks; windows then run per (key, block), and what must cross
-a block border travels through a small table with one row per block.
+A window over a series normally puts all rows of a key into one task. Keys with more rows than a limit are cut at
+quantiles of their own ordering column into consecutive blocks; windows then run per (key, block), and what must cross
+a block border travels through a table with one row per block.
 """
 
 from __future__ import annotations
@@ -12,45 +12,55 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windrow.functions.clock import micros
+from windrow.session import landed
 
 BLOCK = "_block"
 MIN_HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 2_000
-MAX_SLICES = 4_096
-MAX_BLOCKS = 200_000
+#: Rows of a block table up to which it is marked for broadcast (a few hundred bytes each).
+MAX_BROADCAST_BLOCKS = 20_000
 
 
 @dataclass(frozen=True)
 class Blocked:
-    """A DataFrame with its window keys; ``cut`` tells whether some key has more than one block."""
+    """A DataFrame with its window keys; ``blocks`` bounds the number of blocks, 0 if no key is cut."""
 
     df: DataFrame
     by: list[str]
-    cut: bool
+    blocks: int = 0
+
+    @property
+    def cut(self) -> bool:
+        return self.blocks > 0
 
     @property
     def keys(self) -> list[str]:
         return [*self.by, BLOCK] if self.cut else self.by
 
+    def hand_over(self, df: DataFrame, per_block: DataFrame) -> DataFrame:
+        """Join a table with one row per block of the cut keys."""
+        return attach(df, F.broadcast(per_block) if self.blocks <= MAX_BROADCAST_BLOCKS else per_block, self.keys)
+
+
+def same_keys(keys: Sequence[str], prefix: str = "_key_") -> Column:
+    """Condition that each key equals its prefixed twin, NULL equal to NULL."""
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys], F.lit(True))
+
+
+def twins(df: DataFrame, keys: Sequence[str], prefix: str = "_key_") -> DataFrame:
+    return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], *[c for c in df.columns if c not in keys])
+
 
-def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of ``small`` on ``keys`` with NULL matching NULL; the key columns of ``small`` are dropped.
+def attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join of ``small`` on ``keys`` with NULL matching NULL; the key columns of ``small`` are dropped.
 
     Without keys both sides are global results of one row.
     """
-    renamed = small.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in small.columns if c not in keys]
-    )
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
-    return df.join(renamed, condition, "left").drop(*[f"_key_{k}" for k in keys])
+    return df.join(twins(small, keys), same_keys(keys), how).drop(*[f"_key_{k}" for k in keys])
 
 
 def sortable_double(df: DataFrame, name: str) -> Column:
@@ -65,95 +75,84 @@ def sortable_double(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot cut a series ordered by {kind.simpleString()} column {name!r}; order by a number or a time")
 
 
-def hot_keys(df: DataFrame, by: Sequence[str], min_rows: int, max_keys: int | None) -> tuple[DataFrame, int, int] | None:
-    """Keys with too many rows, the row limit used and the largest row count; None if there are none.
+def hot_keys(df: DataFrame, by: Sequence[str], min_rows: int) -> tuple[DataFrame, int, int] | None:
+    """Keys with more than ``min_rows`` rows and their row counts ``_rows``, how many they are, and the largest count.
 
-    With ``max_keys`` the limit also grows with the table, so at most that many keys can exceed it; being that few,
-    they are kept as a local table.
+    One job over the key columns; None if there are none.
     """
-    total = df.count()
-    if total <= min_rows:
-        return None
-    limit = max(min_rows, total // max_keys) if max_keys else min_rows
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = counts.agg(F.max("_rows")).first()[0]
-    if largest <= limit:
+    found = counts.agg(F.max("_rows").alias("largest"), F.count_if(F.col("_rows") > min_rows).alias("n")).first()
+    if not found["n"]:
         return None
-    keys = counts.where(F.col("_rows") > limit).select(*by)
-    if max_keys and by:
-        keys = df.sparkSession.createDataFrame(keys.collect(), keys.schema)
-    return keys, limit, largest
+    return landed(counts.where(F.col("_rows") > min_rows), "hot-keys"), found["n"], found["largest"]
 
 
-def settle(min_rows: int, by: Sequence[str], *tables: DataFrame) -> int:
-    """Row limit to hand to later steps on these tables: 0, which skips their probes, if no key is oversized."""
+def settle(min_rows: int, by: Sequence[str], *tables: DataFrame) -> DataFrame | None:
+    """The oversized keys of these tables together, or None: the census that later steps can be handed."""
     if not min_rows:
-        return 0
-    keys = [t.select(*by, F.lit(1).alias("_one")) for t in tables]
-    together = reduce(DataFrame.unionByName, keys)
-    return min_rows if hot_keys(together, by, min_rows, MAX_HOT_KEYS) else 0
-
-
-def cut_points(values: DataFrame, name: str, slices: int) -> list[float]:
-    """Increasing borders that cut a double column into about ``slices`` parts of equal size."""
-    shares = [i / slices for i in range(1, slices)]
-    points = values.approxQuantile(name, shares, 1.0 / (4 * slices)) if shares else []
-    return [-math.inf, *sorted({p for p in points if math.isfinite(p)}), math.inf]
-
-
-def with_slice(df: DataFrame, value: Column, borders: list[float], out: str) -> DataFrame:
-    """Number of the slice a double falls into; NULL sorts before slice 1."""
-    staged = df.withColumn("_sliced", value)
-    bucketizer = Bucketizer(splits=borders, inputCol="_sliced", outputCol="_bucket", handleInvalid="keep")
-    number = F.when(F.col("_sliced").isNull(), 0).otherwise(F.col("_bucket").cast("int") + 1)
-    return bucketizer.transform(staged).withColumn(out, number).drop("_sliced", "_bucket")
+        return None
+    together = reduce(DataFrame.unionByName, [t.select(*by, F.lit(1).alias("_one")) for t in tables])
+    found = hot_keys(together, by, min_rows)
+    return found[0] if found else None
 
 
 @dataclass(frozen=True)
 class Cut:
-    """Where to cut: the oversized keys (None for the whole table) and the borders between blocks."""
+    """Where to cut: for each oversized key its increasing ``_borders``, and bounds of their numbers."""
 
-    keys: DataFrame | None
-    borders: list[float]
+    borders: DataFrame
+    slices: int
+    blocks: int
 
 
-def plan_cut(
-    positions: DataFrame, by: Sequence[str], min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> Cut | None:
-    """Find oversized keys in a table of ``by`` and one more column, the position in the series.
+def plan_cut(positions: DataFrame, by: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> Cut | None:
+    """Find oversized keys in a table of ``by`` and one more column, the position in the series, and their borders.
 
-    The probe is one row count, and one count per key on tables above ``min_rows``. ``min_rows=0`` skips it for keys
-    known to be small. None means that nothing needs to be cut.
+    Borders are quantiles of the key's own positions, twice as many as blocks of ``min_rows`` rows need. ``min_rows=0``
+    skips the probe for keys known to be small. None means that nothing needs to be cut.
     """
-    found = hot_keys(positions, by, min_rows, max_keys) if min_rows else None
+    by = list(by)
+    found = hot_keys(positions, by, min_rows) if min_rows else None
     if found is None:
         return None
-    keys, limit, largest = found
+    keys, n_hot, largest = found
     (name,) = [c for c in positions.columns if c not in by]
-    hot_rows, n_hot = positions, 1
-    if by:
-        # At most ``max_keys`` rows: each hot key holds more than 1/max_keys of the table.
-        keys = F.broadcast(keys.withColumn("_hot", F.lit(True)))
-        hot_rows, n_hot = attach(positions, keys, by).where("_hot"), keys.count()
-    slices = max(2, min(MAX_SLICES, MAX_BLOCKS // n_hot, math.ceil(2 * largest / limit)))
-    return Cut(keys if by else None, cut_points(hot_rows.select(F.col(name).cast("double")), name, slices))
+    slices = max(2, math.ceil(2 * largest / min_rows))
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    points = F.percentile_approx(F.col(name).cast("double"), shares, F.lit(max(10_000, 8 * slices)))
+    members = attach(positions, keys, by, "inner")
+    own = F.ceil(F.col("_rows") * 2 / F.lit(min_rows))
+    # A key with fewer rows keeps as many of the borders as it needs.
+    kept = F.filter("_points", lambda _, i: F.floor((i + 1) * own / slices) > F.floor(i * own / slices))
+    measured = members.groupBy(*by).agg(points.alias("_points"), F.first("_rows").alias("_rows"))
+    borders = measured.select(*by, F.array_sort(F.array_distinct(F.filter(kept, lambda b: ~F.isnan(b)))).alias("_borders"))
+    return Cut(landed(borders.where("_borders is not null"), "borders"), slices, n_hot * (slices + 1))
+
+
+def slice_of(position: Column, slices: int) -> Column:
+    """How many of the row's ``_borders`` lie below ``position`` (0 for NULL): first by strides, then within one."""
+    stride = max(1, math.isqrt(slices))
+    borders = F.col("_borders")
+    heads = F.filter(borders, lambda b, i: (i % stride == 0) & (b < position))
+    start = F.greatest(F.size(heads) - 1, F.lit(0)) * stride
+    within = F.filter(F.slice(borders, start + 1, F.lit(stride)), lambda b: b < position)
+    return F.when(position.isNull(), 0).otherwise(start + F.size(within))
 
 
 def apply_cut(df: DataFrame, by: Sequence[str], position: Column, cut: Cut | None) -> Blocked:
     """Number the blocks of the oversized keys from 1; rows of other keys are in block 0."""
     by = list(by)
     if cut is None:
-        return Blocked(df, by, False)
-    flagged = df.withColumn("_hot", F.lit(True)) if cut.keys is None else attach(df, cut.keys, by)
-    sliced = with_slice(flagged, position, cut.borders, "_slice")
-    block = F.when(F.col("_hot"), F.col("_slice") + 1).otherwise(0)
-    return Blocked(sliced.withColumn(BLOCK, block).drop("_hot", "_slice"), by, True)
+        return Blocked(df, by)
+    joined = attach(df.withColumn("_position", position), cut.borders, by)
+    block = F.when(F.col("_borders").isNotNull(), slice_of(F.col("_position"), cut.slices) + 1).otherwise(0)
+    return Blocked(joined.withColumn(BLOCK, block).drop("_borders", "_position"), by, cut.blocks)
 
 
 def cut_series(df: DataFrame, by: Sequence[str], order: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> Blocked:
     """Give every row a block number if some key of ``by`` is oversized; blocks follow the first column of ``order``."""
     if not min_rows:
-        return Blocked(df, list(by), False)
+        return Blocked(df, list(by))
     position = sortable_double(df, order[0])
     cut = plan_cut(df.select(*by, position.alias("_position")), by, min_rows)
     return apply_cut(df, by, position, cut)

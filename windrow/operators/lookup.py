@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrow import presets
 from windrow.functions.clock import day_of_year_date
-from windrow.functions.numeric import lerp, nan_to_null, to_number_strict
-from windrow.operators.asof import asof_join
+from windrow.functions.numeric import finite_or_null, lerp, to_number_strict
 from windrow.operators.columns import update_non_null
-from windrow.session import bounded_broadcast
+from windrow.operators.fill import Carry, carry
+from windrow.operators.hot import MIN_HOT_ROWS, cut_series
 
 MAX_BROADCAST_INTERVALS = 1_000
 
@@ -27,12 +27,6 @@ def period_table(spark: SparkSession, periods: Sequence[tuple] = tuple(presets.H
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
-def _within(on: Column, start: Column, end: Column, bounds: str) -> Column:
-    lower = on >= start if bounds[0] == "[" else on > start
-    upper = on <= end if bounds[1] == "]" else on < end
-    return (start.isNull() | lower) & (end.isNull() | upper)
-
-
 def lookup_by_interval(
     df: DataFrame,
     table: DataFrame,
@@ -41,36 +35,51 @@ def lookup_by_interval(
     end: str,
     bounds: str = "(]",
     defaults: Mapping[str, float] | None = None,
+    max_broadcast: int | None = MAX_BROADCAST_INTERVALS,
+    min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Add the other columns of ``table`` for the interval that holds ``on``; NULL ends are open.
 
-    Intervals do not overlap. ``defaults`` apply where no interval matches; columns without one become NULL.
-    A table of up to 1,000 rows (counted) is broadcast; a longer one is matched by the last start before ``on``.
+    One row per row of ``df``. An interval counts up to its end or to where the next one starts; of intervals with one
+    start, the one that ends last counts. A NULL ``on`` lies in no interval. Numbers, dates and times are compared in
+    their own type. ``defaults`` apply where no interval matches; columns without one become NULL.
+
+    Up to ``max_broadcast`` intervals (counted) are broadcast and compared with every row; more are put in line with
+    the rows, and each row takes the last start before it. The result is the same. ``None`` says that the table is a
+    short parameter table and spares the count.
     """
     if len(bounds) != 2 or bounds[0] not in "[(" or bounds[1] not in "])":
         raise ValueError(f"unknown bounds {bounds!r}")
     values = [c for c in table.columns if c not in (start, end)]
-    named = table.select(F.col(start).alias("_start"), F.col(end).alias("_end"), *values)
-    if named.limit(MAX_BROADCAST_INTERVALS + 1).count() <= MAX_BROADCAST_INTERVALS:
-        hit = _within(F.col(on), F.col("_start"), F.col("_end"), bounds)
-        joined = df.join(F.broadcast(named), hit, "left")
+    named = table.select(F.col(start).alias("_start"), F.col(end).alias("_end"), F.struct(F.lit(1).alias("_one"), *values).alias("_row"))
+    longest = Window.partitionBy("_start").orderBy(F.col("_end").desc_nulls_first())
+    single = named.withColumn("_rank", F.row_number().over(longest)).where("_rank = 1").drop("_rank")
+    below = F.col("_end") >= F.col("_on") if bounds[1] == "]" else F.col("_end") > F.col("_on")
+    begun = F.col("_start") <= F.col("_on") if bounds[0] == "[" else F.col("_start") < F.col("_on")
+    rows = df.withColumn("_on", F.col(on))
+    if max_broadcast is None or single.limit(max_broadcast + 1).count() <= max_broadcast:
+        following = single.withColumn("_next", F.lead("_start").over(Window.orderBy(F.col("_start").asc_nulls_first())))
+        ended = F.col("_next") <= F.col("_on") if bounds[0] == "[" else F.col("_next") < F.col("_on")
+        inside = F.coalesce(begun, F.lit(True)) & ~F.coalesce(ended, F.lit(False)) & F.col("_on").isNotNull()
+        joined = rows.join(F.broadcast(following), inside, "left").withColumn("_seen", F.struct("_end", "_row"))
     else:
-        # An instant on a shared border belongs to the interval it closes when starts are excluded, so those
-        # count from one microsecond later.
-        shift = F.expr("interval 1 microsecond") if bounds[0] == "(" else F.expr("interval 0 microsecond")
-        beginning = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
-        starts = named.withColumn("_from", F.coalesce(F.col("_start").cast("timestamp_ntz") + shift, beginning))
-        lefts = df.withColumn("_from", F.col(on).cast("timestamp_ntz"))
-        joined = asof_join(lefts, starts, "_from", (), ["_start", "_end", *values], "backward").drop("_from")
-        hit = _within(F.col(on), F.col("_start"), F.col("_end"), bounds)
-        joined = joined.withColumns({c: F.when(hit, F.col(c)) for c in values})
-    filled = {c: F.coalesce(F.col(c), F.lit(v)) for c, v in (defaults or {}).items()}
-    return joined.withColumns(filled).drop("_start", "_end")
-
-
-def period_linear(df: DataFrame, table: DataFrame, on: str, col: str, bounds: str = "[]") -> DataFrame:
+        # Starts stand before the rows of their own value where they are part of the interval, else after them.
+        starts = single.select(F.col("_start").alias("_at"), F.lit(0 if bounds[0] == "[" else 2).alias("_side"), F.struct("_end", "_row").alias("_mark"))
+        union = rows.withColumns({"_at": F.col("_on"), "_side": F.lit(1)}).unionByName(starts, allowMissingColumns=True)
+        # An open start stands before everything; a NULL value is last of all NULLs and drops out below.
+        joined = carry(cut_series(union, [], ["_at"], min_hot_rows), ["_at", "_side"], [Carry("_seen", F.col("_mark"))]).where("_side = 1")
+    held = F.when(F.col("_on").isNotNull() & F.col("_seen._row").isNotNull(), F.col("_seen"))
+    found = joined.withColumn("_hit", held).withColumn("_end", F.col("_hit._end"))
+    found = found.withColumn("_hit", F.when(F.coalesce(below, F.lit(True)), F.col("_hit")))
+    filled = [F.coalesce(F.col(f"_hit._row.{c}"), F.lit(defaults[c])).alias(c) if c in (defaults or {}) else F.col(f"_hit._row.{c}").alias(c) for c in values]
+    return found.select(*df.columns, *filled)
+
+
+def period_linear(
+    df: DataFrame, table: DataFrame, on: str, col: str, bounds: str = "[]", max_broadcast: int | None = MAX_BROADCAST_INTERVALS
+) -> DataFrame:
     """``slope * col + intercept`` with the parameters of the period that holds ``on``, unchanged in gaps."""
-    joined = lookup_by_interval(df, table, on, "start", "end", bounds, {"slope": 1.0, "intercept": 0.0})
+    joined = lookup_by_interval(df, table, on, "start", "end", bounds, {"slope": 1.0, "intercept": 0.0}, max_broadcast)
     corrected = F.col("slope") * F.col(col) + F.col("intercept")
     return update_non_null(joined, {col: corrected}).select(*df.columns)
 
@@ -143,12 +152,12 @@ def apply_dated_factor(
     outside the table) or ``error``.
     """
     wanted = factors.select(F.col(on).alias("_date"), F.lit(True).alias("_found"), *dict.fromkeys(cols.values()))
-    joined = df.join(bounded_broadcast(wanted), F.col(date) == F.col("_date"), "left")
+    joined = df.join(wanted, F.col(date) == F.col("_date"), "left")
     missing = F.col("_found").isNull()
     if on_missing == "error":
         message = F.concat(F.lit("no factor for "), F.coalesce(F.col(date).cast("string"), F.lit("NULL")))
         joined = joined.withColumn("factor_missing", F.when(missing, F.raise_error(message).cast("boolean")).otherwise(False))
     else:
         joined = joined.withColumn("factor_missing", missing)
-    updated = update_non_null(joined, {c: nan_to_null(F.col(c) * F.col(f)) for c, f in cols.items()})
+    updated = update_non_null(joined, {c: finite_or_null(F.col(c) * F.col(f)) for c, f in cols.items()})
     return updated.select(*df.columns, "factor_missing")

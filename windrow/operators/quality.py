@@ -26,9 +26,9 @@ def densify_days(daily: DataFrame, date: str = "date") -> DataFrame:
 
 
 def availability_matrix(daily: DataFrame, date: str = "date", measure: str = "mb") -> DataFrame:
-    """Months by days of the month. The listed days spare the job that would look for them."""
+    """Months by days of the month; several rows of a day add up. The listed days spare the job that would look for them."""
     labelled = date_labels(daily, date)
-    return labelled.groupBy("year_month").pivot("day", list(range(1, 32))).agg(F.first(measure))
+    return labelled.groupBy("year_month").pivot("day", list(range(1, 32))).agg(F.sum(measure))
 
 
 def profile_columns(df: DataFrame, cols: Sequence[str], units: Mapping[str, str] | None = None) -> DataFrame:

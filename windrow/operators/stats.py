@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.functions.numeric import decode_number
-from windrow.operators.hot import MAX_SLICES, attach, cut_points, hot_keys, with_slice
+from windrow.operators.hot import BLOCK, apply_cut, attach, hot_keys, plan_cut
 from windrow.presets import MISSING_NUMBER
-from windrow.session import bounded_broadcast
 
 QUANTILES = {"q01": 0.01, "q05": 0.05, "median": 0.5, "q95": 0.95, "q99": 0.99}
 BASIC = ("count", "min", "max", "mean", "std")
@@ -33,23 +31,22 @@ def _name(col: str, stat: str) -> str:
     return f"{col}__{stat}"
 
 
-def ranked_quantiles(
-    df: DataFrame, by: Sequence[str], col: str, probabilities: Sequence[float], slices: int
-) -> DataFrame:
-    """Exact interpolated quantiles of groups too large for one task, as an array column ``_quantiles``.
+def ranked_quantiles(df: DataFrame, by: Sequence[str], probabilities: Sequence[float], min_rows: int) -> DataFrame:
+    """Exact interpolated quantiles of the column ``_v`` of groups too large for one task, as an array ``_quantiles``.
 
-    Equal values are counted before the shuffle. The counted values are cut into slices of similar size; slice
-    totals tell which slices hold the wanted ranks, and only those are sorted.
+    Equal values are counted before the shuffle. The counted values of a group are cut at quantiles of that group;
+    totals per slice tell which slices hold the wanted ranks, and only those are sorted.
     """
     by = list(by)
-    values = df.where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("_v"))
-    borders = cut_points(values, "_v", slices)
+    values = df.where(F.col("_v").isNotNull()).select(*by, "_v")
+    cut = plan_cut(values, by, min_rows)
     counted = values.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    sliced = with_slice(counted, F.col("_v"), borders, "_slice")
+    series = apply_cut(counted, by, F.col("_v"), cut)
+    sliced = series.df if series.cut else series.df.withColumn(BLOCK, F.lit(0))
 
-    totals = sliced.groupBy(*by, "_slice").agg(F.sum("_n").alias("_m"))
+    totals = sliced.groupBy(*by, BLOCK).agg(F.sum("_n").alias("_m"))
     everything = Window.partitionBy(*by)
-    earlier = everything.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = everything.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     placed = totals.withColumns(
         {"_before": F.coalesce(F.sum("_m").over(earlier), F.lit(0)), "_total": F.sum("_m").over(everything)}
     )
@@ -67,11 +64,9 @@ def ranked_quantiles(
     in_slice = F.filter(
         targets, lambda t: (t["rank"] >= F.col("_before")) & (t["rank"] < F.col("_before") + F.col("_m"))
     )
-    wanted = placed.select(*by, "_slice", "_before", "_total", in_slice.alias("_targets")).where(
-        F.size("_targets") > 0
-    )
-    rows = attach(sliced, wanted, [*by, "_slice"]).where("_targets is not null")
-    running = Window.partitionBy(*by, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = placed.select(*by, BLOCK, "_before", "_total", in_slice.alias("_targets")).where(F.size("_targets") > 0)
+    rows = attach(sliced, wanted, [*by, BLOCK], "inner")
+    running = Window.partitionBy(*by, BLOCK).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     reached = rows.withColumn("_upto", F.col("_before") + F.sum("_n").over(running))
     hits = F.filter(
         "_targets", lambda t: (t["rank"] < F.col("_upto")) & (t["rank"] >= F.col("_upto") - F.col("_n"))
@@ -83,22 +78,21 @@ def ranked_quantiles(
             F.max(F.when((F.col("_t.i") == i) & (F.col("_t.side") == side), F.col("_v"))) for side in ("floor", "ceil")
         )
         position = F.lit(p) * (F.max("_total") - 1)
-        ends[p] = low + (high - low) * (position - F.floor(position))
+        # The same sum as in the built-in percentile, so that infinite values give the same too.
+        between = (F.ceil(position) - position) * low + (position - F.floor(position)) * high
+        ends[p] = F.when(low == high, low).otherwise(between)
     return picked.groupBy(*by).agg(F.array(*ends.values()).alias("_quantiles"))
 
 
-def _with_ranked(base: DataFrame, df: DataFrame, by, cols, keys, largest, max_rows) -> DataFrame:
-    """Fill the quantiles of the groups listed in ``keys`` into the summary ``base``."""
-    if by:
-        members = attach(df, bounded_broadcast(keys.withColumn("_hot", F.lit(True))), by).where("_hot").drop("_hot")
-    else:
-        members = df
-    slices = max(2, min(MAX_SLICES, math.ceil(2 * largest / max_rows)))
-    for c in cols:
-        ranked = ranked_quantiles(members, by, c, list(QUANTILES.values()), slices)
-        base = attach(base, ranked.withColumnRenamed("_quantiles", f"_ranked_{c}"), by)
-        base = base.withColumn(f"_q_{c}", F.coalesce(f"_ranked_{c}", f"_q_{c}")).drop(f"_ranked_{c}")
-    return base
+def _with_ranked(base: DataFrame, df: DataFrame, by, cols, keys, max_rows) -> DataFrame:
+    """Fill the quantiles of the groups listed in ``keys`` into the summary ``base``; all columns in one pass."""
+    members = attach(df, keys.select(*by), by, "left_semi") if by else df
+    pairs = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("_v")) for c in cols])
+    ranked = ranked_quantiles(members.select(*by, F.inline(pairs)), [*by, "_c"], list(QUANTILES.values()), max_rows)
+    wide = ranked.groupBy(*by).agg(*[F.max(F.when(F.col("_c") == c, F.col("_quantiles"))).alias(f"_ranked_{c}") for c in cols])
+    joined = attach(base, wide, by)
+    filled = {f"_q_{c}": F.coalesce(f"_ranked_{c}", f"_q_{c}") for c in cols}
+    return joined.withColumns(filled).drop(*[f"_ranked_{c}" for c in cols])
 
 
 def summarize(
@@ -114,23 +108,19 @@ def summarize(
     """Ten statistics of every column per group, one row per group with columns named ``col__stat``.
 
     ``extra`` adds statistics: a callable gets the column and returns an aggregate. ``groups`` lists groups that
-    shall appear even if ``df`` has no row for them. Quantiles interpolate linearly; ``exact=False`` uses sketches.
+    shall appear even if ``df`` has no row for them; groups that are not listed stay. Quantiles interpolate linearly; ``exact=False`` uses sketches.
     Groups above ``max_percentile_rows`` get their exact quantiles by ranked slices, since the built-in percentile
     would hold all their values in one task; None skips the probe when group sizes are known to be small.
     """
     by, cols, extra = list(by), list(cols), dict(extra or {})
     clean = df.select(*by, *[decode_number(F.col(c).cast("double"), missing).alias(c) for c in cols])
-    found = hot_keys(clean, by, max_percentile_rows, None) if exact and max_percentile_rows else None
+    found = hot_keys(clean, by, max_percentile_rows) if exact and max_percentile_rows else None
 
     shares = F.array(*[F.lit(p) for p in QUANTILES.values()])
     measured, source = [], clean
     if found is not None:
-        keys, _, largest = found
-        flag = F.lit(True)
-        if by:
-            source = attach(clean, bounded_broadcast(keys.withColumn("_hot", F.lit(True))), by)
-            flag = F.coalesce(F.col("_hot"), F.lit(False))
-        source = source.withColumn("_hot", flag)
+        flags = found[0].select(*by, F.lit(True).alias("_hot"))
+        source = attach(clean, flags, by).withColumn("_hot", F.coalesce("_hot", F.lit(False)))
     for c in cols:
         measured += [agg.alias(_name(c, s)) for s, agg in _basic(c).items()]
         measured += [make(F.col(c)).alias(_name(c, s)) for s, make in extra.items()]
@@ -141,7 +131,7 @@ def summarize(
             measured.append(F.percentile(small, shares).alias(f"_q_{c}"))
     base = source.groupBy(*by).agg(*measured)
     if found is not None:
-        base = _with_ranked(base, clean, by, cols, keys, largest, max_percentile_rows)
+        base = _with_ranked(base, clean, by, cols, found[0], max_percentile_rows)
 
     out = []
     for c in cols:
@@ -150,8 +140,9 @@ def summarize(
     wide = base.select(*by, *out)
     if groups is None:
         return wide
-    listed = groups.select(*by).join(wide, by, "left")
-    return listed.withColumns({_name(c, "count"): F.coalesce(_name(c, "count"), F.lit(0)) for c in cols})
+    counts = [_name(c, "count") for c in cols]
+    empty = attach(groups.select(*by).distinct(), wide.select(*by), by, "left_anti")
+    return wide.unionByName(empty.withColumns({c: F.lit(0).cast("bigint") for c in counts}), allowMissingColumns=True)
 
 
 def to_long(wide: DataFrame, by: Sequence[str], cols: Sequence[str], units: Mapping[str, str] | None = None, extra: Sequence[str] = ()) -> DataFrame:
@@ -187,9 +178,10 @@ def robust_bounds(long: DataFrame) -> DataFrame:
     return long.groupBy("variable", "unit").agg(F.min("q01").alias("lower"), F.max("q99").alias("upper"))
 
 
-def trend_bands(long: DataFrame, time: str) -> DataFrame:
+def trend_bands(long: DataFrame, time: str, by: Sequence[str] = ()) -> DataFrame:
     """Median, percentile band, mean with its spread and count over time, per variable."""
     return long.select(
+        *by,
         "variable",
         "unit",
         time,

@@ -4,37 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow import presets
 from windrow.functions.clock import file_time, timestamp_from_text
 from windrow.operators import columns, fill, lookup, quality, stats
 from windrow.operators.asof import interpolate_linear
-from windrow.operators.hot import MIN_HOT_ROWS, settle
-from windrow.session import checkpointed, pin
+from windrow.operators.hot import MIN_HOT_ROWS, attach, settle
+from windrow.session import clear_shared, landed
 from windrow.sources import files, sinks
 
 FAST = ("U", "V", "W", "T_SONIC", "CO2", "H2O")
-SLOW = ("Pa", "Plic", "Ta", "Tlic")
+SLOW = ("Pa", "Plic", "Ta", "Tlic", "Xa", "Rhoa")
 UNITS = dict([*presets.RAW_COLUMNS.values(), *presets.AUX_COLUMNS.values()])
 AUX_MAPPING = {**presets.AUX_COLUMNS, ("Date", "[-]"): ("Date", "[-]"), ("Time", "[-]"): ("Time", "[-]")}
 
 
+def dated_slow(aux: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Slow rows with their time: date and time texts filled forward."""
+    dated = fill.ffill(aux, ["file_id"], ["row_idx"], ["Date", "Time"], min_hot_rows)
+    return dated.withColumn("ts", timestamp_from_text(F.col("Date"), F.col("Time"))).drop("Date", "Time")
+
+
 def prepare_slow(aux: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Slow rows with a time: date and time texts filled forward, the last of several rows of a second kept.
+    """Slow rows with a time, the last of several rows of a second kept.
 
-    Rows whose time cannot be read are left out.
+    Rows whose time cannot be read are left out here; ``run_batch`` lists them among the rejects.
     """
-    dated = fill.ffill(aux, ["file_id"], ["row_idx"], ["Date", "Time"], min_hot_rows)
-    timed = dated.withColumn("ts", timestamp_from_text(F.col("Date"), F.col("Time"))).drop("Date", "Time")
-    return fill.dedupe_last(timed.where("ts is not null"), ["file_id", "ts"], ["row_idx"])
+    return fill.dedupe_last(dated_slow(aux, min_hot_rows).where("ts is not null"), ["file_id", "ts"], ["row_idx"])
+
+
+def extra_units(names: Sequence[str]) -> dict[str, str]:
+    """Unit of unknown columns, which are called by header name and unit."""
+    return {n: n[n.rindex("[") :] if n.endswith("]") and "[" in n else "[-]" for n in names}
+
+
+def unknown_names(rows: DataFrame) -> list[str]:
+    """Names of the unknown columns of all files, sorted; one per distinct header entry."""
+    return sorted(r[0] for r in rows.select(F.explode(F.map_keys("extras"))).distinct().collect())
+
+
+def spread_extras(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Unknown columns as columns of their own in place of the map ``extras``."""
+    if "extras" not in rows.columns:
+        return rows
+    return rows.withColumns({n: F.element_at("extras", F.lit(n)) for n in names}).drop("extras")
 
 
 def convert_series(
     raw: DataFrame,
     slow: DataFrame,
-    slow_cols: Sequence[str] = SLOW,
+    slow_cols: Sequence[str] | None = None,
+    raw_extra: Sequence[str] = (),
+    slow_extra: Sequence[str] = (),
     late_decode: bool = False,
     on_missing: str = "keep",
     factors: DataFrame | None = None,
@@ -46,44 +69,58 @@ def convert_series(
     """Fast rows on their exact time axis with slow columns, gaps filled, gases calibrated.
 
     ``raw`` has file_id, start_ts, row_idx, the six measured columns as read and, if its files are not those of the
-    preset eras, co2_mult and h2o_mult; ``slow`` has file_id, ts and its values. All work on the fast side after the first shuffle by file stays in that partitioning. ``late_decode``
-    treats -9999 as a number until calibration, as older outputs did. ``factors`` (date, co2_factor, h2o_factor) are
-    applied last, by the start day of the file.
+    preset eras, co2_mult and h2o_mult; ``slow`` has file_id, ts and its values (``slow_cols``; by default all
+    known ones that it has). ``raw_extra`` and ``slow_extra`` name
+    unknown columns (of the maps ``extras`` or columns of their own) that are filled, and interpolated, like others.
+    After the first shuffle by file all work on the fast side stays in that partitioning. Files with more than
+    ``min_hot_rows`` rows (0: there are none) are converted apart, cut into blocks. ``late_decode`` treats -9999 as a
+    number until calibration, as older outputs did. ``factors`` (date, co2_factor, h2o_factor) are applied last, by the
+    start day of the file.
     """
-    slow_cols = list(slow_cols)
-    min_hot_rows = settle(min_hot_rows, ["file_id"], raw, slow)
-    timed = fill.assign_time_axis(raw, period_ps=period_ps)
-    if "co2_mult" not in timed.columns:
-        timed = with_era(timed)
-    if not late_decode:
-        timed = columns.decode_missing(timed, FAST)
-        slow = columns.decode_missing(slow, slow_cols)
-    converted = columns.convert_units(timed).drop("co2_mult", "h2o_mult")
-    if min_hot_rows:
-        # Cut series are read again for what crosses their blocks; keep that from repeating all steps before.
-        converted, slow = checkpointed(converted), checkpointed(slow)
-    merged = interpolate_linear(
-        converted, slow, "ts", ["file_id"], slow_cols, tolerance_us, grid_us, min_hot_rows
-    )
-    measured = [*FAST, *slow_cols]
-    if min_hot_rows:
-        merged = checkpointed(merged)
-    filled = fill.bffill(merged, ["file_id"], ["row_idx"], measured, min_hot_rows)
-    if late_decode:
-        filled = columns.decode_missing(filled, measured)
-    calibrated = columns.calibrate_gas(filled, on_missing=on_missing)
+    known = [c for c in SLOW if c in slow.columns] if slow_cols is None else slow_cols
+    slow_cols = [*known, *slow_extra]
+    raw, slow = spread_extras(raw, raw_extra), spread_extras(slow, slow_extra)
+    measured = [*FAST, *raw_extra, *slow_cols]
+
+    def convert(raw: DataFrame, slow: DataFrame, limit: int) -> DataFrame:
+        timed = fill.assign_time_axis(raw, period_ps=period_ps)
+        if "co2_mult" not in timed.columns:
+            timed = with_era(timed)
+        if not late_decode:
+            timed = columns.decode_missing(timed, [*FAST, *raw_extra])
+            slow = columns.decode_missing(slow, slow_cols)
+        converted = columns.convert_units(timed).drop("co2_mult", "h2o_mult")
+        if limit:
+            # Cut series are read again for what crosses their blocks; keep that from repeating all steps before.
+            converted, slow = landed(converted, "converted"), landed(slow, "slow")
+        merged = interpolate_linear(converted, slow, "ts", ["file_id"], slow_cols, tolerance_us, grid_us, limit)
+        if limit:
+            merged = landed(merged, "merged")
+        filled = fill.bffill(merged, ["file_id"], ["row_idx"], measured, limit)
+        if late_decode:
+            filled = columns.decode_missing(filled, measured)
+        return columns.calibrate_gas(filled, on_missing=on_missing)
+
+    oversized = settle(min_hot_rows, ["file_id"], raw, slow)
+    if oversized is None:
+        calibrated = convert(raw, slow, 0)
+    else:
+        few = oversized.select("file_id")
+        ordinary = convert(*(attach(side, few, ["file_id"], "left_anti") for side in (raw, slow)), 0)
+        calibrated = ordinary.unionByName(convert(*(attach(side, few, ["file_id"], "left_semi") for side in (raw, slow)), min_hot_rows))
     if factors is not None:
         dated = calibrated.withColumn("_day", F.to_date("start_ts"))
         gases = {"CO2": "co2_factor", "H2O": "h2o_factor"}
         calibrated = lookup.apply_dated_factor(dated, factors, "_day", gases).drop("_day")
-    return columns.with_units(calibrated, {c: UNITS[c] for c in measured})
+    units = UNITS | extra_units([*raw_extra, *slow_extra])
+    return columns.with_units(calibrated, {c: units[c] for c in measured})
 
 
 def with_era(files_df: DataFrame) -> DataFrame:
     """Files with the amplifier multipliers of their start time."""
     defaults = {"co2_mult": 1.0, "h2o_mult": 1.0}
     eras = lookup.era_table(files_df.sparkSession)
-    return lookup.lookup_by_interval(files_df, eras, "start_ts", "after", "until", "(]", defaults)
+    return lookup.lookup_by_interval(files_df, eras, "start_ts", "after", "until", "(]", defaults, max_broadcast=None)
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -95,59 +132,114 @@ def _started(df: DataFrame) -> DataFrame:
     return with_era(_named(df).withColumn("start_ts", file_time(F.col("file_id"))))
 
 
-def read_pairs(
-    spark: SparkSession, root: str, max_bytes: int = files.MAX_WHOLE_FILE
-) -> tuple[DataFrame, DataFrame, bool]:
-    """Fast rows and slow rows of all pairs below ``root``, values as read, and whether a file was read in splits."""
-    pairs = files.discover_pairs(spark, root)
-    sides = {}
-    for side, describe, mapping, helpers, layout in (
-        ("raw", _started, presets.RAW_COLUMNS, presets.RAW_HELPERS, presets.RAW_LAYOUT),
-        ("aux", _named, AUX_MAPPING, (), presets.AUX_LAYOUT),
-    ):
-        # One path per file above the limit: at most the size of the folder over that limit.
-        large = pairs.where(F.col(f"{side}_len") > max_bytes).select(f"{side}_path").collect()
-        listed = files.list_files(spark, root, side)
-        sides[side] = large, files.read_rows(
-            spark, root, side, describe, mapping, helpers=helpers, max_bytes=max_bytes, large=[r[0] for r in large],
-            unwanted=files.unpaired(listed, pairs, f"{side}_path"), **layout,
-        )
-    (large_raw, raw), (large_aux, aux) = sides["raw"], sides["aux"]
-    return (
-        files.canonical_columns(raw, (), FAST),
-        files.canonical_columns(aux, ("Date", "Time"), (*SLOW, "Xa", "Rhoa")),
-        bool(large_raw or large_aux),
-    )
+class Folder:
+    """A folder of paired files: its listing (taken once and landed), its pairs, what no pair uses, and its rows."""
 
+    def __init__(self, spark: SparkSession, root: str, max_bytes: int = files.MAX_WHOLE_FILE):
+        self.spark, self.root, self.max_bytes = spark, root, max_bytes
+        self.listed = {side: landed(files.list_files(spark, root, side), f"{side}-files") for side in ("raw", "aux")}
+        self.pairs = landed(files.pairs_of(self.listed["raw"], self.listed["aux"]), "pairs")
+        self.unusable = landed(files.unusable(self.listed["raw"], self.listed["aux"]), "unusable")
+        self.split = bool(self.pairs.where(F.greatest("raw_len", "aux_len") > max_bytes).limit(1).count())
 
-def convert_pairs(spark: SparkSession, root: str, max_bytes: int = files.MAX_WHOLE_FILE, **options) -> DataFrame:
-    """All pairs below ``root`` as one lazy DataFrame of calibrated rows.
+    def rows(self) -> tuple[DataFrame, DataFrame]:
+        """Fast rows and slow rows of all pairs, values as read; rejected lines have no ``row_idx`` but their ``line``."""
+        raw, aux = (
+            files.read_rows(
+                self.spark, self.root, side, describe, mapping, helpers=helpers, max_bytes=self.max_bytes, large=self.split,
+                unwanted=self.unusable, **layout,
+            )
+            for side, describe, mapping, helpers, layout in (
+                ("raw", _started, presets.RAW_COLUMNS, presets.RAW_HELPERS, presets.RAW_LAYOUT),
+                ("aux", _named, AUX_MAPPING, (), presets.AUX_LAYOUT),
+            )
+        )
+        return files.canonical_columns(raw, (), FAST), files.canonical_columns(aux, ("Date", "Time"), SLOW)
 
-    As long as every file is read whole, a file bounds its own group and no probe for oversized groups is run.
-    """
-    pin(spark)
-    raw, aux, split = read_pairs(spark, root, max_bytes)
-    limit = options.pop("min_hot_rows", MIN_HOT_ROWS if split else 0)
-    return convert_series(raw, prepare_slow(aux, limit), min_hot_rows=limit, **options)
+
+def accepted(rows: DataFrame) -> DataFrame:
+    return rows.where("NOT malformed").drop("line", "malformed")
 
 
-def run_batch(spark: SparkSession, indir: str, outdir: str, csv: bool = False, **options) -> DataFrame:
-    """Convert a folder: series as Parquet (and text), statistics, manifest. Returns the wide statistics.
+def convert_pairs(spark: SparkSession, root: str, max_bytes: int = files.MAX_WHOLE_FILE, raw_extra: Sequence[str] = (), slow_extra: Sequence[str] = (), **options) -> DataFrame:
+    """All pairs below ``root`` as one lazy DataFrame of calibrated rows; lines with surplus cells are left out.
 
-    The statistics read the written series, so the conversion runs once.
+    Unknown columns are carried if they are named (as ``name unit``); ``run_batch`` finds their names by itself. As
+    long as every file is read whole, a file bounds its own group and no probe for oversized groups is run.
     """
-    converted = convert_pairs(spark, indir, **options)
+    folder = Folder(spark, root, max_bytes)
+    raw, aux = (accepted(rows) for rows in folder.rows())
+    limit = options.pop("min_hot_rows", MIN_HOT_ROWS if folder.split else 0)
+    return convert_series(raw, prepare_slow(aux, limit), raw_extra=raw_extra, slow_extra=slow_extra, min_hot_rows=limit, **options)
+
+
+def rejects(folder: Folder, raw: DataFrame, aux: DataFrame, dated: DataFrame) -> DataFrame:
+    """What a batch leaves out, as (side, file_id, path, row_idx, line, reason): lines, slow rows without time, files."""
+    none = F.lit(None)
+
+    def listed(df: DataFrame, side: Column, reason: Column, **given: Column) -> DataFrame:
+        kinds = {"file_id": "string", "path": "string", "row_idx": "bigint", "line": "string"}
+        return df.select(side.alias("side"), *[given.get(c, none).cast(k).alias(c) for c, k in kinds.items()], reason.alias("reason"))
+
+    parts = [
+        listed(rows.where("malformed"), F.lit(side), F.lit("more cells than the header"), file_id=F.col("file_id"), line=F.col("line"))
+        for side, rows in (("raw", raw), ("aux", aux))
+    ]
+    parts.append(listed(dated.where("ts is null"), F.lit("aux"), F.lit("no readable time"), file_id=F.col("file_id"), row_idx=F.col("row_idx")))
+    ending = F.lower(F.element_at(F.split("path", r"\."), -1))
+    parts.append(listed(folder.unusable, ending, F.col("reason"), path=F.col("path")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def run_batch(spark: SparkSession, indir: str, outdir: str, csv: bool = False, max_bytes: int = files.MAX_WHOLE_FILE, **options) -> DataFrame:
+    """Convert a folder: series as Parquet (and text), units, statistics, trends, rejects, manifest.
+
+    Returns the wide statistics per file. The texts are read once: parsed rows are landed first, and unknown columns,
+    rejects and the conversion read that table. Statistics read the written series, trends the written statistics.
+    """
+    folder = Folder(spark, indir, max_bytes)
+    raw, aux = (landed(rows, "parsed") for rows in folder.rows())
+    extra = {"raw_extra": unknown_names(raw), "slow_extra": unknown_names(aux)}
+    limit = options.pop("min_hot_rows", MIN_HOT_ROWS if folder.split else 0)
+    dated = landed(dated_slow(accepted(aux), limit), "dated")
+    slow = fill.dedupe_last(dated.where("ts is not null"), ["file_id", "ts"], ["row_idx"])
+    converted = convert_series(accepted(raw), slow, min_hot_rows=limit, **extra, **options)
     units = columns.units_of(converted)
     sinks.write_series(converted, f"{outdir}/series")
+    rejects(folder, raw, aux, dated).write.parquet(f"{outdir}/rejects")
     series = spark.read.parquet(f"{outdir}/series").drop("date")
     if csv:
-        text = series.select("start_ts", "row_idx", "ts", *units)
-        sinks.write_series(text, f"{outdir}/series_csv", "csv", units=units, drop_ts=True)
+        text = series.select("file_id", "row_idx", "ts", *units)
+        sinks.write_series(text, f"{outdir}/series_csv", "csv", units=units, files=folder.pairs, drop_ts=True)
     sinks.write_units(converted, units, f"{outdir}/units")
-    pairs = files.discover_pairs(spark, indir)
-    wide = stats.summarize(series, ["start_ts"], sorted(units), groups=pairs)
-    sinks.write_stats(wide, f"{outdir}/stats", units=units)
-    # Pairs with their multipliers; n_ambiguous is set where several header entries mean the same column.
-    manifest = quality.file_manifest(series, malformed="malformed", flags=("ambiguous", "calibrated"))
-    with_era(pairs).join(manifest, "file_id", "left").write.parquet(f"{outdir}/manifest")
+    by = ["file_id", "start_ts"]
+    stats.summarize(series, by, sorted(units), groups=folder.pairs).write.parquet(f"{outdir}/stats")
+    wide = spark.read.parquet(f"{outdir}/stats")
+    sinks.write_stats(wide, f"{outdir}/stats_csv", units=units)
+    long = stats.to_long(wide, by, sorted(units), units)
+    stats.trend_bands(long, "start_ts", ["file_id"]).write.parquet(f"{outdir}/trends")
+    stats.robust_bounds(long).write.parquet(f"{outdir}/bounds")
+    manifest(folder, series, raw, aux, dated).write.parquet(f"{outdir}/manifest")
+    clear_shared(spark)
     return wide
+
+
+def manifest(folder: Folder, series: DataFrame, raw: DataFrame, aux: DataFrame, dated: DataFrame) -> DataFrame:
+    """One row per pair: multipliers, sizes, rows of both sides in and out, and unknown columns.
+
+    ``n_ambiguous`` counts rows of files where several header entries mean the same column.
+    """
+    written = quality.file_manifest(series, flags=("ambiguous", "calibrated"))
+    facts = with_era(folder.pairs).join(written, "file_id", "left").drop("n_malformed")
+    for side, rows in (("raw", raw), ("aux", aux)):
+        counted = rows.groupBy("file_id").agg(
+            F.count(F.lit(1)).alias(f"{side}_lines"),
+            F.count_if("malformed").alias(f"{side}_malformed"),
+            F.array_sort(F.flatten(F.collect_set(F.map_keys("extras")))).alias(f"{side}_unknown"),
+        )
+        facts = facts.join(counted, "file_id", "left")
+    timeless = dated.groupBy("file_id").agg(F.count_if(F.col("ts").isNull()).alias("aux_without_time"))
+    return facts.join(timeless, "file_id", "left")

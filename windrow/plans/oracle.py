@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from windrow import presets
-
 NUMBER = r"'^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$'"
 
 
@@ -11,15 +9,20 @@ def number(text: str) -> str:
     return f"CASE WHEN regexp_full_match(trim({text}), {NUMBER}) THEN TRY_CAST(trim({text}) AS DOUBLE) END"
 
 
-def single(expression: str) -> str:
-    return f"CAST(CAST(round({expression}, 9) AS FLOAT) AS DOUBLE)"
+def steady(expression: str) -> str:
+    """Cut to 28 binary digits."""
+    return f"(({expression})::DOUBLE * 33554433 - (({expression})::DOUBLE * 33554433 - ({expression})::DOUBLE))"
+
+
+def exact(expression: str) -> str:
+    return f"({expression})::DOUBLE"
 
 
-def singles(cols, quote: str = "") -> str:
-    return ", ".join(f"{single(c)} AS {quote}{c}{quote}" for c in cols)
+def steadies(cols, quote: str = "", names: dict[str, str] | None = None) -> str:
+    return ", ".join(f"{steady(c)} AS {quote}{(names or {}).get(c, c)}{quote}" for c in cols)
 
 
-def summary(col: str, prefix: str = "", cut=single) -> str:
+def summary(col: str, prefix: str = "", cut=steady) -> str:
     """Ten statistics of a column, named with a prefix."""
     parts = [f'count({col}) AS "{prefix}count"']
     calls = {
@@ -45,7 +48,7 @@ LINE_UNITS = {"l_quantity": "[pcs]", "l_extendedprice": "[usd]", "l_discount": "
 def line_long() -> str:
     return " UNION ALL ".join(
         f"SELECT l_returnflag, '{c}' AS variable, '{u}' AS unit, {summary(c)}, "
-        f"{single(f'max({c}) - min({c})')} AS spread FROM lineitem GROUP BY l_returnflag"
+        f"{steady(f'max({c}) - min({c})')} AS spread FROM lineitem GROUP BY l_returnflag"
         for c, u in LINE_UNITS.items()
     )
 
@@ -161,6 +164,9 @@ DOC_LINES = """doc AS (
     SELECT doc_id, n0 + extra AS width, unnest(data) AS line, generate_subscripts(data, 1) - 1 AS row_idx FROM sized
 ), doc_cells AS (
     SELECT *, string_split(line, ' ') AS cells FROM doc_rows
+), doc_unquoted AS (
+    SELECT * REPLACE (list_transform(cells, lambda c: CASE WHEN length(c) > 1 AND c[1] = '"' AND c[-1] = '"'
+        THEN replace(c[2:-2], '""', '"') ELSE c END) AS cells) FROM doc_cells
 )"""
 
 
@@ -169,32 +175,41 @@ def calibrated(source: str, keep: str) -> str:
     return f"""SELECT {keep}, coalesce(h, H2O) AS H2O, coalesce(c, CO2) AS CO2,
         h IS NOT NULL AND c IS NOT NULL AS calibrated
     FROM (
-        SELECT *, x * (0.14225 * q + 5.9733e-6 * q ** 2 + 9.0892e-9 * q ** 3 - 1.2783e-12 * q ** 4 + 8.5851e-17 * q ** 5)
-            * (Tlic + 273.15) / (32.15 + 273.15) * 1.114 AS c
+        SELECT *, x * (((((8.5851e-17 * dry_signal + -1.2783e-12) * dry_signal + 9.0892e-9) * dry_signal + 5.9733e-6) * dry_signal + 0.14225) * dry_signal)
+            * ((Tlic + 273.15) / (32.15::DOUBLE + 273.15::DOUBLE)) * 1.114 AS c
         FROM (
-            SELECT *, CO2 * 1.02733 * 101.3 / nullif(Plic * x, 0) AS q
+            SELECT *, CO2 * 1.02733 * (101.3 / nullif(Plic * x, 0)) AS dry_signal
             FROM (
                 SELECT *, 1 + 0.5 * h / 1000 AS x
                 FROM (
-                    SELECT *, (8.1020e-3 * p - 8.1540e-8 * p ** 2 + 1.2110e-9 * p ** 3)
-                        * (Tlic + 273.15) / (32.15 + 273.15) * 1.114 AS h
-                    FROM (SELECT *, H2O * 101.3 / nullif(Plic, 0) AS p FROM {source})
+                    SELECT *, (((1.2110e-9 * p + -8.1540e-8) * p + 8.1020e-3) * p)
+                        * ((Tlic + 273.15) / (32.15::DOUBLE + 273.15::DOUBLE)) * 1.114 AS h
+                    FROM (SELECT *, H2O * (101.3 / nullif(Plic, 0)) AS p FROM {source})
                 )
             )
         )
     )"""
 
 
-FAST = ("U", "V", "W", "T_SONIC", "CO2", "H2O")
-SLOW = ("Pa", "Plic", "Ta", "Tlic")
+FAST = ("U", "V", "W", "T_SONIC", "CO2", "H2O", "Q")
+SLOW = ("Pa", "Plic", "Ta", "Tlic", "Xa", "Hx")
+OUT = {"Q": "Q [q]", "Hx": "Hx [%]"}
 UNITS = {
+    "Q": "[q]", "Xa": "[mmol / mol]", "Hx": "[%]",
     "U": "[m/s]", "V": "[m/s]", "W": "[m/s]", "T_SONIC": "[degC]", "CO2": "[µmol/mol]", "H2O": "[mmol/mol]",
     "Pa": "[kPa]", "Plic": "[kPa]", "Ta": "[degC]", "Tlic": "[degC]",
 }
 
 
+def nearest_known(c: str) -> str:
+    """Next known value of a file, else the last one before."""
+    over = "OVER (PARTITION BY file_id ORDER BY row_idx ROWS BETWEEN"
+    ahead, back = f"{over} CURRENT ROW AND UNBOUNDED FOLLOWING)", f"{over} UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"coalesce(arg_min({c}, row_idx) {ahead}, arg_max({c}, row_idx) {back})"
+
+
 def played() -> str:
-    filled = ", ".join(f"{fills('row_idx', 'file_id', c)['bffill']} AS {c}" for c in (*FAST, *SLOW))
+    filled = ", ".join(f"{nearest_known(c)} AS {c}" for c in (*FAST, *SLOW))
     return f"""WITH named AS (
         SELECT *, 'Site' || strftime(date_trunc('hour', ts), '%y%m%d_%H') || '.raw' AS file_id,
             date_trunc('hour', ts) AS start_ts
@@ -208,36 +223,40 @@ def played() -> str:
             CASE WHEN event_id % 11 <> 0 THEN value END * 0.01 AS U,
             (user_id - 75) * 0.01::DOUBLE AS V,
             CASE WHEN event_id % 29 <> 0 THEN event_id % 100 END * 0.01::DOUBLE AS W,
-            ((value + 16000) * 0.02) ** 2 / 1.402 / 287.64 - 273.15 AS T_SONIC,
+            ((value + 16000) * 0.02) * ((value + 16000) * 0.02) / 1.402 / 287.64 - 273.15 AS T_SONIC,
             CASE WHEN event_id % 23 <> 0 THEN value + 1000 END AS CO2,
-            CASE WHEN event_id % 17 <> 0 THEN value * 2 END * 0.335 AS H2O
+            CASE WHEN event_id % 17 <> 0 THEN value * 2 END * 0.335 AS H2O,
+            CASE WHEN event_id % 13 <> 0 THEN CAST(user_id * 2 AS DOUBLE) END AS Q
         FROM numbered
     ), slow AS (
         SELECT file_id, date_trunc('second', ts) AS ts, value / 10 + 80 AS Pa,
             CASE WHEN event_id % 5 <> 0 THEN CAST(user_id % 10 + 75 AS DOUBLE) END AS Plic,
             value / 20 AS Ta,
-            CASE WHEN event_id % 7 <> 0 THEN value / 10 + 20 END AS Tlic
+            CASE WHEN event_id % 7 <> 0 THEN value / 10 + 20 END AS Tlic,
+            user_id % 7 + 0.5::DOUBLE AS Xa,
+            CASE WHEN event_id % 6 <> 0 THEN value / 8 END AS Hx
         FROM named WHERE event_type = 'signup'
         QUALIFY row_number() OVER (PARTITION BY file_id, date_trunc('second', ts) ORDER BY events.ts DESC, event_id DESC) = 1
     ), {interpolated("fast", "slow", "file_id", list(SLOW), 600_000_000, 10_000)}, filled AS (
         SELECT event_id, file_id, start_ts, row_idx, ts, {filled} FROM aligned
     ), final AS (
-        {calibrated("filled", "event_id, file_id, start_ts, row_idx, ts, U, V, W, T_SONIC, Pa, Plic, Ta, Tlic")}
+        {calibrated("filled", "event_id, file_id, start_ts, row_idx, ts, U, V, W, T_SONIC, Q, Pa, Plic, Ta, Tlic, Xa, Hx")}
     )""".replace("ORDER BY events.ts DESC, event_id DESC", "ORDER BY named.ts DESC, event_id DESC")
 
 
-ERAS = " ".join(
-    f"WHEN {' AND '.join(t for t in ((f'start_ts > TIMESTAMP {a!r}' if a else ''), (f'start_ts <= TIMESTAMP {b!r}' if b else '')) if t)} "
-    f"THEN {{{i}}}"
-    for i, (a, b, _, _) in enumerate(presets.ERAS)
-)
-PERIODS = [f"WHEN o_orderdate BETWEEN TIMESTAMP '{a}' AND TIMESTAMP '{b}'" for a, b, _, _ in presets.H2O_PERIODS]
+ERA = """CASE WHEN start_ts <= TIMESTAMP '1998-09-22 11:00:00' THEN {} WHEN start_ts <= TIMESTAMP '1998-12-15 15:00:00' THEN {} ELSE {} END"""
+# First day, last day, slope and intercept of each period.
+PERIODS = (
+    ("1997-01-01 00:30:00", "1998-01-01 00:00:00", "1.087378", "24.757392"), ("1998-01-01 00:30:00", "1999-01-01 00:00:00", "1.171352", "1.241446"),
+    ("1999-01-01 00:30:00", "2000-01-01 00:00:00", "1.1655515", "2.7512004"), ("2000-01-01 00:30:00", "2001-01-01 00:00:00", "1.1617209", "3.9202374"),
+    ("2001-01-01 00:30:00", "2002-01-01 00:00:00", "1.1473303", "4.2208861"), ("2002-01-01 00:30:00", "2003-01-01 00:00:00", "1.1644168", "5.9501428"),
+    ("2003-01-01 00:30:00", "2004-01-01 00:00:00", "1.1580541", "1.0469319"), ("2004-01-01 00:30:00", "2005-01-01 00:00:00", "1.304316", "-12.997544"),
+    ("2005-01-01 00:30:00", "2005-08-09 16:30:00", "1.2226907", "-3.389643"),
+)
 PERIOD_LINEAR = " ".join(
-    f"{when} THEN {s} * o_totalprice + ({i})" for when, (_, _, s, i) in zip(PERIODS, presets.H2O_PERIODS)
+    f"WHEN o_orderdate BETWEEN TIMESTAMP '{a}' AND TIMESTAMP '{b}' THEN {s}::DOUBLE * o_totalprice + ({i}::DOUBLE)" for a, b, s, i in PERIODS
 )
-SIZED_DAYS = """SELECT CAST(ts AS DATE) AS date, sum(length(props) / 1e6 + user_id / 1e6) AS mb FROM events
-    WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM events WHERE hour(ts) = 0 AND event_type = 'signup')
-    GROUP BY 1"""
+SIZED_DAYS = "SELECT CAST(ts AS DATE) AS date, sum(length(props) / 1e6 + user_id / 1e6) AS mb FROM events GROUP BY 1"
 
 
 def column_state(c: str, text: str, unit: str) -> str:
@@ -264,62 +283,63 @@ def sql() -> dict[str, str]:
         "summary_lineitem": line_long(),
         "halfhour_summary": f"""SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS bin, {value_stats}
             FROM events GROUP BY 1""",
-        "robust_bounds": f"""SELECT variable, unit, {single('min(q01)')} AS lower, {single('max(q99)')} AS upper
+        "robust_bounds": f"""SELECT variable, unit, {steady('min(q01)')} AS lower, {steady('max(q99)')} AS upper
             FROM ({HOUR_LONG}) GROUP BY ALL""",
-        "trend_bands": f"""SELECT variable, unit, hour, count, {singles(['median', 'q05', 'q95', 'mean'])},
-            {single('mean - std')} AS mean_minus_std, {single('mean + std')} AS mean_plus_std FROM ({HOUR_LONG})""",
+        "trend_bands": f"""SELECT variable, unit, hour, count, {steadies(['median', 'q05', 'q95', 'mean'])},
+            {steady('mean - std')} AS mean_minus_std, {steady('mean + std')} AS mean_plus_std FROM ({HOUR_LONG})""",
         "annotations": f"SELECT l_returnflag, variable, unit, count, median, mean, min, max FROM ({line_long()})",
         "distinct_variables": f"SELECT DISTINCT variable, unit FROM ({line_long()})",
         "sonic_temperature": f"""SELECT event_id,
-            {single('((value * 30.0 + 9000.0) * 0.02) ** 2 / 1.402 / 287.64 - 273.15')} AS t_sonic FROM events""",
+            {exact('((value * 30.0 + 9000.0) * 0.02) * ((value * 30.0 + 9000.0) * 0.02) / 1.402 / 287.64 - 273.15')} AS t_sonic FROM events""",
         "convert_units": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-            {single('l_quantity * 0.01')} AS "U", {single('l_discount * 0.01')} AS "V", {single('l_tax * 0.01')} AS "W",
-            {single('((l_quantity * 100.0 + 14000.0) * 0.02) ** 2 / 1.402 / 287.64 - 273.15')} AS "T_SONIC",
-            {single('l_extendedprice * 0.33425::DOUBLE')} AS "CO2", {single('l_extendedprice * 0.335::DOUBLE')} AS "H2O"
+            {exact('l_quantity * 0.01')} AS "U", {exact('l_discount * 0.01')} AS "V", {exact('l_tax * 0.01')} AS "W",
+            {exact('((l_quantity * 100.0 + 14000.0) * 0.02) * ((l_quantity * 100.0 + 14000.0) * 0.02) / 1.402 / 287.64 - 273.15')} AS "T_SONIC",
+            {exact('l_extendedprice * 0.33425::DOUBLE')} AS "CO2", {exact('l_extendedprice * 0.335::DOUBLE')} AS "H2O"
             FROM lineitem""",
         "calibrate_gas": f"""WITH readings AS (
                 SELECT event_id, value * 4.0 AS H2O, value * 10.0 + 500.0 AS CO2,
                     CASE WHEN user_id % 40 = 7 THEN 0.0::DOUBLE WHEN user_id % 40 <> 9 THEN user_id % 40 + 60.0::DOUBLE END AS Plic,
                     event_id % 25 + 10.0::DOUBLE AS Tlic FROM events
-            ) SELECT event_id, {singles(['H2O', 'CO2'])}, calibrated FROM ({calibrated('readings', 'event_id')})""",
+            ) SELECT event_id, H2O, CO2, calibrated FROM ({calibrated('readings', 'event_id')})""",
         "update_non_null": """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value * 2 ELSE value END AS value
             FROM events""",
         "era_multiplier": f"""SELECT o_orderkey, o_orderdate, start_ts,
-                CAST(CASE {ERAS.format(*[e[2] for e in presets.ERAS])} END AS DOUBLE) AS co2_mult,
-                CAST(CASE {ERAS.format(*[e[3] for e in presets.ERAS])} END AS DOUBLE) AS h2o_mult
+                CAST({ERA.format(1.0, 0.33425, 1.0)} AS DOUBLE) AS co2_mult,
+                CAST({ERA.format(1.0, 0.335, 0.335)} AS DOUBLE) AS h2o_mult
             FROM (SELECT o_orderkey, o_orderdate, o_orderdate + to_hours(o_orderkey % 24) AS start_ts FROM orders)""",
         "period_linear": f"""SELECT o_orderkey, o_orderdate,
-            {single(f"CASE {PERIOD_LINEAR} ELSE o_totalprice END")} AS o_totalprice FROM orders""",
+            CASE {PERIOD_LINEAR} ELSE o_totalprice END AS o_totalprice FROM orders""",
         "sentinel_roundtrip": """SELECT event_id, CASE WHEN event_id % 17 <> 0 THEN value END AS reading,
             CASE WHEN event_id % 13 <> 0 THEN event_type END AS mark,
             CASE WHEN event_id % 17 = 0 THEN -9999.0::DOUBLE ELSE value END AS written FROM events""",
-        "coerce_numeric": f"SELECT event_id, {single(number(NUMBER_TEXT))} AS reading FROM events",
+        "coerce_numeric": f"SELECT event_id, {number(NUMBER_TEXT)} AS reading FROM events",
         "strict_numeric": "SELECT event_id, value AS reading FROM events",
         "sorted_columns": "SELECT * FROM lineitem",
         "row_index": f"""SELECT event_id, hour,
             row_number() OVER (PARTITION BY hour ORDER BY ts, event_id) - 1 AS row_idx FROM ({HOURLY})""",
-        "time_axis": f"""SELECT *, hour + to_microseconds(row_idx * {presets.PERIOD_PS} // 1000000) AS axis_ts FROM (
+        "time_axis": f"""SELECT *, hour + to_microseconds(row_idx * 48000000768 // 1000000) AS axis_ts FROM (
             SELECT event_id, hour, row_number() OVER (PARTITION BY hour ORDER BY ts, event_id) - 1 AS row_idx
             FROM ({HOURLY}))""",
         "dedupe_last": f"""SELECT * EXCLUDE (props) FROM ({HOURLY})
             QUALIFY row_number() OVER (PARTITION BY user_id, hour ORDER BY ts DESC, event_id DESC) = 1""",
         "interp_linear": f"""WITH {CHANNELS}, {interpolated('fast', 'slow', 'day', ['slow_value', 'slow_user'], None, None)}
-            SELECT * REPLACE ({singles(['value', 'slow_value', 'slow_user'])}) FROM aligned""",
+            SELECT * FROM aligned""",
         "align_slow": f"""WITH {CHANNELS},
             {interpolated('fast', 'slow', 'day', ['slow_value', 'slow_user'], 1_800_000_000, 10_000)}
-            SELECT event_id, day, ts, {single('value')} AS value,
-                {single(fills('ts, event_id', 'day', 'slow_value')['bffill'])} AS slow_value,
-                {single(fills('ts, event_id', 'day', 'slow_user')['bffill'])} AS slow_user FROM aligned""",
-        "ramp_daily": f"WITH {SEGMENTS} SELECT o_orderpriority, date, {single('factor')} AS factor FROM ramp",
-        "factor_outer": f"""WITH {SEGMENTS} SELECT date, {single('u.factor')} AS co2_factor, {single('l.factor')} AS h2o_factor
-            FROM (SELECT * FROM ramp WHERE o_orderpriority = '1-URGENT' AND date >= DATE '1996-03-01') u
-            FULL JOIN (SELECT * FROM ramp WHERE o_orderpriority = '5-LOW' AND date < DATE '2000-03-01') l USING (date)""",
-        "factor_join": f"""WITH {SEGMENTS} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                CAST(l_shipdate AS DATE) AS day, {single('l_quantity * coalesce(factor, 1)')} AS l_quantity,
-                factor IS NULL AS factor_missing
-            FROM lineitem LEFT JOIN
-                (SELECT * FROM ramp WHERE o_orderpriority = '1-URGENT' AND date >= DATE '1996-03-01') r
-                ON CAST(l_shipdate AS DATE) = r.date""",
+            SELECT event_id, day, ts, value, {fills('ts, event_id', 'day', 'slow_value')['bffill']} AS slow_value,
+                {fills('ts, event_id', 'day', 'slow_user')['bffill']} AS slow_user FROM aligned""",
+        "ramp_daily": f"WITH {SEGMENTS} SELECT o_orderpriority, date, {steady('factor')} AS factor FROM ramp",
+        "factor_outer": f"""WITH {SEGMENTS}, u AS (SELECT date, max(factor) AS f FROM ramp WHERE o_orderpriority < '3' GROUP BY 1),
+            l AS (SELECT date, min(factor) AS f FROM ramp WHERE o_orderpriority >= '3' GROUP BY 1)
+            SELECT date, {steady('u.f')} AS co2_factor, {steady('l.f')} AS h2o_factor FROM u FULL JOIN l USING (date)""",
+        "factor_join": f"""WITH {SEGMENTS}, f AS (SELECT date, max(factor) AS factor FROM ramp GROUP BY 1)
+            SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS day,
+                {steady('l_quantity * coalesce(factor, 1)')} AS l_quantity, factor IS NULL AS factor_missing
+            FROM lineitem LEFT JOIN f ON CAST(l_shipdate AS DATE) = f.date""",
+        "lookup_long": """WITH days AS (SELECT o_orderdate AS a, o_orderdate + INTERVAL 2 DAY AS b, count(*) AS n FROM orders GROUP BY 1),
+            cut AS (SELECT a, least(b, coalesce(lead(a) OVER (ORDER BY a), b)) AS z, n FROM days)
+            SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, coalesce(n, 0) AS n_orders
+            FROM lineitem LEFT JOIN cut ON l_shipdate >= a AND l_shipdate < z""",
         "segment_dates": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS start_date,
             CAST(o_orderdate AS DATE) + 10 AS end_date FROM orders""",
         "pair_files": f"""SELECT stem, raw_name, aux_name, start_ts FROM (
@@ -341,7 +361,7 @@ def sql() -> dict[str, str]:
             CAST(month(o_orderdate) AS INTEGER) AS month, CAST(year(o_orderdate) AS INTEGER) AS year,
             strftime(o_orderdate, '%Y-%m') AS year_month FROM orders""",
         "parse_table": f"""WITH {DOC_LINES} SELECT doc_id, row_idx, CAST(len(cells) AS INTEGER) AS n_cells,
-            cells[1] AS first_cell, cells[6] AS sixth_cell, cells[-1] AS last_cell FROM doc_cells""",
+            array_to_string(cells, '|') AS row_cells FROM doc_unquoted""",
         "reconcile_width": f"""WITH {DOC_LINES} SELECT doc_id, CAST(n0 + extra AS INTEGER) AS n_header,
             CAST(extra AS INTEGER) AS n_generated, CAST(len(data) AS INTEGER) AS n_lines FROM sized""",
         "header_map": f"""WITH {DOC_LINES} SELECT doc_id, CAST(pos AS INTEGER) AS pos, name,
@@ -349,8 +369,11 @@ def sql() -> dict[str, str]:
                 SELECT doc_id, generate_subscripts(names, 1) - 1 AS pos, unnest(names) AS name,
                     unnest(list_resize(units, len(names))) AS unit FROM sized
             ) WHERE trim(name) <> '' AND NOT contains(name, 'unknown')""",
-        "split_malformed": f"""WITH {DOC_LINES} SELECT doc_id, CASE WHEN len(cells) > width THEN 'bad' ELSE 'good' END AS kind,
-            count(*) AS n_rows FROM doc_cells GROUP BY ALL""",
+        "split_malformed": f"""WITH {DOC_LINES} SELECT doc_id, row_idx, CASE WHEN len(cells) > width THEN 'bad' ELSE 'good' END AS kind,
+            array_to_string(cells, '|') AS row_cells FROM doc_unquoted""",
+        "quarantine": f"""WITH {DOC_LINES} SELECT doc_id, len(cells) > width AS malformed, array_to_string(cells, ' ') AS row_text,
+            CASE WHEN len(cells) <= width THEN row_number() OVER (PARTITION BY doc_id, len(cells) > width ORDER BY row_idx) - 1 END AS row_idx
+            FROM doc_unquoted""",
         "blank_lines": """SELECT doc_id, row_idx, line FROM (
                 SELECT doc_id, generate_subscripts(data, 1) - 1 AS row_idx, unnest(data) AS line FROM (
                     SELECT doc_id, list_filter(string_split(text, chr(10))[2:], lambda x: trim(x) <> '') AS data
@@ -361,16 +384,25 @@ def sql() -> dict[str, str]:
             CASE WHEN event_id % 9 NOT IN (0, 2) THEN CAST(user_id AS DOUBLE) END AS "user",
             event_id % 9 = 1 AS malformed FROM events""",
         "row_validity": "SELECT event_id, ts FROM events WHERE event_id % 13 NOT IN (1, 2, 3)",
-        "daily_sizes": f"SELECT date, {single('mb')} AS mb FROM ({SIZED_DAYS})",
-        "densify_days": f"""WITH sized AS ({SIZED_DAYS}), days AS (
-                SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM sized)
-            SELECT date, {single('mb')} AS mb FROM days LEFT JOIN sized USING (date)""",
+        "daily_sizes": f"SELECT date, {steady('mb')} AS mb FROM ({SIZED_DAYS})",
+        "densify_days": f"""WITH sized AS (SELECT CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) AS mb FROM orders GROUP BY 1),
+            days AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM sized)
+            SELECT date, {steady('mb')} AS mb FROM days LEFT JOIN sized USING (date)""",
+        "densify_nulls": """WITH given AS (
+                SELECT CASE WHEN event_id % 5 > 0 THEN user_id % 7 END AS k, event_id, value,
+                    CASE WHEN event_id % 11 = 0 THEN ts WHEN event_id % 17 <> 0 THEN date_trunc('hour', ts) END AS t FROM events
+            ), ends AS (SELECT k, min(t) AS a, max(t) AS z FROM given GROUP BY k),
+            placed AS (SELECT g.*, coalesce((epoch_us(t) - epoch_us(a)) % 3600000000 = 0, false) AS fits
+                FROM given g JOIN ends e ON g.k IS NOT DISTINCT FROM e.k),
+            steps AS (SELECT k, unnest(generate_series(a, z, INTERVAL 1 HOUR)) AS t FROM ends)
+            SELECT s.k, s.t AS at, event_id, value FROM steps s LEFT JOIN placed p ON fits AND s.k IS NOT DISTINCT FROM p.k AND s.t = p.t
+            UNION ALL SELECT k, t AS at, event_id, value FROM placed WHERE NOT fits""",
         "densify_users": f"""WITH daily AS (
                 SELECT user_id, CAST(ts AS DATE) AS day, sum(value) AS total FROM events GROUP BY ALL
             ), days AS (
                 SELECT user_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
                 FROM daily GROUP BY user_id
-            ) SELECT user_id, day, {single('total')} AS total FROM days LEFT JOIN daily USING (user_id, day)""",
+            ) SELECT user_id, day, {steady('total')} AS total FROM days LEFT JOIN daily USING (user_id, day)""",
         "availability_matrix": "SELECT strftime(o_orderdate, '%Y-%m') AS year_month, "
         + ", ".join(f'max(CASE WHEN day(o_orderdate) = {d} THEN o_totalprice END) AS "{d}"' for d in range(1, 32))
         + " FROM orders GROUP BY 1",
@@ -386,10 +418,10 @@ def sql() -> dict[str, str]:
             )
         ),
         "convert_series": f"""{played()} SELECT event_id, file_id, row_idx, ts, calibrated,
-            {singles((*FAST, *SLOW), '"')} FROM final""",
+            {', '.join(f'{c} AS "{OUT.get(c, c)}"' for c in (*FAST, *SLOW))} FROM final""",
         "series_summary": f"{played()} "
         + " UNION ALL ".join(
-            f"SELECT file_id, start_ts, '{c}' AS variable, '{UNITS[c]}' AS unit, {summary(c)} FROM final "
+            f"SELECT file_id, start_ts, '{OUT.get(c, c)}' AS variable, '{UNITS[c]}' AS unit, {summary(c)} FROM final "
             "GROUP BY file_id, start_ts"
             for c in (*FAST, *SLOW)
         ),
@@ -398,7 +430,7 @@ def sql() -> dict[str, str]:
                 FROM ({HOURLY})
             ) SELECT hour, count(*) AS n_rows, min(axis) AS first_ts, max(axis) AS last_ts,
                 count(*) FILTER (event_id % 13 = 0) AS n_malformed, strftime(min(axis), '%Y%m%d%H%M') AS start_label
-            FROM (SELECT *, hour + to_microseconds(row_idx * {presets.PERIOD_PS} // 1000000) AS axis FROM numbered)
+            FROM (SELECT *, hour + to_microseconds(row_idx * 48000000768 // 1000000) AS axis FROM numbered)
             GROUP BY hour""",
     }
     for name, expression in fills().items():

@@ -16,7 +16,6 @@ from windrow.functions import clock, numeric, physics
 from windrow.operators import asof, columns, fill, lookup, quality, stats
 from windrow.operators.hot import MIN_HOT_ROWS, settle
 from windrow.plans import convert
-from windrow.session import bounded_broadcast, pin
 from windrow.sources import files
 
 LINE_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -27,20 +26,24 @@ PLAYED_TOLERANCE_US = 600_000_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return pin(spark).read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def single(df: DataFrame) -> DataFrame:
-    """Doubles cut to single precision, where two engines agree that sum in different orders.
+def steady(df: DataFrame, *cols: str) -> DataFrame:
+    """Doubles that come from sums in any order, cut to 28 binary digits (8 decimal ones), where engines agree.
 
-    Decimal rounding does not do: means of prices often lie exactly between two rounded values.
+    Sums differ by about 2**-52 with their order; at 28 digits one value in 10**7 falls on the other side of a cut. A
+    binary cut, since means of prices often lie exactly between two decimal numbers. Everything else is compared whole.
     """
-    cut = {c: F.round(c, 9).cast("float").cast("double") for c, kind in df.dtypes if kind == "double"}
-    return df.withColumns(cut)
+    cols = cols or tuple(c for c, kind in df.dtypes if kind == "double")
+    return df.withColumns({c: F.col(c) * 33554433.0 - (F.col(c) * 33554433.0 - F.col(c)) for c in cols})
+
+
+HOUR_US = 3_600_000_000
 
 
 def hour(ts: str = "ts"):
-    return F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz")
+    return clock.truncated(F.col(ts), HOUR_US)
 
 
 def hourly(spark, sf):
@@ -65,11 +68,11 @@ def hour_long(spark, sf):
 
 
 def summary_by_hour(spark, sf):
-    return single(hour_summary(spark, sf))
+    return steady(hour_summary(spark, sf))
 
 
 def summary_by_type(spark, sf):
-    return single(stats.summarize(table(spark, sf, "events"), ["event_type"], ["value"]))
+    return steady(stats.summarize(table(spark, sf, "events"), ["event_type"], ["value"]))
 
 
 def summary_empty_groups(spark, sf):
@@ -78,7 +81,7 @@ def summary_empty_groups(spark, sf):
     hours = ends.select(F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("hour"))
     types = F.array(*[F.lit(t) for t in ("view", "click", "signup", "error", "purchase", "refund")])
     grid = hours.select("hour", F.explode(types).alias("event_type"))
-    return single(stats.summarize(events, ["hour", "event_type"], ["value"], groups=grid))
+    return steady(stats.summarize(events, ["hour", "event_type"], ["value"], groups=grid))
 
 
 def line_wide(spark, sf):
@@ -91,23 +94,23 @@ def line_long(spark, sf):
 
 
 def summary_lineitem(spark, sf):
-    return single(line_long(spark, sf))
+    return steady(line_long(spark, sf))
 
 
 def halfhour_summary(spark, sf):
-    return single(stats.bin_summarize(table(spark, sf, "events"), "ts", "30 minutes", ["value"]))
+    return steady(stats.bin_summarize(table(spark, sf, "events"), "ts", "30 minutes", ["value"]))
 
 
 def robust_bounds(spark, sf):
-    return single(stats.robust_bounds(hour_long(spark, sf)))
+    return steady(stats.robust_bounds(hour_long(spark, sf)))
 
 
 def trend_bands(spark, sf):
-    return single(stats.trend_bands(hour_long(spark, sf), "hour"))
+    return steady(stats.trend_bands(hour_long(spark, sf), "hour"))
 
 
 def annotations(spark, sf):
-    return single(stats.annotations(line_long(spark, sf), ["l_returnflag"]))
+    return steady(stats.annotations(line_long(spark, sf), ["l_returnflag"]))
 
 
 def distinct_variables(spark, sf):
@@ -119,7 +122,7 @@ def distinct_variables(spark, sf):
 
 def sonic_temperature(spark, sf):
     raw = F.col("value") * 30.0 + 9000.0
-    return single(table(spark, sf, "events").select("event_id", physics.sonic_temperature(raw).alias("t_sonic")))
+    return table(spark, sf, "events").select("event_id", physics.sonic_temperature(raw).alias("t_sonic"))
 
 
 def convert_units(spark, sf):
@@ -129,7 +132,7 @@ def convert_units(spark, sf):
         (F.col("l_quantity") * 100.0 + 14000.0).alias("T_SONIC"), F.col("l_extendedprice").alias("CO2"),
         F.col("l_extendedprice").alias("H2O"), F.lit(0.33425).alias("co2_mult"), F.lit(0.335).alias("h2o_mult"),
     )
-    return single(columns.convert_units(sensors).drop("co2_mult", "h2o_mult"))
+    return columns.convert_units(sensors).drop("co2_mult", "h2o_mult")
 
 
 def calibrate_gas(spark, sf):
@@ -142,7 +145,7 @@ def calibrate_gas(spark, sf):
         F.when(user == 7, 0.0).when(user != 9, user + 60.0).alias("Plic"),
         (F.col("event_id") % 25 + 10.0).alias("Tlic"),
     )
-    return single(columns.calibrate_gas(readings).select("event_id", "H2O", "CO2", "calibrated"))
+    return columns.calibrate_gas(readings).select("event_id", "H2O", "CO2", "calibrated")
 
 
 def update_non_null(spark, sf):
@@ -157,13 +160,13 @@ def era_multiplier(spark, sf):
     at = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
     timed = orders.withColumn("start_ts", at.cast("timestamp_ntz"))
     defaults = {"co2_mult": 1.0, "h2o_mult": 1.0}
-    return lookup.lookup_by_interval(timed, lookup.era_table(spark), "start_ts", "after", "until", "(]", defaults)
+    return lookup.lookup_by_interval(timed, lookup.era_table(spark), "start_ts", "after", "until", "(]", defaults, None)
 
 
 def period_linear(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    corrected = lookup.period_linear(orders, lookup.period_table(spark), "o_orderdate", "o_totalprice")
-    return single(corrected)
+    corrected = lookup.period_linear(orders, lookup.period_table(spark), "o_orderdate", "o_totalprice", max_broadcast=None)
+    return corrected
 
 
 def sentinel_roundtrip(spark, sf):
@@ -193,7 +196,7 @@ def number_text():
 
 def coerce_numeric(spark, sf):
     texts = table(spark, sf, "events").select("event_id", number_text().alias("reading"))
-    return single(columns.coerce_numeric(texts, ["reading"]))
+    return columns.coerce_numeric(texts, ["reading"])
 
 
 def strict_numeric(spark, sf):
@@ -238,7 +241,7 @@ def channels(spark, sf):
     fast = events.where("event_type <> 'signup'").select("event_id", "day", "ts", "value")
     slow = (
         events.where("event_type = 'signup'")
-        .withColumn("at", F.date_trunc("second", "ts").cast("timestamp_ntz"))
+        .withColumn("at", clock.truncated(F.col("ts"), 1_000_000))
         .select("day", "at", "event_id", F.when(F.col("event_id") % 4 > 0, F.col("value")).alias("slow_value"),
                 F.when(F.col("event_id") % 7 < 3, F.col("user_id").cast("double")).alias("slow_user"))
     )
@@ -256,7 +259,7 @@ def _asof(direction):
 
 def interp_linear(spark, sf):
     fast, slow = channels(spark, sf)
-    return single(asof.interpolate_linear(fast, slow, "ts", ["day"], ["slow_value", "slow_user"]))
+    return asof.interpolate_linear(fast, slow, "ts", ["day"], ["slow_value", "slow_user"])
 
 
 def align_slow(spark, sf):
@@ -264,7 +267,7 @@ def align_slow(spark, sf):
     fast, slow = channels(spark, sf)
     cols = ["slow_value", "slow_user"]
     aligned = asof.interpolate_linear(fast, slow, "ts", ["day"], cols, 1_800_000_000, presets.GRID_US)
-    return single(fill.bffill(aligned, ["day"], ["ts", "event_id"], cols))
+    return fill.bffill(aligned, ["day"], ["ts", "event_id"], cols)
 
 
 # Factors
@@ -284,26 +287,32 @@ def monthly_segments(spark, sf):
 
 
 def ramp_daily(spark, sf):
-    return single(lookup.expand_ramp(monthly_segments(spark, sf), by=["o_orderpriority"]))
-
-
-def one_ramp(spark, sf, priority, out):
-    segments = monthly_segments(spark, sf).where(F.col("o_orderpriority") == priority)
-    return lookup.expand_ramp(segments, out)
+    return steady(lookup.expand_ramp(monthly_segments(spark, sf), by=["o_orderpriority"]))
 
 
 def factor_outer(spark, sf):
-    urgent = one_ramp(spark, sf, "1-URGENT", "co2_factor").where("date >= date'1996-03-01'")
-    low = one_ramp(spark, sf, "5-LOW", "h2o_factor").where("date < date'2000-03-01'")
-    return single(lookup.combine_factors(urgent, low))
+    """Two gases whose segments cover different priorities: days of either one stay."""
+    ramps = lookup.expand_ramp(monthly_segments(spark, sf), by=["o_orderpriority"])
+    upper = ramps.where("o_orderpriority < '3'").groupBy("date").agg(F.max("factor").alias("co2_factor"))
+    lower = ramps.where("o_orderpriority >= '3'").groupBy("date").agg(F.min("factor").alias("h2o_factor"))
+    return steady(lookup.combine_factors(upper, lower))
 
 
 def factor_join(spark, sf):
-    urgent = one_ramp(spark, sf, "1-URGENT", "f").where("date >= date'1996-03-01'")
+    ramps = lookup.expand_ramp(monthly_segments(spark, sf), by=["o_orderpriority"])
+    factors = ramps.groupBy("date").agg(F.max("factor").alias("f"))
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("day"), "l_quantity"
     )
-    return single(lookup.apply_dated_factor(lines, urgent, "day", {"l_quantity": "f"}))
+    return steady(lookup.apply_dated_factor(lines, factors, "day", {"l_quantity": "f"}))
+
+
+def lookup_long(spark, sf):
+    """Each shipment in the two days from the last day of orders before it: more intervals than are broadcast."""
+    days = table(spark, sf, "orders").groupBy(F.col("o_orderdate").alias("start")).agg(F.count("*").alias("n_orders"))
+    days = days.withColumn("end", F.col("start") + F.expr("INTERVAL 2 DAYS"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    return lookup.lookup_by_interval(lines, days, "l_shipdate", "start", "end", "[)", {"n_orders": 0})
 
 
 def segment_dates(spark, sf):
@@ -370,10 +379,7 @@ def document_tables(spark, sf, header_rows=2):
 
 def parse_table(spark, sf):
     rows = files.explode_rows(document_tables(spark, sf), " ")
-    return rows.select(
-        "doc_id", "row_idx", F.size("cells").alias("n_cells"), F.get("cells", F.lit(0)).alias("first_cell"),
-        F.get("cells", F.lit(5)).alias("sixth_cell"), F.element_at("cells", -1).alias("last_cell"),
-    )
+    return rows.select("doc_id", "row_idx", F.size("cells").alias("n_cells"), F.array_join("cells", "|").alias("row_cells"))
 
 
 def reconcile_width(spark, sf):
@@ -393,8 +399,14 @@ def header_map(spark, sf):
 def split_malformed(spark, sf):
     """Rows of each document that fit its header, and those that do not."""
     good, bad = files.split_malformed(files.explode_rows(document_tables(spark, sf), " "))
-    counted = good.select("doc_id", F.lit("good").alias("kind")).unionByName(bad.select("doc_id", F.lit("bad").alias("kind")))
-    return counted.groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("n_rows"))
+    both = good.withColumn("kind", F.lit("good")).unionByName(bad.withColumn("kind", F.lit("bad")))
+    return both.select("doc_id", "row_idx", "kind", F.array_join("cells", "|").alias("row_cells"))
+
+
+def quarantine(spark, sf):
+    """Lines with surplus cells have no place among the rows, but none is lost."""
+    rows = files.explode_good_rows(document_tables(spark, sf), " ")
+    return rows.select("doc_id", "row_idx", "malformed", F.array_join("cells", " ").alias("row_text"))
 
 
 def blank_lines(spark, sf):
@@ -447,25 +459,33 @@ def row_validity(spark, sf):
 
 
 def sized_days(spark, sf):
-    """Size of the properties per day without the days on which nobody signed up before one o'clock."""
-    events = table(spark, sf, "events").withColumn("date", F.to_date("ts"))
-    early = events.where((F.hour("ts") == 0) & (F.col("event_type") == "signup")).select("date").distinct()
-    sized = events.join(early, "date", "left_semi").withColumn("n_bytes", F.length("props"))
-    return quality.daily_sizes(sized, "date", ["n_bytes", "user_id"])
+    """Size of the properties per day."""
+    events = table(spark, sf, "events").withColumns({"date": F.to_date("ts"), "n_bytes": F.length("props")})
+    return quality.daily_sizes(events, "date", ["n_bytes", "user_id"])
 
 
 def daily_sizes(spark, sf):
-    return single(sized_days(spark, sf))
+    return steady(sized_days(spark, sf))
 
 
 def densify_days(spark, sf):
-    return single(quality.densify_days(sized_days(spark, sf)))
+    """Days of orders, with days without one in between on small tables."""
+    daily = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.sum("o_totalprice").alias("mb"))
+    return steady(quality.densify_days(daily))
+
+
+def densify_nulls(spark, sf):
+    """Hours of a user group, one of them unknown; some rows lie between the hours, some have no time."""
+    key = F.col("event_id")
+    at = F.when(key % 11 == 0, F.col("ts")).when(key % 17 != 0, hour())
+    events = table(spark, sf, "events").select(F.when(key % 5 > 0, F.col("user_id") % 7).alias("k"), at.alias("at"), "event_id", "value")
+    return fill.densify(events, ["k"], "at", HOUR_US)
 
 
 def densify_users(spark, sf):
     events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     daily = events.groupBy("user_id", "day").agg(F.sum("value").alias("total"))
-    return single(fill.densify(daily, ["user_id"], "day"))
+    return steady(fill.densify(daily, ["user_id"], "day"))
 
 
 def availability_matrix(spark, sf):
@@ -506,6 +526,7 @@ def played_lines(spark, sf, limit):
         number(F.col("value") + 16000),
         F.when(key % 23 == 0, F.concat(F.lit("x"), number(F.col("value")))).otherwise(number(F.col("value") + 1000)),
         F.when(key % 17 == 0, F.lit("-9999")).otherwise(number(F.col("value") * 2)),
+        F.when(key % 13 == 0, F.lit("")).otherwise(F.concat(F.lit('"'), number(F.col("user_id") * 2), F.lit('"'))),
     )
     fast_lines = fast.select("event_id", "file_id", "row_idx", F.concat_ws("\t", *fast_cells).alias("line"))
 
@@ -517,20 +538,27 @@ def played_lines(spark, sf, limit):
         F.when(key % 5 == 0, F.lit("")).otherwise(number(F.col("user_id") % 10 + 75)),
         number(F.col("value") / 20),
         F.when(key % 7 == 0, F.lit("-9999")).otherwise(number(F.col("value") / 10 + 20)),
+        number(F.col("user_id") % 7 + 0.5),
+        F.when(key % 6 == 0, F.lit("")).otherwise(number(F.col("value") / 8)),
     )
     slow_lines = slow.select("file_id", "row_idx", F.concat_ws("\t", *slow_cells).alias("line"))
     return fast_lines, slow_lines
 
 
 def played_limit(spark, sf):
-    """Row limit for the operators on the played files: 0 if no hour is oversized."""
-    return settle(MIN_HOT_ROWS, ["hour"], hourly(spark, sf))
+    """Row limit for the operators on the played files: 0 if no hour is oversized. One census for all of them."""
+    return MIN_HOT_ROWS if settle(MIN_HOT_ROWS, ["hour"], hourly(spark, sf)) is not None else 0
+
+
+#: Columns of the played files that are known to nobody.
+RAW_EXTRA, SLOW_EXTRA = ("Q [q]",), ("Hx [%]",)
+PLAYED = (*convert.FAST, *RAW_EXTRA, *(c for c in convert.SLOW if c != "Rhoa"), *SLOW_EXTRA)
 
 
 def played_series(spark, sf, limit):
     fast_lines, slow_lines = played_lines(spark, sf, limit)
-    names = "Date\tTime\tIndex\tU\tV\tW\tSound\tC\tXw", "Date\tTime\tPa\tPlic\tTa\tTlic"
-    units = "\t\t\t[m/s]\t[m/s]\t[m/s]\t[m/50s]\t[µmol/mol]\t[mmol/mol]", "\t\t[kPa]\t[kPa]\t[degC]\t[degC]"
+    names = "Date\tTime\tIndex\tU\tV\tW\tSound\tC\tXw\tQ", "Date\tTime\tPa\tPlic\tTa\tTlic\tXa\tHx"
+    units = "\t\t\t[m/s]\t[m/s]\t[m/s]\t[m/50s]\t[µmol/mol]\t[mmol/mol]\t[q]", "\t\t[kPa]\t[kPa]\t[degC]\t[degC]\t[mmol / mol]\t[%]"
     fast_files, slow_files = (
         lines.select("file_id").distinct().withColumn("header", files.header_cells(F.lit(n), F.lit(u)))
         for lines, n, u in zip((fast_lines, slow_lines), names, units)
@@ -538,27 +566,27 @@ def played_series(spark, sf, limit):
     started = convert.with_era(fast_files.withColumn("start_ts", clock.file_time(F.col("file_id"))))
     fast_places = files.locate_columns(started, presets.RAW_COLUMNS, presets.RAW_HELPERS)
     slow_places = files.locate_columns(slow_files, convert.AUX_MAPPING)
-    fast = files.as_cells(fast_lines.join(bounded_broadcast(fast_places), "file_id"))
-    slow = files.as_cells(slow_lines.join(bounded_broadcast(slow_places), "file_id"))
+    fast = files.as_cells(fast_lines.join(fast_places, "file_id"))
+    slow = files.as_cells(slow_lines.join(slow_places, "file_id"))
     raw = files.canonical_columns(fast, (), convert.FAST)
-    aux = files.canonical_columns(slow, ("Date", "Time"), convert.SLOW)
+    aux = files.canonical_columns(slow, ("Date", "Time"), [c for c in convert.SLOW if c != "Rhoa"])
     return convert.convert_series(
-        raw, convert.prepare_slow(aux, limit), period_ps=PLAYED_PERIOD_PS, tolerance_us=PLAYED_TOLERANCE_US,
-        min_hot_rows=limit,
+        convert.accepted(raw), convert.prepare_slow(convert.accepted(aux), limit), raw_extra=RAW_EXTRA, slow_extra=SLOW_EXTRA,
+        period_ps=PLAYED_PERIOD_PS, tolerance_us=PLAYED_TOLERANCE_US, min_hot_rows=limit,
     )
 
 
 def convert_series(spark, sf):
     series = played_series(spark, sf, played_limit(spark, sf))
-    return single(series.select("event_id", "file_id", "row_idx", "ts", *convert.FAST, *convert.SLOW, "calibrated"))
+    return series.select("event_id", "file_id", "row_idx", "ts", *PLAYED, "calibrated")
 
 
 def series_summary(spark, sf):
-    cols = [*convert.FAST, *convert.SLOW]
     limit = played_limit(spark, sf)
     rows = stats.MAX_PERCENTILE_ROWS if limit else None
-    wide = stats.summarize(played_series(spark, sf, limit), ["file_id", "start_ts"], cols, max_percentile_rows=rows)
-    return single(stats.to_long(wide, ["file_id", "start_ts"], cols, convert.UNITS))
+    wide = stats.summarize(played_series(spark, sf, limit), ["file_id", "start_ts"], PLAYED, max_percentile_rows=rows)
+    units = convert.UNITS | convert.extra_units([*RAW_EXTRA, *SLOW_EXTRA])
+    return steady(stats.to_long(wide, ["file_id", "start_ts"], PLAYED, units))
 
 
 def file_manifest(spark, sf):
@@ -571,10 +599,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         summary_by_hour, summary_by_type, summary_empty_groups, summary_lineitem, halfhour_summary, robust_bounds,
         trend_bands, annotations, distinct_variables, sonic_temperature, convert_units, calibrate_gas, update_non_null,
-        era_multiplier, period_linear, sentinel_roundtrip, coerce_numeric, strict_numeric, sorted_columns, row_index,
+        era_multiplier, lookup_long, period_linear, sentinel_roundtrip, coerce_numeric, strict_numeric, sorted_columns, row_index,
         time_axis, ffill, bfill, bffill, dedupe_last, interp_linear, align_slow, ramp_daily, factor_outer, factor_join,
         segment_dates, pair_files, filename_time, parse_dates, date_labels, parse_table, reconcile_width, header_map,
-        split_malformed, blank_lines, strip_nul, ragged_rows, row_validity, daily_sizes, densify_days, densify_users,
+        split_malformed, quarantine, blank_lines, strip_nul, ragged_rows, row_validity, daily_sizes, densify_days, densify_nulls, densify_users,
         availability_matrix, column_quality, convert_series, series_summary, file_manifest,
     )
 }

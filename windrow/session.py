@@ -1,36 +1,36 @@
-"""Session settings the operators rely on."""
+"""The shared folder in which operators put what must not be computed twice."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def pin(spark: SparkSession) -> SparkSession:
-    """Tower clocks carry no zone, so instants are computed in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder that the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this application below the one that the cluster names in ``spark.checkpoint.dir``.
 
     Where none is named, a folder of its own is used in local mode only (tests).
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="windrow-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Mark ``df`` for broadcast when a count shows at most ``max_rows`` rows, else leave the choice to Spark."""
-    rows = df.select(F.lit(1)).limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="windrow-shared-")
+        context.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/{context.applicationId}"
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it again: cuts the lineage, and Spark knows its size."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Remove what this application has landed; for the end of a batch, when nothing reads it any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

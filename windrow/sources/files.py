@@ -7,7 +7,7 @@ Files above ``MAX_WHOLE_FILE`` are read line by line in splits instead, see ``sp
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from windrow import presets
 from windrow.functions.clock import file_time
 from windrow.functions.numeric import to_number
 from windrow.operators.fill import dedupe_last, row_index
-from windrow.session import bounded_broadcast
+from windrow.session import landed
 
 MAX_WHOLE_FILE = 64 * 1024 * 1024
 NUL = "\x00"
@@ -55,7 +55,11 @@ def list_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
 
 def discover_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
     """The listing without doubles: of several files with one name the one with the last path counts."""
-    return dedupe_last(list_files(spark, root, extension), ["stem"], ["path"])
+    return newest(list_files(spark, root, extension))
+
+
+def newest(listed: DataFrame) -> DataFrame:
+    return dedupe_last(listed, ["stem"], ["path"])
 
 
 def pair_files(left: DataFrame, right: DataFrame, key: str = "stem") -> DataFrame:
@@ -66,22 +70,42 @@ def pair_files(left: DataFrame, right: DataFrame, key: str = "stem") -> DataFram
 def discover_pairs(spark: SparkSession, root: str, raw: str = "raw", aux: str = "aux") -> DataFrame:
     """File pairs with their start time, as (file_id, start_ts, raw_path, aux_path, raw_len, aux_len).
 
-    Files whose names hold no start time drop out.
+    Files whose names hold no start time drop out, see ``unusable``.
     """
+    return pairs_of(list_files(spark, root, raw), list_files(spark, root, aux), raw)
+
+
+def pairs_of(raw: DataFrame, aux: DataFrame, extension: str = "raw") -> DataFrame:
+    """The pairs in two listings."""
     sides = [
-        discover_files(spark, root, ext).select(
-            "stem", F.col("path").alias(f"{side}_path"), F.col("length").alias(f"{side}_len")
-        )
-        for side, ext in (("raw", raw), ("aux", aux))
+        newest(listed).select("stem", F.col("path").alias(f"{side}_path"), F.col("length").alias(f"{side}_len"))
+        for side, listed in (("raw", raw), ("aux", aux))
     ]
-    paired = pair_files(*sides)
-    named = paired.withColumn("file_id", file_id_of(F.col("stem"), raw))
+    named = pair_files(*sides).withColumn("file_id", file_id_of(F.col("stem"), extension))
     timed = named.withColumn("start_ts", file_time(F.col("file_id"), presets.YEAR_PIVOT))
     return timed.where("start_ts is not null").select(
         "file_id", "start_ts", "raw_path", "aux_path", "raw_len", "aux_len"
     )
 
 
+def unusable(raw: DataFrame, aux: DataFrame, extension: str = "raw") -> DataFrame:
+    """Listed files that no pair uses, with the ``reason``."""
+    sides = {"raw": raw, "aux": aux}
+    out = []
+    for side, listed in sides.items():
+        (other,) = [x for s, x in sides.items() if s != side]
+        used = newest(listed).select("path", F.lit(True).alias("_new"))
+        partner = other.select("stem").distinct().withColumn("_partner", F.lit(True))
+        marked = listed.join(used, "path", "left").join(partner, "stem", "left")
+        reason = (
+            F.when(F.col("_new").isNull(), "a file of this name with a later path")
+            .when(F.col("_partner").isNull(), "no partner")
+            .when(file_time(file_id_of(F.col("stem"), extension), presets.YEAR_PIVOT).isNull(), "no start time in its name")
+        )
+        out.append(marked.withColumn("reason", reason).where("reason is not null").select("path", "reason"))
+    return out[0].unionByName(out[1])
+
+
 def file_id_of(stem_text: Column, extension: str = "raw") -> Column:
     """Name of the pair: that of its fast file."""
     return F.concat(stem_text, F.lit(f".{extension}"))
@@ -103,7 +127,8 @@ def repair_mu(text: Column) -> Column:
 
 
 def physical_lines(text: Column) -> Column:
-    return F.split(text, r"\r?\n")
+    """Lines end with LF, CR LF or a lone CR, as in Spark's text reader."""
+    return F.split(text, r"\r\n|\r|\n")
 
 
 def is_data(line: Column, sep: str = "\t") -> Column:
@@ -171,13 +196,31 @@ def explode_rows(files: DataFrame, sep: str = "\t") -> DataFrame:
     """One row per data line with ``row_idx``, its ``cells`` and the flag ``malformed`` for surplus cells."""
     kept = [c for c in files.columns if c != "lines"]
     rows = files.select(*kept, F.posexplode("lines").alias("row_idx", "line"))
-    return as_cells(rows, sep)
+    return as_cells(rows, sep).drop("line")
+
+
+def explode_good_rows(files: DataFrame, sep: str = "\t") -> DataFrame:
+    """As ``explode_rows``, but lines with surplus cells do not count: their ``row_idx`` is NULL, their ``line`` is kept."""
+    kept = [c for c in files.columns if c != "lines"]
+    fits = lambda x: F.size(F.split(x, sep)) <= F.size("header")
+    good = F.transform(F.filter("lines", fits), lambda x, i: F.struct(i.alias("row_idx"), x.alias("line")))
+    bad = F.transform(F.filter("lines", lambda x: ~fits(x)), lambda x: F.struct(F.lit(None).cast("int").alias("row_idx"), x.alias("line")))
+    return as_cells(files.select(*kept, F.inline(F.concat(good, bad))), sep).withColumn("line", F.when(F.col("malformed"), F.col("line")))
+
+
+def unquoted(cell: Column) -> Column:
+    """A cell in double quotes without them; doubled quotes inside are single ones."""
+    quoted = F.startswith(cell, F.lit('"')) & F.endswith(cell, F.lit('"')) & (F.length(cell) > 1)
+    inner = F.substring(cell, F.lit(2), F.length(cell) - 2)
+    return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(cell)
 
 
 def as_cells(rows: DataFrame, sep: str = "\t") -> DataFrame:
-    """Cells of a text ``line``; needs the ``header`` of the file next to it."""
-    cells = rows.withColumns({"cells": F.split("line", sep), "row_idx": F.col("row_idx").cast("bigint")})
-    return cells.withColumn("malformed", F.size("cells") > F.size("header")).drop("line")
+    """Cells of a text ``line``; needs the ``header`` of the file next to it. A quoted cell holds no separator."""
+    parts = F.split("line", sep)
+    bare = F.when(F.contains("line", F.lit('"')), F.transform(parts, unquoted)).otherwise(parts)
+    cells = rows.withColumns({"cells": bare, "row_idx": F.col("row_idx").cast("bigint")})
+    return cells.withColumn("malformed", F.size("cells") > F.size("header"))
 
 
 def split_malformed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -241,34 +284,35 @@ def read_texts(spark: SparkSession, root: str, extension: str, max_bytes: int =
     return files.select(same_path(F.col("path")).alias("path"), F.decode("content", "ISO-8859-1").alias("text"))
 
 
-def split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lines of large files as (path, line_no, line), read in splits by many tasks.
+def split_lines(spark: SparkSession, root: str, extension: str, min_bytes: int) -> DataFrame:
+    """Lines of the files above ``min_bytes`` as (path, line_no, line), read in splits by many tasks.
 
-    Ids grow by one within a split, so a line's number is its distance from the first line of the split plus the
-    lines of the splits before it. Those totals are one row per split.
+    Each line is written once with its split and its place there; ids grow by one within a split, and the table holds
+    what one attempt of each task saw. A line's number is its place plus the lines of the splits before it, which is
+    one row per split.
     """
     lines = (
-        spark.read.text(paths)
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", _any_case(extension)).text(root)
+        .where(F.col("_metadata.file_size") > min_bytes)
         .select(
             # The text source passes the bytes of a line through as they are.
             F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"),
             same_path(F.col("_metadata.file_path")).alias("path"),
             F.col("_metadata.file_block_start").alias("_split"),
         )
-        .withColumn("_id", F.monotonically_increasing_id())
     )
-    splits = lines.groupBy("path", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    numbered = landed(lines.withColumn("_id", F.monotonically_increasing_id()), "lines")
+    splits = numbered.groupBy("path", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
     earlier = Window.partitionBy("path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "path", "_split", "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_offset")
     )
-    joined = lines.join(bounded_broadcast(offsets), ["path", "_split"])
+    joined = numbered.join(landed(offsets, "splits"), ["path", "_split"])
     return joined.select("path", (F.col("_offset") + F.col("_id") - F.col("_first")).alias("line_no"), "line")
 
 
 def large_file_rows(
-    spark: SparkSession,
-    paths: Sequence[str],
+    lines: DataFrame,
     describe: Callable[[DataFrame], DataFrame],
     mapping: Mapping[tuple[str, str], tuple[str, str]],
     helpers: tuple[str, ...],
@@ -276,8 +320,8 @@ def large_file_rows(
     header_rows: int,
     sep: str,
 ) -> DataFrame:
-    """What ``explode_rows`` gives, for files too large to be one row."""
-    lines = split_lines(spark, list(paths)).withColumn("line", clean_text(F.col("line")))
+    """What ``explode_good_rows`` gives, for numbered lines of files too large to be one row."""
+    lines = lines.withColumn("line", clean_text(F.col("line")))
     body = lines.where((F.col("line_no") >= skip + header_rows) & is_data(F.col("line"), sep))
     heads = lines.where((F.col("line_no") >= skip) & (F.col("line_no") < skip + header_rows))
     header = heads.groupBy("path").agg(
@@ -288,8 +332,10 @@ def large_file_rows(
     named = header_cells(repair_mu(F.col("_n")), repair_mu(F.coalesce("_u", F.lit(""))), sep)
     files = header.join(widths, "path").withColumn("header", widen_header(named, F.col("_width")))
     located = locate_columns(describe(files.select("path", "header")), mapping, helpers)
-    numbered = row_index(body, ["path"], ["line_no"])
-    return as_cells(numbered.join(bounded_broadcast(located), "path").drop("line_no"), sep)
+    cells = as_cells(body.join(located, "path").withColumn("row_idx", F.lit(None).cast("bigint")), sep)
+    good, bad = split_malformed(cells)
+    numbered = row_index(good.drop("row_idx"), ["path"], ["line_no"]).withColumn("line", F.lit(None).cast("string"))
+    return numbered.unionByName(bad).drop("line_no")
 
 
 def read_rows(
@@ -303,20 +349,23 @@ def read_rows(
     helpers: tuple[str, ...] = (),
     sep: str = "\t",
     unwanted: DataFrame | None = None,
-    large: Sequence[str] = (),
+    large: bool = False,
     max_bytes: int = MAX_WHOLE_FILE,
 ) -> DataFrame:
-    """Rows of the files below ``root`` except the paths in ``unwanted``.
+    """Rows of the files below ``root`` except the paths in ``unwanted``; rejected lines have no ``row_idx``.
 
     ``describe`` adds what a file's name tells to a DataFrame with ``path``. Unwanted files are the few, so theirs is
-    the list that gets joined: the texts themselves are never shuffled. ``large`` lists the wanted files above
-    ``max_bytes``.
+    the list that gets joined: while it is small, the texts themselves are not shuffled. ``large`` says that there are
+    wanted files above ``max_bytes``; they are read in splits, with the same result.
     """
     texts = read_texts(spark, root, extension, max_bytes)
     if unwanted is not None:
-        texts = texts.join(bounded_broadcast(unwanted), "path", "left_anti")
+        texts = texts.join(unwanted.select("path"), "path", "left_anti")
     located = locate_columns(describe(read_header(texts, "text", skip, header_rows, sep)), mapping, helpers)
-    rows = explode_rows(located, sep)
+    rows = explode_good_rows(located, sep)
     if large:
-        rows = rows.unionByName(large_file_rows(spark, large, describe, mapping, helpers, skip, header_rows, sep))
+        lines = split_lines(spark, root, extension, max_bytes)
+        if unwanted is not None:
+            lines = lines.join(unwanted.select("path"), "path", "left_anti")
+        rows = rows.unionByName(large_file_rows(lines, describe, mapping, helpers, skip, header_rows, sep))
     return rows.drop("path")

@@ -7,11 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.functions.clock import label
 from windrow.operators.columns import encode_missing
 
-MAX_TEXT_ROWS = 5_000_000
-
 
 def _doubles(df: DataFrame) -> list[str]:
     return [name for name, kind in df.dtypes if kind == "double"]
@@ -23,15 +20,16 @@ def write_series(
     fmt: str = "parquet",
     ts: str = "ts",
     start: str = "start_ts",
+    by: str = "file_id",
     units: Mapping[str, str] | None = None,
+    files: DataFrame | None = None,
     drop_ts: bool = False,
     mode: str = "errorifexists",
 ) -> None:
     """Write converted series.
 
     ``parquet`` keeps NULLs and one folder per day of ``ts``; days are balanced over tasks by size. ``csv`` writes
-    gzip text with one folder per file start, missing values as -9999 and, given ``units``, a second header line.
-    A file start with more than ``MAX_TEXT_ROWS`` rows continues in folders numbered ``_1``, ``_2``, ...
+    gzip text with one folder per file, missing values as -9999 and, given ``units``, a second header line.
     """
     if fmt == "parquet":
         dated = df.withColumn("date", F.to_date(ts))
@@ -39,21 +37,16 @@ def write_series(
         return
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}")
-    data = [c for c in df.columns if c not in ("file_id", "row_idx", start) and not (drop_ts and c == ts)]
+    data = [c for c in df.columns if c not in (by, "row_idx", start) and not (drop_ts and c == ts)]
     simple = [c for c in data if not dict(df.dtypes)[c].startswith(("map", "array", "struct"))]
     encoded = encode_missing(df, [c for c in _doubles(df) if c in simple])
-    part = F.floor(F.col("row_idx") / MAX_TEXT_ROWS)
-    name = F.when(part > 0, F.concat_ws("_", label(F.col(start)), part.cast("string"))).otherwise(label(F.col(start)))
-    rows = encoded.select(
-        name.alias("start_id"), F.col("row_idx").alias("_row"), *[F.col(c).cast("string") for c in simple]
-    )
+    rows = encoded.select(by, F.col("row_idx").alias("_row"), *[F.col(c).cast("string") for c in simple])
     if units is not None:
-        second = rows.select("start_id").distinct().select(
-            "start_id", F.lit(-1).cast("bigint").alias("_row"), *[F.lit(units.get(c, "[-]")).alias(c) for c in simple]
-        )
+        listed = df.select(by).distinct() if files is None else files.select(by)
+        second = listed.select(by, F.lit(-1).cast("bigint").alias("_row"), *[F.lit(units.get(c, "[-]")).alias(c) for c in simple])
         rows = second.unionByName(rows)
-    placed = rows.repartition("start_id").sortWithinPartitions("start_id", "_row").drop("_row")
-    placed.write.mode(mode).partitionBy("start_id").option("compression", "gzip").csv(path, header=True)
+    placed = rows.repartition(by).sortWithinPartitions(by, "_row").drop("_row")
+    placed.write.mode(mode).partitionBy(by).option("compression", "gzip").csv(path, header=True)
 
 
 def write_units(df: DataFrame, units: Mapping[str, str], path: str, mode: str = "errorifexists") -> None:
@@ -68,9 +61,8 @@ def write_stats(
     time: str = "start_ts",
     units: Mapping[str, str] | None = None,
     mode: str = "errorifexists",
-    single_file_rows: int = 500_000,
 ) -> None:
-    """One row per file, oldest first; a single text file up to ``single_file_rows`` rows, ordered parts beyond.
+    """One row per file, oldest first, in ordered parts (one, while Spark finds the table small).
 
     Given ``units``, columns are titled with name, unit and statistic.
     """
@@ -82,7 +74,5 @@ def write_stats(
     first = wide.select(
         F.col(time).alias("TIMESTAMP"), *[F.col(c).alias(title(c)) for c in wide.columns if c != time]
     )
-    ordered = first.orderBy("TIMESTAMP")
-    if first.limit(single_file_rows + 1).count() <= single_file_rows:
-        ordered = ordered.coalesce(1)
+    ordered = first.orderBy("TIMESTAMP", *[c for c in first.columns if c == "file_id"])
     ordered.write.mode(mode).csv(path, header=True)
