@@ -1,11 +1,12 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from windrow import presets
 from windrow.functions import clock, numeric, physics
-from windrow.operators import columns, lookup
+from windrow.operators import asof, columns, fill, lookup
 
 
 def column(spark, values, kind, make):
@@ -106,20 +107,78 @@ def test_eras(spark):
     assert [(r.co2_mult, r.h2o_mult) for r in got.collect()] == expected
 
 
-@pytest.mark.parametrize("bounds", ["(]", "[]", "[)"])
-def test_long_interval_tables_give_the_same(spark, monkeypatch, bounds):
-    day = F.col("start").cast("timestamp_ntz")
-    table = spark.range(50).select(
-        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id as int))").alias("start"), (F.col("id") * 1.0).alias("v")
-    ).withColumn("end", day + F.expr(f"interval '{'23' if bounds == '[]' else '24'}' hour")).where("v % 7 <> 3")
-    df = spark.range(2600).select(
-        F.expr("timestamp_ntz'2023-12-31 12:00:00' + make_dt_interval(0, cast(id / 2 as int), 30 * cast(id % 2 as int))").alias("t")
-    )
-    short = lookup.lookup_by_interval(df, table, "t", "start", "end", bounds, {"v": -1.0}).orderBy("t").collect()
-    monkeypatch.setattr(lookup, "MAX_BROADCAST_INTERVALS", 3)
-    long = lookup.lookup_by_interval(df, table, "t", "start", "end", bounds, {"v": -1.0}).orderBy("t").collect()
-    assert short == long
-    assert len({r.v for r in long}) > 40
+KINDS = {
+    "time": "timestamp_ntz'2023-12-31 00:00:00' + make_dt_interval(0, cast({} as int))",
+    "date": "date_add(date'2020-01-01', cast({} as int))",
+    "bigint": "cast({} as bigint)",
+    "double": "cast({} as double) / 2",
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("bounds", ["(]", "[]", "[)", "()"])
+def test_interval_tables_of_any_size_give_the_same(spark, kind, bounds):
+    """Gaps, overlaps, equal starts, open ends, NULL values and both border rules: one row per row, as the definition says."""
+    rng = random.Random(7)
+    rows = [(s, s + rng.choice([0, 1, 3, 30]), i) for i, s in enumerate(rng.choices(range(0, 300), k=120))] + [(None, 2, 900), (290, None, 901), (50, None, 902)]
+    table = spark.createDataFrame(rows, "s bigint, e bigint, v bigint").selectExpr(f"{KINDS[kind].format('s')} AS start", f"{KINDS[kind].format('e')} AS end", "v", "s", "e")
+    points = [*range(-3, 340), None]
+    df = spark.createDataFrame([(p,) for p in points], "p bigint").selectExpr("p", f"{KINDS[kind].format('p')} AS x")
+
+    def look(**options):
+        found = lookup.lookup_by_interval(df, table, "x", "start", "end", bounds, {"v": -1}, **options)
+        assert found.columns == ["p", "x", "v", "s", "e"]
+        return sorted(((r.p, r.v) for r in found.collect()), key=str)
+
+    def by_hand(p):
+        if p is None:
+            return -1
+        begun = [(s is not None, s or 0, e is None, e or 0, v) for s, e, v in rows if s is None or (s <= p if bounds[0] == "[" else s < p)]
+        _, _, open_, e, v = max(begun)
+        return v if open_ or (p <= e if bounds[1] == "]" else p < e) else -1
+
+    same_start = {}
+    for s, e, v in rows:
+        same_start.setdefault((s, e), []).append(v)
+    want = sorted(((p, by_hand(p)) for p in points), key=str)
+    for got in (look(), look(max_broadcast=3), look(max_broadcast=None), look(max_broadcast=3, min_hot_rows=50)):
+        assert len(got) == len(want)
+        for (p, v), (q, w) in zip(got, want):
+            assert p == q and (v == w or any(v in x and w in x for x in same_start.values()))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Zurich", "America/New_York"])
+def test_times_do_not_depend_on_the_session_zone(spark, zone):
+    """Across both changes of the clock: counting, the axis, truncation, labels, nearest rows and interpolation."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for day in ("1997-03-30", "1997-10-26"):
+            start = dt.datetime.fromisoformat(f"{day} 00:00:00")
+            hours = spark.range(0, 360).selectExpr("1 AS k", "id AS row_idx", f"timestamp_ntz'{day} 00:00:00' AS start_ts")
+            axis = fill.assign_time_axis(hours, period_ps=60_000_000_000_000)
+            rows = axis.select("row_idx", "ts", clock.micros(F.col("ts")).alias("us"), clock.truncated(F.col("ts"), 3_600_000_000).alias("h"), clock.label(F.col("ts")).alias("l")).orderBy("row_idx").collect()
+            for r in rows:
+                at = start + dt.timedelta(minutes=r.row_idx)
+                assert (r.ts, r.h, r.l) == (at, at.replace(minute=0), at.strftime("%Y%m%d%H%M"))
+                assert r.us == (at - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+            slow = axis.where("row_idx % 10 = 0").selectExpr("k", "ts", "double(row_idx) AS v")
+            near = asof.asof_join(axis, slow, "ts", ["k"], ["v"], "nearest", 1_000, "at").where("v IS NOT NULL").collect()
+            assert [(r.v, r.at) for r in sorted(near, key=lambda r: r.v)] == [(float(10 * i), start + dt.timedelta(minutes=10 * i)) for i in range(36)]
+            lines = asof.interpolate_linear(axis, slow, "ts", ["k"], ["v"]).orderBy("row_idx").collect()
+            assert [r.v for r in lines] == pytest.approx([min(float(i), 350.0) for i in range(360)])
+            dense = fill.densify(axis.where("row_idx % 90 = 0").select("k", "ts"), ["k"], "ts", 1_800_000_000)
+            assert dense.count() == 10
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_infinite_results_leave_the_old_value(spark):
+    df = spark.createDataFrame([(1e70, 500.0, 80.0, 35.0), (float("inf"), 500.0, 80.0, 35.0), (500.0, 1e300, 80.0, 35.0)], "CO2 double, H2O double, Plic double, Tlic double")
+    got = columns.calibrate_gas(df).collect()
+    assert [(r.CO2 if i < 2 else r.H2O, r.calibrated) for i, r in enumerate(got)] == [(1e70, False), (float("inf"), False), (1e300, False)]
+    cleared = columns.calibrate_gas(df, on_missing="null").collect()
+    assert [r.CO2 for r in cleared[:2]] == [None, None]
 
 
 def test_period_linear(spark):

@@ -112,6 +112,17 @@ def test_densify_keeps_keys_apart(spark):
     assert [(r.k, r.d.day, r.v) for r in got] == [("a", 1, 1.0), ("a", 2, None), ("a", 3, 2.0), ("b", 1, 3.0)]
 
 
+def test_densify_loses_no_row(spark):
+    """A NULL key, rows between the steps, rows without time and two rows of one step come through."""
+    rows = [(None, "00:00:00", 1.0), (None, "03:00:00", 2.0), ("a", "00:00:00", 3.0), ("a", "01:30:00", 4.0), ("a", "02:00:00", 5.0), ("a", "02:00:00", 6.0), ("a", None, 7.0)]
+    df = spark.createDataFrame(rows, "k string, t string, v double").selectExpr("k", "cast('2024-01-01 ' || t AS timestamp_ntz) AS t", "v")
+    got = sorted((str(r.k), str(r.t)[11:], str(r.v)) for r in fill.densify(df, ["k"], "t", 3_600_000_000).collect())
+    assert got == sorted([
+        ("None", "00:00:00", "1.0"), ("None", "01:00:00", "None"), ("None", "02:00:00", "None"), ("None", "03:00:00", "2.0"),
+        ("a", "00:00:00", "3.0"), ("a", "01:00:00", "None"), ("a", "02:00:00", "5.0"), ("a", "02:00:00", "6.0"), ("a", "01:30:00", "4.0"), ("a", "", "7.0"),
+    ])
+
+
 def timed(seed, keys, n, names, spread=3_600_000_000):
     rng = np.random.default_rng(seed)
     parts = []

@@ -64,6 +64,22 @@ def test_empty_groups_and_own_statistics(spark):
     assert [(r["count"], r["mean"], r["range"], r["unit"]) for r in long] == [(2, 2.0, 2.0, "[m]"), (0, None, None, "[m]")]
 
 
+def test_infinite_values_give_the_same_at_every_size(spark):
+    inf = float("inf")
+    values = [float(i) for i in range(40)] + [inf] * 5 + [-inf] * 3
+    df = spark.createDataFrame([(k, v) for k in (1, 2, None) for v in values[: 48 if k else 20]], "k int, v double")
+    whole, split = (stats.summarize(df, ["k"], ["v"], max_percentile_rows=m).orderBy("k").collect() for m in (None, 10))
+    assert [[str(x) for x in r] for r in whole] == [[str(x) for x in r] for r in split]
+    assert whole[1]["v__q95"] == inf
+
+
+def test_groups_that_are_not_listed_stay(spark):
+    df = spark.createDataFrame([(1, 1.0), (3, 5.0), (None, 7.0)], "k int, v double")
+    groups = spark.createDataFrame([(1,), (2,), (None,), (2,)], "k int")
+    got = stats.summarize(df, ["k"], ["v"], groups=groups).collect()
+    assert sorted((str(r.k), r["v__count"], r["v__mean"]) for r in got) == [("1", 1, 1.0), ("2", 0, None), ("3", 1, 5.0), ("None", 1, 7.0)]
+
+
 def test_sketch_quantiles_are_close(spark):
     row = stats.summarize(spark.range(10_001).selectExpr("double(id) AS v"), [], ["v"], exact=False).first()
     assert row["v__median"] == pytest.approx(5000, abs=2)

@@ -336,6 +336,18 @@ def sql() -> dict[str, str]:
             SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS day,
                 {steady('l_quantity * coalesce(factor, 1)')} AS l_quantity, factor IS NULL AS factor_missing
             FROM lineitem LEFT JOIN f ON CAST(l_shipdate AS DATE) = f.date""",
+        "factor_tables": f"""WITH segments AS (
+                SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS a, last_day(date_trunc('month', o_orderdate)) AS b,
+                    avg(o_totalprice) / 250000 AS f, max(o_totalprice) / 250000 AS t FROM orders GROUP BY ALL
+            ), anchors AS (SELECT a AS d, f AS v FROM segments UNION ALL SELECT b, t FROM segments),
+            lines AS (SELECT *, lead(d) OVER w AS d1, lead(v) OVER w AS v1 FROM anchors WINDOW w AS (ORDER BY d)),
+            days AS (SELECT *, CAST(unnest(generate_series(d, coalesce(d1 - 1, d), INTERVAL 1 DAY)) AS DATE) AS day FROM lines)
+            SELECT day AS date, {steady('CASE WHEN d1 IS NULL THEN v ELSE v + (v1 - v) * (day - d) / (d1 - d) END')} AS h2o_factor FROM days""",
+        "series_text": f"""WITH rows AS (SELECT 'h' || strftime(hour, '%Y%m%d%H%M') AS file_id, event_id, value FROM ({HOURLY}))
+            SELECT file_id, CAST(event_id AS VARCHAR) AS event_id,
+                CASE WHEN event_id % 9 > 0 THEN CAST(value AS VARCHAR) ELSE '-9999.0' END AS x FROM rows
+            UNION ALL SELECT DISTINCT file_id, '[-]', '[V]' FROM rows""",
+        "stats_text": f"SELECT hour, count(value) AS count, min(value) AS min, max(value) AS max FROM ({HOURLY}) GROUP BY hour",
         "lookup_long": """WITH days AS (SELECT o_orderdate AS a, o_orderdate + INTERVAL 2 DAY AS b, count(*) AS n FROM orders GROUP BY 1),
             cut AS (SELECT a, least(b, coalesce(lead(a) OVER (ORDER BY a), b)) AS z, n FROM days)
             SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, coalesce(n, 0) AS n_orders

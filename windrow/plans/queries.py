@@ -16,7 +16,8 @@ from windrow.functions import clock, numeric, physics
 from windrow.operators import asof, columns, fill, lookup, quality, stats
 from windrow.operators.hot import MIN_HOT_ROWS, settle
 from windrow.plans import convert
-from windrow.sources import files
+from windrow.session import new_path
+from windrow.sources import factors, files, sinks
 
 LINE_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 LINE_UNITS = {"l_quantity": "[pcs]", "l_extendedprice": "[usd]", "l_discount": "[1]", "l_tax": "[1]"}
@@ -327,6 +328,41 @@ def segment_dates(spark, sf):
     return lookup.segment_dates(segments).select("o_orderkey", "start_date", "end_date")
 
 
+def factor_tables(spark, sf):
+    """Monthly segments written as a text table of factors, read back, checked and spread over their days."""
+    months = table(spark, sf, "orders").groupBy(F.trunc("o_orderdate", "month").alias("a"))
+    segments = months.agg((F.avg("o_totalprice") / 250_000).alias("factor_from"), (F.max("o_totalprice") / 250_000).alias("factor_to"))
+    given = segments.select(
+        F.year("a").cast("double").alias("year_from"), (F.dayofyear("a") - 1).alias("doy_from"), F.year("a").cast("double").alias("year_to"),
+        F.dayofyear(F.last_day("a")).alias("doy_to"), "factor_from", "factor_to",
+    )
+    path = new_path(spark, "factors")
+    given.write.csv(path, header=True)
+    return steady(lookup.daily_factors(factors.read_segments(spark, path), "h2o"))
+
+
+# Sinks
+
+
+def series_text(spark, sf):
+    """Hourly files written as text with their unit line, read back line by line."""
+    rows = row_index(spark, sf).join(table(spark, sf, "events").select("event_id", "user_id", "value"), "event_id")
+    series = rows.select(F.concat(F.lit("h"), clock.label(F.col("hour"))).alias("file_id"), "row_idx", "event_id", F.when(F.col("event_id") % 9 > 0, F.col("value")).alias("x"))
+    path = new_path(spark, "series")
+    sinks.write_series(series, path, "csv", units={"x": "[V]"})
+    return spark.read.csv(path, header=True, schema="event_id string, x string, file_id string")
+
+
+def stats_text(spark, sf):
+    """Statistics per hour written as text, read back."""
+    wide = hour_summary(spark, sf).withColumnRenamed("hour", "start_ts")
+    path = new_path(spark, "stats")
+    sinks.write_stats(wide, path, units={"value": "[V]"})
+    back = spark.read.csv(path, header=True, inferSchema=False)
+    titles = {"count": "bigint", "min": "double", "max": "double"}
+    return back.select(F.col("TIMESTAMP").cast("timestamp_ntz").alias("hour"), *[F.col(f"value [V] {t}").cast(k).alias(t) for t, k in titles.items()])
+
+
 # Names, dates, texts
 
 
@@ -600,7 +636,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         summary_by_hour, summary_by_type, summary_empty_groups, summary_lineitem, halfhour_summary, robust_bounds,
         trend_bands, annotations, distinct_variables, sonic_temperature, convert_units, calibrate_gas, update_non_null,
         era_multiplier, lookup_long, period_linear, sentinel_roundtrip, coerce_numeric, strict_numeric, sorted_columns, row_index,
-        time_axis, ffill, bfill, bffill, dedupe_last, interp_linear, align_slow, ramp_daily, factor_outer, factor_join,
+        time_axis, ffill, bfill, bffill, dedupe_last, interp_linear, align_slow, ramp_daily, factor_outer, factor_join, factor_tables,
+        series_text, stats_text,
         segment_dates, pair_files, filename_time, parse_dates, date_labels, parse_table, reconcile_width, header_map,
         split_malformed, quarantine, blank_lines, strip_nul, ragged_rows, row_validity, daily_sizes, densify_days, densify_nulls, densify_users,
         availability_matrix, column_quality, convert_series, series_summary, file_manifest,
