@@ -232,6 +232,9 @@ def test_archives_odd(spark, tmp_path):
         want.append((urn, "response" if first else "revisit", None if first else f"<urn:page:{least}>", len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), data if first else None))
     key = lambda r: tuple((x is not None, x) for x in r)
     assert sorted(found, key=key) == sorted(want, key=key)
+    warc.write_archives(pages, str(tmp_path / "small"), archive_bytes=100_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "small").glob("part-*")]
+    assert len(sizes) == len(rows) and sorted(sizes)[-2] < 100_000
     warc.write_archives(pages.limit(0), str(tmp_path / "none"))
     assert warc.read_archives(spark, str(tmp_path / "none")).count() == 0
     files = sorted((tmp_path / "archives").glob("part-*"))

@@ -17,8 +17,10 @@ from windrow.llm.common import land, pick, ship, whole_text
 
 #: Date of every record; the pages carry none.
 DATE = "2000-01-01T00:00:00Z"
-#: Records of one archive at most.
-ARCHIVE_RECORDS = 2000
+#: Records of one archive at most, and the bytes it should not pass (a larger record has an archive of its own).
+ARCHIVE_RECORDS, ARCHIVE_BYTES = 2000, 128 << 20
+#: Bytes of a record beside its payload and url, about.
+HEAD_BYTES = 1000
 #: Payloads under this many bytes are never revisits.
 LEAST_PAYLOAD = 0
 
@@ -41,17 +43,23 @@ def urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
 
 
-def first_pages(pages: DataFrame, page_id: str = "page_id", html: str = "html", least: int = LEAST_PAYLOAD) -> DataFrame:
-    """Rows (page_id, digest, refers_to) of the pages whose payload a smaller page_id has too."""
+def payload_sums(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """Landed rows (page_id, digest, size, record): SHA-1 and bytes of each payload, and about how long its record is."""
     payload = whole_text(html)
-    sums = land(pick(pages, page_id=page_id, digest=F.sha1(payload), size=F.octet_length(payload)), "payloads").filter(F.col("size") >= least)
+    size = F.octet_length(payload).cast("bigint")
+    record = size + F.coalesce(F.octet_length(F.col(url).cast("string")), F.lit(0)) + HEAD_BYTES
+    return land(pick(pages, page_id=page_id, digest=F.sha1(payload), size=size, record=record), "payloads")
+
+
+def revisits_of(sums: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
+    """Rows (page_id, digest, refers_to) of the pages whose payload a smaller page_id has too."""
+    sums = sums.filter(F.col("size") >= least)
     first = sums.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
     return land(sums.join(first, "digest").filter("NOT page_id <=> refers_to").select("page_id", "digest", "refers_to").distinct(), "revisits")
 
 
-def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_PAYLOAD) -> DataFrame:
+def records(pages: DataFrame, revisits: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One column ``value``: the record of each page, without its last line feed."""
-    revisits = first_pages(pages, page_id, html, least)
     source = pick(pages, page_id=page_id, url=F.coalesce(F.col(url).cast("string"), F.lit("")), payload=whole_text(html)).withColumn("digest", F.sha1("payload"))
     again = revisits.select(F.col("page_id").alias("again_id"), F.col("digest").alias("again_digest"), "refers_to")
     joined = source.join(again, source.page_id.eqNullSafe(F.col("again_id")) & (source.digest == F.col("again_digest")), "left")
@@ -69,16 +77,26 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     return blocks.select(F.concat(header, F.col("block"), F.lit("\r\n\r")).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", *, least: int = LEAST_PAYLOAD, archive_records: int = ARCHIVE_RECORDS) -> None:
+def write_archives(
+    pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", *,
+    least: int = LEAST_PAYLOAD, archive_records: int = ARCHIVE_RECORDS, archive_bytes: int = ARCHIVE_BYTES,
+) -> None:
     """Write a WARC record for each row of ``pages`` to uncompressed archives below ``path``.
 
+    An archive has at most ``archive_records`` records, and fewer if the longest record asks for it, so that it stays
+    below ``archive_bytes`` (or holds one record).
+
     Of pages with equal payloads of at least ``least`` bytes, that with the smallest page_id is a response, the others
     are revisits that refer to it. A NULL html is an empty payload, a NULL or empty url is put as the record's own name,
     a NULL page_id as an empty one (it is a revisit of any other page with its payload). Rows that repeat a page_id and
     payload are all responses. Payloads are not shuffled unless the table of revisits outgrows Spark's limit for
     broadcasts. Every record ends in a line feed, so Spark's text writer writes the bytes of an archive as they are.
     """
-    records(pages, page_id, url, html, least).write.option("maxRecordsPerFile", archive_records).option("lineSep", "\n").text(path)
+    sums = payload_sums(pages, page_id, url, html)
+    longest = sums.agg(F.max("record")).first()[0] or 1
+    most = max(1, min(archive_records, archive_bytes // longest))
+    found = records(pages, revisits_of(sums, least), page_id, url, html)
+    found.write.option("maxRecordsPerFile", most).option("lineSep", "\n").text(path)
 
 
 @dataclass
