@@ -50,7 +50,16 @@ def cell_of(projected: Column, width: float) -> Column:
     return F.floor(projected / F.lit(width)).cast("int")
 
 
-def linked_pairs(vectors: np.ndarray, projected: np.ndarray, side: np.ndarray, across: bool, primary: int, width: float, needed: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+def linked_pairs(
+    vectors: np.ndarray,
+    projected: np.ndarray,
+    side: np.ndarray,
+    across: bool,
+    primary: int,
+    width: float,
+    needed: int,
+    cosine: float,
+) -> tuple[np.ndarray, np.ndarray]:
     """Verified pairs of one group: those that collide in ``primary``, in none before it, and often enough in all."""
     left = np.flatnonzero(side == 0) if across else np.arange(len(side))
     right = np.flatnonzero(side == 1) if across else left
@@ -108,7 +117,8 @@ def collision_links(
     needed = calibrate(projections, half_window, recall)
     lines = projections - needed + 1
     source = pick(rows, vec_id=vec_id, label=label, v=F.col(embedding).cast("array<double>"))
-    usable = F.expr("label IS NOT NULL AND size(v) > 0 AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(v, x -> x <> 0)")
+    finite = "forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
+    usable = F.expr(f"label IS NOT NULL AND size(v) > 0 AND {finite} AND exists(v, x -> x <> 0)")
     marked = land(source.withColumn("usable", F.coalesce(usable, F.lit(False))), "vectors")
     grouped = marked.filter("usable").groupBy("label", "v").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"))
     kind = marked.schema["label"].dataType.simpleString()
@@ -124,7 +134,9 @@ def collision_links(
                 for k, u, p in zip(chosen.tolist(), x, x @ axes, strict=True):
                     units[k], points[k] = u, p
             arrays = [batch.column(c) for c in ("class", "label", "copies")]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(sizes, pa.int32()), pa.array(units, pa.list_(pa.float64())), pa.array(points, pa.list_(pa.float64()))], ["class", "label", "copies", "size", "unit", "points"])
+            lists = [pa.array(x, pa.list_(pa.float64())) for x in (units, points)]
+            names = ["class", "label", "copies", "size", "unit", "points"]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(sizes, pa.int32()), *lists], names)
 
     classes = land(grouped.withColumn("class", F.monotonically_increasing_id()), "classes")
     points = land(classes.mapInArrow(project, f"class bigint, label {kind}, copies bigint, size int, unit array<double>, points array<double>"), "points")

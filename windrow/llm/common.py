@@ -96,6 +96,14 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             begin = end
 
 
+ARROW_KINDS = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary()}
+
+
+def arrow_schema(columns: str) -> pa.Schema:
+    """Arrow's schema for plain columns in Spark's notation (``a int, b string``)."""
+    return pa.schema([(name, ARROW_KINDS[kind]) for name, kind in (part.split() for part in columns.split(","))])
+
+
 def string_lengths(column: pa.Array) -> np.ndarray:
     return string_parts(column)[1][1:] - string_parts(column)[1][:-1]
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm import words
-from windrow.llm.common import crunch, discard, expand, id_crc, land, pick, ship, sliced, string_parts, whole_text
+from windrow.llm.common import arrow_schema, crunch, discard, expand, id_crc, land, pick, ship, sliced, string_parts, whole_text
 
 #: Longest n-gram.
 ORDER = 2
@@ -78,7 +78,8 @@ def to_blocks(docs: DataFrame, doc_id: str, text: str, block_tokens: int) -> Dat
             lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
             numbers = [pa.array([x], pa.int64()) for x in (block, len(place), len(vocabulary))]
             blobs = [pa.array([crunch(vocabulary)], pa.binary()), pa.array([crunch(place.astype("<u4"))], pa.binary())]
-            return pa.RecordBatch.from_arrays([numbers[0], pa.array([int(deleted)], pa.int32()), numbers[1], *lists, blobs[0], numbers[2], blobs[1]], names)
+            arrays = [numbers[0], pa.array([int(deleted)], pa.int32()), numbers[1], *lists, blobs[0], numbers[2], blobs[1]]
+            return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in sliced(batches, "text"):
             deleted_rows = batch.column("fold").to_numpy() == DELETED
@@ -129,9 +130,18 @@ def count_requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                     edges = np.searchsorted(keys, np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)) if buckets > 1 else []
                     cuts = [0, *np.asarray(edges, np.int64).tolist(), len(keys)]
                     rows = [
-                        {"n": n, "bucket": b, "block": row["block"], "size": hi - lo, "keys": crunch(np.diff(keys[lo:hi], prepend=np.uint64(0))), "learned": crunch(counts[0][lo:hi]), "deleted": crunch(counts[1][lo:hi])}
-                        for b, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)) if hi > lo
-                    ]
+                        {
+                            "n": n,
+                            "bucket": b,
+                            "block": row["block"],
+                            "size": hi - lo,
+                            "keys": crunch(np.diff(keys[lo:hi], prepend=np.uint64(0))),
+                            "learned": crunch(counts[0][lo:hi]),
+                            "deleted": crunch(counts[1][lo:hi]),
+                        }
+                        for b, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False))
+                        if hi > lo
+                    ]
                     for lo in range(0, len(rows), 512):
                         yield pa.RecordBatch.from_pylist(rows[lo : lo + 512], REQUEST_SCHEMA)
 
@@ -139,9 +149,9 @@ def count_requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
 
 
 REQUEST = "n int, bucket int, block bigint, size bigint, keys binary, learned binary, deleted binary"
-REQUEST_SCHEMA = pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("size", pa.int64()), ("keys", pa.binary()), ("learned", pa.binary()), ("deleted", pa.binary())])
+REQUEST_SCHEMA = arrow_schema(REQUEST)
 ANSWER = "n int, bucket int, block bigint, size bigint, learned binary, both binary, new_learned bigint, new_both bigint"
-ANSWER_SCHEMA = pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("size", pa.int64()), ("learned", pa.binary()), ("both", pa.binary()), ("new_learned", pa.int64()), ("new_both", pa.int64())])
+ANSWER_SCHEMA = arrow_schema(ANSWER)
 
 
 def answer_bucket(table: pa.Table) -> pa.Table:
@@ -220,7 +230,13 @@ def fill_unseen(weights: np.ndarray, seen: set[int]) -> np.ndarray:
 
 
 def interpolated_scores(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, order: int = ORDER, block_tokens: int = BLOCK_TOKENS, bucket_keys: int = BUCKET_KEYS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    *,
+    order: int = ORDER,
+    block_tokens: int = BLOCK_TOKENS,
+    bucket_keys: int = BUCKET_KEYS,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -238,7 +254,8 @@ def interpolated_scores(
     """
     ship(docs.sparkSession)
     blocks = to_blocks(docs, doc_id, text, block_tokens)
-    facts = blocks.select("part", F.explode(F.arrays_zip("lengths", "folds")).alias("d")).groupBy(F.col("d.folds").alias("fold")).agg(F.sum("d.lengths").alias("tokens"), F.count("*").alias("documents"))
+    each = blocks.select(F.explode(F.arrays_zip("lengths", "folds")).alias("d"))
+    facts = each.groupBy(F.col("d.folds").alias("fold")).agg(F.sum("d.lengths").alias("tokens"), F.count("*").alias("documents"))
     facts = {r["fold"]: (r["tokens"], r["documents"]) for r in facts.collect()}  # three rows
     asked = blocks.agg(F.sum("n_words").alias("w"), F.sum("n").alias("n")).first()
     buckets = max(1, int(((asked["w"] or 0) + (order - 1) * (asked["n"] or 0)) // (order * bucket_keys)))
@@ -256,14 +273,15 @@ def interpolated_scores(
             block = Block(row, order)
             bucket, p = estimates(block, counts_of(block, right, "learned", order), learned[0], v_learned, learned[1])
             distinct, n = np.unique(np.column_stack([bucket, *p]), axis=0, return_counts=True)
-            tables.append(pa.table([distinct[:, 0].astype(np.int32), *distinct[:, 1:].T, n], names=["bucket", *(f"p{k}" for k in range(order + 1)), "n"]))
-        return pa.concat_tables(tables) if tables else pa.table({n: pa.array([], pa.float64()) for n in ("bucket", *(f"p{k}" for k in range(order + 1)), "n")})
+            columns = [distinct[:, 0].astype(np.int32), *distinct[:, 1:].T, n]
+            tables.append(pa.table(columns, schema=arrow_schema(estimated)))
+        return pa.concat_tables(tables) if tables else arrow_schema(estimated).empty_table()
 
-    estimate_columns = ", ".join(f"p{k} double" for k in range(order + 1))
+    estimated = "bucket int, " + "".join(f"p{k} double, " for k in range(order + 1)) + "n bigint"
     answers_of = answers.select("n", "bucket", "block", "size", "learned", "both")
     deleted_blocks = blocks.filter(F.col("part") == 1)
     mine = answers_of.drop("both").join(deleted_blocks.select("block"), "block", "left_semi")
-    held_out = deleted_blocks.groupBy("block").cogroup(mine.groupBy("block")).applyInArrow(deleted_rows, f"bucket int, {estimate_columns}, n bigint")
+    held_out = deleted_blocks.groupBy("block").cogroup(mine.groupBy("block")).applyInArrow(deleted_rows, estimated)
     held_out = land(held_out, "held-out")
     weights = learn_weights(held_out, order)
     weights = fill_unseen(weights, {r["bucket"] for r in held_out.select("bucket").distinct().collect()})
@@ -290,4 +308,5 @@ def interpolated_scores(
     scored = blocks.groupBy("block").cogroup(answers_of.drop("learned").groupBy("block")).applyInArrow(
         score_rows, f"doc_id {kind}, fold int, n_tokens bigint, n_known bigint, base_score double, score double"
     )
-    return scored.select("doc_id", (F.col("fold") == HELD).alias("held_out"), "n_tokens", "n_known", F.lit(both[0]).cast("long").alias("train_tokens"), "base_score", "score")
+    held_out, train_tokens = (F.col("fold") == HELD).alias("held_out"), F.lit(both[0]).cast("long").alias("train_tokens")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", train_tokens, "base_score", "score")

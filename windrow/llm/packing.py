@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.common import Remembered, discard, land, pick, ship, sliced, whole_text
+from windrow.llm.common import Remembered, arrow_schema, discard, land, pick, ship, sliced, whole_text
 
 CAPACITY = 4096
 END_ID = 1
@@ -174,7 +174,8 @@ def pack_part(table: pa.Table, capacity: int) -> pa.Table:
     offset[by_bin] = begin - np.repeat(begin[first], np.bincount(bin_, minlength=n))
     gap = n - lower_bound(np.bincount(length, minlength=capacity + 1), capacity)
     part = np.full(len(item), table.column("part")[0].as_py(), np.int32)
-    return pa.table([item, length, part, name[bin_], offset, capacity - fill[bin_], np.full(len(item), gap)], names=["item", "length", "part", "bin", "offset", "room", "gap"])
+    columns = [item, length, part, name[bin_], offset, capacity - fill[bin_], np.full(len(item), gap)]
+    return pa.table(columns, schema=arrow_schema(PACKED))
 
 
 def pack(items: DataFrame, *, capacity: int = CAPACITY, part_rows: int = PART_ROWS) -> DataFrame:

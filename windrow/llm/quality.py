@@ -170,7 +170,16 @@ def descend_against(p: np.ndarray, u: np.ndarray, *, steps: int = 200, rate: flo
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", *, sample_rows: int = SAMPLE_ROWS, prior: float | None = None) -> Model:
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    *,
+    sample_rows: int = SAMPLE_ROWS,
+    prior: float | None = None,
+) -> Model:
     """Fit on at most ``sample_rows`` trusted positives and as many unlabelled documents, none of the held-out fold.
 
     Only label 1 is read. The chosen ids (at most twice ``sample_rows`` rows) are broadcast to the documents; only
@@ -215,7 +224,17 @@ def score(text: Column, model: Model) -> Column:
     return run(text)
 
 
-def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", *, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS, prior: float | None = None) -> DataFrame:
+def classify(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    *,
+    threshold: float = THRESHOLD,
+    sample_rows: int = SAMPLE_ROWS,
+    prior: float | None = None,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted (1 if score >= threshold).
 
     The score depends on the whole text only. NULL counts as empty and gets the score of an empty text. Rows are scored

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm.common import land, pick, ship, whole_text
+from windrow.llm.common import arrow_schema, land, pick, ship, whole_text
 
 #: Date of every record; the pages carry none.
 DATE = "2000-01-01T00:00:00Z"
@@ -234,10 +234,9 @@ def read_archives(spark: SparkSession, path: str, *, payload: bool = True) -> Da
     usual; an empty archive gives no rows. Whether an archive is compressed is seen from its bytes.
     """
     ship(spark)
-    names = [part.split()[0] for part in READ.split(", ")]
+    schema = arrow_schema(READ)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([pa.field(n, pa.binary() if n == "payload" else pa.int64() if n in ("start", "end", "payload_bytes") else pa.string()) for n in names])
         for batch in batches:
             for archive, content in zip(batch.column("path"), batch.column("content"), strict=True):
                 rows, held = [], 0
