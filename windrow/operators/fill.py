@@ -156,7 +156,8 @@ def densify(df: DataFrame, by: Sequence[str], on: str, step_us: int = DAY_US) ->
     spread = chunks.repartition(*by, "_chunk")
     until = F.least(F.col("_last"), F.col("_chunk") + width - F.lit(step))
     steps = spread.select(*by, F.explode(F.sequence("_chunk", until, F.lit(step).cast("bigint"))).alias("_step"))
-    given = attach(placed, ends.drop("_last"), by) if by else placed.crossJoin(F.broadcast(ends.drop("_last")))
+    firsts = ends.drop("_last")
+    given = attach(placed, firsts if by else F.broadcast(firsts), by)  # without keys: one row
     on_step = F.pmod(F.col("_position") - F.col("_first"), F.lit(step)) == 0
     flagged = given.withColumn("_on", F.coalesce(on_step, F.lit(False)))
     regular = flagged.where("_on").withColumn("_step", F.col("_position"))
