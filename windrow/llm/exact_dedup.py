@@ -51,12 +51,15 @@ def decide(rows: DataFrame, counters: int = COUNTERS, candidates: int = CANDIDAT
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of rows that repeat a doc_id and text, one stays."""
+    """The rows of ``docs`` that stay, with all their columns; of rows that repeat a doc_id and text, one stays.
+
+    Texts are shuffled to their decisions once, at every size; repeated rows, the few, once more.
+    """
     digest = "__text_sha256"
     found = exact_dedup(docs, doc_id, text).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("copies"))
     found = land(found.select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"), "copies"), "kept")
     marked = docs.withColumn(digest, F.sha2(whole_text(text), 256))
     same = marked[doc_id].eqNullSafe(F.col("__kept_id")) & (F.col(digest) == F.col("__kept_sha"))
-    single = marked.join(found.filter("copies = 1"), same, "left_semi")
+    single = marked.join(found.filter("copies = 1").hint("merge"), same, "left_semi")
     repeated = marked.join(found.filter("copies > 1"), same, "left_semi").dropDuplicates([doc_id, digest])
     return single.unionByName(repeated).drop(digest)

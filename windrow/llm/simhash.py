@@ -144,7 +144,10 @@ def simhash_components(
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, with all their columns."""
+    """The rows of ``docs`` whose doc_id names their component, with all their columns.
+
+    Texts are shuffled to their decisions once, at every size.
+    """
     kept = simhash_components(docs, doc_id, text, **options).filter("doc_id <=> component_id")
     kept = land(kept.select(F.col("doc_id").alias("__kept_id")).distinct(), "kept")
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["__kept_id"]), "left_semi")
+    return docs.join(kept.hint("merge"), docs[doc_id].eqNullSafe(kept["__kept_id"]), "left_semi")
