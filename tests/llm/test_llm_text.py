@@ -152,6 +152,36 @@ def test_secrets_any_text():
         secret_scan.redacted(text)
 
 
+SECRET_FORMS = [
+    *('cfg["db_password"] = "Zx9-qwerty77"', "$c['db']['password'] = 'Zx9-qwerty77';", 'secrets["bob"] = "Zx9-qwerty77"'),
+    *('db_password: str = "Zx9-qwerty77"', 'val apiToken: String = "Zx9-qwerty77"', 'def f(password: Optional[str] = "Zx9-qwerty77", x=1):'),
+    *('db_password =\n  "Zx9-qwerty77"', 'db_password = (\n  "Zx9-"\n  "qwerty77"\n)', 'db_password = "Zx9-" +\n  "qwerty77"', 'db_password = "Zx9-"\n  + "qwerty77"'),
+    *('{"db_password":\r\n  "Zx9-qwerty77"}', "db_password:\n  Zx9-qwerty77\nother: 1", "db_password: |\n  Zx9-qwerty77\n", "pwd = \\\n  'Zx9-qwerty77'"),
+    *('"secrets": [\n  "Zx9-qwerty77"\n]', "secrets:\n  - Zx9-qwerty77\n", '"secret": {\n  "value": "Zx9-qwerty77"\n}', "secret:\n  value: Zx9-qwerty77\n"),
+]
+
+
+@pytest.mark.parametrize("text", SECRET_FORMS)
+def test_secrets_forms(text):
+    """Subscripts, typed names and values on later lines are listed and redacted, and nothing else is."""
+    text = f"first line, no sign\n{text}\nname = \"Not-this-12\"\n"
+    base, added = secret_scan.all_spans(text)
+    assert not base and "".join(text[s.start : s.end] for s in sorted(added, key=lambda s: s.start)) == "Zx9-qwerty77"
+    hidden = secret_scan.redacted(text)
+    assert "[REDACTED]" in hidden and "Zx9" not in hidden and "qwerty" not in hidden and "Not-this-12" in hidden
+
+
+def test_secrets_forms_rows(spark):
+    docs = spark.createDataFrame(list(enumerate(SECRET_FORMS)), "doc_id bigint, text string")
+    assert all(r.n_lexed > 0 for r in secret_scan.scan_secrets(docs).collect())
+    assert all("qwerty77" not in r.text for r in secret_scan.redact(docs).collect())
+
+
+@pytest.mark.parametrize("text", ['if token:\n    mode = "Strict-Mode-1"\n', "PASSWORD=\nNAME=Not-this-12\n", 'pwd = {\n}\nname = "Not-this-12"\n', '"secret": {"length": "Not-this-12"}'])
+def test_secrets_other_lines(text):
+    assert secret_scan.redacted(text) == text
+
+
 def test_secrets_odd(odd_docs, no_docs):
     rows = secret_scan.scan_secrets(odd_docs).collect()
     assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in odd_docs.select("doc_id").collect())

@@ -39,11 +39,15 @@ THRESHOLD = 1.3
 LEAST_LITERAL = 8
 
 TOKEN = re.compile(
-    r"""(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
-    r"""|(?P<put>:=|=>|\+=|[=:](?![=:]))"""
-    r"""|(?P<word>[^\s"'=:+,;(){}\[\]<>#]+)"""
-    r"""|(?P<plus>\+)|(?P<end>[\n,;(){}\[\]<>#])|(?P<other>[^\s])"""
+    r"""(?P<line>\n\s*)|(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
+    r"""|(?P<put>:[ \t]+[|>][-+0-9]*(?=[ \t\r]*\n)|:=|=>|\+=|[=:](?![=:]))"""
+    r"""|(?P<sub>(?<=[\w\])])\[[ \t]*(?:"[^"\\\n]*"|'[^'\\\n]*'|[^\[\]"'\n]{0,64})[ \t]*\])"""
+    r"""|(?P<join>\\\r?\n)|(?P<word>[^\s"'=:+,;(){}\[\]<>#]+)"""
+    r"""|(?P<plus>\+)|(?P<open>[({\[])|(?P<close>[)}\]])|(?P<end>[,;<>#])|(?P<other>[^\s])"""
 )
+SIGN = re.compile("[=:]")
+LINE_ENDS = re.compile(r"[ \t]*[,;]?[ \t\r]*(?:\n|\Z)")
+OPENS = {")": "(", "]": "[", "}": "{"}
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 NAME = re.compile(r"[A-Za-z_$][\w$.-]*$", re.ASCII)
 KEEP_NAME = re.compile(r"[\w$.-]+", re.ASCII)
@@ -84,42 +88,237 @@ def pairs(text: str) -> Iterator[Pair]:
     """Name-literal pairs in order, with constants put in place of their names.
 
     Understands ``name = "v"``, ``name: v``, ``"name": "v"``, ``name := v``, ``name => v``, ``name="v"`` in tags and
-    calls, ``+=``, and sums of literals and names. A bare word is a literal unless it names a constant that was set
-    before. One pass over the tokens of the lines that hold ``=`` or ``:``; names keep their last value.
+    calls, ``+=``, sums of literals and names, ``x["name"] = "v"`` and ``name: type = "v"`` (a pair for either word).
+    A bare word is a literal unless it names a constant that was set before. Values may stand on later lines: after a
+    sign, around a plus, in brackets (each item is a value), in indented blocks and lists; a bare word does so if it is
+    alone on a more indented line. A name in a block or braces below a sensitive name is put behind that name. One pass
+    over the tokens; lines without ``=`` or ``:`` are left out while nothing is open. Names keep their last value.
     """
-    constants: dict[str, tuple[Literal, ...]] = {}
-    at = 0
-    while at < len(text):
-        stop = text.find("\n", at)
-        stop = len(text) if stop < 0 else stop + 1
-        if text.find("=", at, stop) < 0 and text.find(":", at, stop) < 0:
-            at = stop
-            continue
-        target, adds, before, value, wants = None, False, None, [], False
-        for m in TOKEN.finditer(text, at, stop):
-            kind = m.lastgroup
-            if target is not None and kind in ("text", "word") and wants:
-                found = _literal(m, kind)
-                known = constants.get(found.value) if kind == "word" else None
-                value.extend(known if known is not None else [found])
-                wants, before = False, m
-            elif target is not None and kind == "plus" and not wants:
-                wants = True
-            elif kind == "put" and before is not None and (name := _name(before)):
-                if target is not None and value and value[-1].end > before.start():
-                    value = []  # what looked like the value is the next name, as in ``a: b: c``
-                if target is not None and value:
-                    yield _put(constants, target, adds, value)
-                target, adds, value, wants, before = name, m[0] == "+=", [], True, None
+    return iter(_Lexer(text).run())
+
+
+class _Lexer:
+    def __init__(self, whole: str):
+        self.whole = whole
+        self.found: list[Pair] = []
+        self.constants: dict[str, tuple[Literal, ...]] = {}
+        self.brackets: list[tuple[str, str | None, bool]] = []  # sign, sensitive name above, whether it groups a value
+        self.depth = dict.fromkeys("([{", 0)
+        self.blocks: list[tuple[int, str | None]] = []  # indent of a key with lines below it, sensitive name
+        self.indent, self.fresh = 0, True  # of this line; whether no token of it was read
+        self.name: str | None = None  # of the last token, if a sign may follow
+        self.name_start, self.leads = 0, False  # where it is; whether it begins its line
+        self.noted: str | None = None  # the name before a colon on this line, which a type may follow
+        self.angles = 0
+        self.drop()
+
+    def drop(self) -> None:
+        """No target is open."""
+        self.target: str | None = None
+        self.alias: str | None = None
+        self.above: str | None = None
+        self.sign, self.key, self.target_indent, self.group = "", False, 0, 0
+        self.wants, self.crossed = False, False  # a value is due; it is due since an earlier line
+        self.value: list[Literal] = []
+        self.spare: list[Literal] = []  # the value if no other comes, as in ``a: b=``
+        self.last = 0  # literals before the newest part of the value
+
+    def put_value(self) -> None:
+        value = self.value or self.spare
+        if self.target is None or not value:
+            return
+        pair = _put(self.constants, self.target, self.sign == "+=", value)
+        self.found.append(pair)
+        if self.above is not None:
+            self.found.append(Pair(f"{self.above}.{self.target}", pair.literals))
+        if self.alias is not None and self.value:
+            self.found.append(Pair(self.alias, pair.literals))
+
+    def finish(self) -> None:
+        self.put_value()
+        self.drop()
+
+    def run(self) -> list[Pair]:
+        at = self.skip(0)
+        while at < len(self.whole):
+            begin, at = at, len(self.whole)
+            for m in TOKEN.finditer(self.whole, begin):
+                kind = m.lastgroup
+                if kind == "line":
+                    self.line(m)
+                    if self.target is None and self.name is None and not self.brackets and not self.blocks:
+                        at = self.skip(m.end())
+                        if at > m.end():
+                            break
+                        at = len(self.whole)
+                    continue
+                if kind in ("text", "word"):
+                    self.part(m, kind)
+                elif kind == "put":
+                    self.put(m)
+                elif kind == "sub":
+                    self.subscript(m)
+                elif kind == "plus":
+                    if self.target is not None and not self.wants:
+                        self.wants, self.crossed = True, False
+                    else:
+                        self.finish()
+                    self.name = None
+                elif kind == "open":
+                    self.open(m[0])
+                elif kind == "close":
+                    self.close(OPENS[m[0]])
+                elif kind != "join":
+                    self.sign_(m[0], kind)
+                self.fresh = False
+        self.finish()
+        return self.found
+
+    def skip(self, at: int) -> int:
+        """The line of the next sign, or the one before it if the sign begins the line."""
+        sign = SIGN.search(self.whole, at)
+        if sign is None:
+            return len(self.whole)
+        begin = max(at, self.whole.rfind("\n", at, sign.start()) + 1)
+        if begin > at and not self.whole[begin : sign.start()].strip():
+            begin = max(at, self.whole.rfind("\n", at, begin - 1) + 1)
+        if begin > at:
+            head = self.whole[begin : sign.start()]
+            self.indent, self.fresh = len(head) - len(head.lstrip()), True
+        return begin
+
+    def line(self, m: re.Match) -> None:
+        at = m.end()
+        self.indent, self.fresh = len(m[0]) - m[0].rfind("\n") - 1, True
+        self.noted, self.angles = None, 0
+        listed_ = self.whole.startswith(("- ", "-\t"), at)
+        while self.blocks and (self.blocks[-1][0] > self.indent or (self.blocks[-1][0] == self.indent and not listed_)):
+            self.blocks.pop()
+        if self.target is not None and self.wants:
+            below = self.indent > self.target_indent or (listed_ and self.indent == self.target_indent)
+            if self.key and not self.value and not self.group and not self.crossed and below:
+                self.blocks.append((self.target_indent, self.sensitive(self.target, self.above)))
+            self.crossed = True
+        elif self.target is not None and not self.group and (not self.whole.startswith("+", at) or self.whole.startswith("+=", at)):
+            self.finish()
+        if self.whole[at : at + 1] not in ("=", ":"):
+            self.name = None
+
+    def sensitive(self, name: str, above: str | None) -> str | None:
+        if name_score(name):
+            return name
+        return above if above is not None and name_score(f"{above}.{name}") else None
+
+    def part(self, m: re.Match, kind: str) -> None:
+        """A literal or a word: a part of the value, or what a sign may follow."""
+        if self.fresh and m[0] == "-" and self.whole[m.end() : m.end() + 1] in (" ", "\t"):
+            self.finish()
+            if self.blocks and self.blocks[-1][1] is not None:
+                self.target, self.sign, self.wants = self.blocks[-1][1], ":", True
+                self.target_indent = self.indent
+            self.indent += 2
+            self.name, self.leads = None, True
+            return
+        leads = self.fresh or (self.leads and self.name is None)
+        if self.target is not None and (self.wants or (self.group and kind == "text" and self.value)):
+            found = _literal(m, kind)
+            known = self.constants.get(found.value) if kind == "word" else None
+            far = kind == "word" and known is None and self.crossed and not self.group
+            if far and not (self.indent > self.target_indent and (self.key or self.sign != ":") and LINE_ENDS.match(self.whole, m.end())):
+                self.finish()
             else:
-                if target is not None and value:
-                    yield _put(constants, target, adds, value)
-                if kind in ("end", "other") or (target is not None and not wants):
-                    target, value, wants = None, [], False
-                before = m if kind in ("text", "word") else before if kind == "other" else None
-        if target is not None and value:
-            yield _put(constants, target, adds, value)
-        at = stop
+                self.last = len(self.value)
+                self.value.extend(known if known is not None else [found])
+                self.wants = self.crossed = False
+        elif self.target is not None:
+            self.finish()
+        self.name, self.name_start, self.leads = _name(m), m.start(), leads
+
+    def subscript(self, m: re.Match) -> None:
+        inner = m[0][1:-1].strip()
+        quoted = inner[:1] in ("'", '"')
+        if not quoted and inner[:1] == ":":
+            inner, quoted = inner[1:], True
+        if quoted and NAME.match(inner := inner.strip("\"'")):
+            base = self.name
+            self.name = inner if base is None or name_score(inner) else f"{base}.{inner}"
+        if self.target is not None and not self.wants and self.value and self.value[-1].end >= self.name_start:
+            del self.value[self.last :]  # an element, or a type with parameters, is no literal
+
+    def put(self, m: re.Match) -> None:
+        sign = m[0]
+        name, self.name = self.name, None
+        if name is None:
+            if sign == "=" and self.noted is not None:  # a type that does not end in a word
+                self.drop()
+                self.target, self.sign, self.wants = self.noted, "=", True
+                self.target_indent, self.noted = self.indent, None
+            elif self.target is not None and not self.wants:
+                self.finish()
+            return
+        spare: list[Literal] = []
+        if self.target is not None and self.value and self.value[-1].end > self.name_start:
+            spare = self.value[self.last :]  # what looked like the value is the next name, as in ``a: b: c``
+            del self.value[self.last :]
+        typed = sign == "=" and self.noted is not None and not self.group
+        only = not self.value
+        self.spare = []
+        self.finish()
+        self.wants, self.sign, self.target_indent = True, sign.split()[0], self.indent
+        above = self.brackets[-1][1] if self.brackets else None
+        if above is None and self.blocks and self.sign == ":" and self.leads:
+            above = self.blocks[-1][1]
+        if typed:
+            self.target, self.alias, self.spare, self.noted = self.noted, name, spare if only else [], None
+        else:
+            self.target, self.key = name, self.sign == ":" and self.leads
+            if above is not None and not name_score(name):
+                self.above = above
+            if self.sign == ":":
+                self.noted = name
+
+    def open(self, sign: str) -> None:
+        holds = self.target is not None and self.wants
+        if holds or self.brackets:
+            above = self.sensitive(self.target, self.above) if holds else self.brackets[-1][1]
+            self.brackets.append((sign, above, holds and sign != "{"))
+            self.depth[sign] += 1
+        if not holds or sign == "{":
+            self.finish()
+        else:
+            self.group += 1
+        self.name, self.noted = None, None if sign == "{" else self.noted
+
+    def close(self, sign: str) -> None:
+        grouped = False
+        if self.depth[sign]:
+            while True:
+                top, _, grouped = self.brackets.pop()
+                self.depth[top] -= 1
+                if grouped:
+                    self.group = max(0, self.group - 1)
+                if top == sign:
+                    break
+        if not grouped or self.target is None:
+            self.finish()
+        else:
+            self.wants = False
+        if sign != "[":
+            self.noted = None
+        self.name = None
+
+    def sign_(self, sign: str, kind: str) -> None:
+        """Any other sign ends a value; a comma in brackets ends one item of it."""
+        self.angles = max(0, self.angles + (sign == "<") - (sign == ">"))
+        if sign == ";" or (sign == "," and not self.angles):
+            self.noted = None
+        if self.target is not None and self.group and sign == ",":
+            self.put_value()
+            self.value, self.spare, self.last, self.wants, self.crossed = [], [], 0, True, False
+        else:
+            self.finish()
+        if kind != "other":
+            self.name = None
 
 
 def _literal(m: re.Match, kind: str) -> Literal:
