@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -275,6 +276,31 @@ def test_archives_odd(spark, tmp_path):
     assert [(g.start, g.end) for g in gaps] == [(0, 45)]
 
 
+def test_archives_long_url(spark, tmp_path, monkeypatch):
+    """Headers of any length are read; a page that cannot be read back stops the query."""
+    rows = [(0, "http://a/b", "zero"), (1, "data:" + "x" * 100_000, "one"), (2, "http://a/WARC/1.0", "two"), (3, "data:" + "é" * 3_000_000, "zero")]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in QUERIES["op4_warc"](spark, str(tmp_path)).collect()}
+    assert got == {0: (4, "response", None), 1: (3, "response", None), 2: (3, "response", None), 3: (4, "revisit", 0)}
+    write = warc.write_archives
+    monkeypatch.setattr(warc, "write_archives", lambda pages, path: (write(pages, path), hurt(path)))
+    with pytest.raises(Exception, match="gap in an archive"):
+        QUERIES["op4_warc"](spark, str(tmp_path)).collect()
+
+
+def hurt(path):
+    file = next(f for f in Path(path.removeprefix("file:")).glob("part-*") if f.stat().st_size)
+    file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    file.write_bytes(file.read_bytes().replace(b"zero", b"ZERO"))
+
+
+def test_headers_end():
+    """A header that is cut off ends at the next version line, and the record there is read."""
+    cut = record(1, b"x")[:60]
+    found = list(warc.salvage(cut + b"\r\n" + record(2, b"y")))
+    assert [type(f) for f in found] == [warc.Gap, warc.Record] and found[0].reason == "header without end"
+
+
 def test_pipeline(spark):
     """Each stage against its operator's own decisions, worked out by brute force where the operator does not learn."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

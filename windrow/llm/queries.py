@@ -36,7 +36,8 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "archives")
     warc.write_archives(table(spark, folder, "pages"), path)
-    read = warc.read_archives(spark, path, payload=False).filter("gap IS NULL")
+    sound = "CASE WHEN gap IS NULL THEN true ELSE raise_error(concat('gap in an archive just written: ', gap, ' at ', start, ' in ', archive)) END"
+    read = warc.read_archives(spark, path, payload=False).filter(sound)  # nothing is damaged here, so a gap is a lost page
     page_id, refers_to = (F.expr(f"try_cast({c} AS BIGINT)") for c in ("page", "refers"))
     named = read.withColumns({"page": warc.page_of("record_id"), "refers": warc.page_of("refers_to")})
     return named.select(

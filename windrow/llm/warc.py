@@ -29,7 +29,7 @@ VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 VERSION_LINE = b"WARC/1."
 GZIP_MEMBER = b"\x1f\x8b\x08"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-MAX_HEADER = 1 << 16
+HEAD_END = re.compile(rb"\r\n(?:\r\n|(?=WARC/1\.[01]\r\n))")
 FEED = 1 << 16
 
 
@@ -139,9 +139,10 @@ def parse_record(data: bytes, at: int) -> Record:
     """The record that begins at ``at``; raises Damaged where a check fails."""
     if not VERSION.match(data, at):
         raise Damaged("no version line")
-    head_end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
-    if head_end < 0:
+    found = HEAD_END.search(data, at)  # of any length; a line that is a version line belongs to the next record
+    if found is None or len(found[0]) < 4:
         raise Damaged("header without end")
+    head_end = found.start()
     fields: dict[str, str] = {}
     for line in data[at:head_end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
