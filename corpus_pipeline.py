@@ -30,7 +30,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of a document, with its sequence and its place there."""
-    return packing.pack_documents(docs, module_file("word_bpe_49k.json"))
+    return packing.pack_documents(docs, module_file("word_bpe_49k.json"), special=True)
 
 
 #: Each function takes (spark, docs, sf_dir); its rows are written and read again as the next one's docs.

@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from public_tokenizers import PATTERN, path
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from windrow.llm import byte_bpe, interpolation, packing, words
 from windrow.llm.queries import QUERIES
 
@@ -86,6 +87,29 @@ def test_word_ids(word_library, texts):
     assert got == [e.ids for e in word_library.encode_batch(texts, add_special_tokens=False)]
 
 
+SPECIALS = st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "It's", "x", "É", "\u0301", "Σ", "!.", " ", "\n", "\x01"]), max_size=20).map("".join)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(SPECIALS | TEXTS, min_size=1, max_size=4))
+def test_word_ids_special(texts):
+    """Ids with special tokens are those of the library's plain call."""
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.word_ids(WORDS, special=True).encode([t.encode() for t in texts])]
+    assert got == [e.ids for e in Tokenizer.from_file(WORDS).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_pack_special(spark, tmp_path):
+    """The query and the stage of the pipeline count and sum the ids of the library's plain call."""
+    texts = ["it's <|endoftext|> x", "<|startoftext|>a<|endoftext|>. <|ENDOFTEXT|>", "no such string."]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    library = Tokenizer.from_file(WORDS)
+    want = {i: [*library.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert want[0] == [585, 568, 49407, 343, 1]
+    staged = corpus_pipeline.pack(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
+    for rows in (QUERIES["op7_packing"](spark, str(tmp_path)).collect(), staged.collect()):
+        assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+
+
 def fits(rows, capacity):
     """Every sequence is filled from 0 without gaps and holds at most ``capacity``."""
     bins = defaultdict(list)

@@ -33,21 +33,25 @@ class WordIds:
 
     The tokenizer drops white space, so the ids of a text are those of its words (cut at ASCII white space) in turn. It
     lowers letters and parts letters from signs, so ASCII letters are lowered before, and ASCII signs at the end of a
-    word become a word of their own. Texts with combining marks, which may join a letter, are only cut.
+    word become a word of their own. Texts with combining marks, which may join a letter, are only cut. With
+    ``special`` the strings of special tokens in a text have their ids, as in the library's plain call, and texts where
+    one may begin are only cut too; without it they are encoded as other text is.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values() if special else ()
+        self.whole = (b"\xcc", b"\xcd", *{token.content[:2].encode() for token in added})
         self.known: Remembered = Remembered(REMEMBERED)
         (self.border,) = self.tokenizer.encode(BORDER.decode(), add_special_tokens=False).ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [(text if b"\xcc" in text or b"\xcd" in text else LAST_SIGNS.sub(rb" \1", text.lower())).split() for text in texts]
+        split = [(text if any(x in text for x in self.whole) else LAST_SIGNS.sub(rb" \1", text.lower())).split() for text in texts]
         self.known.turn()
         self.learn(self.known.missing(set().union(*split)))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
@@ -71,22 +75,24 @@ class WordIds:
             self.known[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
 
-_words: dict[str, WordIds] = {}
+_words: dict[tuple[str, bool], WordIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
-    if path not in _words:
-        _words[path] = WordIds(path)
-    return _words[path]
+def word_ids(path: str, special: bool = False) -> WordIds:
+    if (path, special) not in _words:
+        _words[path, special] = WordIds(path, special)
+    return _words[path, special]
 
 
-def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", *, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", *, capacity: int = CAPACITY, end_id: int = END_ID, special: bool = False
+) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32): each text's ids and an end id, cut every ``capacity`` ids."""
     ship(docs.sparkSession)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end, step = word_ids(path), int(end_id).to_bytes(4, "little"), 4 * capacity
+        words, end, step = word_ids(path, special), int(end_id).to_bytes(4, "little"), 4 * capacity
         for part in sliced(batches, "text"):
             at, rows = [], []
             for k, ids in enumerate(words.encode(part.column("text").to_pylist())):
@@ -224,15 +230,18 @@ def pack(items: DataFrame, *, capacity: int = CAPACITY, part_rows: int = PART_RO
 
 
 def pack_documents(
-    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", *, capacity: int = CAPACITY, end_id: int = END_ID, part_rows: int = PART_ROWS
-) -> DataFrame:
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", *,
+    capacity: int = CAPACITY, end_id: int = END_ID, part_rows: int = PART_ROWS, special: bool = False,
+) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Only texts of more than ``capacity`` ids (with their end id) are cut, into pieces of ``capacity`` and a last one.
     NULL and empty texts are one piece that holds the end id. Repeated rows are packed as often as they come; no rows
-    give no rows. ``path`` is a tokenizer file that exists on every executor.
+    give no rows. ``path`` is a tokenizer file that exists on every executor. With ``special`` (the
+    queries set it) strings like <|endoftext|> in a text have the ids of special tokens, as the library gives them when
+    it is called plainly; otherwise they are plain text.
     """
-    found = pieces(docs, path, doc_id, text, capacity=capacity, end_id=end_id)
+    found = pieces(docs, path, doc_id, text, capacity=capacity, end_id=end_id, special=special)
     found = land(found.withColumn("item", F.monotonically_increasing_id()), "pieces")
     placed = pack(found.select("item", "length"), capacity=capacity, part_rows=part_rows)
     return found.join(placed, "item").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

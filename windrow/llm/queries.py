@@ -63,7 +63,7 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(table(spark, folder, "documents"), module_file("word_bpe_49k.json"))
+    return packing.pack_documents(table(spark, folder, "documents"), module_file("word_bpe_49k.json"), special=True)
 
 
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
