@@ -2,7 +2,7 @@
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -104,6 +104,42 @@ def test_simhash_odd(odd_docs, no_docs, rows_of):
     assert {r.doc_id for r in kept.collect()} == wanted
 
 
+def test_simhash_keeps_one_row(spark):
+    """Of every component one row is kept, with repeated and NULL ids too, however the rows are dealt."""
+    words = [f"w{k}" for k in range(400)]
+    near = [" ".join(words[:k] + words[k + 1 :]) for k in (100, 200)]
+    far = " ".join(words[::-1])
+    rows = [(1, " ".join(words)), (1, near[0]), (1, far), (2, near[1]), (None, far + " end"), (None, near[0] + " end"), (1, far), (None, "solitary"), (None, "solitary"), (None, None), (None, "")]
+    prints = {t: simhash.fingerprint((t or "").encode()) for _, t in rows}
+    groups = components_brute(set(prints.values()))
+    want = Counter(groups.values())
+    first = {}
+    for i, t in rows:
+        key = (i is None, i or 0, prints[t] - (1 << 64) if prints[t] >> 63 else prints[t], hashlib.sha1((t or "").encode()).hexdigest())
+        first[groups[prints[t]]] = min(first.get(groups[prints[t]], key), key)
+    for n in (1, 4):
+        docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, n string").repartition(n)
+        kept = simhash.keep_first(docs)
+        got = kept.collect()
+        assert kept.columns == docs.columns and len(got) == len(want)
+        assert {(r.doc_id, r.text or "") for r in got} == {(i, t or "") for i, t in rows if any(k[:2] == (i is None, i or 0) and k[3] == hashlib.sha1((t or "").encode()).hexdigest() for k in first.values())}
+
+
+def components_brute(prints):
+    """Component of each fingerprint, by flooding."""
+    out = {}
+    for p in sorted(prints):
+        queue = [] if p in out else [p]
+        out.setdefault(p, p)
+        while queue:
+            a = queue.pop()
+            for b in prints:
+                if b not in out and (a ^ b).bit_count() <= 4:
+                    out[b] = out[a]
+                    queue.append(b)
+    return out
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3, 4])
 def test_masks_cover(radius):
     """Any bits within the radius are missing from some mask."""

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.llm.blocks import block_pairs, by_group
@@ -42,17 +42,19 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """Rows (doc_id, fp): the fingerprint as a signed BIGINT, from the whole text."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, **more: Column) -> DataFrame:
+    """Rows (doc_id, fp): the fingerprint as a signed BIGINT, from the whole text; ``more`` are further columns of text."""
     ship(docs.sparkSession)
+    names = ["doc_id", "fp", *more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names)
 
-    source = pick(docs, doc_id=doc_id, text=whole_text(text).cast("binary"))
-    return source.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, fp bigint")
+    source = pick(docs, doc_id=doc_id, text=whole_text(text).cast("binary"), **more)
+    schema = ", ".join([f"doc_id {docs.schema[doc_id].dataType.simpleString()}, fp bigint", *(f"{name} string" for name in more)])
+    return source.mapInArrow(run, schema)
 
 
 def masks(radius: int, bits: int = BITS) -> list[int]:
@@ -143,11 +145,27 @@ def simhash_components(
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, with all their columns.
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns.
 
-    Texts are shuffled to their decisions once, at every size.
+    It is the one with the smallest doc_id (NULL last), then fingerprint and digest of the text; of rows that are equal
+    in id and text any one. Texts are shuffled to their decisions once, at every size.
     """
-    kept = simhash_components(docs, doc_id, text, **options).filter("doc_id <=> component_id")
-    kept = land(kept.select(F.col("doc_id").alias("__kept_id")).distinct(), "kept")
-    return docs.join(kept.hint("merge"), docs[doc_id].eqNullSafe(kept["__kept_id"]), "left_semi")
+    ship(docs.sparkSession)
+    digest = F.sha1(whole_text(text))
+    rows = land(fingerprints(docs, doc_id, text, words, digest=digest), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "digest")
+    classes = land(rows.groupBy("fp").agg(F.min(order).alias("first")), "classes")
+    found = components(links(classes, radius))
+    named = classes.join(found, classes.fp == found.node, "left").select("first", F.coalesce("component", "fp").alias("component"))
+    least = named.groupBy("component").agg(F.min("first").alias("first"))
+    kept = land(least.select(key_of(F.col("first.digest"), F.col("first.doc_id")).alias("__kept")), "kept")
+    keyed = docs.withColumn("__key", key_of(digest, F.col(doc_id)))
+    met = keyed.join(kept.hint("merge"), keyed["__key"] == kept["__kept"], "left_semi")
+    numbered = met.withColumn("__row", F.row_number().over(Window.partitionBy("__key").orderBy("__key")))
+    return numbered.filter("__row = 1").drop("__key", "__row")
+
+
+def key_of(digest: Column, doc_id: Column) -> Column:
+    """One text for an id and a digest, so that a join and a window share a shuffle; a NULL id differs from all others."""
+    return F.concat(digest, F.coalesce(F.concat(F.lit(":"), doc_id.cast("string")), F.lit("")))
