@@ -3,8 +3,14 @@
 import base64
 import gzip
 import hashlib
+import json
+import math
 import random
 import re
+import resource
+import subprocess
+import sys
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -102,6 +108,81 @@ def test_identity_swaps(spark):
     assert abs(fair[0] - fair[1]) < 0.01 and fair[0] < 0.5 < fair[3]
 
 
+@pytest.mark.parametrize("operator", [quality, toxicity])
+def test_one_text_for_each_id(spark, operator, monkeypatch):
+    """An id on thousands of rows neither crowds out others nor brings its rows to the driver."""
+    docs = spark.range(3000).selectExpr("CASE WHEN id < 2900 THEN -1L ELSE id END AS doc_id", "concat('word', id % 7, ' and more') AS text").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in [-1, *range(2900, 3000)]], "doc_id bigint, quality int, toxic int")
+    seen = []
+    fit = operator.fit
+    monkeypatch.setattr(operator, "fit", lambda *a, **k: seen.append(a) or fit(*a, **k))
+    scores = {r.score for r in operator.classify(docs, labels, sample_rows=10).collect()}
+    assert all(0 <= x <= 1 for x in scores)
+    sizes = [len(seen[0][0]), len(seen[0][1])] if operator is quality else [sum(seen[0][1] == 0), sum(seen[0][1] == 1)]
+    assert sizes == [10, 10]
+
+
+def adam(objective, w, steps, rate):
+    """Plain Adam on numerical derivatives; ``objective`` gives the function to go down at a point."""
+    mean, square = np.zeros(len(w)), np.zeros(len(w))
+    for step in range(1, steps + 1):
+        value = objective(w)
+        gradient = np.array([(value(w + d) - value(w - d)) / 2e-5 for d in np.eye(len(w)) * 1e-5])
+        mean, square = 0.9 * mean + 0.1 * gradient, 0.999 * square + 0.001 * gradient**2
+        w = w - rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+    return w
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.9])
+def test_risk_by_loops(prior):
+    """The non-negative risk, one row after the other; with a large prior its second term falls below zero."""
+    rng = np.random.default_rng(3)
+    p, u = rng.normal(0.8, 1, (30, 3)), rng.normal(-0.2, 1, (40, 3))
+    turned = []
+
+    def loss(rows, w, sign):
+        return sum(math.log1p(math.exp(-sign * sum(a * b for a, b in zip(row, w)))) for row in rows) / len(rows)
+
+    def objective(at):
+        turned.append(loss(u, at, -1) - prior * loss(p, at, -1) < 0)
+        decay = lambda w: 1e-4 / 2 * sum(x * x for x in w)
+        if turned[-1]:
+            return lambda w: prior * loss(p, w, -1) - loss(u, w, -1) + decay(w)
+        return lambda w: prior * loss(p, w, 1) + loss(u, w, -1) - prior * loss(p, w, -1) + decay(w)
+
+    want = adam(objective, np.zeros(3), 40, 0.05)
+    np.testing.assert_allclose(quality.descend(p, u, prior, steps=40), want, atol=1e-5)
+    assert any(turned) == (prior == 0.9)
+
+
+def test_swap_penalty_by_loops():
+    """Weighted loss and squared score changes over sentences whose terms are swapped one by one."""
+    rng = np.random.default_rng(5)
+    groups, width = [[0, 1, 2], [3, 4]], 8
+    texts = [np.flatnonzero(rng.random(width) < 0.4) for _ in range(30)]
+    toxic, weight = (rng.random(30) < 0.4).astype(float), rng.uniform(0.5, 2, 30)
+    swapped = []
+    for words in texts:
+        for group in groups:
+            for term in set(group) & set(words.tolist()):
+                swapped += [(set(words.tolist()), (set(words.tolist()) - {term}) | {other}) for other in group if other != term]
+    assert len(swapped) > 20
+
+    def objective(_):
+        def value(w):
+            score = [sum(w[i] for i in words) + w[-1] for words in texts]
+            loss = sum(g * math.log1p(math.exp(-z if y else z)) for g, z, y in zip(weight, score, toxic)) / weight.sum()
+            change = [sum(w[i] for i in a) - sum(w[i] for i in b) for a, b in swapped]
+            return loss + 1e-4 / 2 * (w[:-1] ** 2).sum() + 3.0 * sum(c * c for c in change) / len(change)
+
+        return value
+
+    base = (weight * toxic).sum() / weight.sum()
+    want = adam(objective, np.append(np.zeros(width), math.log(base / (1 - base))), 40, 0.05)
+    w, bias = toxicity.fit(texts, toxic, weight, width, groups, fairness=3.0, steps=40)
+    np.testing.assert_allclose([*w, bias], want, atol=2e-4)
+
+
 SECRETS = """db_password = "hunter2-Xy9Qz"
 KEY="abcdEF123456"
 api_secret = KEY
@@ -138,8 +219,62 @@ def test_secrets_added():
     assert {SECRETS[s.start : s.end] for s in added} == {"abcdEF123456", "AAAA1234bbbb", "CCCC5678dd", "Zx9-qwerty77"}
     hidden = secret_scan.redacted(SECRETS)
     assert "hunter2" not in hidden and "Zx9" not in hidden and "changeme" in hidden and hidden.count("[REDACTED]") == 6
-    values = {p.name: [x.value for x in p.literals] for p in secret_scan.pairs("a = 'xyz'\nb = a + \"uvw\"\nb += 'q'\nc: d: e\nf(g='h', i=b)")}
-    assert values["b"] == ["xyz", "uvw", "q"] and values["i"] == ["xyz", "uvw", "q"] and values["g"] == ["h"] and values["d"] == ["e"]
+    values = {p.name: p.value.text for p in secret_scan.pairs("a = 'xyz'\nb = a + \"uvw\"\nb += 'q'\nc: d: e\nf(g='h', i=b)")}
+    assert values == {"a": "xyz", "b": "xyzuvwq", "d": "e", "g": "h", "i": "xyzuvwq"}
+    (pair,) = secret_scan.pairs("b = 'xyz' + 'uvw'")
+    assert [x.value for x in pair.value.new_literals()] == ["xyz", "uvw"] and not list(pair.value.new_literals())
+
+
+HOSTILE = {
+    "doubled constants": "password = 'abCD12!x'\n" + "password = password + password\n" * 40_000,
+    "additions": "".join(f'password += "abcdEF{i % 10}h"\n' for i in range(100_000)),
+    "additions of a constant in use": "".join(f'x += "abcdEF{i % 10}h"\ny = x\n' for i in range(50_000)) + "password = x",
+    "sums with a long constant": "".join(f'x += "abcdEF{i % 10}h"\n' for i in range(20_000)) + "".join(f'password = x + "{i}"\n' for i in range(20_000)),
+    "escaped quotes": 'password = "' + '\\"' * 500_000,
+    "escaped quotes of both kinds": "password = '" + "\\'\\\"\"'" * 200_000,
+    "open brackets": "password = " + "[" * 500_000,
+    "open braces with names": "password = " + "{a:" * 200_000,
+    "long subscript": "a[" + "x" * 1_000_000 + "] = 'abc'",
+    "blank subscript": "a[" + " " * 1_000_000 + "b = 'abc'",
+    "many subscripts": "a" + "['bcd']" * 100_000 + " = 'Zx9-qwerty77'",
+    "blanks after a colon": ("password:" + " " * 1000) * 1000,
+    "long literal": "password = '" + "".join(chr(256 + i % 5000) for i in range(1_000_000)) + "'",
+    "many base matches": "password = abcdefABCDEF0123456789\n" * 20_000,
+}
+
+
+def test_secrets_hostile():
+    """Time and memory grow with the text: each of these, up to 2 MB, takes seconds and less than 500 MB."""
+    code = "import sys; sys.path[:0] = sys.argv[1:]; import test_llm_text as t; t.scan_hostile()"
+    here = Path(__file__).resolve().parent
+    done = subprocess.run([sys.executable, "-c", code, str(here), str(here.parents[1])], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    for name, (seconds, megabytes, _) in json.loads(done.stdout).items():
+        assert seconds < 8 and megabytes < 500, name  # some 3 seconds at most where nothing else runs
+    assert json.loads(done.stdout)["additions"][2] == 100_000 and json.loads(done.stdout)["doubled constants"][2] == 1
+
+
+def scan_hostile():
+    out = {}
+    for name, text in HOSTILE.items():
+        begin = time.process_time()
+        found = len(secret_scan.all_spans(text)[1])
+        out[name] = (time.process_time() - begin, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024, found)
+    print(json.dumps(out))
+
+
+def test_secrets_long_values():
+    """A value too long to be kept as text scores by its counts; an unquoted subscript may have any length."""
+    literal = "".join(random.Random(1).choices("abcXYZ0189-_", k=5000))
+    for text in (f"password = '{literal}'", f"a = '{literal[:3000]}'\npassword = a + '{literal[3000:]}'"):
+        hidden = secret_scan.redacted(text)
+        assert literal[:100] not in hidden and literal[-100:] not in hidden
+    assert not secret_scan.all_spans(f"password = '{'x' * 500}'")[1] and not secret_scan.all_spans(f"password = 'word {literal}'")[1]
+    value = secret_scan.Value.sum([secret_scan.Value.of(secret_scan.Literal(0, 0, literal[i : i + 70])) for i in range(0, 4900, 70)])
+    share = [literal[:4900].count(c) / 4900 for c in set(literal[:4900])]
+    assert abs(value.score() - 0.6 - min(4, -sum(p * math.log2(p) for p in share)) / 10) < 1e-6
+    text = f"password[{'i + ' * 50}1] = 'Zx9-qwerty77'"
+    assert "Zx9" not in secret_scan.redacted(text)
 
 
 def test_secrets_any_text():
@@ -195,6 +330,16 @@ def test_secrets_odd(odd_docs, no_docs):
     assert "abcDEF" not in now[16].text and now[16].n_chars == len(now[16].text)
 
 
+@pytest.mark.parametrize("bait", [b"WARC/1.0\r\n", b"\r\nWARC/1.0\r\nA: b\r\n", b"\x1f\x8b\x08ab WARC/1.0\r\n", b"\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n"])
+def test_salvage_of_long_damage(bait):
+    """What looks like a record every 200 bytes of 4 MB costs a second at most, and the record behind it is found."""
+    data = (b"x" * 190 + bait) * 20_000 + record(1, b"payload")
+    begin = time.process_time()
+    found = list(warc.salvage(data))
+    assert time.process_time() - begin < 1.5
+    assert found[-1].payload() == b"payload" and sum(f.end - f.start for f in found) == len(data)
+
+
 def member(record):
     return gzip.compress(record, mtime=0)
 

@@ -51,6 +51,16 @@ def test_merges(library, texts):
     assert [x.tobytes() for x in split(*table.decode(ids, at))] == [t.encode() for t in texts]
 
 
+def test_decode_in_steps(library, monkeypatch):
+    """Texts are decoded in runs of bounded numbers of ids, a longer one in steps."""
+    assert list(byte_bpe.runs(np.array([0, 3, 3, 10, 11]), 4)) == [(0, 2), (2, 3), (3, 4)]
+    assert list(byte_bpe.runs(np.array([7]), 4)) == [] and list(byte_bpe.runs(np.array([5, 5, 5]), 4)) == [(0, 2)]
+    monkeypatch.setattr(byte_bpe, "DECODED", 7)
+    table = byte_bpe.merges(RANKS, PATTERN)
+    texts = ["", "a longer text of some words " * 9, "", "é1", ""]
+    assert [x.tobytes().decode() for x in split(*table.decode(*table.encode(texts)))] == texts
+
+
 def test_long_pieces(library):
     table = byte_bpe.merges(RANKS, PATTERN)
     random_ = random.Random(2)

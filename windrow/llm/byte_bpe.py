@@ -22,8 +22,8 @@ REMEMBERED = 200_000
 STEP = 20_000
 #: Bytes of text that are split at once.
 SLICE = 2 << 20
-#: Texts that are decoded at once.
-DECODED = 256
+#: Ids that are decoded at once; a longer text is decoded alone, in steps of so many.
+DECODED = 1 << 18
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -179,10 +179,23 @@ class Merges:
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all texts in turn, and where each text begins in them, from ids and where each text begins there."""
-        length = self.token_length[ids]
-        ends = np.concatenate(([0], np.cumsum(length)))
-        from_ = np.repeat(self.token_begin[ids] - ends[:-1], length) + np.arange(ends[-1])
-        return self.token_bytes[from_], ends[at]
+        ends = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.token_length[ids], out=ends[1:])
+        data = np.empty(ends[-1], np.uint8)
+        for k in range(0, len(ids), DECODED):
+            part, end = ids[k : k + DECODED], ends[k : k + DECODED + 1]
+            from_ = np.repeat(self.token_begin[part] - end[:-1], np.diff(end)) + np.arange(end[0], end[-1])
+            data[end[0] : end[-1]] = self.token_bytes[from_]
+        return data, ends[at]
+
+
+def runs(begin: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts with at most ``most`` ids together; a longer text is a run of its own."""
+    first = 0
+    while first < len(begin) - 1:
+        last = max(first + 1, int(np.searchsorted(begin, begin[first] + most, side="right")) - 1)
+        yield first, last
+        first = last
 
 
 _merges: dict[tuple[str, str], Merges] = {}
@@ -222,13 +235,13 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = merges(path, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, DECODED):
-                part = batch.slice(at, DECODED)
-                lists = part.column("ids")
-                begin = lists.offsets.to_numpy().astype(np.int64)
-                data, ends = table.decode(lists.values.to_numpy()[begin[0] : begin[-1]], begin - begin[0])
+            offsets = batch.column("ids").offsets.to_numpy().astype(np.int64)
+            for first, last in runs(offsets, DECODED):
+                part = batch.slice(first, last - first)
+                begin = offsets[first : last + 1]
+                data, ends = table.decode(batch.column("ids").values.to_numpy()[begin[0] : begin[-1]], begin - begin[0])
                 texts = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, texts], ["doc_id", "ids", "data"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), texts], ["doc_id", "ids", "data"])
 
     source = tokens.select("doc_id", "ids")
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>, data binary")

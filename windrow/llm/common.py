@@ -21,10 +21,12 @@ SLICE_BYTES = 4 << 20
 def shared_folder(spark: SparkSession) -> str:
     """A folder of this application that driver and executors share: below ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary folder takes its place.
+    Only where the session names none and is a local one (tests) a temporary folder takes its place.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="shared-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"

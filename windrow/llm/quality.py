@@ -182,26 +182,29 @@ def learn(
 ) -> Model:
     """Fit on at most ``sample_rows`` trusted positives and as many unlabelled documents, none of the held-out fold.
 
-    Only label 1 is read. The chosen ids (at most twice ``sample_rows`` rows) are broadcast to the documents; only
-    their feature rows come to the driver.
+    Only label 1 is read. Distinct ids are chosen (at most twice ``sample_rows``) and broadcast to the documents. Of the
+    texts of one id the one of least hash counts, so at most one feature row for each chosen id comes to the driver.
     """
     ship(docs.sparkSession)
     learns = id_crc("id") % FOLDS != HELD_FOLD
     trusted = pick(labels, id=doc_id, label=label).filter(learns & (F.col("label") == 1)).select("id").distinct()
-    any_ = pick(docs, id=doc_id).filter(learns)
+    any_ = pick(docs, id=doc_id).filter(learns).distinct()
 
     def chosen(rows: DataFrame, kind: str) -> DataFrame:
-        return rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).distinct().select("id", F.lit(kind).alias("kind"))
+        return rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("id", F.lit(kind).alias("kind"))
 
     ids = chosen(trusted, "p").unionByName(chosen(any_, "u"))
-    source = pick(docs, id=doc_id, text=whole_text(text)).join(F.broadcast(ids), "id").select("kind", "text")
+    source = pick(docs, id=doc_id, text=whole_text(text)).join(F.broadcast(ids), "id").select("id", "kind", F.xxhash64("text").alias("hash"), "text")
+    id_kind = source.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches, "text"):
             rows = feature_rows(part.column("text"))
-            yield pa.RecordBatch.from_arrays([part.column("kind"), pa.array(list(rows), pa.list_(pa.float64()))], ["kind", "x"])
+            columns = [part.column(c) for c in ("id", "kind", "hash")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(rows), pa.list_(pa.float64()))], ["id", "kind", "hash", "x"])
 
-    found = source.mapInArrow(run, "kind string, x array<double>").toArrow()
+    rows = source.mapInArrow(run, f"id {id_kind}, kind string, hash bigint, x array<double>")
+    found = rows.groupBy("id", "kind").agg(F.min_by("x", "hash").alias("x")).select("kind", "x").toArrow()
     kinds = np.array(found.column("kind").to_pylist(), dtype=object)
     x = np.array(found.column("x").combine_chunks().flatten()).reshape(-1, N_FEATURES)
     return fit(ordered(x[kinds == "p"]), ordered(x[kinds == "u"]), prior)

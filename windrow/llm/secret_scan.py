@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import accumulate
 from math import log2
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,14 +44,16 @@ THRESHOLD = 1.3
 LEAST_LITERAL = 8
 
 TOKEN = re.compile(
-    r"""(?P<line>\n\s*)|(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
-    r"""|(?P<put>:[ \t]+[|>][-+0-9]*(?=[ \t\r]*\n)|:=|=>|\+=|[=:](?![=:]))"""
-    r"""|(?P<sub>(?<=[\w\])])\[[ \t]*(?:"[^"\\\n]*"|'[^'\\\n]*'|[^\[\]"'\n]{0,64})[ \t]*\])"""
-    r"""|(?P<join>\\\r?\n)|(?P<word>[^\s"'=:+,;(){}\[\]<>#]+)"""
+    r"""(?P<line>\n\s*+)|(?P<text>["'])"""
+    r"""|(?P<put>:[ \t]++[|>][-+0-9]*+(?=[ \t\r]*+\n)|:=|=>|\+=|[=:](?![=:]))"""
+    r"""|(?P<sub>(?<=[\w\])])\[[ \t]*+(?:"[^"\\\n]*+"[ \t]*+|'[^'\\\n]*+'[ \t]*+|[^\[\]"'\n]*+)\])"""
+    r"""|(?P<join>\\\r?\n)|(?P<word>[^\s"'=:+,;(){}\[\]<>#]++)"""
     r"""|(?P<plus>\+)|(?P<open>[({\[])|(?P<close>[)}\]])|(?P<end>[,;<>#])|(?P<other>[^\s])"""
 )
+#: The rest of a quoted text, after the quote that begins it.
+QUOTED = {q: re.compile(rf"[^{q}\\\n]*+(?:\\.[^{q}\\\n]*+)*+{q}") for q in "\"'"}
 SIGN = re.compile("[=:]")
-LINE_ENDS = re.compile(r"[ \t]*[,;]?[ \t\r]*(?:\n|\Z)")
+LINE_ENDS = re.compile(r"[ \t]*+[,;]?+[ \t\r]*+(?:\n|\Z)")
 OPENS = {")": "(", "]": "[", "}": "{"}
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 NAME = re.compile(r"[A-Za-z_$][\w$.-]*$", re.ASCII)
@@ -79,9 +86,98 @@ class Literal(NamedTuple):
     value: str
 
 
+#: Values of up to so many characters are kept as text; of longer ones only what their score needs.
+SHORT = 64
+#: Characters counted apart; others share the counts of 128 more.
+COUNTED = 256
+#: A sum longer than this counts as this long: names can double their value on every line.
+LONGEST = 1e30
+KIND_SIGNS = [re.compile(p) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")]
+SPACE = re.compile(r"\s")
+
+
+def counted(text: str) -> np.ndarray:
+    if text.isascii():
+        return np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=COUNTED).astype(np.float32)
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.bincount(np.where(points < 128, points, 128 + points % 128), minlength=COUNTED).astype(np.float32)
+
+
+class Value:
+    """A literal or a sum of values, with what its score needs. Sums share their parts, so adding costs the same at any length."""
+
+    __slots__ = ("parts", "literal", "end", "length", "text", "counts", "kinds", "blank", "excused", "shared", "listed")
+
+    def __init__(self, parts: tuple[Value, ...], literal: Literal | None, end: int):
+        self.parts, self.literal, self.end = parts, literal, end
+        self.length, self.text, self.counts, self.kinds = 0.0, None, None, 0
+        self.blank = self.excused = self.shared = self.listed = False
+
+    @classmethod
+    def of(cls, literal: Literal) -> Value:
+        out = cls((), literal, literal.end)
+        out._read(literal.value)
+        return out
+
+    def _read(self, text: str) -> None:
+        self.length, self.blank, self.excused = float(len(text)), SPACE.search(text) is not None, PLACEHOLDER.match(text) is not None
+        self.kinds = sum(1 << i for i, sign in enumerate(KIND_SIGNS) if sign.search(text))
+        if len(text) <= SHORT:
+            self.text = text
+        else:
+            self.counts = counted(text)
+
+    @classmethod
+    def sum(cls, parts: list[Value]) -> Value:
+        """The sum of values; the first one's counts are taken over if nothing else uses it."""
+        if len(parts) == 1:
+            return parts[0]
+        out = cls(tuple(parts), None, parts[-1].end)
+        length = sum(p.length for p in parts)
+        if length <= SHORT:
+            out._read("".join(p.text for p in parts))
+            return out
+        out.length, out.blank, out.excused = length, any(p.blank for p in parts), all(p.excused for p in parts)
+        first = parts[0]
+        if first.counts is None:
+            out.counts = counted(first.text)
+        elif first.shared or any(p is first for p in parts[1:]):
+            out.counts = first.counts.copy()
+        else:
+            out.counts, first.counts = first.counts, None
+        for p in parts[1:]:
+            out.counts += counted(p.text) if p.counts is None else p.counts
+        for p in parts:
+            out.kinds |= p.kinds
+        if out.length > LONGEST:
+            out.counts *= np.float32(LONGEST / 1e10 / out.length)
+            out.length = LONGEST / 1e10
+        return out
+
+    def score(self) -> float:
+        """Up to 1: variety of characters and their entropy; short, blank and placeholder values score below zero."""
+        if self.length < LEAST_LITERAL or self.excused or self.blank:
+            return -2.0
+        numbers = np.array(list(Counter(self.text).values()), float) if self.counts is None else self.counts[self.counts > 0]
+        entropy = -sum(p * log2(p) for p in (numbers / self.length).tolist())
+        return 0.2 * min(self.kinds.bit_count(), 3) + min(entropy, 4.0) / 10
+
+    def new_literals(self) -> Iterator[Literal]:
+        """Literals of the value, in order, that no call has named before."""
+        stack = [self]
+        while stack:
+            value = stack.pop()
+            if value.listed:
+                continue
+            value.listed = True
+            if value.literal is not None:
+                yield value.literal
+            stack.extend(reversed(value.parts))
+
+
 class Pair(NamedTuple):
     name: str
-    literals: tuple[Literal, ...]
+    value: Value
 
 
 def pairs(text: str) -> Iterator[Pair]:
@@ -93,20 +189,24 @@ def pairs(text: str) -> Iterator[Pair]:
     sign, around a plus, in brackets (each item is a value), in indented blocks and lists; a bare word does so if it is
     alone on a more indented line. A name in a block or braces below a sensitive name is put behind that name. One pass
     over the tokens; lines without ``=`` or ``:`` are left out while nothing is open. Names keep their last value.
+
+    Time and memory grow with the length of the text, whatever is in it: values share their parts, each quote is looked
+    for once, and no pattern goes back. A pair holds at the time it is yielded; its value may be extended afterwards.
     """
-    return iter(_Lexer(text).run())
+    return _Lexer(text).run()
 
 
 class _Lexer:
     def __init__(self, whole: str):
         self.whole = whole
         self.found: list[Pair] = []
-        self.constants: dict[str, tuple[Literal, ...]] = {}
+        self.constants: dict[str, Value] = {}
+        self.unclosed = {q: -1 for q in QUOTED}  # up to where on this line no text in such quotes ends
         self.brackets: list[tuple[str, str | None, bool]] = []  # sign, sensitive name above, whether it groups a value
         self.depth = dict.fromkeys("([{", 0)
         self.blocks: list[tuple[int, str | None]] = []  # indent of a key with lines below it, sensitive name
         self.indent, self.fresh = 0, True  # of this line; whether no token of it was read
-        self.name: str | None = None  # of the last token, if a sign may follow
+        self.name: list[str] | None = None  # parts of the name that ends with the last token, if a sign may follow
         self.name_start, self.leads = 0, False  # where it is; whether it begins its line
         self.noted: str | None = None  # the name before a colon on this line, which a type may follow
         self.angles = 0
@@ -119,60 +219,86 @@ class _Lexer:
         self.above: str | None = None
         self.sign, self.key, self.target_indent, self.group = "", False, 0, 0
         self.wants, self.crossed = False, False  # a value is due; it is due since an earlier line
-        self.value: list[Literal] = []
-        self.spare: list[Literal] = []  # the value if no other comes, as in ``a: b=``
-        self.last = 0  # literals before the newest part of the value
+        self.value: list[Value] = []
+        self.spare: list[Value] = []  # the value if no other comes, as in ``a: b=``
+        self.last = 0  # parts before the newest part of the value
 
     def put_value(self) -> None:
         value = self.value or self.spare
         if self.target is None or not value:
             return
-        pair = _put(self.constants, self.target, self.sign == "+=", value)
-        self.found.append(pair)
+        whole = self.constants[self.target] = self.put_constant(value)
+        self.found.append(Pair(self.target, whole))
         if self.above is not None:
-            self.found.append(Pair(f"{self.above}.{self.target}", pair.literals))
+            self.found.append(Pair(f"{self.above}.{self.target}", whole))
         if self.alias is not None and self.value:
-            self.found.append(Pair(self.alias, pair.literals))
+            self.found.append(Pair(self.alias, whole))
+
+    def put_constant(self, value: list[Value]) -> Value:
+        held = self.constants.get(self.target) if self.sign == "+=" else None
+        return Value.sum(value if held is None else [held, *value])
 
     def finish(self) -> None:
         self.put_value()
         self.drop()
 
-    def run(self) -> list[Pair]:
+    def run(self) -> Iterator[Pair]:
         at = self.skip(0)
-        while at < len(self.whole):
-            begin, at = at, len(self.whole)
-            for m in TOKEN.finditer(self.whole, begin):
-                kind = m.lastgroup
-                if kind == "line":
-                    self.line(m)
-                    if self.target is None and self.name is None and not self.brackets and not self.blocks:
-                        at = self.skip(m.end())
-                        if at > m.end():
-                            break
-                        at = len(self.whole)
-                    continue
-                if kind in ("text", "word"):
-                    self.part(m, kind)
-                elif kind == "put":
-                    self.put(m)
-                elif kind == "sub":
-                    self.subscript(m)
-                elif kind == "plus":
-                    if self.target is not None and not self.wants:
-                        self.wants, self.crossed = True, False
-                    else:
-                        self.finish()
-                    self.name = None
-                elif kind == "open":
-                    self.open(m[0])
-                elif kind == "close":
-                    self.close(OPENS[m[0]])
-                elif kind != "join":
-                    self.sign_(m[0], kind)
-                self.fresh = False
+        while m := TOKEN.search(self.whole, at):
+            kind, at = m.lastgroup, m.end()
+            if kind == "line":
+                self.line(m)
+                if self.target is None and self.name is None and not self.brackets and not self.blocks:
+                    at = self.skip(at)
+                yield from self.taken()
+                continue
+            if kind == "text":
+                end = self.closing(m[0], at)
+                if end is None:
+                    self.sign_(m[0], "other")
+                else:
+                    self.part(Literal(at, end - 1, self.whole[at : end - 1]), "text", m.start(), end)
+                    at = end
+            elif kind == "word":
+                self.part(Literal(m.start(), at, m[0]), kind, m.start(), at)
+            elif kind == "put":
+                self.put(m)
+            elif kind == "sub":
+                self.subscript(m)
+            elif kind == "plus":
+                if self.target is not None and not self.wants:
+                    self.wants, self.crossed = True, False
+                else:
+                    self.finish()
+                self.name = None
+            elif kind == "open":
+                self.open(m[0])
+            elif kind == "close":
+                self.close(OPENS[m[0]])
+            elif kind != "join":
+                self.sign_(m[0], kind)
+            self.fresh = False
+            if self.found:
+                yield from self.taken()
         self.finish()
-        return self.found
+        yield from self.taken()
+
+    def taken(self) -> list[Pair]:
+        found, self.found = self.found, []
+        return found
+
+    def closing(self, quote: str, at: int) -> int | None:
+        """End of the text that a quote before ``at`` begins.
+
+        Where one is not closed on its line, no later one is: what follows is read in the same steps from there.
+        """
+        if at <= self.unclosed[quote]:
+            return None
+        if m := QUOTED[quote].match(self.whole, at):
+            return m.end()
+        end = self.whole.find("\n", at)
+        self.unclosed[quote] = len(self.whole) if end < 0 else end
+        return None
 
     def skip(self, at: int) -> int:
         """The line of the next sign, or the one before it if the sign begins the line."""
@@ -209,9 +335,9 @@ class _Lexer:
             return name
         return above if above is not None and name_score(f"{above}.{name}") else None
 
-    def part(self, m: re.Match, kind: str) -> None:
+    def part(self, found: Literal, kind: str, start: int, end: int) -> None:
         """A literal or a word: a part of the value, or what a sign may follow."""
-        if self.fresh and m[0] == "-" and self.whole[m.end() : m.end() + 1] in (" ", "\t"):
+        if self.fresh and kind == "word" and found.value == "-" and self.whole[end : end + 1] in (" ", "\t"):
             self.finish()
             if self.blocks and self.blocks[-1][1] is not None:
                 self.target, self.sign, self.wants = self.blocks[-1][1], ":", True
@@ -221,18 +347,20 @@ class _Lexer:
             return
         leads = self.fresh or (self.leads and self.name is None)
         if self.target is not None and (self.wants or (self.group and kind == "text" and self.value)):
-            found = _literal(m, kind)
             known = self.constants.get(found.value) if kind == "word" else None
             far = kind == "word" and known is None and self.crossed and not self.group
-            if far and not (self.indent > self.target_indent and (self.key or self.sign != ":") and LINE_ENDS.match(self.whole, m.end())):
+            if far and not (self.indent > self.target_indent and (self.key or self.sign != ":") and LINE_ENDS.match(self.whole, end)):
                 self.finish()
             else:
                 self.last = len(self.value)
-                self.value.extend(known if known is not None else [found])
+                if known is not None:
+                    known.shared = True
+                self.value.append(Value.of(found) if known is None else known)
                 self.wants = self.crossed = False
         elif self.target is not None:
             self.finish()
-        self.name, self.name_start, self.leads = _name(m), m.start(), leads
+        word = found.value if kind == "text" else found.value.strip("\"'")
+        self.name, self.name_start, self.leads = [word] if NAME.match(word) else None, start, leads
 
     def subscript(self, m: re.Match) -> None:
         inner = m[0][1:-1].strip()
@@ -240,14 +368,16 @@ class _Lexer:
         if not quoted and inner[:1] == ":":
             inner, quoted = inner[1:], True
         if quoted and NAME.match(inner := inner.strip("\"'")):
-            base = self.name
-            self.name = inner if base is None or name_score(inner) else f"{base}.{inner}"
+            if self.name is None or name_score(inner):
+                self.name = [inner]
+            else:
+                self.name.append(inner)
         if self.target is not None and not self.wants and self.value and self.value[-1].end >= self.name_start:
             del self.value[self.last :]  # an element, or a type with parameters, is no literal
 
     def put(self, m: re.Match) -> None:
         sign = m[0]
-        name, self.name = self.name, None
+        name, self.name = None if self.name is None else ".".join(self.name), None
         if name is None:
             if sign == "=" and self.noted is not None:  # a type that does not end in a word
                 self.drop()
@@ -256,7 +386,7 @@ class _Lexer:
             elif self.target is not None and not self.wants:
                 self.finish()
             return
-        spare: list[Literal] = []
+        spare: list[Value] = []
         if self.target is not None and self.value and self.value[-1].end > self.name_start:
             spare = self.value[self.last :]  # what looked like the value is the next name, as in ``a: b: c``
             del self.value[self.last :]
@@ -321,22 +451,7 @@ class _Lexer:
             self.name = None
 
 
-def _literal(m: re.Match, kind: str) -> Literal:
-    cut = 1 if kind == "text" else 0
-    return Literal(m.start() + cut, m.end() - cut, m[0][cut : len(m[0]) - cut])
-
-
-def _name(m: re.Match) -> str | None:
-    word = m[0].strip("\"'")
-    return word if NAME.match(word) else None
-
-
-def _put(constants: dict[str, tuple[Literal, ...]], name: str, adds: bool, value: list[Literal]) -> Pair:
-    whole = (*constants.get(name, ()), *value) if adds else tuple(value)
-    constants[name] = whole
-    return Pair(name, whole)
-
-
+@lru_cache(4096)
 def name_score(name: str) -> float:
     parts = [p.lower() for p in PART.findall(name)]
     if not parts or parts[-1] in NAME_EXCUSES:
@@ -344,30 +459,19 @@ def name_score(name: str) -> float:
     return sum(NAME_WEIGHTS.get(p, 0.0) for p in dict.fromkeys(parts))
 
 
-def literal_score(value: str) -> float:
-    """Up to 1: length, variety of characters and their entropy; placeholders score below zero."""
-    if len(value) < LEAST_LITERAL or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
-        return -2.0
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    share = [value.count(c) / len(value) for c in set(value)]
-    entropy = -sum(p * log2(p) for p in share)
-    return 0.2 * min(kinds, 3) + min(entropy, 4.0) / 10
-
-
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and the literals that the assignments add; a literal inside a base span is not added."""
     base = base_spans(text)
     if "=" not in text and ":" not in text:
         return base, []
-    added = set()
+    added = {}
     for pair in pairs(text):
         weight = name_score(pair.name)
-        if not weight:
-            continue
-        score = weight + literal_score("".join(x.value for x in pair.literals))
-        if score >= THRESHOLD:
-            added.update(Span("lexed", x.start, x.end) for x in pair.literals if x.end > x.start)
-    return base, [s for s in added if not any(b.start <= s.start and s.end <= b.end for b in base)]
+        if weight and weight + pair.value.score() >= THRESHOLD:
+            added.update((Span("lexed", x.start, x.end), None) for x in pair.value.new_literals() if x.end > x.start)
+    ordered = sorted(base, key=lambda b: b.start)
+    starts, reach = [b.start for b in ordered], [0, *accumulate((b.end for b in ordered), max)]
+    return base, [s for s in added if reach[bisect_right(starts, s.start)] < s.end]
 
 
 def listed(spans: list[Span]) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm import words
-from windrow.llm.common import id_crc, pick, ship, sliced, string_parts, whole_text
+from windrow.llm.common import id_crc, land, pick, ship, sliced, string_parts, whole_text
 
 #: Labelled rows of each label that the model is fitted on at most, chosen by a hash of their id.
 SAMPLE_ROWS = 20_000
@@ -156,8 +156,8 @@ def learn(
 ) -> Model:
     """Fit on at most ``sample_rows`` texts of each label, none of the held-out fold.
 
-    The chosen ids (at most twice ``sample_rows`` rows) are broadcast to the documents. Words are counted per label by
-    a grouping; the ``max_words`` of most evidence and the identity terms are the features. The texts are weighted so
+    The chosen ids (at most twice ``sample_rows`` rows) are broadcast to the documents; of the texts of one id the least
+    one counts. The sample is landed, and words are counted per label by a grouping; the ``max_words`` of most evidence and the identity terms are the features. The texts are weighted so
     that both labels have the share that they have among all labelled rows, times TOXIC_WEIGHT for toxic ones.
     """
     spark = docs.sparkSession
@@ -170,7 +170,8 @@ def learn(
         return usable.filter(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
 
     ids = F.broadcast(chosen(0).unionByName(chosen(1)))
-    texts = pick(docs, id=doc_id, text=whole_text(text)).join(ids, "id").select("label", "text")
+    texts = pick(docs, id=doc_id, text=whole_text(text)).join(ids, "id")
+    texts = land(texts.groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text"), "sample")
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches, "text", 16 << 20):

@@ -135,23 +135,46 @@ def sha1_base32(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def parse_record(data: bytes, at: int) -> Record:
+class Places:
+    """Where patterns next occur in an archive. A place that was found is kept until it is passed, so each byte is searched once."""
+
+    def __init__(self, data: bytes):
+        self.data, self.found = data, {}
+
+    def next(self, sign: bytes | re.Pattern, at: int) -> tuple[int, int]:
+        """Begin and end of the first occurrence at or behind ``at``; twice the end of the archive if there is none."""
+        found = self.found.get(sign)
+        if found is None or found[0] < at:
+            if isinstance(sign, bytes):
+                begin = self.data.find(sign, at)
+                found = (begin, begin + len(sign)) if begin >= 0 else None
+            else:
+                match = sign.search(self.data, at)
+                found = match.span() if match else None
+            found = self.found[sign] = found or (len(self.data), len(self.data))
+        return found
+
+
+def parse_record(data: bytes, at: int, places: Places | None = None) -> Record:
     """The record that begins at ``at``; raises Damaged where a check fails."""
     if not VERSION.match(data, at):
         raise Damaged("no version line")
-    found = HEAD_END.search(data, at)  # of any length; a line that is a version line belongs to the next record
-    if found is None or len(found[0]) < 4:
+    # A head may have any length; a line that is a version line belongs to the next record.
+    head_end, begin = (places or Places(data)).next(HEAD_END, at)
+    if begin - head_end < 4:
         raise Damaged("header without end")
-    head_end = found.start()
     fields: dict[str, str] = {}
-    for line in data[at:head_end].split(b"\r\n")[1:]:
+    line_at = data.find(b"\r\n", at, head_end)
+    while line_at >= 0:
+        line_end = data.find(b"\r\n", line_at + 2, head_end)
+        line = data[line_at + 2 : head_end if line_end < 0 else line_end]
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header line without name")
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        line_at = line_end
     if not fields.get("content-length", "").isdigit():
         raise Damaged("no content length")
-    begin = head_end + 4
     end = begin + int(fields["content-length"])
     if data[end : end + 4] != b"\r\n\r\n":
         raise Damaged("block does not end where its length says")
@@ -185,6 +208,7 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
     several records; damage inside it is one gap of the whole member, and its sound records are kept.
     """
     at, gap, reason = 0, None, ""
+    places = Places(data)
     while at < len(data):
         try:
             if data.startswith(GZIP_MEMBER, at):
@@ -195,11 +219,12 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
                     raise Damaged("member without record")
                 broken = next((g.reason for g in found if isinstance(g, Gap)), None)
             else:
-                whole, broken = [parse_record(data, at)], None
+                whole, broken = [parse_record(data, at, places)], None
                 end = whole[0].end
         except Damaged as error:
             gap, reason = (at, str(error)) if gap is None else (gap, reason)
-            at = next_start(data, at + 1)
+            # A cut-off record may end within a line, so a version line is looked for anywhere; what it begins must pass all checks.
+            at = min(places.next(GZIP_MEMBER, at + 1)[0], places.next(VERSION_LINE, at + 1)[0])
             continue
         if gap is not None:
             yield Gap(gap, at, reason)
@@ -212,14 +237,6 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         yield Gap(gap, len(data), reason)
 
 
-def next_start(data: bytes, at: int) -> int:
-    """The next place where a member or a version line may begin; the end if there is none.
-
-    A cut-off record may end within a line, so a version line is looked for anywhere; what it begins must pass all checks.
-    """
-    return min((x for x in (data.find(GZIP_MEMBER, at), data.find(VERSION_LINE, at)) if x >= 0), default=len(data))
-
-
 READ = (
     "archive string, start bigint, end bigint, gap string, warc_type string, record_id string, refers_to string, target_uri string, "
     "payload_digest string, payload_bytes bigint, payload binary"
