@@ -78,6 +78,8 @@ def write_pair(folder, name, start, n, rng, latin=True, extra=False, damage=None
         parts = [f"{start:%d.%m.%y}", "00:00:00", str(i + 1), *map(number, row), *(["1.5"] if extra else [])]
         if damage == "surplus" and i == 0:
             parts += ["9", "9"]
+        if damage == "long" and i in (2, 3, 500):
+            parts += ["9"]
         lines.append("\t".join(parts))
     if damage == "nul":
         lines[7] = lines[7].replace("\t", "\x00\t", 1)
@@ -105,18 +107,39 @@ def write_pair(folder, name, start, n, rng, latin=True, extra=False, damage=None
     return fast, slow
 
 
+def on_axis(slow, axis):
+    """Slow columns at fast times: the line between known neighbours, read at the nearest 10 ms that lies within 48 ms."""
+    times = (slow.index - slow.index[0]).total_seconds().to_numpy() * 1e6
+    wanted = (axis - slow.index[0]).total_seconds().to_numpy() * 1e6
+    point = np.clip(np.round(wanted / 10_000), 0, times[-1] // 10_000) * 10_000
+    out = {}
+    for c in slow:
+        value = slow[c].to_numpy()
+        known_at, known = times[~np.isnan(value)], value[~np.isnan(value)]
+        left = np.searchsorted(known_at, point, side="right") - 1
+        right = np.minimum(left + 1, len(known) - 1)
+        width = np.where(right > left, known_at[right] - known_at[left], 1)
+        line = known[left] + (known[right] - known[left]) * (point - known_at[left]) / width
+        out[c] = np.where((left < 0) | (np.abs(wanted - point) > 48_000), np.nan, line)
+    return out
+
+
+def filled(values):
+    """Each gap takes the next value, the last gap the one before it."""
+    out, after = np.array(values, float), np.nan
+    for i in reversed(range(len(out))):
+        after = out[i] = after if np.isnan(out[i]) else out[i]
+    known = out[~np.isnan(out)]
+    return np.where(np.isnan(out), known[-1] if len(known) else np.nan, out)
+
+
 def by_hand(fast, slow, start, co2_mult, h2o_mult):
-    """The conversion in pandas, from the definition of each step."""
+    """The conversion, from the definition of each step."""
     axis = start + pd.to_timedelta(np.arange(len(fast)) * presets.PERIOD_PS // 10**6, unit="us")
-    out = pd.DataFrame(index=axis)
-    for c in ("U", "V", "W"):
-        out[c] = fast[c].to_numpy() * 0.01
-    speed = fast["S"].to_numpy() * 0.02
-    out["T_SONIC"] = speed**2 / 1.402 / 287.64 - 273.15
-    out["CO2"] = fast["C"].to_numpy() * co2_mult
-    out["H2O"] = fast["Xw"].to_numpy() * h2o_mult
-    aligned = slow.resample("10ms").interpolate("linear").reindex(axis, method="nearest", tolerance="48ms")
-    out = pd.concat([out, aligned], axis=1).bfill().ffill()
+    measured = {c: fast[c].to_numpy() * 0.01 for c in ("U", "V", "W")}
+    measured["T_SONIC"] = (fast["S"].to_numpy() * 0.02) ** 2 / 1.402 / 287.64 - 273.15
+    measured |= {"CO2": fast["C"].to_numpy() * co2_mult, "H2O": fast["Xw"].to_numpy() * h2o_mult} | on_axis(slow, axis)
+    out = pd.DataFrame({c: filled(v) for c, v in measured.items()}, index=axis)
     warm = (out["Tlic"] + 273.15) / (32.15 + 273.15)
     h = out["H2O"] * 101.3 / out["Plic"]
     h = (8.1020e-3 * h - 8.1540e-8 * h**2 + 1.2110e-9 * h**3) * warm * 1.114
@@ -130,8 +153,8 @@ def by_hand(fast, slow, start, co2_mult, h2o_mult):
 def folder(tmp_path_factory):
     root = tmp_path_factory.mktemp("in")
     rng = np.random.default_rng(11)
-    starts = {"Site970107_07": (1, 1), "Site981001_10": (0.33425, 0.335), "Site990615_23": (1, 0.335), "Site050101_00": (1, 0.335)}
-    kinds = [{"damage": "surplus"}, {"damage": "nul", "latin": False}, {"extra": True}, {"damage": "dates"}]
+    starts = {"Site970107_07": (1, 1), "Site981001_10": (0.33425, 0.335), "Site990615_23": (1, 0.335), "Site050101_00": (1, 0.335), "Site981001_11": (0.33425, 0.335)}
+    kinds = [{"damage": "surplus"}, {"damage": "nul", "latin": False}, {"extra": True}, {"damage": "dates"}, {"damage": "long"}]
     made = {}
     for (name, mult), kind in zip(starts.items(), kinds):
         start = pd.Timestamp(dt.datetime.strptime(name, "Site%y%m%d_%H"))
@@ -193,25 +216,93 @@ def test_batch(spark, folder, tmp_path):
     written = pd.read_csv(stats_files[0])
     assert written["TIMESTAMP"].is_monotonic_increasing
     assert list(written.columns[:5]) == ["TIMESTAMP", "file_id", "CO2 [µmol/mol] count", "CO2 [µmol/mol] min", "CO2 [µmol/mol] max"]
-    assert written["Z [z] [z] count"].tolist() == [0, 0, 700, 0]
+    assert written["Z [z] [z] count"].tolist() == [0, 0, 0, 700, 0]
     assert {"Xa [mmol / mol] mean", "Rhoa [kg / m3] mean"} <= set(written.columns)
     assert written["W [m/s] mean"][0] == pytest.approx(first["W"].mean())
     manifest = spark.read.parquet(str(out / "manifest")).orderBy("file_id").collect()
-    assert [(m.n_rows, m.start_label) for m in manifest] == [(700, "200501010000"), (700, "199701070700"), (700, "199810011000"), (700, "199906152300")]
+    assert [(m.n_rows, m.start_label) for m in manifest] == [
+        (700, "200501010000"), (700, "199701070700"), (700, "199810011000"), (700, "199810011100"), (700, "199906152300"),
+    ]
     assert [(m.co2_mult, m.h2o_mult, m.n_calibrated, m.n_ambiguous) for m in manifest] == [
-        (1.0, 0.335, 700, 0), (1.0, 1.0, 700, 0), (0.33425, 0.335, 700, 0), (1.0, 0.335, 700, 0),
+        (1.0, 0.335, 700, 0), (1.0, 1.0, 700, 0), (0.33425, 0.335, 700, 0), (0.33425, 0.335, 700, 0), (1.0, 0.335, 700, 0),
     ]
     assert len(list((out / "series").glob("date=*"))) == 4
-    assert [(m.raw_lines - m.raw_malformed, m.raw_unknown) for m in manifest] == [(700, []), (700, []), (700, []), (700, ["Z [z]"])]
+    assert [(m.raw_lines, m.raw_malformed, m.raw_unknown) for m in manifest] == [(700, 0, []), (700, 0, []), (700, 0, []), (700, 3, []), (700, 0, ["Z [z]"])]
     rejected = spark.read.parquet(str(out / "rejects")).collect()
     assert [(r.reason, r.path.split("/")[-1]) for r in rejected if r.path] == [("no partner", "Site970107_08.raw")]
+    assert sorted((r.file_id, r.row_idx, r.line.endswith("\t9")) for r in rejected if r.line) == [("Site981001_11.raw", i, True) for i in (2, 3, 500)]
     for m in manifest:
         assert sum(r.file_id == m.file_id and r.side == "raw" for r in rejected) == m.raw_malformed
         assert sum(r.file_id == m.file_id and r.side == "aux" for r in rejected) == m.aux_malformed + m.aux_without_time
-    assert spark.read.parquet(str(out / "trends")).count() == 4 * len(set(written.columns[2:])) // 10
+    assert spark.read.parquet(str(out / "trends")).count() == 5 * len(set(written.columns[2:])) // 10
     assert spark.read.parquet(str(out / "bounds")).where("variable = 'CO2'").first().lower == min(r["CO2__q01"] for r in wide)
 
 
+def test_batch_leaves_other_tables(spark, folder, tmp_path):
+    """A lazy result that reads landed tables outlives a batch of the same application, whose own tables are gone."""
+    from windrow.session import matching, shared_folder
+
+    root, made = folder
+    lazy = convert.convert_pairs(spark, str(root))
+    convert.run_batch(spark, str(root), str(tmp_path / "out"))
+    assert lazy.count() == sum(map(len, made.values()))
+    assert not matching(spark, f"{shared_folder(spark)}/batch-*")
+
+
+def test_periods():
+    day = dt.datetime(1998, 12, 30, 22)
+    assert files.aligned_periods(day, dt.datetime(2000, 2, 1, 1)) == [
+        (day, "hour"), (dt.datetime(1998, 12, 30, 23), "hour"), (dt.datetime(1998, 12, 31), "day"), (dt.datetime(1999, 1, 1), "year"),
+        (dt.datetime(2000, 1, 1), "month"), (dt.datetime(2000, 2, 1), "hour"),
+    ]
+    span = (dt.datetime(1998, 12, 31, 23), dt.datetime(1999, 2, 2))
+    assert files.name_glob("raw", span) == "*{981231_23,9901[0-9][0-9]_[0-9][0-9],990201_[0-9][0-9]}.[rR][aA][wW]"
+
+
+@pytest.fixture(scope="module")
+def two_years(tmp_path_factory):
+    """A pair for every noon of two years in folders by month; only names matter but for a few days."""
+    root = tmp_path_factory.mktemp("years")
+    rng = np.random.default_rng(7)
+    for n in range(730):
+        start = pd.Timestamp("1999-01-01 12:00") + pd.Timedelta(n, unit="D")
+        month = root / f"{start:%Y}" / f"{start:%m}"
+        if f"{start:%y%m%d}" in ("000310", "000311", "991231", "000101"):
+            write_pair(month, f"Site{start:%y%m%d_%H}", start, 50, rng)
+            continue
+        month.mkdir(parents=True, exist_ok=True)
+        for side in ("raw", "aux"):
+            (month / f"Site{start:%y%m%d_%H}.{side}").write_text("never read")
+    return root
+
+
+@pytest.mark.parametrize("layout", [None, "%Y/%m", "%Y"])
+def test_range_of_time(spark, two_years, layout):
+    """One day of two years: only its files are listed and read, and they are listed once for each side."""
+    span = {"start": dt.datetime(2000, 3, 10), "end": dt.datetime(2000, 3, 11), "layout": layout}
+    folder = convert.Folder(spark, str(two_years), **span)
+    for side, found in folder.found.items():
+        assert [f.rsplit("/")[-1] for f in found.inputFiles()] == [f"Site000310_12.{side}"]
+    late = two_years / "2000" / "03" / "Other000310_13.raw"
+    late.write_text("came after the listing")
+    raw, aux = folder.rows()
+    assert {r.file_id for r in raw.select("file_id").distinct().collect()} == {"Site000310_12.raw"}
+    late.unlink()
+    got = convert.convert_pairs(spark, str(two_years), **span)
+    assert [(r.file_id, r["count"]) for r in got.groupBy("file_id").count().collect()] == [("Site000310_12.raw", 50)]
+    part = {"start": dt.datetime(2000, 3, 10, 12), "end": dt.datetime(2000, 3, 11, 12), "layout": layout}
+    assert convert.convert_pairs(spark, str(two_years), **part).count() == 50
+    assert convert.convert_pairs(spark, str(two_years), start=dt.datetime(1999, 12, 31, 5), end=dt.datetime(2000, 1, 1, 13), layout=layout).count() == 100
+    assert convert.convert_pairs(spark, str(two_years), start=dt.datetime(2005, 1, 1), end=dt.datetime(2005, 2, 1), layout=layout).count() == 0
+
+
+def test_several_roots(spark, two_years):
+    roots = [str(two_years / "1999" / "12"), str(two_years / "2000" / "01")]
+    assert files.list_files(spark, roots, "raw").count() == 62
+    got = convert.convert_pairs(spark, roots, start=dt.datetime(1999, 12, 31), end=dt.datetime(2000, 1, 2))
+    assert {r.file_id for r in got.select("file_id").distinct().collect()} == {"Site991231_12.raw", "Site000101_12.raw"}
+
+
 def test_two_towers_in_one_hour_stay_apart(spark, tmp_path):
     rng = np.random.default_rng(3)
     start = pd.Timestamp("1997-01-07 07:00")
@@ -234,8 +325,13 @@ def test_lone_line_ends_quotes_and_surplus_cells(spark, tmp_path, max_bytes):
     (tmp_path / "in" / "X970101_00.aux").write_text("x\nDate\tTime\tPa\tPlic\tTa\tTlic\n\t\t[kPa]\t[kPa]\t[degC]\t[degC]\n01.01.97\t00:00:00\t80\t80\t10\t35\n")
     raw, _ = convert.Folder(spark, str(tmp_path / "in"), max_bytes).rows()
     rows = raw.select("row_idx", "H2O", "line").collect()
-    assert sorted((r.row_idx, r.H2O) for r in rows if r.row_idx is not None) == [(0, 1.0), (1, 2.0), (2, 4.5)]
-    assert [r.line for r in rows if r.row_idx is None] == [row.format(3) + "\tsurplus"]
+    assert sorted((r.row_idx, r.H2O) for r in rows) == [(0, 1.0), (1, 2.0), (2, 3.0), (3, 4.5)]
+    assert [(r.row_idx, r.line) for r in rows if r.line is not None] == [(2, row.format(3) + "\tsurplus")]
+    times = {}
+    for surplus in ("keep", "drop"):
+        got = convert.convert_pairs(spark, str(tmp_path / "in"), max_bytes, surplus=surplus).collect()
+        times[surplus] = {r.row_idx: r.ts for r in got}
+    assert set(times["drop"]) == {0, 1, 3} and times["drop"].items() <= times["keep"].items()
 
 
 def test_missing_marker_only_at_the_sink(spark, tmp_path):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from copy import copy
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from windrow.functions.clock import file_time, timestamp_from_text
 from windrow.operators import columns, fill, lookup, quality, stats
 from windrow.operators.asof import interpolate_linear
 from windrow.operators.hot import MIN_HOT_ROWS, attach, settle
-from windrow.session import clear_shared, landed
+from windrow.session import landed, own_folder
 from windrow.sources import files, sinks
 
 FAST = ("U", "V", "W", "T_SONIC", "CO2", "H2O")
@@ -133,21 +135,53 @@ def _started(df: DataFrame) -> DataFrame:
 
 
 class Folder:
-    """A folder of paired files: its listing (taken once and landed), its pairs, what no pair uses, and its rows."""
+    """A folder of paired files: its listing (one per side, landed), its pairs, what no pair uses, and its rows.
 
-    def __init__(self, spark: SparkSession, root: str, max_bytes: int = files.MAX_WHOLE_FILE):
+    ``root`` may be several folders. ``start``, ``end`` (excluded) and ``layout`` limit the listing, see ``find_files``.
+    """
+
+    uris: dict[str, list[str]] | None = None  # the files to read, if not all
+
+    def __init__(
+        self, spark: SparkSession, root: str | Sequence[str], max_bytes: int = files.MAX_WHOLE_FILE,
+        start: datetime | None = None, end: datetime | None = None, layout: str | None = None,
+    ):
         self.spark, self.root, self.max_bytes = spark, root, max_bytes
-        self.listed = {side: landed(files.list_files(spark, root, side), f"{side}-files") for side in ("raw", "aux")}
-        self.pairs = landed(files.pairs_of(self.listed["raw"], self.listed["aux"]), "pairs")
+        self.span = {"start": start, "end": end, "layout": layout}
+        self.found = {side: files.find_files(spark, root, side, **self.span) for side in ("raw", "aux")}
+        self.listed = {side: landed(files.listing(found), f"{side}-files") for side, found in self.found.items()}
+        pairs = files.pairs_of(self.listed["raw"], self.listed["aux"])
+        for column, limit, sign in (("start_ts", start, ">="), ("start_ts", end, "<")):
+            if limit is not None:
+                pairs = pairs.where(f"{column} {sign} timestamp_ntz'{limit}'")
+        self.pairs = landed(pairs, "pairs")
         self.unusable = landed(files.unusable(self.listed["raw"], self.listed["aux"]), "unusable")
-        self.split = bool(self.pairs.where(F.greatest("raw_len", "aux_len") > max_bytes).limit(1).count())
+        self.split = self._has_large(self.pairs)
+
+    def _has_large(self, pairs: DataFrame) -> bool:
+        return bool(pairs.where(F.greatest("raw_len", "aux_len") > self.max_bytes).limit(1).count())
+
+    def only(self, pairs: DataFrame) -> Folder:
+        """The same folder with some of its pairs, so few that their URIs can be named in a scan."""
+        part = copy(self)
+        part.pairs = pairs
+        named = pairs.select("raw_uri", "aux_uri").toArrow()
+        part.found = {side: files.chosen(found, named.column(f"{side}_uri").to_pylist()) for side, found in self.found.items()}
+        part.split = self._has_large(pairs)
+        part.uris = {side: named.column(f"{side}_uri").to_pylist() for side in self.found}
+        return part
 
     def rows(self) -> tuple[DataFrame, DataFrame]:
-        """Fast rows and slow rows of all pairs, values as read; rejected lines have no ``row_idx`` but their ``line``."""
+        """Fast rows and slow rows of all pairs, values as read; lines with surplus cells have their ``line``."""
+
+        def lines(side: str) -> DataFrame:
+            found = files.find_files(self.spark, self.root, side, **self.span, fmt="text")
+            return files.chosen(found, self.uris and self.uris[side])
+
         raw, aux = (
             files.read_rows(
-                self.spark, self.root, side, describe, mapping, helpers=helpers, max_bytes=self.max_bytes, large=self.split,
-                unwanted=self.unusable, **layout,
+                self.found[side], describe, mapping, helpers=helpers, max_bytes=self.max_bytes, large=lines(side) if self.split else None,
+                unwanted=None if self.uris else self.unusable, **layout,
             )
             for side, describe, mapping, helpers, layout in (
                 ("raw", _started, presets.RAW_COLUMNS, presets.RAW_HELPERS, presets.RAW_LAYOUT),
@@ -157,73 +191,87 @@ class Folder:
         return files.canonical_columns(raw, (), FAST), files.canonical_columns(aux, ("Date", "Time"), SLOW)
 
 
-def accepted(rows: DataFrame) -> DataFrame:
-    return rows.where("NOT malformed").drop("line", "malformed")
+def accepted(rows: DataFrame, surplus: str = "keep") -> DataFrame:
+    """Rows without the marks of lines with surplus cells; these are kept with their first cells, or dropped.
+
+    Dropped ones leave a gap in ``row_idx``, so the time of other rows does not depend on them.
+    """
+    if surplus not in ("keep", "drop"):
+        raise ValueError(f"surplus must be keep or drop, not {surplus!r}")
+    return (rows if surplus == "keep" else rows.where("NOT malformed")).drop("line", "malformed")
 
 
-def convert_pairs(spark: SparkSession, root: str, max_bytes: int = files.MAX_WHOLE_FILE, raw_extra: Sequence[str] = (), slow_extra: Sequence[str] = (), **options) -> DataFrame:
-    """All pairs below ``root`` as one lazy DataFrame of calibrated rows; lines with surplus cells are left out.
+def convert_pairs(
+    spark: SparkSession, root: str | Sequence[str], max_bytes: int = files.MAX_WHOLE_FILE, raw_extra: Sequence[str] = (), slow_extra: Sequence[str] = (),
+    start: datetime | None = None, end: datetime | None = None, layout: str | None = None, surplus: str = "keep", **options,
+) -> DataFrame:
+    """All pairs below ``root``, or those that start in a range of time, as one lazy DataFrame of calibrated rows.
 
     Unknown columns are carried if they are named (as ``name unit``); ``run_batch`` finds their names by itself. As
     long as every file is read whole, a file bounds its own group and no probe for oversized groups is run.
     """
-    folder = Folder(spark, root, max_bytes)
-    raw, aux = (accepted(rows) for rows in folder.rows())
+    folder = Folder(spark, root, max_bytes, start, end, layout)
+    raw, aux = (accepted(rows, surplus) for rows in folder.rows())
     limit = options.pop("min_hot_rows", MIN_HOT_ROWS if folder.split else 0)
     return convert_series(raw, prepare_slow(aux, limit), raw_extra=raw_extra, slow_extra=slow_extra, min_hot_rows=limit, **options)
 
 
-def rejects(folder: Folder, raw: DataFrame, aux: DataFrame, dated: DataFrame) -> DataFrame:
-    """What a batch leaves out, as (side, file_id, path, row_idx, line, reason): lines, slow rows without time, files."""
-    none = F.lit(None)
+REJECTS = {"file_id": "string", "path": "string", "row_idx": "bigint", "line": "string"}
+
+
+def _rejected(df: DataFrame, side: Column, reason: Column, given: Sequence[str]) -> DataFrame:
+    columns = [(F.col(c) if c in given else F.lit(None)).cast(kind).alias(c) for c, kind in REJECTS.items()]
+    return df.select(side.alias("side"), *columns, reason.alias("reason"))
 
-    def listed(df: DataFrame, side: Column, reason: Column, **given: Column) -> DataFrame:
-        kinds = {"file_id": "string", "path": "string", "row_idx": "bigint", "line": "string"}
-        return df.select(side.alias("side"), *[given.get(c, none).cast(k).alias(c) for c, k in kinds.items()], reason.alias("reason"))
 
-    parts = [
-        listed(rows.where("malformed"), F.lit(side), F.lit("more cells than the header"), file_id=F.col("file_id"), line=F.col("line"))
-        for side, rows in (("raw", raw), ("aux", aux))
-    ]
-    parts.append(listed(dated.where("ts is null"), F.lit("aux"), F.lit("no readable time"), file_id=F.col("file_id"), row_idx=F.col("row_idx")))
-    ending = F.lower(F.element_at(F.split("path", r"\."), -1))
-    parts.append(listed(folder.unusable, ending, F.col("reason"), path=F.col("path")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def rejected_rows(raw: DataFrame, aux: DataFrame, dated: DataFrame) -> DataFrame:
+    """Lines with surplus cells, whole, and slow rows without time, as (side, file_id, path, row_idx, line, reason)."""
+    place = ("file_id", "row_idx", "line")
+    lines = [_rejected(rows.where("malformed"), F.lit(side), F.lit("more cells than the header"), place) for side, rows in (("raw", raw), ("aux", aux))]
+    timeless = _rejected(dated.where("ts is null"), F.lit("aux"), F.lit("no readable time"), place[:2])
+    return lines[0].unionByName(lines[1]).unionByName(timeless)
 
 
-def run_batch(spark: SparkSession, indir: str, outdir: str, csv: bool = False, max_bytes: int = files.MAX_WHOLE_FILE, **options) -> DataFrame:
-    """Convert a folder: series as Parquet (and text), units, statistics, trends, rejects, manifest.
+def rejected_files(folder: Folder) -> DataFrame:
+    """Files that no pair uses, in the same columns."""
+    return _rejected(folder.unusable, F.lower(F.element_at(F.split("path", r"\."), -1)), F.col("reason"), ("path",))
+
+
+def run_batch(
+    spark: SparkSession, indir: str | Sequence[str], outdir: str, csv: bool = False, max_bytes: int = files.MAX_WHOLE_FILE,
+    start: datetime | None = None, end: datetime | None = None, layout: str | None = None, surplus: str = "keep", **options,
+) -> DataFrame:
+    """Convert a folder, or a range of time of it: series as Parquet (and text), units, statistics, trends, rejects, manifest.
 
     Returns the wide statistics per file. The texts are read once: parsed rows are landed first, and unknown columns,
     rejects and the conversion read that table. Statistics read the written series, trends the written statistics.
+    What is landed meanwhile has a folder of its own, which is removed at the end.
     """
-    folder = Folder(spark, indir, max_bytes)
-    raw, aux = (landed(rows, "parsed") for rows in folder.rows())
-    extra = {"raw_extra": unknown_names(raw), "slow_extra": unknown_names(aux)}
-    limit = options.pop("min_hot_rows", MIN_HOT_ROWS if folder.split else 0)
-    dated = landed(dated_slow(accepted(aux), limit), "dated")
-    slow = fill.dedupe_last(dated.where("ts is not null"), ["file_id", "ts"], ["row_idx"])
-    converted = convert_series(accepted(raw), slow, min_hot_rows=limit, **extra, **options)
-    units = columns.units_of(converted)
-    sinks.write_series(converted, f"{outdir}/series")
-    rejects(folder, raw, aux, dated).write.parquet(f"{outdir}/rejects")
-    series = spark.read.parquet(f"{outdir}/series").drop("date")
-    if csv:
-        text = series.select("file_id", "row_idx", "ts", *units)
-        sinks.write_series(text, f"{outdir}/series_csv", "csv", units=units, files=folder.pairs, drop_ts=True)
-    sinks.write_units(converted, units, f"{outdir}/units")
-    by = ["file_id", "start_ts"]
-    stats.summarize(series, by, sorted(units), groups=folder.pairs).write.parquet(f"{outdir}/stats")
-    wide = spark.read.parquet(f"{outdir}/stats")
-    sinks.write_stats(wide, f"{outdir}/stats_csv", units=units)
-    long = stats.to_long(wide, by, sorted(units), units)
-    stats.trend_bands(long, "start_ts", ["file_id"]).write.parquet(f"{outdir}/trends")
-    stats.robust_bounds(long).write.parquet(f"{outdir}/bounds")
-    manifest(folder, series, raw, aux, dated).write.parquet(f"{outdir}/manifest")
-    clear_shared(spark)
+    with own_folder(spark, "batch"):
+        folder = Folder(spark, indir, max_bytes, start, end, layout)
+        raw, aux = (landed(rows, "parsed") for rows in folder.rows())
+        extra = {"raw_extra": unknown_names(raw), "slow_extra": unknown_names(aux)}
+        limit = options.pop("min_hot_rows", MIN_HOT_ROWS if folder.split else 0)
+        dated = landed(dated_slow(accepted(aux, surplus), limit), "dated")
+        slow = fill.dedupe_last(dated.where("ts is not null"), ["file_id", "ts"], ["row_idx"])
+        converted = convert_series(accepted(raw, surplus), slow, min_hot_rows=limit, **extra, **options)
+        units = columns.units_of(converted)
+        sinks.write_series(converted, f"{outdir}/series")
+        rejected_rows(raw, aux, dated).unionByName(rejected_files(folder)).write.parquet(f"{outdir}/rejects")
+        series = spark.read.parquet(f"{outdir}/series").drop("date")
+        if csv:
+            text = series.select("file_id", "row_idx", "ts", *units)
+            sinks.write_series(text, f"{outdir}/series_csv", "csv", units=units, files=folder.pairs, drop_ts=True)
+        sinks.write_units(converted, units, f"{outdir}/units")
+        by = ["file_id", "start_ts"]
+        rows = stats.MAX_PERCENTILE_ROWS if folder.split else None  # a file that is read whole bounds its own group
+        stats.summarize(series, by, sorted(units), groups=folder.pairs, max_percentile_rows=rows).write.parquet(f"{outdir}/stats")
+        wide = spark.read.parquet(f"{outdir}/stats")
+        sinks.write_stats(wide, f"{outdir}/stats_csv", units=units)
+        long = stats.to_long(wide, by, sorted(units), units)
+        stats.trend_bands(long, "start_ts", ["file_id"]).write.parquet(f"{outdir}/trends")
+        stats.robust_bounds(long).write.parquet(f"{outdir}/bounds")
+        manifest(folder, series, raw, aux, dated).write.parquet(f"{outdir}/manifest")
     return wide
 
 
@@ -233,7 +281,8 @@ def manifest(folder: Folder, series: DataFrame, raw: DataFrame, aux: DataFrame,
     ``n_ambiguous`` counts rows of files where several header entries mean the same column.
     """
     written = quality.file_manifest(series, flags=("ambiguous", "calibrated"))
-    facts = with_era(folder.pairs).join(written, "file_id", "left").drop("n_malformed")
+    listed = folder.pairs.select("file_id", "start_ts", "raw_path", "aux_path", "raw_len", "aux_len")
+    facts = with_era(listed).join(written, "file_id", "left").drop("n_malformed")
     for side, rows in (("raw", raw), ("aux", aux)):
         counted = rows.groupBy("file_id").agg(
             F.count(F.lit(1)).alias(f"{side}_lines"),

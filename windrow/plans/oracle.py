@@ -383,9 +383,8 @@ def sql() -> dict[str, str]:
             ) WHERE trim(name) <> '' AND NOT contains(name, 'unknown')""",
         "split_malformed": f"""WITH {DOC_LINES} SELECT doc_id, row_idx, CASE WHEN len(cells) > width THEN 'bad' ELSE 'good' END AS kind,
             array_to_string(cells, '|') AS row_cells FROM doc_unquoted""",
-        "quarantine": f"""WITH {DOC_LINES} SELECT doc_id, len(cells) > width AS malformed, array_to_string(cells, ' ') AS row_text,
-            CASE WHEN len(cells) <= width THEN row_number() OVER (PARTITION BY doc_id, len(cells) > width ORDER BY row_idx) - 1 END AS row_idx
-            FROM doc_unquoted""",
+        "quarantine": f"""WITH {DOC_LINES} SELECT doc_id, row_idx, len(cells) > width AS malformed, array_to_string(cells[1:width], ' ') AS row_text,
+            CASE WHEN len(cells) > width THEN line END AS rejected FROM doc_unquoted""",
         "blank_lines": """SELECT doc_id, row_idx, line FROM (
                 SELECT doc_id, generate_subscripts(data, 1) - 1 AS row_idx, unnest(data) AS line FROM (
                     SELECT doc_id, list_filter(string_split(text, chr(10))[2:], lambda x: trim(x) <> '') AS data

@@ -440,9 +440,10 @@ def split_malformed(spark, sf):
 
 
 def quarantine(spark, sf):
-    """Lines with surplus cells have no place among the rows, but none is lost."""
-    rows = files.explode_good_rows(document_tables(spark, sf), " ")
-    return rows.select("doc_id", "row_idx", "malformed", F.array_join("cells", " ").alias("row_text"))
+    """Lines with surplus cells keep their place and first cells, and are listed whole."""
+    rows = files.explode_rows(document_tables(spark, sf), " ", keep_lines=True)
+    first = F.slice("cells", 1, F.size("header"))
+    return rows.select("doc_id", "row_idx", "malformed", F.array_join(first, " ").alias("row_text"), F.col("line").alias("rejected"))
 
 
 def blank_lines(spark, sf):

@@ -7,7 +7,8 @@ Files above ``MAX_WHOLE_FILE`` are read line by line in splits instead, see ``sp
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from windrow import presets
 from windrow.functions.clock import file_time
 from windrow.functions.numeric import to_number
 from windrow.operators.fill import dedupe_last, row_index
-from windrow.session import landed
+from windrow.session import landed, matching
 
 MAX_WHOLE_FILE = 64 * 1024 * 1024
 NUL = "\x00"
@@ -40,17 +41,76 @@ def stem(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
 
-def list_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
-    """All files below ``root`` as (name, stem, path, length). Only the listing is read, not the content."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", _any_case(extension))
-        .load(root)
-        .select(same_path(F.col("path")).alias("path"), "length")
+def aligned_periods(start: dt.datetime, end: dt.datetime) -> list[tuple[dt.datetime, str]]:
+    """Whole years, months, days and hours that cover ``start`` to ``end`` (excluded), as few as possible: (begin, kind)."""
+    at, out = start.replace(minute=0, second=0, microsecond=0), []
+    while at < end:
+        year, month = at.replace(year=at.year + 1, month=1, day=1, hour=0), (at.replace(day=1, hour=0) + dt.timedelta(32)).replace(day=1)
+        steps = [("year", year, at.month == at.day == 1 and at.hour == 0), ("month", month, at.day == 1 and at.hour == 0)]
+        steps += [("day", at.replace(hour=0) + dt.timedelta(1), at.hour == 0), ("hour", at + dt.timedelta(hours=1), True)]
+        kind, after = next((k, after) for k, after, aligned in steps if aligned and (after <= end or k == "hour"))
+        out.append((at, kind))
+        at = after
+    return out
+
+
+#: What the names of files of one period have in common, and the digits that they do not.
+PERIOD_NAMES = {"year": ("%y", 4, 2), "month": ("%y%m", 2, 2), "day": ("%y%m%d", 0, 2), "hour": ("%y%m%d_%H", 0, 0)}
+
+
+def name_glob(extension: str, span: tuple[dt.datetime, dt.datetime] | None = None) -> str:
+    """Glob for an extension in upper or lower case, of files that start within the span if one is given."""
+    if span is None:
+        return _any_case(extension)
+    stamps = []
+    for begin, kind in aligned_periods(*span):
+        form, days, hours = PERIOD_NAMES[kind]
+        stamps.append(begin.strftime(form) + "[0-9]" * days + ("_" + "[0-9]" * hours if hours else ""))
+    return "*{" + ",".join(stamps) + "}" + _any_case(extension)[1:]
+
+
+def time_roots(spark: SparkSession, roots: Sequence[str], layout: str, span: tuple[dt.datetime, dt.datetime]) -> list[str]:
+    """The existing folders below ``roots`` that ``layout`` (such as ``%Y/%m``) names for the days of a span."""
+    first = span[0].replace(hour=0, minute=0, second=0, microsecond=0)
+    days = (first + dt.timedelta(n) for n in range((span[1] - first).days + 1))
+    named = dict.fromkeys(day.strftime(layout) for day in days if day < span[1])
+    return [found for root in roots for name in named for found in matching(spark, f"{root.rstrip('/')}/{name}")]
+
+
+def find_files(
+    spark: SparkSession, root: str | Sequence[str], extension: str,
+    start: dt.datetime | None = None, end: dt.datetime | None = None, layout: str | None = None, fmt: str = "binaryFile",
+) -> DataFrame:
+    """The files of a kind below one or several folders. They are listed when this is called, and not again.
+
+    A range of time (``end`` excluded) becomes a glob over the names, so that no other file is in the listing. With
+    ``layout``, the pattern of the folders of a day below each root, only folders in range are visited. Spark lists
+    more than 32 folders in parallel.
+    """
+    roots = [root] if isinstance(root, str) else list(root)
+    span = None if start is None and end is None else (start or dt.datetime(1969, 1, 1), end or dt.datetime(2069, 1, 1))
+    if span and layout:
+        roots = time_roots(spark, roots, layout, span)
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob(extension, span))
+    if not roots or (span and span[0] >= span[1]):
+        kinds = "path string, modificationTime timestamp, length bigint, content binary" if fmt == "binaryFile" else "value string"
+        metadata = "_metadata struct<file_path: string, file_size: bigint, file_block_start: bigint>"
+        return spark.createDataFrame([], f"{kinds}, {metadata}")
+    return reader.load(roots)
+
+
+def listing(found: DataFrame) -> DataFrame:
+    """Found files as (name, stem, path, length, modified, uri). Only the listing is read, not the content."""
+    listed = found.select(
+        same_path(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified"), F.col("_metadata.file_path").alias("uri")
     )
     named = listed.withColumn("name", basename(F.col("path"))).withColumn("stem", stem(F.col("name")))
-    return named.select("name", "stem", "path", "length")
+    return named.select("name", "stem", "path", "length", "modified", "uri")
+
+
+def list_files(spark: SparkSession, root: str | Sequence[str], extension: str, **span) -> DataFrame:
+    """All files below ``root`` as (name, stem, path, length, modified, uri)."""
+    return listing(find_files(spark, root, extension, **span))
 
 
 def discover_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
@@ -68,7 +128,7 @@ def pair_files(left: DataFrame, right: DataFrame, key: str = "stem") -> DataFram
 
 
 def discover_pairs(spark: SparkSession, root: str, raw: str = "raw", aux: str = "aux") -> DataFrame:
-    """File pairs with their start time, as (file_id, start_ts, raw_path, aux_path, raw_len, aux_len).
+    """File pairs with their start time, as (file_id, start_ts) and path, length, time of change and URI of both sides.
 
     Files whose names hold no start time drop out, see ``unusable``.
     """
@@ -77,15 +137,15 @@ def discover_pairs(spark: SparkSession, root: str, raw: str = "raw", aux: str =
 
 def pairs_of(raw: DataFrame, aux: DataFrame, extension: str = "raw") -> DataFrame:
     """The pairs in two listings."""
+    facts = {"path": "path", "length": "len", "modified": "time", "uri": "uri"}
     sides = [
-        newest(listed).select("stem", F.col("path").alias(f"{side}_path"), F.col("length").alias(f"{side}_len"))
+        newest(listed).select("stem", *[F.col(c).alias(f"{side}_{short}") for c, short in facts.items() if c in listed.columns])
         for side, listed in (("raw", raw), ("aux", aux))
     ]
     named = pair_files(*sides).withColumn("file_id", file_id_of(F.col("stem"), extension))
     timed = named.withColumn("start_ts", file_time(F.col("file_id"), presets.YEAR_PIVOT))
-    return timed.where("start_ts is not null").select(
-        "file_id", "start_ts", "raw_path", "aux_path", "raw_len", "aux_len"
-    )
+    rest = [c for c in timed.columns if c not in ("stem", "file_id", "start_ts")]
+    return timed.where("start_ts is not null").select("file_id", "start_ts", *rest)
 
 
 def unusable(raw: DataFrame, aux: DataFrame, extension: str = "raw") -> DataFrame:
@@ -192,20 +252,14 @@ def read_header(files: DataFrame, text: str, skip: int, header_rows: int = 2, se
     return staged.withColumn("header", widen_header(F.col("_names"), F.when(F.size("lines") > 0, width).otherwise(0))).drop("_names")
 
 
-def explode_rows(files: DataFrame, sep: str = "\t") -> DataFrame:
-    """One row per data line with ``row_idx``, its ``cells`` and the flag ``malformed`` for surplus cells."""
-    kept = [c for c in files.columns if c != "lines"]
-    rows = files.select(*kept, F.posexplode("lines").alias("row_idx", "line"))
-    return as_cells(rows, sep).drop("line")
-
+def explode_rows(files: DataFrame, sep: str = "\t", keep_lines: bool = False) -> DataFrame:
+    """One row per data line with ``row_idx``, its ``cells`` and the flag ``malformed`` for surplus cells.
 
-def explode_good_rows(files: DataFrame, sep: str = "\t") -> DataFrame:
-    """As ``explode_rows``, but lines with surplus cells do not count: their ``row_idx`` is NULL, their ``line`` is kept."""
+    A line with surplus cells keeps its place and its first cells. With ``keep_lines`` it is listed whole as ``line``.
+    """
     kept = [c for c in files.columns if c != "lines"]
-    fits = lambda x: F.size(F.split(x, sep)) <= F.size("header")
-    good = F.transform(F.filter("lines", fits), lambda x, i: F.struct(i.alias("row_idx"), x.alias("line")))
-    bad = F.transform(F.filter("lines", lambda x: ~fits(x)), lambda x: F.struct(F.lit(None).cast("int").alias("row_idx"), x.alias("line")))
-    return as_cells(files.select(*kept, F.inline(F.concat(good, bad))), sep).withColumn("line", F.when(F.col("malformed"), F.col("line")))
+    rows = as_cells(files.select(*kept, F.posexplode("lines").alias("row_idx", "line")), sep)
+    return rows.withColumn("line", F.when(F.col("malformed"), F.col("line"))) if keep_lines else rows.drop("line")
 
 
 def unquoted(cell: Column) -> Column:
@@ -272,34 +326,29 @@ def canonical_columns(rows: DataFrame, text: tuple[str, ...] = (), numbers: tupl
     return rows.select(*rest, *out, extras.alias("extras"))
 
 
-def read_texts(spark: SparkSession, root: str, extension: str, max_bytes: int = MAX_WHOLE_FILE) -> DataFrame:
-    """Whole files as (path, text); the size limit is pushed into the scan, larger files are not opened."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", _any_case(extension))
-        .load(root)
-        .where(F.col("length") <= max_bytes)
-    )
+def chosen(found: DataFrame, uris: Sequence[str] | None) -> DataFrame:
+    """Only files with one of the URIs; the scan is cut down to these files when it is planned."""
+    return found if uris is None else found.where(F.col("_metadata.file_path").isin(list(uris)))
+
+
+def read_texts(found: DataFrame, max_bytes: int = MAX_WHOLE_FILE) -> DataFrame:
+    """Found files as (path, text); the size limit is pushed into the scan, larger files are not opened."""
+    files = found.where(F.col("length") <= max_bytes)
     return files.select(same_path(F.col("path")).alias("path"), F.decode("content", "ISO-8859-1").alias("text"))
 
 
-def split_lines(spark: SparkSession, root: str, extension: str, min_bytes: int) -> DataFrame:
-    """Lines of the files above ``min_bytes`` as (path, line_no, line), read in splits by many tasks.
+def split_lines(found: DataFrame, min_bytes: int) -> DataFrame:
+    """Lines of the text files above ``min_bytes`` as (path, line_no, line), read in splits by many tasks.
 
     Each line is written once with its split and its place there; ids grow by one within a split, and the table holds
     what one attempt of each task saw. A line's number is its place plus the lines of the splits before it, which is
     one row per split.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", _any_case(extension)).text(root)
-        .where(F.col("_metadata.file_size") > min_bytes)
-        .select(
-            # The text source passes the bytes of a line through as they are.
-            F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"),
-            same_path(F.col("_metadata.file_path")).alias("path"),
-            F.col("_metadata.file_block_start").alias("_split"),
-        )
+    lines = found.where(F.col("_metadata.file_size") > min_bytes).select(
+        # The text source passes the bytes of a line through as they are.
+        F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"),
+        same_path(F.col("_metadata.file_path")).alias("path"),
+        F.col("_metadata.file_block_start").alias("_split"),
     )
     numbered = landed(lines.withColumn("_id", F.monotonically_increasing_id()), "lines")
     splits = numbered.groupBy("path", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
@@ -320,7 +369,7 @@ def large_file_rows(
     header_rows: int,
     sep: str,
 ) -> DataFrame:
-    """What ``explode_good_rows`` gives, for numbered lines of files too large to be one row."""
+    """What ``explode_rows`` gives, for numbered lines of files too large to be one row."""
     lines = lines.withColumn("line", clean_text(F.col("line")))
     body = lines.where((F.col("line_no") >= skip + header_rows) & is_data(F.col("line"), sep))
     heads = lines.where((F.col("line_no") >= skip) & (F.col("line_no") < skip + header_rows))
@@ -333,15 +382,12 @@ def large_file_rows(
     files = header.join(widths, "path").withColumn("header", widen_header(named, F.col("_width")))
     located = locate_columns(describe(files.select("path", "header")), mapping, helpers)
     cells = as_cells(body.join(located, "path").withColumn("row_idx", F.lit(None).cast("bigint")), sep)
-    good, bad = split_malformed(cells)
-    numbered = row_index(good.drop("row_idx"), ["path"], ["line_no"]).withColumn("line", F.lit(None).cast("string"))
-    return numbered.unionByName(bad).drop("line_no")
+    numbered = row_index(cells.drop("row_idx"), ["path"], ["line_no"]).drop("line_no")
+    return numbered.withColumn("line", F.when(F.col("malformed"), F.col("line")))
 
 
 def read_rows(
-    spark: SparkSession,
-    root: str,
-    extension: str,
+    found: DataFrame,
     describe: Callable[[DataFrame], DataFrame],
     mapping: Mapping[tuple[str, str], tuple[str, str]],
     skip: int,
@@ -349,22 +395,22 @@ def read_rows(
     helpers: tuple[str, ...] = (),
     sep: str = "\t",
     unwanted: DataFrame | None = None,
-    large: bool = False,
+    large: DataFrame | None = None,
     max_bytes: int = MAX_WHOLE_FILE,
 ) -> DataFrame:
-    """Rows of the files below ``root`` except the paths in ``unwanted``; rejected lines have no ``row_idx``.
+    """Rows of the found files except the paths in ``unwanted``; lines with surplus cells are listed as ``line``.
 
     ``describe`` adds what a file's name tells to a DataFrame with ``path``. Unwanted files are the few, so theirs is
-    the list that gets joined: while it is small, the texts themselves are not shuffled. ``large`` says that there are
-    wanted files above ``max_bytes``; they are read in splits, with the same result.
+    the list that gets joined: while it is small, the texts themselves are not shuffled. ``large`` are the same files
+    as lines, given if there are wanted ones above ``max_bytes``; these are read in splits, with the same result.
     """
-    texts = read_texts(spark, root, extension, max_bytes)
+    texts = read_texts(found, max_bytes)
     if unwanted is not None:
         texts = texts.join(unwanted.select("path"), "path", "left_anti")
     located = locate_columns(describe(read_header(texts, "text", skip, header_rows, sep)), mapping, helpers)
-    rows = explode_good_rows(located, sep)
-    if large:
-        lines = split_lines(spark, root, extension, max_bytes)
+    rows = explode_rows(located, sep, keep_lines=True)
+    if large is not None:
+        lines = split_lines(large, max_bytes)
         if unwanted is not None:
             lines = lines.join(unwanted.select("path"), "path", "left_anti")
         rows = rows.unionByName(large_file_rows(lines, describe, mapping, helpers, skip, header_rows, sep))
