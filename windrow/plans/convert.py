@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from copy import copy
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from windrow import presets
@@ -249,32 +249,71 @@ def run_batch(
     """
     with own_folder(spark, "batch"):
         folder = Folder(spark, indir, max_bytes, start, end, layout)
-        raw, aux = (landed(rows, "parsed") for rows in folder.rows())
-        extra = {"raw_extra": unknown_names(raw), "slow_extra": unknown_names(aux)}
-        limit = options.pop("min_hot_rows", MIN_HOT_ROWS if folder.split else 0)
-        dated = landed(dated_slow(accepted(aux, surplus), limit), "dated")
-        slow = fill.dedupe_last(dated.where("ts is not null"), ["file_id", "ts"], ["row_idx"])
-        converted = convert_series(accepted(raw, surplus), slow, min_hot_rows=limit, **extra, **options)
-        units = columns.units_of(converted)
-        sinks.write_series(converted, f"{outdir}/series")
-        rejected_rows(raw, aux, dated).unionByName(rejected_files(folder)).write.parquet(f"{outdir}/rejects")
-        series = spark.read.parquet(f"{outdir}/series").drop("date")
-        if csv:
-            text = series.select("file_id", "row_idx", "ts", *units)
-            sinks.write_series(text, f"{outdir}/series_csv", "csv", units=units, files=folder.pairs, drop_ts=True)
-        sinks.write_units(converted, units, f"{outdir}/units")
-        by = ["file_id", "start_ts"]
-        rows = stats.MAX_PERCENTILE_ROWS if folder.split else None  # a file that is read whole bounds its own group
-        stats.summarize(series, by, sorted(units), groups=folder.pairs, max_percentile_rows=rows).write.parquet(f"{outdir}/stats")
+        done = Converted(folder, surplus, **options)
+        rejected_rows(done.raw, done.aux, done.dated).unionByName(rejected_files(folder)).write.parquet(f"{outdir}/rejects")
+        with sinks.bucketed(done.observed(), f"{outdir}/series") as series:
+            done.audit(series)
+            if csv:
+                done.write_text(series, f"{outdir}/series_csv")
+            sinks.write_units(done.series, done.units, f"{outdir}/units")
+            done.statistics(series).write.parquet(f"{outdir}/stats")
+            manifest(folder, series, done.raw, done.aux, done.dated).write.parquet(f"{outdir}/manifest")
         wide = spark.read.parquet(f"{outdir}/stats")
-        sinks.write_stats(wide, f"{outdir}/stats_csv", units=units)
-        long = stats.to_long(wide, by, sorted(units), units)
+        sinks.write_stats(wide, f"{outdir}/stats_csv", units=done.units)
+        long = stats.to_long(wide, BY_FILE, sorted(done.units), done.units)
         stats.trend_bands(long, "start_ts", ["file_id"]).write.parquet(f"{outdir}/trends")
         stats.robust_bounds(long).write.parquet(f"{outdir}/bounds")
-        manifest(folder, series, raw, aux, dated).write.parquet(f"{outdir}/manifest")
     return wide
 
 
+BY_FILE = ["file_id", "start_ts"]
+
+
+class Converted:
+    """A folder's parsed rows (landed), its series (lazy), and what is written from them."""
+
+    def __init__(self, folder: Folder, surplus: str = "keep", raw_known: Sequence[str] = (), slow_known: Sequence[str] = (), **options):
+        self.folder, self.surplus = folder, surplus
+        self.lines, self.rows = Observation(), Observation()
+        raw, aux = folder.rows()
+        self.raw = landed(raw.observe(self.lines, F.count(F.lit(1)).alias("n"), F.count_if("malformed").alias("bad")), "parsed")
+        self.aux = landed(aux, "parsed")
+        extra = {"raw_extra": [*raw_known, *unknown_names(self.raw)], "slow_extra": [*slow_known, *unknown_names(self.aux)]}
+        extra = {side: sorted(set(names)) for side, names in extra.items()}
+        limit = options.pop("min_hot_rows", MIN_HOT_ROWS if folder.split else 0)
+        self.dated = landed(dated_slow(accepted(self.aux, surplus), limit), "dated")
+        slow = fill.dedupe_last(self.dated.where("ts is not null"), ["file_id", "ts"], ["row_idx"])
+        self.series = convert_series(accepted(self.raw, surplus), slow, min_hot_rows=limit, **extra, **options)
+        self.units = columns.units_of(self.series)
+
+    def observed(self) -> DataFrame:
+        """The series with a count of its rows, taken while they are written."""
+        return self.series.observe(self.rows, F.count(F.lit(1)).alias("n"))
+
+    def audit(self, written: DataFrame) -> None:
+        """Fail unless all lines but the dropped ones have been written.
+
+        The counts come from the writes themselves. Tasks that ran twice may count twice, so before a batch fails
+        both tables are counted.
+        """
+        def expected(n: int, bad: int) -> int:
+            return n - bad if self.surplus == "drop" else n
+
+        if expected(self.lines.get["n"], self.lines.get["bad"]) == self.rows.get["n"]:
+            return
+        n, bad = self.raw.agg(F.count(F.lit(1)), F.count_if("malformed")).first()
+        if expected(n, bad) != (there := written.count()):
+            raise RuntimeError(f"{n} lines were read, {bad} of them with surplus cells, but {there} rows were written")
+
+    def statistics(self, series: DataFrame) -> DataFrame:
+        rows = stats.MAX_PERCENTILE_ROWS if self.folder.split else None  # a file that is read whole bounds its own group
+        return stats.summarize(series, BY_FILE, sorted(self.units), groups=self.folder.pairs, max_percentile_rows=rows)
+
+    def write_text(self, series: DataFrame, path: str) -> None:
+        text = series.select("file_id", "row_idx", "ts", *self.units)
+        sinks.write_series(text, path, "csv", units=self.units, files=self.folder.pairs, drop_ts=True)
+
+
 def manifest(folder: Folder, series: DataFrame, raw: DataFrame, aux: DataFrame, dated: DataFrame) -> DataFrame:
     """One row per pair: multipliers, sizes, rows of both sides in and out, and unknown columns.
 

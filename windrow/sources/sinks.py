@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +51,25 @@ def write_series(
     placed.write.mode(mode).partitionBy(by).option("compression", "gzip").csv(path, header=True)
 
 
+@contextmanager
+def bucketed(df: DataFrame, path: str, by: str = "file_id", order: str = "row_idx", start: str = "start_ts", buckets: int | None = None) -> Iterator[DataFrame]:
+    """Write series to a new folder, one folder per start day, bucketed by file; yields them as a table of the session.
+
+    Rows that are partitioned by file already are written where they are. All rows of a file and day are in one part,
+    sorted by file and position, so a reader skips other files by the statistics of the parts. Inside the block,
+    groupings, windows and sorts by file read the table without a shuffle. Afterwards only the files remain.
+    """
+    spark = df.sparkSession
+    name = f"windrow_series_{uuid.uuid4().hex}"
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dated = df.withColumn("date", F.to_date(start))
+    dated.write.format("parquet").partitionBy("date").bucketBy(buckets, by).sortBy(by, order).option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def write_units(df: DataFrame, units: Mapping[str, str], path: str, mode: str = "errorifexists") -> None:
     """Units of the columns as a table of their own, for formats that have no place for them."""
     rows = [(c, units[c]) for c in df.columns if c in units]
