@@ -1,0 +1,204 @@
+"""Interval joins, runs of equal positions, escapes and merged summaries against plain loops."""
+
+import random
+import warnings
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from windrow.functions.escapes import decode_escapes
+from windrow.operators import asof, hot, lookup, stats
+from windrow.plans import convert
+from windrow.sources import files, sinks
+
+
+def inside(x, start, end, bounds):
+    after = start is None or (x >= start if bounds[0] == "[" else x > start)
+    return after and (end is None or (x <= end if bounds[1] == "]" else x < end))
+
+
+@pytest.fixture(scope="module")
+def overlapping(spark):
+    """Intervals of all lengths, empty and open ones, and rows inside, outside and without position."""
+    random_ = random.Random(1)
+    starts = [random_.randint(-500, 500) for _ in range(300)]
+    spans = [(a, a + random_.choice([0, 1, 2, 5, 50, 700]), k) for k, a in enumerate(starts)]
+    spans += [(None, -470, 9001), (480, None, 9002), (None, None, 9003), (5, 4, 9004)]
+    rows = [(i, random_.randint(-600, 600)) for i in range(300)] + [(1000, None)]
+    return rows, spans, spark.createDataFrame(rows, "id int, at bigint"), spark.createDataFrame(spans, "s bigint, e bigint, k int")
+
+
+@pytest.mark.parametrize("bounds", ["(]", "[)", "[]", "()"])
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_join_intervals(overlapping, bounds, most):
+    rows, spans, df, table = overlapping
+    want = sorted((i, k) for i, x in rows for s, e, k in spans if x is not None and inside(x, s, e, bounds))
+    joined = lookup.join_intervals(df, table, "at", "s", "e", bounds, most)
+    assert sorted((r.id, r.k) for r in joined.collect()) == want
+    assert lookup.join_intervals(df, table.limit(0), "at", "s", "e", bounds, most).count() == 0
+    assert lookup.join_intervals(df.limit(0), table, "at", "s", "e", bounds, most).count() == 0
+
+
+@pytest.mark.parametrize("bounds", ["(]", "[)", "[]", "()"])
+@pytest.mark.parametrize("most", [0, 1_000])
+def test_lookup_first(overlapping, bounds, most):
+    rows, spans, df, table = overlapping
+    want = sorted((i, max((k for s, e, k in spans if x is not None and k % 5 == 0 and inside(x, s, e, bounds)), default=-1)) for i, x in rows)
+    got = lookup.lookup_first(df, table.where("k % 5 = 0").withColumn("rank", -F.col("k")), "at", "s", "e", ["rank"], bounds, {"k": -1}, most, 50)
+    assert sorted((r.id, r.k) for r in got.collect()) == want and got.columns == ["id", "at", "k", "rank"]
+
+
+def test_intervals_in_time_need_no_nested_loop(spark):
+    df = spark.range(1000).selectExpr("id", "date_add(date'2000-01-01', int(id % 100)) AS d")
+    table = spark.range(20_000).selectExpr("date_add(date'2000-01-01', int(id % 90)) AS s", "date_add(date'2000-01-01', int(id % 90 + id % 7)) AS e", "id AS k")
+    joined = lookup.join_intervals(df, table, "d", "s", "e", "[]", 0)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert joined.count() == sum(10 * sum(1 for k in range(20_000) if k % 90 <= d <= k % 90 + k % 7) for d in range(100))
+    with pytest.raises(TypeError):
+        lookup.join_intervals(df.withColumn("x", F.lit(1.5)), table, "x", "s", "e")
+
+
+@pytest.fixture(scope="module")
+def tied(spark):
+    """One key: a quarter of the rows without time, half of them on four times, the rest spread."""
+    time = "CASE WHEN id % 16 < 4 THEN NULL WHEN id % 16 < 12 THEN timestamp_micros((id % 4) * 1000000)::timestamp_ntz ELSE timestamp_micros(id * 1000)::timestamp_ntz END"
+    left = spark.range(16_026).selectExpr("id", f"{time} AS ts", "'k' AS k").repartition(4)
+    right = spark.range(40).selectExpr("'k' AS k", "timestamp_micros(id * 500000)::timestamp_ntz AS ts", "double(id) AS v")
+    return left, right
+
+
+def joins(left, right, limit):
+    intervals = right.selectExpr("ts AS s", "ts + interval 300 milliseconds AS e", "v")
+    without = left.drop("k")
+    yield from (asof.asof_join(left, right, "ts", ["k"], ["v"], d, min_hot_rows=limit) for d in ("nearest", "backward", "forward"))
+    yield asof.interpolate_linear(left, right, "ts", ["k"], ["v"], 600_000, 10_000, limit)
+    yield from (lookup.lookup_by_interval(without, intervals, "ts", "s", "e", b, None, 0, limit or 10**9) for b in ("(]", "[)"))
+
+
+def test_runs_are_cut(tied, monkeypatch):
+    """No block holds more than twice the limit, whatever rows share a time or have none, and results are those of one block."""
+    left, right = tied
+    sizes = []
+    whole = asof.carry
+
+    def spy(series, *rest):
+        if series.cut:
+            sizes.append(series.df.groupBy(*series.keys).count().agg(F.max("count")).first()[0])
+        return whole(series, *rest)
+
+    want = [sorted(map(str, df.collect())) for df in joins(left, right, 0)]
+    monkeypatch.setattr(asof, "carry", spy)
+    monkeypatch.setattr(lookup, "carry", spy)
+    for df, expected in zip(joins(left, right, 100), want, strict=True):
+        assert sorted(map(str, df.collect())) == expected
+    assert len(sizes) >= 6 and max(sizes) <= 200
+
+
+def test_keys_without_any_position_are_cut(spark):
+    rows = spark.range(3013).selectExpr("id", "cast(NULL AS timestamp_ntz) AS ts")
+    deal = hot.Deal(F.lit(True), hot.row_hash(rows), F.lit(False))
+    cut = hot.cut_series(rows, [], ["ts"], 100, deal)
+    assert cut.df.groupBy(*cut.keys).count().agg(F.max("count")).first()[0] <= 200
+
+
+def test_escapes_of_every_kind(spark):
+    """As Python's codec, but for names of signs, which count as not decodable."""
+    random_ = random.Random(2)
+    tokens = [
+        "a", "é", "\\", "\\\\", "\\n", "\\t", "\\x41", "\\xe9", "\\x4", "\\u00e9", "\\u20AC", "\\ud83d", "\\U0001F600", "\\U00110000",
+        "\\7", "\\101", "\\777", "\\8", "\\q", "\\'", '\\"', "\\\n", "\n", " ", "0", "f", "\t", "\\v\\a\\b\\f\\r",
+    ]
+    texts = ["", *tokens, *("".join(random_.choices(tokens, k=random_.randint(2, 6))) for _ in range(2000))]
+
+    def codec(text):
+        try:
+            out = text.encode("latin-1").decode("unicode_escape")
+            out.encode()
+            return out
+        except UnicodeError:
+            return None
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        want = [codec(t) for t in texts]
+    rows = spark.createDataFrame([*enumerate(texts), (9999, "\\N{BULLET}"), (10_000, None)], "i int, t string")
+    got = {r.i: r.d for r in rows.select("i", decode_escapes(F.col("t")).alias("d")).collect()}
+    assert [got[i] for i in range(len(texts))] == want and got[9999] is None and got[10_000] is None
+
+
+@pytest.mark.parametrize("max_bytes", [files.MAX_WHOLE_FILE, 10])
+def test_escapes_in_files(spark, tmp_path, max_bytes):
+    """Escaped tabs part cells, escaped line ends part lines; a line that cannot be decoded stays and is listed."""
+    head = "a\nb\nc\nU\tV\tW\tSound\tC\tXw\n[m/s]\t[m/s]\t[m/s]\t[m/50s]\t[m\\x56]\t[mV]\n"
+    lines = ["1\\t2\\x09" + "3\t16000\t1500\t1", "1\t2\t3\t16000\t1500\t2\\n1\t2\t3\t16000\t1500\t3", "1\t2\t3\\x4\t16000\t1500\t4", "1\t2\t3\t16000\t1500\t\\65"]
+    (tmp_path / "X970101_00.raw").write_text(head + "\n".join(lines) + "\n")
+    (tmp_path / "X970101_00.aux").write_text("x\nDate\tTime\tPa\tPlic\tTa\tTlic\n\t\t[kPa]\t[kPa]\t[degC]\t[degC]\n01.01.97\t00:00:00\t80\t80\t10\t35\n")
+    raw, _ = convert.Folder(spark, str(tmp_path), max_bytes).rows()
+    rows = raw.orderBy("row_idx").collect()
+    assert [(r.row_idx, r.U, r.V, r.W, r.CO2, r.H2O) for r in rows] == [
+        (0, 1, 2, 3, 1500, 1), (1, 1, 2, 3, 1500, 2), (2, 1, 2, 3, 1500, 3), (3, 1, 2, None, 1500, 4), (4, 1, 2, 3, 1500, 5),
+    ]
+    assert [(r.row_idx, r.line, r.fault) for r in rows if r.fault] == [(3, lines[2], files.UNDECODED)]
+
+
+def test_quantiles_of_merged_sketches(spark):
+    """Hours merged to days and these to one: moments as of the rows, ranks within the sketch's error."""
+    table = spark.range(100_000).selectExpr(
+        "id % 240 AS hour", "id % 240 DIV 24 AS day", "IF(id % 240 = 5 OR id % 7 = 0, NULL, 1e6 + sin(id) * 10) AS x", "IF(id % 240 < 24, NULL, double(id)) AS y"
+    )
+    hours = stats.summarize(table, ["hour", "day"], ["x", "y"], stats.MERGEABLE, max_percentile_rows=None)
+    days = stats.merge_summaries(hours, ["day"], ["x", "y"])
+    once = stats.merge_summaries(days, [], ["x", "y"]).first()
+    local = table.toPandas()
+    for row in [*days.collect(), once]:
+        part = local[local.day == row["day"]] if "day" in row.__fields__ else local
+        for c in ("x", "y"):
+            values = np.sort(part[c].dropna().to_numpy())
+            assert row[f"{c}__count"] == len(values)
+            if not len(values):
+                assert row[f"{c}__mean"] is None and row[f"{c}__median"] is None
+                continue
+            np.testing.assert_allclose([row[f"{c}__{s}"] for s in ("min", "max", "mean", "std")], [values[0], values[-1], values.mean(), values.std(ddof=1)], rtol=1e-9)
+            for s, p in stats.QUANTILES.items():
+                low, high = (np.searchsorted(values, row[f"{c}__{s}"], side) / len(values) for side in ("left", "right"))
+                assert low - p <= 2 * stats.SKETCH_ERROR and p - high <= 2 * stats.SKETCH_ERROR
+
+
+def test_written_series_needs_no_exchange(spark, tmp_path):
+    """Statistics of a bucketed series run where its rows are; a part holds whole files of a day, sorted."""
+    series = spark.range(4000).selectExpr(
+        "concat('f', id % 10) AS file_id", "timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(int(id % 10 % 2)) AS start_ts", "id DIV 10 AS row_idx",
+        "timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(int(id % 10 % 2), 0, 0, id DIV 10) AS ts", "double(id) AS x",
+    )
+    with sinks.bucketed(series.repartition(8, "file_id"), str(tmp_path / "s"), buckets=8) as written:
+        summary = stats.summarize(written, ["file_id", "start_ts"], ["x"], stats.MERGEABLE, max_percentile_rows=None)
+        assert "Exchange" not in summary._jdf.queryExecution().executedPlan().toString()
+        assert summary.count() == 10 and summary.first()["x__count"] == 400
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("windrow_series")]
+    for day in (tmp_path / "s").glob("date=*"):
+        held = []
+        for part in day.glob("*.parquet"):
+            rows = spark.read.parquet(str(part)).select("file_id", "row_idx").collect()
+            assert [tuple(r) for r in rows] == sorted(tuple(r) for r in rows)
+            held += sorted({r.file_id for r in rows})
+        assert len(held) == len(set(held)) == 5
+        groups = row_groups(day, "f0", "2000-01-01 00:01:00", "2000-01-01 00:02:00") if day.name == "date=2000-01-01" else 0
+        assert groups <= 2
+
+
+def row_groups(folder, file_id, start, end):
+    """How many row groups a filter on file and time cannot skip by their statistics."""
+    import pandas as pd
+    import pyarrow.parquet as pq
+
+    kept = 0
+    for part in folder.glob("*.parquet"):
+        meta = pq.ParquetFile(part).metadata
+        names = [meta.schema.column(i).name for i in range(meta.num_columns)]
+        for g in range(meta.num_row_groups):
+            ids, times = (meta.row_group(g).column(names.index(c)).statistics for c in ("file_id", "ts"))
+            kept += ids.min <= file_id <= ids.max and times.min <= pd.Timestamp(end) and times.max >= pd.Timestamp(start)
+    assert kept
+    return kept

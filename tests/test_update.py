@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from test_sources import write_pair
 
+from windrow.operators import stats
 from windrow.plans import convert, update
 from windrow.session import matching
 
@@ -30,7 +31,12 @@ def rows_of(df):
 
 
 def contents(store):
-    return {name: rows_of(store.table(name)) for name in update.TABLES} | {"trends": rows_of(store.trends()), "bounds": rows_of(store.bounds()), "units": store.units()}
+    """All that a store holds; sketches keep other samples in other runs."""
+    tables = {name: store.table(name) for name in update.TABLES}
+    summaries = tables.pop("summaries")
+    tables["summaries"] = summaries.drop(*[c for c in summaries.columns if c.endswith("__sketch")])
+    tables |= {"stats": store.stats(), "trends": store.trends(), "bounds": store.bounds()}
+    return {name: rows_of(df) for name, df in tables.items()} | {"units": store.units()}
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +47,24 @@ def whole(spark, tmp_path_factory):
     return root / "in", contents(update.update_batch(spark, str(root / "in"), str(root / "out")))
 
 
+def test_statistics_of_periods(spark, whole):
+    """Days, months and eras from the files' summaries equal those of the series; quantiles stay within the sketch's error."""
+    store = update.Store(spark, str(whole[0].parent / "out"))
+    names = sorted(store.units())
+    series = store.table("series").drop("date", "run")
+    for period, count in (("day", 3), ("month", 2), ("era", 2)):
+        got = {r[period]: r for r in store.period_stats(period).collect()}
+        want = stats.summarize(convert.with_period(series, period), [period], names).collect()
+        assert len(got) == len(want) == count
+        for row in want:
+            merged = got[row[period]]
+            for c in names:
+                assert merged[f"{c}__count"] == row[f"{c}__count"]
+                for s in ("min", "max", "mean", "std"):
+                    a, b = merged[f"{c}__{s}"], row[f"{c}__{s}"]
+                    assert (a is None) == (b is None) and (a is None or a == pytest.approx(b, rel=1e-9, abs=1e-9)), (period, c, s)
+
+
 def spoil(folder, names):
     """Other content of the same size and time of change: found out by whoever reads it."""
     for path in (p for name in names for p in folder.glob(f"{name}.*")):
@@ -54,7 +78,10 @@ def test_update_equals_batch(spark, whole, tmp_path):
     convert.run_batch(spark, str(source), str(tmp_path / "out"))
     series = spark.read.parquet(str(tmp_path / "out" / "series"))
     assert rows_of(series) == tables["series"] and len(tables["series"]) == 300
-    assert rows_of(spark.read.parquet(str(tmp_path / "out" / "trends"))) == tables["trends"]
+    for name in ("trends", "stats"):
+        assert rows_of(spark.read.parquet(str(tmp_path / "out" / name))) == tables[name]
+    daily = spark.read.parquet(str(tmp_path / "out" / "stats_day")).orderBy("day").collect()
+    assert [r["U__count"] for r in daily] == [120, 120, 60] and daily[1]["Z [z]__count"] == 60
 
 
 def test_two_runs_equal_one(spark, whole, tmp_path):

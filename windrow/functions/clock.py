@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampType
 
@@ -54,12 +54,24 @@ def timestamp_from_text(date: Column, time: Column, pivot: int = YEAR_PIVOT) ->
     return date_from_text(date, pivot).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour, minute, second)
 
 
+#: Session zones in which times with and without zone are written alike.
+PLAIN_ZONES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00", "UTC+0"}
+
+
+def _plain_zone() -> bool:
+    """Whether the session's zone, which is fixed when a plan is made, is UTC: then casts between times change nothing."""
+    session = SparkSession.getActiveSession()
+    return session is not None and session.conf.get("spark.sql.session.timeZone") in PLAIN_ZONES
+
+
 def micros(ts: Column) -> Column:
     """Microseconds since 1970, whatever the session zone.
 
     Times without zone and dates are counted as written; instants (``timestamp``) from the epoch. Which of the two
     holds is known from the type when the plan is made.
     """
+    if _plain_zone():
+        return F.unix_micros(ts.cast("timestamp"))
     # TIMESTAMPs must not meet a zone on their way, so the fields of the clock are added up.
     local = ts.cast("timestamp_ntz")
     day = F.unix_date(local.cast("date")).cast("bigint") * F.lit(DAY_US)
@@ -70,6 +82,8 @@ def micros(ts: Column) -> Column:
 
 def from_micros(us: Column) -> Column:
     """The time without zone that lies so many microseconds after 1970."""
+    if _plain_zone():
+        return F.timestamp_micros(us).cast("timestamp_ntz")
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.expr("INTERVAL '0.000001' SECOND") * us
 
 

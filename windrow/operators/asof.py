@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from windrow.functions.clock import back_to, micros, snap
 from windrow.functions.numeric import lerp
 from windrow.operators.fill import Carry, carry
-from windrow.operators.hot import MIN_HOT_ROWS, Cut, apply_cut, plan_cut
+from windrow.operators.hot import MIN_HOT_ROWS, Blocked, Cut, Deal, apply_cut, plan_cut, row_hash
 
 LEFT, RIGHT, SENTINEL = 2, 1, 0
 BEGINNING = -(2**62)
@@ -36,6 +36,15 @@ def _plan(left: DataFrame, points: DataFrame, on: str, by: Sequence[str], min_ho
     return plan_cut(times, by, min_hot_rows)
 
 
+def _in_blocks(left: DataFrame, marks: DataFrame, by: Sequence[str], cut: Cut | None) -> Blocked:
+    """Left rows and marks of the right side in one series; left rows of one time are dealt to several blocks."""
+    if cut is None:
+        return Blocked(left.unionByName(marks, allowMissingColumns=True), list(by))
+    union = left.withColumn("_tie", row_hash(left)).unionByName(marks, allowMissingColumns=True)
+    deal = Deal(F.col("_side") == LEFT, F.col("_tie"), F.lit(False))
+    return apply_cut(union, by, F.col("_k").cast("double"), cut, deal)
+
+
 def _with_lead_in(df: DataFrame, by: Sequence[str], row: dict[str, Column], first: dict[str, Column]) -> DataFrame:
     """Right rows with the columns ``row``, and one more with ``first`` ahead of the earliest row of each key.
 
@@ -93,10 +102,8 @@ def asof_join(
             {"_mark": F.struct(nothing.alias("_cur"), F.col("_cur").alias("_next"))},
         )
     rows = left.withColumns({"_k": micros(F.col(on)), "_side": F.lit(LEFT)})
-    union = rows.unionByName(marks.select(*by, "_k", "_side", "_mark"), allowMissingColumns=True)
-    picked = carry(
-        apply_cut(union, by, F.col("_k").cast("double"), cut), ["_k", "_side"], [Carry("_seen", F.col("_mark"))]
-    ).where(F.col("_side") == LEFT)
+    series = _in_blocks(rows, marks.select(*by, "_k", "_side", "_mark"), by, cut)
+    picked = carry(series, ["_k", "_side"], [Carry("_seen", F.col("_mark"))]).where(F.col("_side") == LEFT)
 
     before = F.col("_seen._cur")
     if direction == "backward":
@@ -167,11 +174,8 @@ def interpolate_linear(
     marks = _with_lead_in(following, by, row, first)
     us = micros(F.col(on))
     rows = left.withColumns({"_us": us, "_k": snap(us, grid_us) if grid_us else us, "_side": F.lit(LEFT)})
-    union = rows.unionByName(marks, allowMissingColumns=True)
     seen = [Carry(f"_s{n}", F.col(n)) for n in names.values()] + [Carry("_seen_edge", F.col("_edge"))]
-    picked = carry(apply_cut(union, by, F.col("_k").cast("double"), cut), ["_k", "_side"], seen).where(
-        F.col("_side") == LEFT
-    )
+    picked = carry(_in_blocks(rows, marks, by, cut), ["_k", "_side"], seen).where(F.col("_side") == LEFT)
     inside = F.col("_us").isNotNull()
     if tolerance_us is not None:
         at = F.col("_seen_edge")

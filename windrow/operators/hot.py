@@ -98,18 +98,41 @@ def settle(min_rows: int, by: Sequence[str], *tables: DataFrame) -> DataFrame |
 
 @dataclass(frozen=True)
 class Cut:
-    """Where to cut: for each oversized key its increasing ``_borders``, and bounds of their numbers."""
+    """Where to cut: for each oversized key its increasing ``_borders``, and bounds of their numbers.
+
+    ``_runs`` are positions that so many rows share that they have blocks of their own, with the number of blocks that
+    such a run may be dealt to; ``_own`` is the number of blocks that the key's rows without position may be dealt to.
+    """
 
     borders: DataFrame
     slices: int
     blocks: int
 
 
+@dataclass(frozen=True)
+class Deal:
+    """Rows that see others but are seen by none: of one position, they may be in any order, so a run of them is dealt.
+
+    ``rows`` says which rows these are and ``tie`` parts them. Other rows of the position come before them all, or
+    behind them where ``late`` holds.
+    """
+
+    rows: Column
+    tie: Column
+    late: Column
+
+
+def row_hash(df: DataFrame) -> Column:
+    """What parts rows that share a position; maps have no hash."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()])
+
+
 def plan_cut(positions: DataFrame, by: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> Cut | None:
     """Find oversized keys in a table of ``by`` and one more column, the position in the series, and their borders.
 
-    Borders are quantiles of the key's own positions, twice as many as blocks of ``min_rows`` rows need. ``min_rows=0``
-    skips the probe for keys known to be small. None means that nothing needs to be cut.
+    Borders are quantiles of the key's own positions, twice as many as blocks of ``min_rows`` rows need. A position that
+    several of them name is a run: it is cut off on both sides. ``min_rows=0`` skips the probe for keys known to be
+    small. None means that nothing needs to be cut.
     """
     by = list(by)
     found = hot_keys(positions, by, min_rows) if min_rows else None
@@ -124,9 +147,16 @@ def plan_cut(positions: DataFrame, by: Sequence[str], min_rows: int = MIN_HOT_RO
     own = F.ceil(F.col("_rows") * 2 / F.lit(min_rows))
     # A key with fewer rows keeps as many of the borders as it needs.
     kept = F.filter("_points", lambda _, i: F.floor((i + 1) * own / slices) > F.floor(i * own / slices))
-    measured = members.groupBy(*by).agg(points.alias("_points"), F.first("_rows").alias("_rows"))
-    borders = measured.select(*by, F.array_sort(F.array_distinct(F.filter(kept, lambda b: ~F.isnan(b)))).alias("_borders"))
-    return Cut(landed(borders.where("_borders is not null"), "borders"), slices, n_hot * (slices + 1))
+    none = F.array().cast("array<double>")
+    measured = members.groupBy(*by).agg(points.alias("_points"), F.first("_rows").alias("_rows"), F.count(name).alias("_placed"))
+    named = measured.withColumns({"_kept": F.coalesce(F.filter(kept, lambda b: ~F.isnan(b)), none), "_own": own.cast("int")})
+    # Points stand at shares of the placed rows; each stands for that many of its blocks.
+    wide = F.greatest(F.ceil(F.col("_placed") * 2 / F.lit(min_rows) / (F.size("_kept") + 1)), F.lit(1))
+    repeats = F.transform(F.array_distinct("_kept"), lambda b: F.struct(b.alias("at"), F.size(F.filter("_kept", lambda x: x == b)).alias("n")))
+    runs = F.transform(F.filter(repeats, lambda r: r["n"] > 1), lambda r: F.struct(r["at"].alias("at"), ((r["n"] + 1) * wide).cast("int").alias("n")))
+    before = F.transform("_runs", lambda r: r["at"] - F.greatest(F.abs(r["at"]) * F.lit(2.0**-53), F.lit(5e-324)))
+    borders = named.withColumn("_runs", runs).select(*by, "_own", "_runs", F.array_sort(F.array_distinct(F.concat("_kept", before))).alias("_borders"))
+    return Cut(landed(borders, "borders"), slices, n_hot * (5 * slices + 5))
 
 
 def slice_of(position: Column, slices: int) -> Column:
@@ -139,20 +169,30 @@ def slice_of(position: Column, slices: int) -> Column:
     return F.when(position.isNull(), 0).otherwise(start + F.size(within))
 
 
-def apply_cut(df: DataFrame, by: Sequence[str], position: Column, cut: Cut | None) -> Blocked:
-    """Number the blocks of the oversized keys from 1; rows of other keys are in block 0."""
+def apply_cut(df: DataFrame, by: Sequence[str], position: Column, cut: Cut | None, deal: Deal | None = None) -> Blocked:
+    """Number the blocks of the oversized keys from 1; rows of other keys are in block 0.
+
+    With ``deal``, runs of one position and rows without position, which match nothing, are dealt to several blocks.
+    """
     by = list(by)
     if cut is None:
         return Blocked(df, by)
     joined = attach(df.withColumn("_position", position), cut.borders, by)
-    block = F.when(F.col("_borders").isNotNull(), slice_of(F.col("_position"), cut.slices) + 1).otherwise(0)
-    return Blocked(joined.withColumn(BLOCK, block).drop("_borders", "_position"), by, cut.blocks)
-
-
-def cut_series(df: DataFrame, by: Sequence[str], order: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> Blocked:
+    slice_ = slice_of(F.col("_position"), cut.slices).cast("bigint")
+    if deal is not None:
+        run = F.get(F.filter("_runs", lambda r: r["at"] == F.col("_position")), F.lit(0))["n"]
+        placed = F.when(deal.rows, 1 + F.pmod(deal.tie, run)).when(deal.late, run + 1).otherwise(0)
+        lost = F.when(deal.rows, 1 + F.pmod(deal.tie, F.col("_own"))).otherwise(0)
+        within = F.when(F.col("_position").isNull(), lost).when(run.isNotNull(), placed).otherwise(0)
+        slice_ = slice_ * F.lit(4 * cut.slices + 4) + within.cast("bigint")
+    block = F.when(F.col("_borders").isNotNull(), slice_ + 1).otherwise(0)
+    return Blocked(joined.withColumn(BLOCK, block).drop("_borders", "_runs", "_own", "_position"), by, cut.blocks)
+
+
+def cut_series(df: DataFrame, by: Sequence[str], order: Sequence[str], min_rows: int = MIN_HOT_ROWS, deal: Deal | None = None) -> Blocked:
     """Give every row a block number if some key of ``by`` is oversized; blocks follow the first column of ``order``."""
     if not min_rows:
         return Blocked(df, list(by))
     position = sortable_double(df, order[0])
     cut = plan_cut(df.select(*by, position.alias("_position")), by, min_rows)
-    return apply_cut(df, by, position, cut)
+    return apply_cut(df, by, position, cut, deal)

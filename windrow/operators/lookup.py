@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windrow import presets
-from windrow.functions.clock import day_of_year_date
+from windrow.functions.clock import day_of_year_date, micros
 from windrow.functions.numeric import finite_or_null, lerp, to_number_strict
 from windrow.operators.columns import update_non_null
 from windrow.operators.fill import Carry, carry
-from windrow.operators.hot import MIN_HOT_ROWS, cut_series
+from windrow.operators.hot import MIN_HOT_ROWS, Deal, cut_series, row_hash
 
 MAX_BROADCAST_INTERVALS = 1_000
 
@@ -65,9 +66,10 @@ def lookup_by_interval(
     else:
         # Starts stand before the rows of their own value where they are part of the interval, else after them.
         starts = single.select(F.col("_start").alias("_at"), F.lit(0 if bounds[0] == "[" else 2).alias("_side"), F.struct("_end", "_row").alias("_mark"))
-        union = rows.withColumns({"_at": F.col("_on"), "_side": F.lit(1)}).unionByName(starts, allowMissingColumns=True)
+        union = rows.withColumns({"_at": F.col("_on"), "_side": F.lit(1), "_tie": row_hash(df)}).unionByName(starts, allowMissingColumns=True)
         # An open start stands before everything; a NULL value is last of all NULLs and drops out below.
-        joined = carry(cut_series(union, [], ["_at"], min_hot_rows), ["_at", "_side"], [Carry("_seen", F.col("_mark"))]).where("_side = 1")
+        deal = Deal(F.col("_side") == 1, F.col("_tie"), F.col("_side") == 2)
+        joined = carry(cut_series(union, [], ["_at"], min_hot_rows, deal), ["_at", "_side"], [Carry("_seen", F.col("_mark"))]).where("_side = 1")
     held = F.when(F.col("_on").isNotNull() & F.col("_seen._row").isNotNull(), F.col("_seen"))
     found = joined.withColumn("_hit", held).withColumn("_end", F.col("_hit._end"))
     found = found.withColumn("_hit", F.when(F.coalesce(below, F.lit(True)), F.col("_hit")))
@@ -75,6 +77,86 @@ def lookup_by_interval(
     return found.select(*df.columns, *filled)
 
 
+#: Rows and bytes (as text) up to which a table of intervals is broadcast by ``join_intervals``.
+MAX_BROADCAST_BINNED, MAX_BROADCAST_BYTES = 100_000, 32 << 20
+BEGINNING = -(2**62)
+
+
+def whole_position(df: DataFrame, name: str) -> Column:
+    """A time, date or whole number as a count of its smallest unit."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return micros(F.col(name))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(F.col(name)).cast("bigint")
+    if isinstance(kind, T.IntegralType):
+        return F.col(name).cast("bigint")
+    raise TypeError(f"{kind.simpleString()} column {name!r} has no whole positions; use a time, a date or a whole number")
+
+
+def half_open(table: DataFrame, start: str, end: str, bounds: str) -> DataFrame:
+    """Intervals with ``_from`` (included) and ``_to`` (excluded) in whole units; NULL ends stay open, empty ones drop out."""
+    if len(bounds) != 2 or bounds[0] not in "[(" or bounds[1] not in "])":
+        raise ValueError(f"unknown bounds {bounds!r}")
+    placed = table.withColumns({"_from": whole_position(table, start) + int(bounds[0] == "("), "_to": whole_position(table, end) + int(bounds[1] == "]")})
+    return placed.where("_from IS NULL OR _to IS NULL OR _from < _to")
+
+
+def _bin_join(rows: DataFrame, ends: DataFrame, most_rows: int) -> DataFrame:
+    """Rows (with ``_at``) and the intervals (``_from``, ``_to``) that hold them, by equality of bins and a condition.
+
+    An interval of up to 2**n units stands in the one or two bins of 2**n units that it touches. A row looks into its
+    bin of each width in use, of which there are 63 at most, whatever the lengths.
+    """
+    low, high = (F.col("_from"), F.col("_to"))
+    if ends.where(low.isNull() | high.isNull()).limit(1).count():
+        first, last = rows.agg(F.min("_at"), F.max("_at")).first()
+        ends = ends.withColumns({"_from": F.coalesce(low, F.lit(first or 0)), "_to": F.coalesce(high, F.lit((last or 0) + 1))}).where("_from < _to")
+    levelled = ends.withColumn("_level", F.char_length(F.bin(F.col("_to") - F.col("_from") - 1)))
+    levels = sorted(r[0] for r in levelled.select("_level").distinct().collect())
+    of = lambda position: F.call_function("shiftright", position, F.col("_level"))
+    placed = levelled.withColumn("_bin", F.explode(F.array_distinct(F.array(of(F.col("_from")), of(F.col("_to") - 1)))))
+    looked = rows.where("_at IS NOT NULL").withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    n, size = placed.limit(most_rows + 1).agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    small = F.broadcast(placed) if n <= most_rows and (size or 0) <= MAX_BROADCAST_BYTES else placed
+    return looked.withColumn("_bin", of(F.col("_at"))).join(small, ["_level", "_bin"]).where("_from <= _at AND _at < _to").drop("_level", "_bin")
+
+
+def join_intervals(
+    df: DataFrame, table: DataFrame, on: str, start: str, end: str, bounds: str = "(]", max_broadcast: int = MAX_BROADCAST_BINNED
+) -> DataFrame:
+    """Every row of ``df`` once for each interval of ``table`` that holds ``on``, with all columns of both.
+
+    Intervals may overlap in any way; NULL ends are open; rows in no interval, and those without ``on``, drop out. The
+    position is a time, a date or a whole number. Up to ``max_broadcast`` entries (and a bound on bytes) are broadcast,
+    more are shuffled by bin; neither compares all rows with all intervals.
+    """
+    clash = set(df.columns) & set(table.columns)
+    if clash:
+        raise ValueError(f"both sides have columns {sorted(clash)}")
+    joined = _bin_join(df.withColumn("_at", whole_position(df, on)), half_open(table, start, end, bounds), max_broadcast)
+    return joined.select(*df.columns, *table.columns)
+
+
+def lookup_first(
+    df: DataFrame, table: DataFrame, on: str, start: str, end: str, order: Sequence[str], bounds: str = "(]",
+    defaults: Mapping[str, float] | None = None, max_broadcast: int | None = MAX_BROADCAST_INTERVALS, min_hot_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Add the other columns of the first interval, by ``order``, of those that hold ``on``; one row per row of ``df``.
+
+    The table is resolved first: between two neighbouring ends the same interval is first everywhere. The rows then
+    look up these pieces, which do not overlap, as in ``lookup_by_interval``.
+    """
+    values = [c for c in table.columns if c not in (start, end)]
+    ends = half_open(table, start, end, bounds)
+    points = ends.select(F.coalesce("_from", F.lit(BEGINNING)).alias("_at")).unionByName(ends.where("_to IS NOT NULL").select(F.col("_to").alias("_at"))).distinct()
+    held = _bin_join(points, ends, MAX_BROADCAST_BINNED)
+    first = held.groupBy("_at").agg(F.min_by(F.struct(*values), F.struct(*order)).alias("_first"))
+    pieces = points.join(first, "_at", "left").select(F.col("_at").alias("_begin"), F.lit(None).cast("bigint").alias("_until"), *[F.col(f"_first.{c}").alias(c) for c in values])
+    found = lookup_by_interval(df.withColumn("_whole", whole_position(df, on)), pieces, "_whole", "_begin", "_until", "[)", defaults, max_broadcast, min_hot_rows)
+    return found.drop("_whole")
+
+
 def period_linear(
     df: DataFrame, table: DataFrame, on: str, col: str, bounds: str = "[]", max_broadcast: int | None = MAX_BROADCAST_INTERVALS
 ) -> DataFrame:

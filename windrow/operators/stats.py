@@ -15,6 +15,13 @@ QUANTILES = {"q01": 0.01, "q05": 0.05, "median": 0.5, "q95": 0.95, "q99": 0.99}
 BASIC = ("count", "min", "max", "mean", "std")
 STATS = ("count", "min", "max", "mean", "std", "median", "q01", "q05", "q95", "q99")
 MAX_PERCENTILE_ROWS = 5_000_000
+#: Size of the quantile sketches, and the rank error that 99 of 100 quantiles stay below.
+SKETCH_K, SKETCH_ERROR = 200, 0.0133
+#: Parts of a summary that can be merged beside count, min, max and mean: squared deviations from the mean, a sketch.
+MERGEABLE: dict[str, Callable[[Column], Column]] = {
+    "m2": lambda c: F.var_pop(c) * F.count(c),
+    "sketch": lambda c: F.kll_sketch_agg_double(F.when(~F.isnan(c), c), SKETCH_K),
+}
 
 
 def _basic(c: str) -> dict[str, Column]:
@@ -145,6 +152,53 @@ def summarize(
     return wide.unionByName(empty.withColumns({c: F.lit(0).cast("bigint") for c in counts}), allowMissingColumns=True)
 
 
+def merge_summaries(parts: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Summaries of larger groups from those of smaller ones (``summarize`` with ``extra=MERGEABLE``), without their rows.
+
+    Count, min, max, mean and deviation are those of the rows: squared deviations of the parts are added, and those of
+    their means from the common mean, which is known first. Quantiles come from merged sketches; their rank is off by
+    ``SKETCH_ERROR`` or less in 99 of 100 cases, and they are not interpolated. The result has the parts that a further
+    merge needs, so days can be merged to months. Parts without values count as none; a NULL group is one like others.
+    """
+    by, cols = list(by), list(cols)
+    n = {c: F.coalesce(_name(c, "count"), F.lit(0)) for c in cols}
+    totals = [F.sum(n[c]).alias(f"_n_{c}") for c in cols]
+    totals += [F.sum(n[c] * F.col(_name(c, "mean"))).alias(f"_sum_{c}") for c in cols]
+    means = parts.groupBy(*by).agg(*totals)
+    means = means.select(*by, *[F.when(F.col(f"_n_{c}") > 0, F.col(f"_sum_{c}") / F.col(f"_n_{c}")).alias(f"_mean_{c}") for c in cols])
+    met = attach(parts, means, by)
+    merged = []
+    for c in cols:
+        apart = F.col(_name(c, "mean")) - F.col(f"_mean_{c}")
+        merged += [
+            F.sum(n[c]).alias(_name(c, "count")),
+            F.min(_name(c, "min")).alias(_name(c, "min")),
+            F.max(_name(c, "max")).alias(_name(c, "max")),
+            F.first(f"_mean_{c}", ignorenulls=True).alias(_name(c, "mean")),
+            F.sum(F.col(_name(c, "m2")) + n[c] * apart * apart).alias(_name(c, "m2")),
+            F.kll_merge_agg_double(_name(c, "sketch")).alias(_name(c, "sketch")),
+        ]
+    return finish_summaries(met.groupBy(*by).agg(*merged), by, cols)
+
+
+def without_parts(wide: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Only the ten statistics."""
+    return wide.select(*by, *[_name(c, s) for c in cols for s in STATS])
+
+
+def finish_summaries(merged: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """The ten statistics of merged parts, and the parts."""
+    out = []
+    for c in cols:
+        count, known = F.col(_name(c, "count")), F.col(_name(c, "count")) > 0
+        out += [F.col(_name(c, s)) for s in ("count", "min", "max", "mean")]
+        out.append(F.when(count > 1, F.sqrt(F.col(_name(c, "m2")) / (count - 1))).alias(_name(c, "std")))
+        quantile = {s: F.when(known, F.kll_sketch_get_quantile_double(_name(c, "sketch"), F.lit(p))) for s, p in QUANTILES.items()}
+        out += [quantile[s].alias(_name(c, s)) for s in STATS if s in quantile]
+        out += [F.col(_name(c, s)) for s in MERGEABLE]
+    return merged.select(*by, *out)
+
+
 def to_long(wide: DataFrame, by: Sequence[str], cols: Sequence[str], units: Mapping[str, str] | None = None, extra: Sequence[str] = ()) -> DataFrame:
     """One row per group and variable from the wide summary."""
     units = units or {}

@@ -198,7 +198,7 @@ def accepted(rows: DataFrame, surplus: str = "keep") -> DataFrame:
     """
     if surplus not in ("keep", "drop"):
         raise ValueError(f"surplus must be keep or drop, not {surplus!r}")
-    return (rows if surplus == "keep" else rows.where("NOT malformed")).drop("line", "malformed")
+    return (rows if surplus == "keep" else rows.where("NOT malformed")).drop("line", "malformed", "fault")
 
 
 def convert_pairs(
@@ -225,9 +225,9 @@ def _rejected(df: DataFrame, side: Column, reason: Column, given: Sequence[str])
 
 
 def rejected_rows(raw: DataFrame, aux: DataFrame, dated: DataFrame) -> DataFrame:
-    """Lines with surplus cells, whole, and slow rows without time, as (side, file_id, path, row_idx, line, reason)."""
+    """Lines with a fault, whole, and slow rows without time, as (side, file_id, path, row_idx, line, reason)."""
     place = ("file_id", "row_idx", "line")
-    lines = [_rejected(rows.where("malformed"), F.lit(side), F.lit("more cells than the header"), place) for side, rows in (("raw", raw), ("aux", aux))]
+    lines = [_rejected(rows.where("fault IS NOT NULL"), F.lit(side), F.col("fault"), place) for side, rows in (("raw", raw), ("aux", aux))]
     timeless = _rejected(dated.where("ts is null"), F.lit("aux"), F.lit("no readable time"), place[:2])
     return lines[0].unionByName(lines[1]).unionByName(timeless)
 
@@ -256,8 +256,14 @@ def run_batch(
             if csv:
                 done.write_text(series, f"{outdir}/series_csv")
             sinks.write_units(done.series, done.units, f"{outdir}/units")
-            done.statistics(series).write.parquet(f"{outdir}/stats")
+            done.summaries(series).write.parquet(f"{outdir}/summaries")
             manifest(folder, series, done.raw, done.aux, done.dated).write.parquet(f"{outdir}/manifest")
+        parts = spark.read.parquet(f"{outdir}/summaries")
+        names = sorted(done.units)
+        stats.without_parts(parts, BY_FILE, names).write.parquet(f"{outdir}/stats")
+        for period in ("day", "month"):
+            longer = stats.merge_summaries(with_period(parts, period), [period], names)
+            stats.without_parts(longer, [period], names).write.parquet(f"{outdir}/stats_{period}")
         wide = spark.read.parquet(f"{outdir}/stats")
         sinks.write_stats(wide, f"{outdir}/stats_csv", units=done.units)
         long = stats.to_long(wide, BY_FILE, sorted(done.units), done.units)
@@ -269,6 +275,17 @@ def run_batch(
 BY_FILE = ["file_id", "start_ts"]
 
 
+def with_period(parts: DataFrame, period: str) -> DataFrame:
+    """Files with the ``day`` or ``month`` that they start in, or the beginning of their ``era``."""
+    if period == "era":
+        eras = lookup.era_table(parts.sparkSession).select("after", "until", F.col("after").alias("era"))
+        return lookup.lookup_by_interval(parts, eras, "start_ts", "after", "until", "(]", max_broadcast=None)
+    if period not in ("day", "month"):
+        raise ValueError(f"unknown period {period!r}")
+    day = F.to_date("start_ts")
+    return parts.withColumn(period, day if period == "day" else F.trunc(day, "month"))
+
+
 class Converted:
     """A folder's parsed rows (landed), its series (lazy), and what is written from them."""
 
@@ -305,9 +322,10 @@ class Converted:
         if expected(n, bad) != (there := written.count()):
             raise RuntimeError(f"{n} lines were read, {bad} of them with surplus cells, but {there} rows were written")
 
-    def statistics(self, series: DataFrame) -> DataFrame:
+    def summaries(self, series: DataFrame) -> DataFrame:
+        """Ten statistics per file and variable, and the parts from which those of longer periods are merged."""
         rows = stats.MAX_PERCENTILE_ROWS if self.folder.split else None  # a file that is read whole bounds its own group
-        return stats.summarize(series, BY_FILE, sorted(self.units), groups=self.folder.pairs, max_percentile_rows=rows)
+        return stats.summarize(series, BY_FILE, sorted(self.units), stats.MERGEABLE, groups=self.folder.pairs, max_percentile_rows=rows)
 
     def write_text(self, series: DataFrame, path: str) -> None:
         text = series.select("file_id", "row_idx", "ts", *self.units)

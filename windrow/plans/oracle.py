@@ -36,7 +36,7 @@ def summary(col: str, prefix: str = "", cut=steady) -> str:
         "q95": f"quantile_cont({col}, 0.95)",
         "q99": f"quantile_cont({col}, 0.99)",
     }
-    parts += [f'{cut(call)} AS "{prefix}{name}"' for name, call in calls.items()]
+    parts += [f'{call if name in ("min", "max") else cut(call)} AS "{prefix}{name}"' for name, call in calls.items()]
     return ", ".join(parts)
 
 
@@ -48,7 +48,7 @@ LINE_UNITS = {"l_quantity": "[pcs]", "l_extendedprice": "[usd]", "l_discount": "
 def line_long() -> str:
     return " UNION ALL ".join(
         f"SELECT l_returnflag, '{c}' AS variable, '{u}' AS unit, {summary(c)}, "
-        f"{steady(f'max({c}) - min({c})')} AS spread FROM lineitem GROUP BY l_returnflag"
+        f"max({c}) - min({c}) AS spread FROM lineitem GROUP BY l_returnflag"
         for c, u in LINE_UNITS.items()
     )
 
@@ -281,6 +281,27 @@ def sql() -> dict[str, str]:
             SELECT c.hour, c.event_type, {value_stats} FROM cells c
             LEFT JOIN ({HOURLY}) e ON c.hour = e.hour AND c.event_type = e.event_type GROUP BY ALL""",
         "summary_lineitem": line_long(),
+        "merged_summary": f"""SELECT CAST(ts AS DATE) AS day, count(value) AS count, min(value) AS min, max(value) AS max,
+            {steady('avg(value)')} AS mean, {steady('stddev_samp(value)')} AS std, true AS q01_in_rank, true AS q05_in_rank, true AS median_in_rank,
+            true AS q95_in_rank, true AS q99_in_rank FROM events GROUP BY 1""",
+        "intervals_all": """WITH windows AS (
+                SELECT o_orderkey, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS b,
+                    o_orderdate + to_hours(CAST(o_orderkey % 24 + o_orderkey % 9 AS INTEGER)) AS e FROM orders
+            ), lines AS (
+                SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_orderkey % 24 AS INTEGER)) AS at_ FROM lineitem
+            )
+            SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, at_ AS "at", count(*) AS n_windows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+            FROM lines JOIN windows ON at_ > b AND at_ <= e GROUP BY ALL""",
+        "lookup_first": """WITH periods AS (
+                SELECT c_custkey, DATE '1992-01-01' + CAST(c_custkey * 7 % 2400 AS INTEGER) AS b,
+                    DATE '1992-01-01' + CAST(c_custkey * 7 % 2400 + c_nationkey * 5 AS INTEGER) AS e FROM customer
+            ), days AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders)
+            SELECT o_orderkey, day, coalesce(min(c_custkey), -1) AS c_custkey FROM days LEFT JOIN periods ON day BETWEEN b AND e GROUP BY ALL""",
+        "decode_escaped": r"""SELECT event_id, CASE event_id % 13
+            WHEN 0 THEN chr(CAST((event_id % 400 + 161) % 94 + 161 AS INTEGER)) || '1' WHEN 1 THEN 'a' || chr(CAST(event_id % 400 + 161 AS INTEGER)) || 'f'
+            WHEN 2 THEN chr(CAST(event_id % 400 + 161 + 128000 AS INTEGER)) WHEN 3 THEN chr(CAST((event_id % 400 + 161) % 300 + 64 AS INTEGER)) || '9'
+            WHEN 4 THEN 'a' || chr(9) || 'b' || chr(10) || 'c' || chr(7) || chr(8) || chr(12) || chr(13) || chr(11)
+            WHEN 5 THEN '\q\8''"' WHEN 6 THEN '\x41\' WHEN 9 THEN 'joined lines' WHEN 12 THEN event_type END AS decoded FROM events""",
         "halfhour_summary": f"""SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS bin, {value_stats}
             FROM events GROUP BY 1""",
         "robust_bounds": f"""SELECT variable, unit, {steady('min(q01)')} AS lower, {steady('max(q99)')} AS upper
@@ -347,7 +368,7 @@ def sql() -> dict[str, str]:
             SELECT file_id, CAST(event_id AS VARCHAR) AS event_id,
                 CASE WHEN event_id % 9 > 0 THEN CAST(value AS VARCHAR) ELSE '-9999.0' END AS x FROM rows
             UNION ALL SELECT DISTINCT file_id, '[-]', '[V]' FROM rows""",
-        "stats_text": f"SELECT hour, count(value) AS count, min(value) AS min, max(value) AS max FROM ({HOURLY}) GROUP BY hour",
+        "stats_text": f"SELECT hour, {summary('value')} FROM ({HOURLY}) GROUP BY hour",
         "lookup_long": """WITH days AS (SELECT o_orderdate AS a, o_orderdate + INTERVAL 2 DAY AS b, count(*) AS n FROM orders GROUP BY 1),
             cut AS (SELECT a, least(b, coalesce(lead(a) OVER (ORDER BY a), b)) AS z, n FROM days)
             SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, coalesce(n, 0) AS n_orders

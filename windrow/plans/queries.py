@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from windrow import presets
 from windrow.functions import clock, numeric, physics
+from windrow.functions.escapes import decode_escapes
 from windrow.operators import asof, columns, fill, lookup, quality, stats
 from windrow.operators.hot import MIN_HOT_ROWS, settle
 from windrow.plans import convert
@@ -30,16 +31,23 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Statistics that come from sums; counts, minima and maxima do not.
+SUMMED = ("mean", "std", "median", "q01", "q05", "q95", "q99")
+
+
 def steady(df: DataFrame, *cols: str) -> DataFrame:
-    """Doubles that come from sums in any order, cut to 28 binary digits (8 decimal ones), where engines agree.
+    """Columns that come from sums, whose order engines choose, cut to 28 binary digits (8 decimal ones).
 
     Sums differ by about 2**-52 with their order; at 28 digits one value in 10**7 falls on the other side of a cut. A
     binary cut, since means of prices often lie exactly between two decimal numbers. Everything else is compared whole.
     """
-    cols = cols or tuple(c for c, kind in df.dtypes if kind == "double")
     return df.withColumns({c: F.col(c) * 33554433.0 - (F.col(c) * 33554433.0 - F.col(c)) for c in cols})
 
 
+def steady_wide(df: DataFrame, *variables: str) -> DataFrame:
+    return steady(df, *[f"{v}__{s}" for v in variables for s in SUMMED])
+
+
 HOUR_US = 3_600_000_000
 
 
@@ -69,11 +77,11 @@ def hour_long(spark, sf):
 
 
 def summary_by_hour(spark, sf):
-    return steady(hour_summary(spark, sf))
+    return steady_wide(hour_summary(spark, sf), "value")
 
 
 def summary_by_type(spark, sf):
-    return steady(stats.summarize(table(spark, sf, "events"), ["event_type"], ["value"]))
+    return steady_wide(stats.summarize(table(spark, sf, "events"), ["event_type"], ["value"]), "value")
 
 
 def summary_empty_groups(spark, sf):
@@ -82,7 +90,26 @@ def summary_empty_groups(spark, sf):
     hours = ends.select(F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("hour"))
     types = F.array(*[F.lit(t) for t in ("view", "click", "signup", "error", "purchase", "refund")])
     grid = hours.select("hour", F.explode(types).alias("event_type"))
-    return steady(stats.summarize(events, ["hour", "event_type"], ["value"], groups=grid))
+    return steady_wide(stats.summarize(events, ["hour", "event_type"], ["value"], groups=grid), "value")
+
+
+def merged_summary(spark, sf):
+    """Statistics per day from those per hour, and whether the sketches' quantiles have the right rank among the values.
+
+    Twice the usual rank error is allowed, which chance does not reach.
+    """
+    events = hourly(spark, sf)
+    hours = stats.summarize(events, ["hour"], ["value"], stats.MERGEABLE).withColumn("day", F.to_date("hour"))
+    merged = stats.merge_summaries(hours, ["day"], ["value"])
+    dated = events.select(F.to_date("hour").alias("day"), "value").where("value IS NOT NULL")
+    placed = dated.join(merged.select("day", *[f"value__{q}" for q in stats.QUANTILES]), "day")
+    ranks = []
+    for q, p in stats.QUANTILES.items():
+        below, upto = (F.count_if(c) / F.count(F.lit(1)) for c in (F.col("value") < F.col(f"value__{q}"), F.col("value") <= F.col(f"value__{q}")))
+        ranks.append(((below - p <= 2 * stats.SKETCH_ERROR) & (p - upto <= 2 * stats.SKETCH_ERROR)).alias(f"{q}_in_rank"))
+    found = merged.join(placed.groupBy("day").agg(*ranks), "day")
+    basic = {s: F.col(f"value__{s}").alias(s) for s in stats.BASIC}
+    return steady(found.select("day", *basic.values(), *[f"{q}_in_rank" for q in stats.QUANTILES]), "mean", "std")
 
 
 def line_wide(spark, sf):
@@ -95,23 +122,23 @@ def line_long(spark, sf):
 
 
 def summary_lineitem(spark, sf):
-    return steady(line_long(spark, sf))
+    return steady(line_long(spark, sf), *SUMMED)
 
 
 def halfhour_summary(spark, sf):
-    return steady(stats.bin_summarize(table(spark, sf, "events"), "ts", "30 minutes", ["value"]))
+    return steady_wide(stats.bin_summarize(table(spark, sf, "events"), "ts", "30 minutes", ["value"]), "value")
 
 
 def robust_bounds(spark, sf):
-    return steady(stats.robust_bounds(hour_long(spark, sf)))
+    return steady(stats.robust_bounds(hour_long(spark, sf)), "lower", "upper")
 
 
 def trend_bands(spark, sf):
-    return steady(stats.trend_bands(hour_long(spark, sf), "hour"))
+    return steady(stats.trend_bands(hour_long(spark, sf), "hour"), "median", "q05", "q95", "mean", "mean_minus_std", "mean_plus_std")
 
 
 def annotations(spark, sf):
-    return steady(stats.annotations(line_long(spark, sf), ["l_returnflag"]))
+    return steady(stats.annotations(line_long(spark, sf), ["l_returnflag"]), "median", "mean")
 
 
 def distinct_variables(spark, sf):
@@ -288,7 +315,7 @@ def monthly_segments(spark, sf):
 
 
 def ramp_daily(spark, sf):
-    return steady(lookup.expand_ramp(monthly_segments(spark, sf), by=["o_orderpriority"]))
+    return steady(lookup.expand_ramp(monthly_segments(spark, sf), by=["o_orderpriority"]), "factor")
 
 
 def factor_outer(spark, sf):
@@ -296,7 +323,7 @@ def factor_outer(spark, sf):
     ramps = lookup.expand_ramp(monthly_segments(spark, sf), by=["o_orderpriority"])
     upper = ramps.where("o_orderpriority < '3'").groupBy("date").agg(F.max("factor").alias("co2_factor"))
     lower = ramps.where("o_orderpriority >= '3'").groupBy("date").agg(F.min("factor").alias("h2o_factor"))
-    return steady(lookup.combine_factors(upper, lower))
+    return steady(lookup.combine_factors(upper, lower), "co2_factor", "h2o_factor")
 
 
 def factor_join(spark, sf):
@@ -305,7 +332,7 @@ def factor_join(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("day"), "l_quantity"
     )
-    return steady(lookup.apply_dated_factor(lines, factors, "day", {"l_quantity": "f"}))
+    return steady(lookup.apply_dated_factor(lines, factors, "day", {"l_quantity": "f"}), "l_quantity")
 
 
 def lookup_long(spark, sf):
@@ -316,6 +343,25 @@ def lookup_long(spark, sf):
     return lookup.lookup_by_interval(lines, days, "l_shipdate", "start", "end", "[)", {"n_orders": 0})
 
 
+def intervals_all(spark, sf):
+    """How many order windows of up to eight hours, which overlap, hold each shipment, and the sum of their keys."""
+    orders = table(spark, sf, "orders")
+    begin = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    windows = orders.select("o_orderkey", begin.alias("begin")).withColumn("until", F.col("begin") + F.make_dt_interval(hours=(F.col("o_orderkey") % 9).cast("int")))
+    at = F.col("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", at.alias("at"))
+    held = lookup.join_intervals(lines, windows, "at", "begin", "until", "(]")
+    return held.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "at").agg(F.count(F.lit(1)).alias("n_windows"), F.sum("o_orderkey").alias("key_sum"))
+
+
+def lookup_first(spark, sf):
+    """Each order with the customer of smallest key whose period of up to four months, one of many, holds its day."""
+    start = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("c_custkey") * 7 % 2400).cast("int"))
+    periods = table(spark, sf, "customer").select("c_custkey", start.alias("begin"), F.date_add(start, F.col("c_nationkey") * 5).alias("until"))
+    orders = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    return lookup.lookup_first(orders, periods, "day", "begin", "until", ["c_custkey"], "[]", {"c_custkey": -1})
+
+
 def segment_dates(spark, sf):
     day = F.col("o_orderdate")
     segments = table(spark, sf, "orders").select(
@@ -338,7 +384,7 @@ def factor_tables(spark, sf):
     )
     path = new_path(spark, "factors")
     given.write.csv(path, header=True)
-    return steady(lookup.daily_factors(factors.read_segments(spark, path), "h2o"))
+    return steady(lookup.daily_factors(factors.read_segments(spark, path), "h2o"), "h2o_factor")
 
 
 # Sinks
@@ -359,8 +405,9 @@ def stats_text(spark, sf):
     path = new_path(spark, "stats")
     sinks.write_stats(wide, path, units={"value": "[V]"})
     back = spark.read.csv(path, header=True, inferSchema=False)
-    titles = {"count": "bigint", "min": "double", "max": "double"}
-    return back.select(F.col("TIMESTAMP").cast("timestamp_ntz").alias("hour"), *[F.col(f"value [V] {t}").cast(k).alias(t) for t, k in titles.items()])
+    titles = {t: "bigint" if t == "count" else "double" for t in stats.STATS}
+    read = back.select(F.col("TIMESTAMP").cast("timestamp_ntz").alias("hour"), *[F.col(f"value [V] {t}").cast(k).alias(t) for t, k in titles.items()])
+    return steady(read, *SUMMED)
 
 
 # Names, dates, texts
@@ -459,6 +506,27 @@ def strip_nul(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.length(clean).alias("n"), F.md5(clean).alias("digest"))
 
 
+def decode_escaped(spark, sf):
+    """Text with every kind of escape, two of which cannot be decoded."""
+    key, code = F.col("event_id") % 13, F.col("event_id") % 400 + 161
+    written = (
+        F.when(key == 0, F.concat(F.lit("\\x"), F.lower(F.hex(code % 94 + 161)), F.lit("1")))
+        .when(key == 1, F.concat(F.lit("a\\u"), F.lpad(F.hex(code), 4, "0"), F.lit("f")))
+        .when(key == 2, F.concat(F.lit("\\U"), F.lpad(F.hex(code + 128000), 8, "0")))
+        .when(key == 3, F.concat(F.lit("\\"), F.conv(code % 300 + 64, 10, 8), F.lit("9")))
+        .when(key == 4, F.lit("a\\tb\\nc\\a\\b\\f\\r\\v"))
+        .when(key == 5, F.lit("\\q\\8\\'\\\""))
+        .when(key == 6, F.lit("\\\\x41\\\\"))
+        .when(key == 7, F.lit("\\x4 cut off"))
+        .when(key == 8, F.lit("\\ud800"))
+        .when(key == 9, F.lit("joined \\\nlines"))
+        .when(key == 10, F.lit("at the end \\"))
+        .when(key == 11, F.lit("\\U00110000"))
+        .otherwise(F.col("event_type"))
+    )
+    return table(spark, sf, "events").select("event_id", decode_escapes(written).alias("decoded"))
+
+
 def ragged_rows(spark, sf):
     """Rows with a missing, a surplus or no cell next to complete ones."""
     cells = ["event_type", F.col("value").cast("string"), F.col("user_id").cast("string"), F.lit("surplus")]
@@ -502,13 +570,13 @@ def sized_days(spark, sf):
 
 
 def daily_sizes(spark, sf):
-    return steady(sized_days(spark, sf))
+    return steady(sized_days(spark, sf), "mb")
 
 
 def densify_days(spark, sf):
     """Days of orders, with days without one in between on small tables."""
     daily = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.sum("o_totalprice").alias("mb"))
-    return steady(quality.densify_days(daily))
+    return steady(quality.densify_days(daily), "mb")
 
 
 def densify_nulls(spark, sf):
@@ -522,7 +590,7 @@ def densify_nulls(spark, sf):
 def densify_users(spark, sf):
     events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     daily = events.groupBy("user_id", "day").agg(F.sum("value").alias("total"))
-    return steady(fill.densify(daily, ["user_id"], "day"))
+    return steady(fill.densify(daily, ["user_id"], "day"), "total")
 
 
 def availability_matrix(spark, sf):
@@ -623,7 +691,7 @@ def series_summary(spark, sf):
     rows = stats.MAX_PERCENTILE_ROWS if limit else None
     wide = stats.summarize(played_series(spark, sf, limit), ["file_id", "start_ts"], PLAYED, max_percentile_rows=rows)
     units = convert.UNITS | convert.extra_units([*RAW_EXTRA, *SLOW_EXTRA])
-    return steady(stats.to_long(wide, ["file_id", "start_ts"], PLAYED, units))
+    return steady(stats.to_long(wide, ["file_id", "start_ts"], PLAYED, units), *SUMMED)
 
 
 def file_manifest(spark, sf):
@@ -634,13 +702,13 @@ def file_manifest(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        summary_by_hour, summary_by_type, summary_empty_groups, summary_lineitem, halfhour_summary, robust_bounds,
+        summary_by_hour, summary_by_type, summary_empty_groups, summary_lineitem, merged_summary, halfhour_summary, robust_bounds,
         trend_bands, annotations, distinct_variables, sonic_temperature, convert_units, calibrate_gas, update_non_null,
-        era_multiplier, lookup_long, period_linear, sentinel_roundtrip, coerce_numeric, strict_numeric, sorted_columns, row_index,
+        era_multiplier, lookup_long, lookup_first, intervals_all, period_linear, sentinel_roundtrip, coerce_numeric, strict_numeric, sorted_columns, row_index,
         time_axis, ffill, bfill, bffill, dedupe_last, interp_linear, align_slow, ramp_daily, factor_outer, factor_join, factor_tables,
         series_text, stats_text,
         segment_dates, pair_files, filename_time, parse_dates, date_labels, parse_table, reconcile_width, header_map,
-        split_malformed, quarantine, blank_lines, strip_nul, ragged_rows, row_validity, daily_sizes, densify_days, densify_nulls, densify_users,
+        split_malformed, quarantine, blank_lines, strip_nul, decode_escaped, ragged_rows, row_validity, daily_sizes, densify_days, densify_nulls, densify_users,
         availability_matrix, column_quality, convert_series, series_summary, file_manifest,
     )
 }

@@ -15,7 +15,7 @@ from windrow.session import landed, matching, own_folder, remove
 from windrow.sources import files, sinks
 
 #: Tables that hold rows of single files, below ``<table>/run=<n>/date=<start day>``.
-TABLES = ("series", "stats", "manifest", "rejects")
+TABLES = ("series", "summaries", "manifest", "rejects")
 #: Pairs of one run at most; their URIs are named in the scan.
 PAIRS_PER_RUN = 20_000
 FACTS = ("raw_path", "aux_path", "raw_len", "aux_len", "raw_time", "aux_time")
@@ -87,19 +87,29 @@ class Store:
         rows = self.spark.read.option("mergeSchema", "true").option("basePath", f"{self.root}/{name}").parquet(*paths)
         for date, run in self.superseded():
             rows = rows.where(f"NOT (run = {run} AND date = date'{date}')")
-        if name == "stats":  # a variable that other runs have brought has no values here
+        if name == "summaries":  # a variable that other runs have brought has no values here
             rows = rows.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in rows.columns if c.endswith("__count")})
         return rows
 
     def units(self) -> dict[str, str]:
         """Variables of all runs and their units."""
-        names = sorted(c.removesuffix("__count") for c in self.table("stats").columns if c.endswith("__count"))
+        names = sorted(c.removesuffix("__count") for c in self.table("summaries").columns if c.endswith("__count"))
         known = convert.extra_units(names) | convert.UNITS
         return {c: known[c] for c in names}
 
+    def stats(self) -> DataFrame:
+        """Ten statistics of every file and variable."""
+        return stats.without_parts(self.table("summaries"), convert.BY_FILE, list(self.units()))
+
+    def period_stats(self, period: str) -> DataFrame:
+        """Ten statistics per ``day``, ``month`` or ``era``, merged from those of the files; the series is not read."""
+        names = list(self.units())
+        merged = stats.merge_summaries(convert.with_period(self.table("summaries"), period), [period], names)
+        return stats.without_parts(merged, [period], names)
+
     def long_stats(self) -> DataFrame:
         units = self.units()
-        return stats.to_long(self.table("stats"), convert.BY_FILE, list(units), units)
+        return stats.to_long(self.stats(), convert.BY_FILE, list(units), units)
 
     def trends(self) -> DataFrame:
         return stats.trend_bands(self.long_stats(), "start_ts", ["file_id"])
@@ -177,7 +187,7 @@ def _run(store: Store, folder: convert.Folder, run: int, csv: bool, surplus: str
         done.audit(own)
         if csv:
             done.write_text(own, f"{store.root}/series_csv/run={run}")
-        write(done.statistics(own).withColumn("date", date), "stats")
+        write(done.summaries(own).withColumn("date", date), "summaries")
         write(convert.manifest(folder, own, done.raw, done.aux, done.dated).withColumn("date", date), "manifest")
         rejected = convert.rejected_rows(done.raw, done.aux, done.dated)
         write(rejected.withColumn("date", F.to_date(file_time(F.col("file_id")))), "rejects")

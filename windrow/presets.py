@@ -43,8 +43,8 @@ AUX_COLUMNS = {
 }
 
 # Physical layout of the two kinds of file.
-RAW_LAYOUT = {"skip": 3, "header_rows": 2}
-AUX_LAYOUT = {"skip": 1, "header_rows": 2}
+RAW_LAYOUT = {"skip": 3, "header_rows": 2, "escapes": True}
+AUX_LAYOUT = {"skip": 1, "header_rows": 2, "escapes": True}
 
 # Unit conversion of wind and speed of sound.
 WIND_SCALE = 0.01

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from windrow import presets
 from windrow.functions.clock import file_time
+from windrow.functions.escapes import decode_escapes
 from windrow.functions.numeric import to_number
 from windrow.operators.fill import dedupe_last, row_index
 from windrow.session import landed, matching
@@ -231,14 +232,40 @@ def named_columns(header: Column) -> Column:
     return F.filter(header, lambda h: (F.trim(h["name"]) != "") & ~F.contains(h["name"], F.lit("unknown")))
 
 
-def read_header(files: DataFrame, text: str, skip: int, header_rows: int = 2, sep: str = "\t") -> DataFrame:
-    """Add ``lines`` (data lines, blank ones left out) and the repaired ``header`` to one-row-per-file texts."""
+def decoded_lines(text: Column) -> tuple[Column, Column]:
+    """Lines of a text with backslash escapes decoded, and which of them could not be (these stay as they are).
+
+    An escaped line end ends a line too. Texts without a backslash are only split.
+    """
+    def pieces(line: Column) -> Column:
+        known = decode_escapes(line)
+        return F.transform(physical_lines(F.coalesce(known, line)), lambda x: F.struct(x.alias("line"), known.isNull().alias("bad")))
+
+    spread = F.flatten(F.transform(physical_lines(text), pieces))
+    escaped = F.contains(text, F.lit("\\"))
+    return F.when(escaped, spread["line"]).otherwise(physical_lines(text)), F.when(escaped, spread["bad"])
+
+
+def read_header(files: DataFrame, text: str, skip: int, header_rows: int = 2, sep: str = "\t", escapes: bool = False) -> DataFrame:
+    """Add ``lines`` (data lines, blank ones left out) and the repaired ``header`` to one-row-per-file texts.
+
+    With ``escapes``, backslash escapes are decoded, and ``undecoded`` has the places of data lines where that failed.
+    """
     if header_rows not in (1, 2):
         raise ValueError("a header has one or two rows")
-    with_lines = files.withColumn("_all", physical_lines(clean_text(F.col(text))))
+    clean = clean_text(F.col(text))
+    all_lines, bad = decoded_lines(clean) if escapes else (physical_lines(clean), F.lit(None))
+    with_lines = files.withColumn("_all", all_lines)
     units = F.get("_all", F.lit(skip + 1)) if header_rows == 2 else F.lit("")
     first_data = skip + header_rows + 1
     data = F.filter(F.slice("_all", first_data, F.greatest(F.size("_all"), F.lit(1))), lambda x: is_data(x, sep))
+    undecoded = []
+    if escapes:
+        with_lines = with_lines.withColumn("_bad", bad)
+        flags = F.slice(F.arrays_zip("_all", "_bad"), first_data, F.greatest(F.size("_all"), F.lit(1)))
+        kept = F.filter(flags, lambda x: is_data(x["_all"], sep))
+        places = F.filter(F.transform(kept, lambda x, i: F.when(x["_bad"], i)), lambda i: i.isNotNull())
+        undecoded = [F.when(F.col("_bad").isNotNull(), places).otherwise(F.array().cast("array<int>")).alias("undecoded")]
     staged = with_lines.select(
         *[c for c in files.columns if c != text],
         header_cells(
@@ -247,19 +274,34 @@ def read_header(files: DataFrame, text: str, skip: int, header_rows: int = 2, se
             sep,
         ).alias("_names"),
         data.alias("lines"),
+        *undecoded,
     )
     width = F.coalesce(F.size(F.split(F.get("lines", F.lit(0)), sep)), F.lit(0))
     return staged.withColumn("header", widen_header(F.col("_names"), F.when(F.size("lines") > 0, width).otherwise(0))).drop("_names")
 
 
+#: Why a line is listed although its row is kept.
+SURPLUS, UNDECODED = "more cells than the header", "an escape that cannot be decoded"
+
+
 def explode_rows(files: DataFrame, sep: str = "\t", keep_lines: bool = False) -> DataFrame:
     """One row per data line with ``row_idx``, its ``cells`` and the flag ``malformed`` for surplus cells.
 
-    A line with surplus cells keeps its place and its first cells. With ``keep_lines`` it is listed whole as ``line``.
+    A line with surplus cells keeps its place and its first cells. With ``keep_lines`` it is listed whole as ``line``,
+    and so is a line whose escapes could not be decoded; ``fault`` says which of both it is.
     """
-    kept = [c for c in files.columns if c != "lines"]
-    rows = as_cells(files.select(*kept, F.posexplode("lines").alias("row_idx", "line")), sep)
-    return rows.withColumn("line", F.when(F.col("malformed"), F.col("line"))) if keep_lines else rows.drop("line")
+    kept = [c for c in files.columns if c not in ("lines", "undecoded")]
+    placed = [*kept, "undecoded"] if "undecoded" in files.columns else kept
+    rows = as_cells(files.select(*placed, F.posexplode("lines").alias("row_idx", "line")), sep)
+    if not keep_lines:
+        return rows.select(*[c for c in rows.columns if c not in ("line", "undecoded")])
+    fault = F.when(F.array_contains("undecoded", F.col("row_idx").cast("int")), UNDECODED) if "undecoded" in files.columns else F.lit(None)
+    return with_faults(rows, fault).drop("undecoded")
+
+
+def with_faults(rows: DataFrame, fault: Column) -> DataFrame:
+    found = rows.withColumn("fault", F.coalesce(fault.cast("string"), F.when(F.col("malformed"), SURPLUS)))
+    return found.withColumn("line", F.when(F.col("fault").isNotNull(), F.col("line")))
 
 
 def unquoted(cell: Column) -> Column:
@@ -368,22 +410,27 @@ def large_file_rows(
     skip: int,
     header_rows: int,
     sep: str,
+    escapes: bool = False,
 ) -> DataFrame:
     """What ``explode_rows`` gives, for numbered lines of files too large to be one row."""
-    lines = lines.withColumn("line", clean_text(F.col("line")))
+    lines = lines.withColumns({"line": clean_text(F.col("line")), "_bad": F.lit(False), "_sub": F.lit(0)})
+    if escapes:
+        known = lines.withColumn("_known", decode_escapes(F.col("line"))).withColumn("_bad", F.col("_known").isNull())
+        parts = F.posexplode(physical_lines(F.coalesce("_known", "line"))).alias("_sub", "line")
+        lines = known.select(*[c for c in lines.columns if c not in ("line", "_sub")], parts)
     body = lines.where((F.col("line_no") >= skip + header_rows) & is_data(F.col("line"), sep))
-    heads = lines.where((F.col("line_no") >= skip) & (F.col("line_no") < skip + header_rows))
+    heads = lines.where((F.col("line_no") >= skip) & (F.col("line_no") < skip + header_rows) & (F.col("_sub") == 0))
     header = heads.groupBy("path").agg(
         F.max(F.when(F.col("line_no") == skip, F.col("line"))).alias("_n"),
         F.max(F.when(F.col("line_no") == skip + 1, F.col("line"))).alias("_u"),
     )
-    widths = body.groupBy("path").agg(F.size(F.split(F.min_by("line", "line_no"), sep)).alias("_width"))
+    widths = body.groupBy("path").agg(F.size(F.split(F.min_by("line", F.struct("line_no", "_sub")), sep)).alias("_width"))
     named = header_cells(repair_mu(F.col("_n")), repair_mu(F.coalesce("_u", F.lit(""))), sep)
     files = header.join(widths, "path").withColumn("header", widen_header(named, F.col("_width")))
     located = locate_columns(describe(files.select("path", "header")), mapping, helpers)
     cells = as_cells(body.join(located, "path").withColumn("row_idx", F.lit(None).cast("bigint")), sep)
-    numbered = row_index(cells.drop("row_idx"), ["path"], ["line_no"]).drop("line_no")
-    return numbered.withColumn("line", F.when(F.col("malformed"), F.col("line")))
+    numbered = row_index(cells.drop("row_idx"), ["path"], ["line_no", "_sub"])
+    return with_faults(numbered, F.when(F.col("_bad"), UNDECODED)).drop("line_no", "_sub", "_bad")
 
 
 def read_rows(
@@ -397,8 +444,9 @@ def read_rows(
     unwanted: DataFrame | None = None,
     large: DataFrame | None = None,
     max_bytes: int = MAX_WHOLE_FILE,
+    escapes: bool = False,
 ) -> DataFrame:
-    """Rows of the found files except the paths in ``unwanted``; lines with surplus cells are listed as ``line``.
+    """Rows of the found files except the paths in ``unwanted``; lines with a ``fault`` are listed as ``line``.
 
     ``describe`` adds what a file's name tells to a DataFrame with ``path``. Unwanted files are the few, so theirs is
     the list that gets joined: while it is small, the texts themselves are not shuffled. ``large`` are the same files
@@ -407,11 +455,11 @@ def read_rows(
     texts = read_texts(found, max_bytes)
     if unwanted is not None:
         texts = texts.join(unwanted.select("path"), "path", "left_anti")
-    located = locate_columns(describe(read_header(texts, "text", skip, header_rows, sep)), mapping, helpers)
+    located = locate_columns(describe(read_header(texts, "text", skip, header_rows, sep, escapes)), mapping, helpers)
     rows = explode_rows(located, sep, keep_lines=True)
     if large is not None:
         lines = split_lines(large, max_bytes)
         if unwanted is not None:
             lines = lines.join(unwanted.select("path"), "path", "left_anti")
-        rows = rows.unionByName(large_file_rows(lines, describe, mapping, helpers, skip, header_rows, sep))
+        rows = rows.unionByName(large_file_rows(lines, describe, mapping, helpers, skip, header_rows, sep, escapes))
     return rows.drop("path")
