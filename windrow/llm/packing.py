@@ -18,7 +18,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Pieces that one task packs at once.
 PART_ROWS = 100_000
-MAX_ROUNDS = 6
+#: Deals in turn that save no sequence, after which the packing stands although its count is above the bound.
+VAIN_DEALS = 3
 #: Words whose ids a Python worker remembers in each of two generations, and words that are encoded in one call.
 REMEMBERED = 300_000
 STEP = 512
@@ -212,9 +213,9 @@ def pack(items: DataFrame, *, capacity: int = CAPACITY, part_rows: int = PART_RO
 
     now = packed(rest.select("item", "length"), int(counts.sum()), 0)
     used = bins(now)
-    for seed in range(1, MAX_ROUNDS + 1):
-        if used <= bound:
-            break
+    seed = vain = 0
+    while used > bound and vain < VAIN_DEALS:
+        seed += 1
         emptiest = now.filter("item = bin").groupBy("part").agg(F.max_by("bin", F.struct("room", "bin")).alias("bin"), F.lit(True).alias("last"))
         marked = now.join(emptiest, ["part", "bin"], "left").withColumn("loose", F.expr("CASE WHEN gap > 0 THEN room > 0 ELSE coalesce(last, false) END"))
         marked = land(marked, "marked")
@@ -222,7 +223,10 @@ def pack(items: DataFrame, *, capacity: int = CAPACITY, part_rows: int = PART_RO
         again = packed(loose.select("item", "length"), loose.count(), seed)
         fewer = bins(loose) - bins(again)
         if fewer <= 0:
-            break
+            vain += 1
+            discard(spark, marked, again)
+            continue
+        vain = 0
         step = land(marked.filter("NOT loose").select(now.columns).unionByName(again), "packed")
         discard(spark, now, marked, again)
         now, used = step, used - fewer
