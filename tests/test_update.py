@@ -19,6 +19,15 @@ PAIRS = {
 }
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_parts(spark):
+    """Many small jobs: two parts are enough."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def put(folder, names, seed=5):
     for name in names:
         write_pair(folder, name, pd.Timestamp(dt.datetime.strptime(name, "Site%y%m%d_%H")), 60, np.random.default_rng([seed, *map(ord, name)]), **PAIRS[name])
@@ -141,3 +150,25 @@ def test_partner_that_comes_later(spark, tmp_path):
     store = update.update_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), csv=True)
     assert store.table("series").count() == 60 and spark.read.parquet(str(tmp_path / "out" / "unpaired")).count() == 0
     assert len(list((tmp_path / "out" / "series_csv" / "run=1").glob("file_id=*"))) == 1
+
+
+def test_damaged_headers_do_not_widen(spark, tmp_path):
+    """Names that few files have go to a long table; no value is lost, and the series keeps its columns."""
+    names = [f"Site99{1 + n // 28:02d}{1 + n % 28:02d}_00" for n in range(120)]
+    head = "a\nb\nc\nU\tV\tW\tSound\tC\tXw\tZ\t{}\n[m/s]\t[m/s]\t[m/s]\t[m/50s]\t[mV]\t[mV]\t[z]\t{}\n"
+    for n, name in enumerate(names):
+        entry = ("Q", "[q]") if n % 2 else (f"Q#{n} x", "[q q]" if n % 4 else "")
+        rows = "".join(f"1\t2\t3\t16000\t1500\t1\t7\t{n}.{i}\n" for i in range(2))
+        (tmp_path / f"{name}.raw").write_text(head.format(*entry) + rows)
+        (tmp_path / f"{name}.aux").write_text("x\nDate\tTime\tPa\tPlic\tTa\tTlic\n\t\t[kPa]\t[kPa]\t[degC]\t[degC]\n01.01.99\t00:00:00\t80\t80\t10\t35\n")
+    store = update.update_batch(spark, str(tmp_path), str(tmp_path / "out"))
+    columns = store.table("series").columns
+    assert {"Z [z]", "Q [q]"} <= set(columns) and not [c for c in columns if c.startswith("Q#")]
+    rare = {(r.file_id, r.row_idx): (r.side, r.name, r.unit, r.value) for r in store.table("extras").collect()}
+    assert len(rare) == 120
+    assert rare["Site990101_00.raw", 1] == ("raw", "Q#0 x", "[-]", 0.1) and rare["Site990103_00.raw", 0] == ("raw", "Q#2 x", "[q q]", 2.0)
+    assert store.table("series").where("`Q [q]` IS NOT NULL").count() == 120 and store.table("series").where("`Z [z]` = 7").count() == 240
+    folder = convert.Folder(spark, str(tmp_path))
+    headers = convert.Converted(folder).headers().collect()
+    assert sorted(h.n_files for h in headers) == [1] * 60 + [60, 120]
+    assert len({r.raw_header for r in store.table("manifest").collect()}) == 61

@@ -42,15 +42,11 @@ def extra_units(names: Sequence[str]) -> dict[str, str]:
     return {n: n[n.rindex("[") :] if n.endswith("]") and "[" in n else "[-]" for n in names}
 
 
-def unknown_names(rows: DataFrame) -> list[str]:
-    """Names of the unknown columns of all files, sorted; one per distinct header entry."""
-    return sorted(r[0] for r in rows.select(F.explode(F.map_keys("extras"))).distinct().collect())
-
-
 def spread_extras(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Unknown columns as columns of their own in place of the map ``extras``."""
     if "extras" not in rows.columns:
-        return rows
+        return rows.drop("header", "header_id")
+    rows = rows.drop("header", "header_id")
     return rows.withColumns({n: F.element_at("extras", F.lit(n)) for n in names}).drop("extras")
 
 
@@ -244,13 +240,16 @@ def run_batch(
     """Convert a folder, or a range of time of it: series as Parquet (and text), units, statistics, trends, rejects, manifest.
 
     Returns the wide statistics per file. The texts are read once: parsed rows are landed first, and unknown columns,
-    rejects and the conversion read that table. Statistics read the written series, trends the written statistics.
+    rejects and the conversion read that table. Unknown columns that few files have go to a long table (``extras``),
+    each distinct header is listed once (``headers``). Statistics read the written series, trends the written statistics.
     What is landed meanwhile has a folder of its own, which is removed at the end.
     """
     with own_folder(spark, "batch"):
         folder = Folder(spark, indir, max_bytes, start, end, layout)
         done = Converted(folder, surplus, **options)
         rejected_rows(done.raw, done.aux, done.dated).unionByName(rejected_files(folder)).write.parquet(f"{outdir}/rejects")
+        done.rare_extras().write.parquet(f"{outdir}/extras")
+        done.headers().write.parquet(f"{outdir}/headers")
         with sinks.bucketed(done.observed(), f"{outdir}/series") as series:
             done.audit(series)
             if csv:
@@ -287,20 +286,27 @@ def with_period(parts: DataFrame, period: str) -> DataFrame:
 
 
 class Converted:
-    """A folder's parsed rows (landed), its series (lazy), and what is written from them."""
+    """A folder's parsed rows (landed), its series (lazy), and what is written from them.
+
+    ``known`` are names of unknown columns that are columns of the series in any case, ``files_before`` the files that
+    were converted before these.
+    """
 
-    def __init__(self, folder: Folder, surplus: str = "keep", raw_known: Sequence[str] = (), slow_known: Sequence[str] = (), **options):
+    def __init__(self, folder: Folder, surplus: str = "keep", known: Sequence[str] = (), files_before: int = 0, **options):
         self.folder, self.surplus = folder, surplus
         self.lines, self.rows = Observation(), Observation()
         raw, aux = folder.rows()
         self.raw = landed(raw.observe(self.lines, F.count(F.lit(1)).alias("n"), F.count_if("malformed").alias("bad")), "parsed")
         self.aux = landed(aux, "parsed")
-        extra = {"raw_extra": [*raw_known, *unknown_names(self.raw)], "slow_extra": [*slow_known, *unknown_names(self.aux)]}
-        extra = {side: sorted(set(names)) for side, names in extra.items()}
+        found = {side: files.common_extras(rows, known, files_before) for side, rows in (("raw_extra", self.raw), ("slow_extra", self.aux))}
+        # A name that both sides have would be two columns of one name.
+        found["slow_extra"] = [c for c in found["slow_extra"] if c not in found["raw_extra"]]
+        again = [c for c in known if c not in found["slow_extra"]]  # NULL columns, if no file has them
+        self.extra = {"raw_extra": sorted({*found["raw_extra"], *again}), "slow_extra": sorted(found["slow_extra"])}
         limit = options.pop("min_hot_rows", MIN_HOT_ROWS if folder.split else 0)
         self.dated = landed(dated_slow(accepted(self.aux, surplus), limit), "dated")
         slow = fill.dedupe_last(self.dated.where("ts is not null"), ["file_id", "ts"], ["row_idx"])
-        self.series = convert_series(accepted(self.raw, surplus), slow, min_hot_rows=limit, **extra, **options)
+        self.series = convert_series(accepted(self.raw, surplus), slow, min_hot_rows=limit, **self.extra, **options)
         self.units = columns.units_of(self.series)
 
     def observed(self) -> DataFrame:
@@ -327,6 +333,16 @@ class Converted:
         rows = stats.MAX_PERCENTILE_ROWS if self.folder.split else None  # a file that is read whole bounds its own group
         return stats.summarize(series, BY_FILE, sorted(self.units), stats.MERGEABLE, groups=self.folder.pairs, max_percentile_rows=rows)
 
+    def rare_extras(self) -> DataFrame:
+        """Values of unknown columns that few files have."""
+        raw = files.rare_extras(self.raw, "raw", self.extra["raw_extra"])
+        return raw.unionByName(files.rare_extras(self.aux, "aux", self.extra["slow_extra"]))
+
+    def headers(self) -> DataFrame:
+        """The distinct headers of both sides."""
+        sides = [files.distinct_headers(rows).withColumn("side", F.lit(side)) for side, rows in (("raw", self.raw), ("aux", self.aux))]
+        return sides[0].unionByName(sides[1])
+
     def write_text(self, series: DataFrame, path: str) -> None:
         text = series.select("file_id", "row_idx", "ts", *self.units)
         sinks.write_series(text, path, "csv", units=self.units, files=self.folder.pairs, drop_ts=True)
@@ -344,7 +360,8 @@ def manifest(folder: Folder, series: DataFrame, raw: DataFrame, aux: DataFrame,
         counted = rows.groupBy("file_id").agg(
             F.count(F.lit(1)).alias(f"{side}_lines"),
             F.count_if("malformed").alias(f"{side}_malformed"),
-            F.array_sort(F.flatten(F.collect_set(F.map_keys("extras")))).alias(f"{side}_unknown"),
+            F.coalesce(F.first(F.when(F.col("row_idx") == 0, F.array_sort(F.map_keys("extras"))), True), F.array().cast("array<string>")).alias(f"{side}_unknown"),
+            F.first("header_id").alias(f"{side}_header"),
         )
         facts = facts.join(counted, "file_id", "left")
     timeless = dated.groupBy("file_id").agg(F.count_if(F.col("ts").isNull()).alias("aux_without_time"))

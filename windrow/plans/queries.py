@@ -613,7 +613,8 @@ def played_lines(spark, sf, limit):
     """Events written as the lines of hourly fast and slow files, with the damage real files have."""
     events = hourly(spark, sf)
     stamp = F.concat(F.lit("Site"), F.date_format("hour", "yyMMdd_HH"), F.lit(".raw"))
-    named = events.withColumn("file_id", stamp)
+    # Rows grow many times when they are written as lines, so the parts of this exchange must not be merged by their size.
+    named = events.withColumn("file_id", stamp).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file_id")
     key = F.col("event_id")
 
     fast = fill.row_index(named.where("event_type <> 'signup'"), ["file_id"], ["ts", "event_id"], min_hot_rows=limit)
@@ -671,8 +672,9 @@ def played_series(spark, sf, limit):
     started = convert.with_era(fast_files.withColumn("start_ts", clock.file_time(F.col("file_id"))))
     fast_places = files.locate_columns(started, presets.RAW_COLUMNS, presets.RAW_HELPERS)
     slow_places = files.locate_columns(slow_files, convert.AUX_MAPPING)
-    fast = files.as_cells(fast_lines.join(fast_places, "file_id"))
-    slow = files.as_cells(slow_lines.join(slow_places, "file_id"))
+    # Both sides are partitioned by file already; without a hint the lines, small in tests, would be broadcast to the files.
+    fast = files.as_cells(fast_lines.join(fast_places.hint("shuffle_hash"), "file_id"))
+    slow = files.as_cells(slow_lines.join(slow_places.hint("shuffle_hash"), "file_id"))
     raw = files.canonical_columns(fast, (), convert.FAST)
     aux = files.canonical_columns(slow, ("Date", "Time"), [c for c in convert.SLOW if c != "Rhoa"])
     return convert.convert_series(

@@ -15,12 +15,13 @@ from windrow.session import landed, matching, own_folder, remove
 from windrow.sources import files, sinks
 
 #: Tables that hold rows of single files, below ``<table>/run=<n>/date=<start day>``.
-TABLES = ("series", "summaries", "manifest", "rejects")
+TABLES = ("series", "summaries", "manifest", "rejects", "extras")
 #: Pairs of one run at most; their URIs are named in the scan.
 PAIRS_PER_RUN = 20_000
 FACTS = ("raw_path", "aux_path", "raw_len", "aux_len", "raw_time", "aux_time")
 LEDGER = "file_id string, start_ts timestamp_ntz, raw_path string, aux_path string, raw_len bigint, aux_len bigint, raw_time timestamp, aux_time timestamp, replaces int, run int"
 
+EXTRAS = "side string, row_idx bigint, name string, unit string, value double, date date, run int"
 REJECTED = "side string, path string, row_idx bigint, line string, reason string, date date, run int"
 
 
@@ -82,7 +83,8 @@ class Store:
         last = self.last_run()
         runs = [n for n in self._runs(f"{name}/run=*/date=*") if n <= last]
         if not runs:
-            return self.spark.createDataFrame([], f"file_id string, {REJECTED}" if name == "rejects" else "file_id string, date date, run int")
+            kinds = {"rejects": f"file_id string, {REJECTED}", "extras": f"file_id string, {EXTRAS}"}
+            return self.spark.createDataFrame([], kinds.get(name, "file_id string, date date, run int"))
         paths = [f"{self.root}/{name}/run={n}" for n in runs]
         rows = self.spark.read.option("mergeSchema", "true").option("basePath", f"{self.root}/{name}").parquet(*paths)
         for date, run in self.superseded():
@@ -164,14 +166,16 @@ def _run(store: Store, folder: convert.Folder, run: int, csv: bool, surplus: str
     spark, todo = store.spark, folder.pairs
     date = F.to_date("start_ts")
     days = sorted((r[0], r[1]) for r in todo.where("replaces is not null").select(date.cast("string"), "replaces").distinct().collect())
-    done = convert.Converted(folder, surplus, **options)
+    committed = store.committed()
+    known = [c for c in store.units() if c not in convert.UNITS]
+    done = convert.Converted(folder, surplus, known, committed.count(), **options)
     facts = ["file_id", "start_ts", *FACTS]
     commits = todo.select(*facts, "replaces")
     series, commits, moved = done.observed(), todo.select(*facts, "replaces"), {}
     if days:
         listed = F.array(*[F.lit(f"{day} {earlier}") for day, earlier in days])
-        committed = store.committed().where(F.array_contains(listed, F.concat_ws(" ", date.cast("string"), F.col("run").cast("string"))))
-        stay = landed(committed.join(todo, "file_id", "left_anti").select(*facts, F.col("run").alias("replaces")), "stay")
+        replaced = committed.where(F.array_contains(listed, F.concat_ws(" ", date.cast("string"), F.col("run").cast("string"))))
+        stay = landed(replaced.join(todo, "file_id", "left_anti").select(*facts, F.col("run").alias("replaces")), "stay")
         moved = {name: _others(store, name, listed, todo) for name in TABLES}
         commits = commits.unionByName(stay)
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -190,7 +194,8 @@ def _run(store: Store, folder: convert.Folder, run: int, csv: bool, surplus: str
         write(done.summaries(own).withColumn("date", date), "summaries")
         write(convert.manifest(folder, own, done.raw, done.aux, done.dated).withColumn("date", date), "manifest")
         rejected = convert.rejected_rows(done.raw, done.aux, done.dated)
-        write(rejected.withColumn("date", F.to_date(file_time(F.col("file_id")))), "rejects")
+        for name, rows in (("rejects", rejected), ("extras", done.rare_extras())):
+            write(rows.withColumn("date", F.to_date(file_time(F.col("file_id")))), name)
     store.commit(commits, run)
     store.drop(days)
 

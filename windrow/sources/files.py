@@ -352,6 +352,7 @@ def locate_columns(files: DataFrame, mapping: Mapping[tuple[str, str], tuple[str
         {
             "places": F.struct(*[p.alias(c) for c, p in place.items()]),
             "unknown": unknown,
+            "header_id": F.xxhash64(F.transform("header", lambda h: F.concat_ws("\t", h["name"], h["unit"]))),
             "ambiguous": F.size(F.array_distinct(known)) < F.size(known),
         }
     ).drop("_named", "_meant")
@@ -365,7 +366,45 @@ def canonical_columns(rows: DataFrame, text: tuple[str, ...] = (), numbers: tupl
         F.col("unknown.key"), F.transform("unknown.pos", lambda pos: to_number(F.get("cells", pos)))
     )
     rest = [c for c in rows.columns if c not in ("cells", "places", "unknown", "header")]
-    return rows.select(*rest, *out, extras.alias("extras"))
+    named = [F.when(F.col("row_idx") == 0, F.col("header")).alias("header")] if "header_id" in rows.columns else []
+    return rows.select(*rest, *named, *out, extras.alias("extras"))
+
+
+def distinct_headers(rows: DataFrame) -> DataFrame:
+    """One row per distinct header of files with data: header_id, its entries, how many files have it, and one of them."""
+    firsts = rows.where("row_idx = 0")
+    entries = F.transform("header", lambda h: F.struct(h["name"].alias("name"), h["unit"].alias("unit")))
+    return firsts.groupBy("header_id").agg(F.first(entries).alias("entries"), F.count(F.lit(1)).alias("n_files"), F.min("file_id").alias("example"))
+
+
+#: A name of an unknown column is a column of the series if this share of all files has it; and how many may be.
+EXTRA_SHARE, MAX_EXTRA = 0.01, 200
+
+
+def common_extras(rows: DataFrame, known: Sequence[str] = (), files_before: int = 0, share: float = EXTRA_SHARE, most: int = MAX_EXTRA) -> list[str]:
+    """Names of the unknown columns that a share of the files have, the most frequent ones first, ``most`` at most.
+
+    A name that is ``known`` to be a column counts if any file has it.
+
+    All rows of a file have the same ones, so its first row tells. Damaged headers, which few files share, do not widen
+    the series however many there are; their values are listed by ``rare_extras``.
+    """
+    firsts = rows.where("row_idx = 0")
+    total = files_before + firsts.count()
+    names = firsts.select(F.explode(F.map_keys("extras")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    listed = F.col("name").isin(list(known)) if known else F.lit(False)
+    best = names.where((F.col("n") >= share * total) | listed).orderBy(listed.desc(), F.desc("n"), "name").limit(max(most, len(known)))
+    return [r["name"] for r in best.collect()]
+
+
+def rare_extras(rows: DataFrame, side: str, columns: Sequence[str]) -> DataFrame:
+    """Values of the unknown columns that are no columns of the series, one row each: side, file_id, row_idx, name, unit, value."""
+    known = F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+    others = F.map_filter("extras", lambda k, v: v.isNotNull() & ~F.array_contains(known, k))
+    listed = rows.select("file_id", "row_idx", F.explode(others).alias("key", "value"))
+    unit = F.regexp_extract("key", r" (\[[^\[]*\]?)$", 1)
+    name = F.when(unit == "", F.col("key")).otherwise(F.substring("key", F.lit(1), F.length("key") - F.length(unit) - 1))
+    return listed.select(F.lit(side).alias("side"), "file_id", "row_idx", name.alias("name"), unit.alias("unit"), "value")
 
 
 def chosen(found: DataFrame, uris: Sequence[str] | None) -> DataFrame:
