@@ -91,6 +91,7 @@ def simhash_brute(rows, radius=4):
 
 def test_simhash(corpus, rows_of):
     got = simhash.simhash_components(corpus)
+    assert sorted(map(tuple, simhash.simhash_components(corpus, hot_rows=5).collect())) == sorted(map(tuple, got.collect()))
     assert rows_of(got) == simhash_brute([tuple(r) for r in corpus.collect()])
 
 

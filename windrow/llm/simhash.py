@@ -18,6 +18,8 @@ BITS = 64
 SEED = 42
 WORDS = 4
 RADIUS = 4
+#: Rows from which a fingerprint is joined by a broadcast.
+HOT_ROWS = 100_000
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 15
 
@@ -126,23 +128,28 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def simhash_components(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words: int = WORDS, radius: int = RADIUS
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words: int = WORDS, radius: int = RADIUS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hexadecimal digits), component_id.
 
     Documents link when their fingerprints differ in at most ``radius`` bits; equal fingerprints are one class from the
     start. ``component_id`` is the smallest doc_id that links reach. Every text is read whole; NULL and empty texts
     have fingerprint zero and link like others. A NULL doc_id never names a component unless all its members are NULL.
-    Repeated rows come out as often as they go in; no rows give no rows.
+    Repeated rows come out as often as they go in; no rows give no rows. Fingerprints of more than ``hot_rows`` rows, of
+    which there are few (16 bytes each), are broadcast to their rows, others are joined by a shuffle.
     """
     ship(docs.sparkSession)
     rows = land(fingerprints(docs, doc_id, text, words), "fingerprints")
-    classes = land(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    classes = land(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "classes")
     found = components(links(classes, radius))
-    named = classes.join(found, classes.fp == found.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    named = classes.join(found, classes.fp == found.node, "left").select("fp", "first", "n", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = land(named.join(least, "component").select("fp", "component_id"), "classes")
-    return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = land(named.join(least, "component").select("fp", "n", "component_id"), "classes")
+    # A fingerprint of very many rows, such as that of empty texts, must not be one key of a shuffle.
+    hot = F.broadcast(classes.filter(F.col("n") > hot_rows).select("fp", "component_id"))
+    cold = classes.filter(F.col("n") <= hot_rows).select("fp", "component_id")
+    met = rows.join(hot, "fp").unionByName(rows.join(hot.select("fp"), "fp", "left_anti").join(cold, "fp"))
+    return met.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
