@@ -276,7 +276,7 @@ def two_years(tmp_path_factory):
     return root
 
 
-@pytest.mark.parametrize("layout", [None, "%Y/%m", "%Y"])
+@pytest.mark.parametrize("layout", [None, "%Y/%m"])
 def test_range_of_time(spark, two_years, layout):
     """One day of two years: only its files are listed and read, and they are listed once for each side."""
     span = {"start": dt.datetime(2000, 3, 10), "end": dt.datetime(2000, 3, 11), "layout": layout}

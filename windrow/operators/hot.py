@@ -8,6 +8,7 @@ a block border travels through a table with one row per block.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -75,11 +76,24 @@ def sortable_double(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot cut a series ordered by {kind.simpleString()} column {name!r}; order by a number or a time")
 
 
+#: Plans whose rows are counted without reading their columns, from the footers of files.
+PLAIN_NODES = {"Project", "Filter", "Relation"}
+
+
+def few_rows(df: DataFrame, most: int) -> bool:
+    """Whether a plain scan has at most so many rows; other plans, which cost more to count, do not say."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = set(re.findall(r"(?m)^[ :+\-]*([A-Z][A-Za-z]*)", plan))
+    return nodes <= PLAIN_NODES and df.count() <= most
+
+
 def hot_keys(df: DataFrame, by: Sequence[str], min_rows: int) -> tuple[DataFrame, int, int] | None:
     """Keys with more than ``min_rows`` rows and their row counts ``_rows``, how many they are, and the largest count.
 
-    One job over the key columns; None if there are none.
+    One job over the key columns, spared where a scan has no more rows than that; None if there are none.
     """
+    if few_rows(df, min_rows):
+        return None
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     found = counts.agg(F.max("_rows").alias("largest"), F.count_if(F.col("_rows") > min_rows).alias("n")).first()
     if not found["n"]:

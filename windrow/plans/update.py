@@ -146,7 +146,8 @@ def update_batch(
     The folder is listed once per side. Pairs are taken in runs of at most ``pairs_per_run``, by start time; a run opens
     only its own files and is committed as a whole, so after a stop the next call goes on with the first run that was
     not. A file counts as changed if its path, size or time of change differ. Files that are no longer there keep their
-    rows. Files that no pair uses are listed anew (``unpaired``).
+    rows. Files that no pair uses are listed anew (``unpaired``). With ``csv`` each run writes the text of its own files;
+    of a file that has changed the text of the last run counts.
     """
     store = Store(spark, outdir)
     store.recover()
@@ -170,7 +171,6 @@ def _run(store: Store, folder: convert.Folder, run: int, csv: bool, surplus: str
     known = [c for c in store.units() if c not in convert.UNITS]
     done = convert.Converted(folder, surplus, known, committed.count(), **options)
     facts = ["file_id", "start_ts", *FACTS]
-    commits = todo.select(*facts, "replaces")
     series, commits, moved = done.observed(), todo.select(*facts, "replaces"), {}
     if days:
         listed = F.array(*[F.lit(f"{day} {earlier}") for day, earlier in days])
