@@ -249,3 +249,15 @@ def test_recall_is_calibrated():
     width = collisions.HALF_WINDOW * np.sqrt(2 - 2 * 0.93)
     passed = (np.abs(x @ axes - y @ axes) <= width).sum(1) >= 11
     assert passed.mean() >= 0.99
+
+
+def test_results_outlive_a_batch(spark, corpus, tmp_path):
+    """A lazy result reads landed tables; a batch of sensor files in the same application removes its own only."""
+    from windrow.plans.convert import run_batch
+
+    lazy = exact_dedup.exact_dedup(corpus)
+    head = "a\nb\nc\nU\tV\tW\tSound\tC\tXw\n[m/s]\t[m/s]\t[m/s]\t[m/50s]\t[mV]\t[mV]\n1\t2\t3\t16000\t1500\t1\n"
+    (tmp_path / "X970101_00.raw").write_text(head)
+    (tmp_path / "X970101_00.aux").write_text("x\nDate\tTime\tPa\tPlic\tTa\tTlic\n\t\t[kPa]\t[kPa]\t[degC]\t[degC]\n01.01.97\t00:00:00\t80\t80\t10\t35\n")
+    run_batch(spark, str(tmp_path), str(tmp_path / "out"))
+    assert lazy.count() == corpus.count()
