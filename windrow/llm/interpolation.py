@@ -248,8 +248,9 @@ def interpolated_scores(
 
     Documents are gathered into blocks; each block asks the buckets of all n-grams (by ranges of their keys) for the
     totals of its distinct n-grams and adds its own counts with the same rows. So counts are pre-aggregated, a frequent
-    word is one entry per block, a bucket holds about ``bucket_keys`` entries at every size, and tokens are never
-    shuffled with strings. NULL texts count as empty: one token, the end. A NULL doc_id has the crc32 of an empty text.
+    word is one entry per block, a bucket holds about ``bucket_keys`` entries (more where frequent words, with one for
+    each block, fall into it), and tokens are never shuffled with strings. There is one request for each block and
+    bucket, so their number grows with the square of the input. NULL texts count as empty: one token, the end. A NULL doc_id has the crc32 of an empty text.
     Without training documents every known probability is the uniform one, 1 / (V + 1) = 1. No rows give no rows.
     """
     ship(docs.sparkSession)
