@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions.escapes import decode_escapes
 from windrow.operators import asof, hot, lookup, stats
-from windrow.plans import convert
+from windrow.plans import convert, queries
 from windrow.sources import files, sinks
 
 
@@ -49,6 +49,42 @@ def test_lookup_first(overlapping, bounds, most):
     assert sorted((r.id, r.k) for r in got.collect()) == want and got.columns == ["id", "at", "k", "rank"]
 
 
+@pytest.mark.parametrize("bounds, most, hot_rows", [("(]", 100_000, 0), ("[)", 0, 0), ("[]", 0, 50)])
+def test_join_intervals_totals(overlapping, bounds, most, hot_rows):
+    rows, spans, df, table = overlapping
+    keyed = table.withColumns({"odd": F.when(F.col("k") % 2 == 1, F.col("k")), "none": F.lit(None).cast("int")})
+    held = [(i, [k for s, e, k in spans if x is not None and inside(x, s, e, bounds)]) for i, x in rows]
+    want = sorted((i, len(ks), sum(ks), sum(odd) if (odd := [k for k in ks if k % 2]) else None, None) for i, ks in held if ks)
+    totals = {"n": None, "sum": "k", "sum_odd": "odd", "sum_none": "none"}
+    few = [(i, 1, k, k if k % 2 else None, None) for i, ks in held for k in ks if k == 8]  # leaves gaps
+    for some, expected in ((keyed, want), (keyed.where("k = 8"), few), (keyed.limit(0), [])):
+        got = lookup.join_intervals(df, some, "at", "s", "e", bounds, most, totals, hot_rows)
+        assert got.columns == ["id", "at", *totals]
+        assert sorted((r.id, r.n, r["sum"], r.sum_odd, r.sum_none) for r in got.collect()) == expected
+    assert lookup.join_intervals(df.limit(0), table, "at", "s", "e", bounds, most, totals={"n": None}).count() == 0
+
+
+def test_totals_need_exact_sums(overlapping):
+    _, _, df, table = overlapping
+    with pytest.raises(TypeError):
+        lookup.join_intervals(df, table.withColumn("x", F.lit(0.5)), "at", "s", "e", totals={"sum": "x"})
+    with pytest.raises(ValueError):
+        lookup.join_intervals(df, table, "at", "s", "e", totals={"id": None})
+
+
+def test_intervals_all_writes_no_pairs(spark, tmp_path, monkeypatch):
+    """Of 600 shipments on the day of 600 orders, each comes once out of the join, not once for every window."""
+    spark.range(600).selectExpr("id AS o_orderkey", "timestamp_ntz'2000-01-01' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = "id AS l_orderkey", "1 AS l_linenumber", "id AS l_partkey", "id AS l_suppkey", "timestamp_ntz'2000-01-01' AS l_shipdate"
+    spark.range(600).selectExpr(*lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    sizes, join = [], lookup._bin_join
+    monkeypatch.setattr(lookup, "_bin_join", lambda *a: (sizes.append((out := join(*a)).count()), out)[1])
+    held = {x: [k for k in range(600) if k % 24 < x % 24 <= k % 24 + k % 9] for x in range(600)}
+    got = queries.intervals_all(spark, str(tmp_path)).collect()
+    assert sorted((r.l_orderkey, r.n_windows, r.key_sum) for r in got) == [(x, len(ks), sum(ks)) for x, ks in held.items() if ks]
+    assert sum(sizes) <= 600
+
+
 def test_intervals_in_time_need_no_nested_loop(spark):
     df = spark.range(1000).selectExpr("id", "date_add(date'2000-01-01', int(id % 100)) AS d")
     table = spark.range(20_000).selectExpr("date_add(date'2000-01-01', int(id % 90)) AS s", "date_add(date'2000-01-01', int(id % 90 + id % 7)) AS e", "id AS k")

@@ -115,6 +115,21 @@ def row_index(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str =
     return numbered.withColumn(out, F.col(out) + F.coalesce("_offset", F.lit(0))).drop("_offset", block)
 
 
+def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], min_hot_rows: int = MIN_HOT_ROWS):
+    """Whole-numbered ``cols`` replaced by their sums over the rows of a key up to each row; ``order`` must be total."""
+    series = cut_series(df, by, order, min_hot_rows)
+    frame = Window.partitionBy(*series.keys).orderBy(*order).rowsBetween(BEFORE, 0)
+    sums = {c: F.sum(c).over(frame) for c in cols}
+    if not series.cut:
+        return series.df.withColumns(sums)
+    block = series.keys[-1]
+    earlier = Window.partitionBy(*series.by).orderBy(block).rowsBetween(BEFORE, -1)
+    per_block = series.df.where(F.col(block) > 0).groupBy(*series.keys).agg(*[F.sum(c).alias(c) for c in cols])
+    offsets = per_block.select(*series.keys, *[F.sum(c).over(earlier).alias(f"_before_{c}") for c in cols])
+    summed = series.hand_over(series.df.withColumns(sums), offsets)
+    return summed.withColumns({c: F.col(c) + F.coalesce(f"_before_{c}", F.lit(0)) for c in cols}).select(*df.columns)
+
+
 def assign_time_axis(
     df: DataFrame, start: str = "start_ts", row: str = "row_idx", out: str = "ts", period_ps: int = PERIOD_PS
 ) -> DataFrame:

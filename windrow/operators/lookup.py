@@ -12,8 +12,9 @@ from windrow import presets
 from windrow.functions.clock import day_of_year_date, micros
 from windrow.functions.numeric import finite_or_null, lerp, to_number_strict
 from windrow.operators.columns import update_non_null
-from windrow.operators.fill import Carry, carry
+from windrow.operators.fill import Carry, carry, running_sums
 from windrow.operators.hot import MIN_HOT_ROWS, Deal, cut_series, row_hash
+from windrow.session import landed
 
 MAX_BROADCAST_INTERVALS = 1_000
 
@@ -123,19 +124,59 @@ def _bin_join(rows: DataFrame, ends: DataFrame, most_rows: int) -> DataFrame:
 
 
 def join_intervals(
-    df: DataFrame, table: DataFrame, on: str, start: str, end: str, bounds: str = "(]", max_broadcast: int = MAX_BROADCAST_BINNED
-) -> DataFrame:
+    df: DataFrame, table: DataFrame, on: str, start: str, end: str, bounds: str = "(]", max_broadcast: int = MAX_BROADCAST_BINNED,
+    totals: Mapping[str, str | None] | None = None, min_hot_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
     """Every row of ``df`` once for each interval of ``table`` that holds ``on``, with all columns of both.
 
     Intervals may overlap in any way; NULL ends are open; rows in no interval, and those without ``on``, drop out. The
     position is a time, a date or a whole number. Up to ``max_broadcast`` entries (and a bound on bytes) are broadcast,
     more are shuffled by bin; neither compares all rows with all intervals.
+
+    With ``totals`` a row comes once, with what its pairs come to: under each name the sum of a whole-numbered column of
+    ``table`` over the intervals that hold the row, or their number where None is given. Pairs grow with the square of
+    dense tables and are not written out for that: totals change at the ends of intervals only, so they are summed along
+    these, and rows look up the piece between two ends that they are in.
     """
+    placed = df.withColumn("_at", whole_position(df, on))
+    ends = half_open(table, start, end, bounds)
+    if totals is not None:
+        return _join_totals(placed, ends, totals, max_broadcast, min_hot_rows).select(*df.columns, *totals)
     clash = set(df.columns) & set(table.columns)
     if clash:
         raise ValueError(f"both sides have columns {sorted(clash)}")
-    joined = _bin_join(df.withColumn("_at", whole_position(df, on)), half_open(table, start, end, bounds), max_broadcast)
-    return joined.select(*df.columns, *table.columns)
+    return _bin_join(placed, ends, max_broadcast).select(*df.columns, *table.columns)
+
+
+def _join_totals(rows: DataFrame, ends: DataFrame, totals: Mapping[str, str | None], max_broadcast: int, min_hot_rows: int) -> DataFrame:
+    """Rows (with ``_at``) that lie in intervals (``_from``, ``_to``), and the totals of those."""
+    clash = set(rows.columns) & set(totals)
+    if clash:
+        raise ValueError(f"there are columns {sorted(clash)} already")
+    summed = [c for c in dict.fromkeys(totals.values()) if c is not None]
+    for c in summed:
+        if not isinstance(ends.schema[c].dataType, T.IntegralType):
+            raise TypeError(f"{ends.schema[c].dataType.simpleString()} column {c!r} has no exact running sum; use a whole number")
+    # What an interval adds where it starts, and takes away where it ends: one, each column, and one where that is known.
+    parts = {"_n": F.lit(1).cast("bigint")}
+    for i, c in enumerate(summed):
+        parts |= {f"_sum{i}": F.coalesce(F.col(c).cast("bigint"), F.lit(0)), f"_known{i}": F.col(c).isNotNull().cast("bigint")}
+    starts = ends.select(F.col("_from").alias("_begin"), *[x.alias(k) for k, x in parts.items()])
+    stops = ends.where("_to IS NOT NULL").select(F.col("_to").alias("_begin"), *[(-x).alias(k) for k, x in parts.items()])
+    changes = landed(starts.unionByName(stops).groupBy("_begin").agg(*[F.sum(k).alias(k) for k in parts]), "interval-ends")
+    pieces = running_sums(changes, [], ["_begin"], list(parts), min_hot_rows)
+    n = changes.count()
+    # A piece stands in two bins at most, and a number takes up to 24 bytes of text with its name.
+    if n <= max_broadcast and n * 2 * 24 * (len(parts) + 4) <= MAX_BROADCAST_BYTES:
+        following = F.lead("_begin").over(Window.orderBy(F.col("_begin").asc_nulls_first()))
+        closed = pieces.select(F.col("_begin").alias("_from"), following.alias("_to"), *parts).where("_n > 0")
+        found = _bin_join(rows, closed, 2 * max_broadcast)
+    else:
+        whole = landed(pieces.withColumn("_until", F.lit(None).cast("bigint")), "interval-pieces")
+        most = min(max_broadcast, MAX_BROADCAST_INTERVALS)
+        found = lookup_by_interval(rows, whole, "_at", "_begin", "_until", "[)", None, most, min_hot_rows).where("_n > 0")
+    of = {c: F.when(F.col(f"_known{i}") > 0, F.col(f"_sum{i}")) for i, c in enumerate(summed)} | {None: F.col("_n")}
+    return found.withColumns({name: of[c] for name, c in totals.items()})
 
 
 def lookup_first(

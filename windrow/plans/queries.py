@@ -350,8 +350,8 @@ def intervals_all(spark, sf):
     windows = orders.select("o_orderkey", begin.alias("begin")).withColumn("until", F.col("begin") + F.make_dt_interval(hours=(F.col("o_orderkey") % 9).cast("int")))
     at = F.col("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", at.alias("at"))
-    held = lookup.join_intervals(lines, windows, "at", "begin", "until", "(]")
-    return held.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "at").agg(F.count(F.lit(1)).alias("n_windows"), F.sum("o_orderkey").alias("key_sum"))
+    held = lookup.join_intervals(lines, windows, "at", "begin", "until", "(]", totals={"n_windows": None, "key_sum": "o_orderkey"})
+    return held.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "at").agg(F.sum("n_windows").alias("n_windows"), F.sum("key_sum").alias("key_sum"))
 
 
 def lookup_first(spark, sf):
