@@ -85,6 +85,32 @@ def test_intervals_all_writes_no_pairs(spark, tmp_path, monkeypatch):
     assert sum(sizes) <= 600
 
 
+def test_lookup_first_writes_no_pairs(spark, monkeypatch):
+    """Of 1,000 intervals, 500 or more at each of 2,000 ends; pairs of both would be a million."""
+    df = spark.range(-10, 2_010).selectExpr("id AS at")
+    table = spark.range(1_000).selectExpr("id AS s", "id + 1000 AS e", "id * 7 % 1000 AS k")
+    sizes, join = [], lookup._bin_join
+    monkeypatch.setattr(lookup, "_bin_join", lambda *a: (sizes.append((out := join(*a)).count()), out)[1])
+    got = lookup.lookup_first(df, table, "at", "s", "e", ["k"], "[)", {"k": -1})
+    want = [(x, min((i * 7 % 1000 for i in range(max(0, x - 999), min(1000, x + 1))), default=-1)) for x in range(-10, 2_010)]
+    assert sorted((r["at"], r.k) for r in got.collect()) == want
+    assert sum(sizes) <= 20_000
+
+
+@pytest.mark.parametrize("per_task", [7, 50_000])
+def test_first_of_intervals_far_apart(spark, monkeypatch, per_task):
+    """Positions of 18 digits on both sides of zero, lengths from one unit to all, two columns of order, open ends."""
+    monkeypatch.setattr(lookup, "SPANS_PER_TASK", per_task)
+    random_ = random.Random(4)
+    wide = lambda: random_.randint(-(10 ** random_.randint(1, 17)), 10 ** random_.randint(1, 17))
+    spans = [(a, a + 10 ** random_.randint(0, 17), k) for k, a in enumerate(wide() for _ in range(120))] + [(None, -5, 200), (5, None, 201)]
+    rows = [(i, x) for i, x in enumerate([wide() for _ in range(100)] + [s for s, _, _ in spans] + [e for _, e, _ in spans])]
+    df, table = spark.createDataFrame(rows, "id int, at bigint"), spark.createDataFrame(spans, "s bigint, e bigint, k int").withColumn("third", F.col("k") % 3)
+    held = [(i, [(-(k % 3), k) for s, e, k in spans if x is not None and inside(x, s, e, "[)")]) for i, x in rows]
+    got = lookup.lookup_first(df, table.withColumn("down", -F.col("third")), "at", "s", "e", ["down", "k"], "[)")
+    assert sorted((r.id, r.k) for r in got.collect()) == [(i, min(ks)[1] if ks else None) for i, ks in held]
+
+
 def test_intervals_in_time_need_no_nested_loop(spark):
     df = spark.range(1000).selectExpr("id", "date_add(date'2000-01-01', int(id % 100)) AS d")
     table = spark.range(20_000).selectExpr("date_add(date'2000-01-01', int(id % 90)) AS s", "date_add(date'2000-01-01', int(id % 90 + id % 7)) AS e", "id AS k")

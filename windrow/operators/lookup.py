@@ -80,7 +80,6 @@ def lookup_by_interval(
 
 #: Rows and bytes (as text) up to which a table of intervals is broadcast by ``join_intervals``.
 MAX_BROADCAST_BINNED, MAX_BROADCAST_BYTES = 100_000, 32 << 20
-BEGINNING = -(2**62)
 
 
 def whole_position(df: DataFrame, name: str) -> Column:
@@ -189,15 +188,53 @@ def lookup_first(
     look up these pieces, which do not overlap, as in ``lookup_by_interval``.
     """
     values = [c for c in table.columns if c not in (start, end)]
-    ends = half_open(table, start, end, bounds)
-    points = ends.select(F.coalesce("_from", F.lit(BEGINNING)).alias("_at")).unionByName(ends.where("_to IS NOT NULL").select(F.col("_to").alias("_at"))).distinct()
-    held = _bin_join(points, ends, MAX_BROADCAST_BINNED)
-    first = held.groupBy("_at").agg(F.min_by(F.struct(*values), F.struct(*order)).alias("_first"))
-    pieces = points.join(first, "_at", "left").select(F.col("_at").alias("_begin"), F.lit(None).cast("bigint").alias("_until"), *[F.col(f"_first.{c}").alias(c) for c in values])
+    pieces = landed(_first_pieces(half_open(table, start, end, bounds), values, order), "first-pieces")
     found = lookup_by_interval(df.withColumn("_whole", whole_position(df, on)), pieces, "_whole", "_begin", "_until", "[)", defaults, max_broadcast, min_hot_rows)
     return found.drop("_whole")
 
 
+#: Intervals that are cut into nodes in one task; each is some dozens of nodes at most in practice, 124 in any case.
+SPANS_PER_TASK = 50_000
+
+
+def _first_pieces(ends: DataFrame, values: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first interval by ``order`` from each end to the next, as ``_begin``, an open ``_until``, and its values.
+
+    Ends are not compared with the intervals that hold them, whose number grows with the square of dense tables. An
+    interval is the disjoint union of at most two nodes of each width 2**n, [k * 2**n, (k + 1) * 2**n). Every node keeps
+    the first of its intervals, and an end takes the first of the nodes that it lies in, one of each width.
+    """
+    low, high = F.col("_from"), F.col("_to")
+    known = (F.min(F.least(low, high)), F.max(F.greatest(low, high)), F.max(high - low), F.count(F.lit(1)), F.count_if(low.isNull() | high.isNull()))
+    first, last, longest, n, n_open = ends.agg(*known).first()
+    first, last = first or 0, last or 0
+    # Open intervals start before the first end, or last beyond the last one.
+    closed = ends.withColumns({"_from": F.coalesce(low, F.lit(first - 1)), "_to": F.coalesce(high, F.lit(last + 1))})
+    points = closed.select(F.col("_from").alias("_at")).unionByName(ends.where(high.isNotNull()).select(high.alias("_at"))).distinct()
+    widest = (max(longest or 1, last - first + 2) if n_open else longest or 1).bit_length()
+    shift = lambda x, by: F.call_function("shiftright", x, by)
+
+    def nodes(level: Column) -> Column:
+        """Those of one width: a left one and a right one where the rest of the interval begins or ends within the next wider node."""
+        left, right = -shift(-low, level), shift(high, level)
+        is_left, is_right = F.pmod(left, F.lit(2)) == 1, F.pmod(right, F.lit(2)) == 1
+        node = lambda k, there: F.when(there & (left < right), F.struct(level.alias("_level"), k.alias("_bin")))
+        # One node that is both counts once.
+        return F.array(node(left, is_left), node(right - 1, is_right & ~(is_left & (left == right - 1))))
+
+    # Hashed first, into so many tasks that none has to sort more than a bounded number of nodes.
+    spread = closed.repartition(max(1, -(-n // SPANS_PER_TASK)), "_from", "_to", *order)
+    levels = F.sequence(F.lit(0), F.char_length(F.bin(high - low)) - 1)
+    cut = spread.withColumn("_node", F.explode(F.filter(F.flatten(F.transform(levels, nodes)), lambda x: x.isNotNull())))
+    best = (F.min_by(F.struct(*values), F.struct(*order)).alias("_first"), F.min(F.struct(*order)).alias("_order"))
+    kept = cut.groupBy(F.col("_node._level").alias("_level"), F.col("_node._bin").alias("_bin")).agg(*best)
+    looked = points.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(widest - 1))))
+    held = looked.withColumn("_bin", shift(F.col("_at"), F.col("_level"))).join(kept, ["_level", "_bin"])
+    found = points.join(held.groupBy("_at").agg(F.min_by("_first", "_order").alias("_first")), "_at", "left")
+    begin = F.when(F.col("_at") >= first, F.col("_at")).alias("_begin")
+    return found.select(begin, F.lit(None).cast("bigint").alias("_until"), *[F.col(f"_first.{c}").alias(c) for c in values])
+
+
 def period_linear(
     df: DataFrame, table: DataFrame, on: str, col: str, bounds: str = "[]", max_broadcast: int | None = MAX_BROADCAST_INTERVALS
 ) -> DataFrame:
